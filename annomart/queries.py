@@ -33,3 +33,153 @@ def cat(spark: SparkSession, sf_dir: str) -> Catalog:
 @query("dataclass_gene")
 def q_dataclass_gene(spark, sf_dir):
     return flatten(dc.gene(cat(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# inputs shared by the lookup queries
+# --------------------------------------------------------------------------
+
+def all_entity_ids(c: Catalog) -> DataFrame:
+    """Every uniquename of every entity table (feature, groups, stocks,
+    strains, cell lines, disease reports, libraries) - duplicates kept."""
+    from pyspark.sql import functions as F
+    tables = ["feature", "grp", "stock", "strain", "cell_line", "humanhealth", "library"]
+    out = None
+    for t in tables:
+        d = c[t].select(F.col("uniquename").alias("id"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def feature_ids(c: Catalog) -> DataFrame:
+    return c["feature"].select(c["feature"]["uniquename"].alias("id"))
+
+
+# --------------------------------------------------------------------------
+# U1-U11
+# --------------------------------------------------------------------------
+
+@query("update_ids")
+def q_update_ids(spark, sf_dir):
+    from .operators.ids import clean_id_lines, update_ids
+    c = cat(spark, sf_dir)
+    return update_ids(c, clean_id_lines(c["submitted_ids"]))
+
+
+@query("current_symbol")
+def q_current_symbol(spark, sf_dir):
+    from .operators.lookups import current_synonym
+    c = cat(spark, sf_dir)
+    return current_synonym(c, all_entity_ids(c), "id", "symbol")
+
+
+@query("current_fullname")
+def q_current_fullname(spark, sf_dir):
+    from .operators.lookups import current_synonym
+    c = cat(spark, sf_dir)
+    return current_synonym(c, all_entity_ids(c), "id", "fullname")
+
+
+@query("related_features_subject")
+def q_related_subject(spark, sf_dir):
+    from .operators.lookups import related_features
+    c = cat(spark, sf_dir)
+    return related_features(c, feature_ids(c), "id", "alleleof", "FBal", "subject")
+
+
+@query("related_features_object")
+def q_related_object(spark, sf_dir):
+    from .operators.lookups import related_features
+    c = cat(spark, sf_dir)
+    return related_features(c, feature_ids(c), "id", "associated_with|encodes_tool", "FBtp|FBto|FBti", "object")
+
+
+@query("related_features_pattern")
+def q_related_pattern(spark, sf_dir):
+    from .operators.lookups import related_features
+    c = cat(spark, sf_dir)
+    return related_features(c, feature_ids(c), "id", "has_reg%|tagged_wit_", None, "object")
+
+
+@query("feature_props")
+def q_feature_props(spark, sf_dir):
+    from .operators.lookups import feature_props
+    c = cat(spark, sf_dir)
+    return feature_props(c, feature_ids(c), "id", "%").drop("feature_id")
+
+
+@query("pub_props")
+def q_pub_props(spark, sf_dir):
+    from .operators.lookups import pub_props
+    c = cat(spark, sf_dir)
+    return pub_props(c, c["pub"].select("uniquename"), "uniquename", "%")
+
+
+@query("group_member_props")
+def q_group_member_props(spark, sf_dir):
+    from .operators.lookups import group_member_props
+    c = cat(spark, sf_dir)
+    return group_member_props(c, c["grpmember"].select("grpmember_id"), "grpmember_id", "derived%|internal_note")
+
+
+@query("ontology_terms_mf")
+def q_ontology_terms(spark, sf_dir):
+    from .operators.lookups import ontology_terms
+    c = cat(spark, sf_dir)
+    return ontology_terms(c, feature_ids(c), "id", "molecular_function")
+
+
+@query("stocks")
+def q_stocks(spark, sf_dir):
+    from .operators.lookups import stocks
+    c = cat(spark, sf_dir)
+    return stocks(c, feature_ids(c), "id")
+
+
+@query("pub_count")
+def q_pub_count(spark, sf_dir):
+    from .operators.lookups import pub_count
+    c = cat(spark, sf_dir)
+    return pub_count(c, all_entity_ids(c), "id")
+
+
+@query("paper_count")
+def q_paper_count(spark, sf_dir):
+    from .operators.lookups import pub_count
+    c = cat(spark, sf_dir)
+    return pub_count(c, all_entity_ids(c), "id", pub_type="paper")
+
+
+@query("pathways")
+def q_pathways(spark, sf_dir):
+    from .plans import groups
+    return groups.pathway(cat(spark, sf_dir)).select("grp_id", "uniquename", "name", "fullname")
+
+
+# --------------------------------------------------------------------------
+# T21-T25
+# --------------------------------------------------------------------------
+
+@query("dataclass_allele")
+def q_dataclass_allele(spark, sf_dir):
+    return dc.allele(cat(spark, sf_dir))
+
+
+@query("dataclass_disease")
+def q_dataclass_disease(spark, sf_dir):
+    return dc.disease(cat(spark, sf_dir))
+
+
+@query("dataclass_enzyme")
+def q_dataclass_enzyme(spark, sf_dir):
+    return dc.enzyme(cat(spark, sf_dir))
+
+
+@query("dataclass_gene_group")
+def q_dataclass_gene_group(spark, sf_dir):
+    return dc.gene_group(cat(spark, sf_dir))
+
+
+@query("dataclass_ortholog")
+def q_dataclass_ortholog(spark, sf_dir):
+    return dc.ortholog(cat(spark, sf_dir))
