@@ -183,3 +183,47 @@ def q_dataclass_gene_group(spark, sf_dir):
 @query("dataclass_ortholog")
 def q_dataclass_ortholog(spark, sf_dir):
     return dc.ortholog(cat(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# T14, T26-T30
+# --------------------------------------------------------------------------
+
+@query("gene_allele")
+def q_gene_allele(spark, sf_dir):
+    from .plans import relationships as r
+    return r.gene_allele(cat(spark, sf_dir))
+
+
+@query("gene_disease")
+def q_gene_disease(spark, sf_dir):
+    from .plans import relationships as r
+    return r.gene_disease(cat(spark, sf_dir))
+
+
+@query("gene_enzyme")
+def q_gene_enzyme(spark, sf_dir):
+    from .plans import relationships as r
+    return r.gene_enzyme(cat(spark, sf_dir))
+
+
+@query("gene_go_molecular_function")
+def q_gene_go_mf(spark, sf_dir):
+    from .plans import relationships as r
+    return r.gene_go_molecular_function(cat(spark, sf_dir))
+
+
+@query("gene_group_member")
+def q_gene_group_member(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from .plans import relationships as r
+    df = r.gene_group_member(cat(spark, sf_dir))
+    pubs = F.transform("gene_group_pubs", lambda p: F.concat_ws("|", p["id"], F.coalesce(p["name"], F.lit(""))))
+    return df.select("gene_id", "gene_group_id", "subgroup_id", "group_member_label",
+                     F.size("gene_group_pubs").alias("n_pubs"), F.array_join(pubs, ",").alias("pubs"))
+
+
+@query("gene_human_ortholog")
+def q_gene_human_ortholog(spark, sf_dir):
+    from .plans import relationships as r
+    return r.gene_human_ortholog(cat(spark, sf_dir))

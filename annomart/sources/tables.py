@@ -2,16 +2,17 @@
 
 ``Catalog(spark, sf_dir)`` hands out DataFrames by table name.  Base tables
 are parquet scans; annotation tables are the adapter views of
-:mod:`annomart.sources.adapter`, built on first use and memoised per catalog.
-Nothing is computed here: every view is a lazy plan, so Catalyst sees the
-whole query (views inlined) and prunes columns / pushes filters into the
-parquet scans.
+:mod:`annomart.sources.adapter`, staged once as parquet tables (see
+``Catalog``) and memoised per catalog, so every query plans against small
+physical tables with filters and column pruning pushed into the scans.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from . import adapter
@@ -46,23 +47,59 @@ def _spark_text(text: str) -> str:
     return re.sub("\x00(\\d+)\x00", lambda m: "{" + marks[int(m.group(1))] + "}", t)
 
 
-class Catalog:
-    """Lazy name -> DataFrame lookup over base tables and adapter views."""
+def _views_key(sf_dir: str) -> str:
+    h = hashlib.sha1(sf_dir.encode())
+    for name in sorted(adapter.VIEWS):
+        h.update(name.encode())
+        h.update(adapter.VIEWS[name].encode())
+    return h.hexdigest()[:16]
+
 
-    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame] | None = None):
+class Catalog:
+    """Lazy name -> DataFrame lookup over base tables and adapter views.
+
+    With ``materialize=True`` (default) every adapter view is written once as
+    parquet under ``<checkpoint dir>/annomart-views/<key>/`` and read back, so
+    queries see it as a physical table: small plans, filters pushed into the
+    scan, and lineage cut at the table (a lost executor recomputes from the
+    staged files, not from the whole derivation).  The key hashes the source
+    directory and the view definitions, so a changed definition is rebuilt.
+    ``materialize=False`` keeps the views as inline plans (tests with
+    fixtures, plan inspection).
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame] | None = None,
+                 materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize and not tables
         self._cache: dict[str, DataFrame] = dict(tables or {})
+        self._root = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
 
+    def _stage_root(self) -> str:
+        if self._root is None:
+            from ..session import ensure_checkpoint_dir
+            self._root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/annomart-views/{_views_key(self.sf_dir)}"
+        return self._root
+
+    def _build(self, name: str) -> DataFrame:
+        deps = {d: self.table(d) for d in view_deps(name)}
+        return self.spark.sql(_spark_text(adapter.VIEWS[name]), **deps)
+
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
         if name in adapter.VIEWS:
-            deps = {d: self.table(d) for d in view_deps(name)}
-            df = self.spark.sql(_spark_text(adapter.VIEWS[name]), **deps)
+            if self.materialize:
+                path = f"{self._stage_root()}/{name}.parquet"
+                if not _exists(self.spark, path + "/_SUCCESS"):
+                    self._build(name).write.mode("overwrite").parquet(path)
+                df = self.spark.read.parquet(path)
+            else:
+                df = self._build(name)
         elif name in adapter.BASE_TABLES:
             df = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
         else:
@@ -76,6 +113,16 @@ class Catalog:
         return self
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a staged table was completely written (its ``_SUCCESS`` marker
+    exists), through the session's file system (local or cluster)."""
+    try:
+        spark.read.text(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def oracle_with(query: str) -> str:
     """Prefix ``query`` (DuckDB SQL over view names) with the adapter views it
     needs, as CTEs in dependency order."""
