@@ -227,3 +227,83 @@ def q_gene_group_member(spark, sf_dir):
 def q_gene_human_ortholog(spark, sf_dir):
     from .plans import relationships as r
     return r.gene_human_ortholog(cat(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# interval joins and reports
+# --------------------------------------------------------------------------
+
+@query("gene_insertion_overlaps")
+def q_gene_insertion_overlaps(spark, sf_dir):
+    """Every (live gene, insertion) pair whose locations overlap."""
+    from pyspark.sql import functions as F
+    from .functions import exprs as X
+    from .operators.overlap import feature_overlaps
+    c = cat(spark, sf_dir)
+    genes = c["feature"].filter(X.live("FBgn")).select("feature_id", F.col("uniquename").alias("gene_id"))
+    ov = feature_overlaps(c["featureloc"], genes, bin_size=10_000)
+    ti = c["feature"].filter(X.data_class("uniquename") == "FBti").select(
+        F.col("feature_id").alias("other_id"), F.col("uniquename").alias("fbti_id"))
+    return ov.join(genes, "feature_id").join(ti, "other_id").select("gene_id", "fbti_id")
+
+
+@query("overlapping_transcripts")
+def q_overlapping_transcripts(spark, sf_dir):
+    from .plans import reports as rp
+    c = cat(spark, sf_dir)
+    return rp.overlapping_transcripts(c, rp.parse_locations(c["location_lines"]), bin_size=10_000)
+
+
+@query("class_counts")
+def q_class_counts(spark, sf_dir):
+    from .plans import reports as rp
+    return rp.data_class_counts({"release_a": cat(spark, sf_dir)})
+
+
+@query("gene_summary_stats")
+def q_gene_summary_stats(spark, sf_dir):
+    from .plans import reports as rp
+    return rp.gene_summary_stats(cat(spark, sf_dir))
+
+
+@query("gene_summary_selected")
+def q_gene_summary_selected(spark, sf_dir):
+    from .plans import reports as rp
+    c = cat(spark, sf_dir)
+    with_summary = rp.genes_with_summaries(rp.parse_summary_lines(c["summary_lines"]))
+    return rp.merge_summary_stats(rp.gene_summary_stats(c), with_summary)
+
+
+@query("known_id_hits")
+def q_known_id_hits(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from .functions import exprs as X
+    from .plans import reports as rp
+    c = cat(spark, sf_dir)
+    known = c["feature"].filter(X.data_class("uniquename") == "FBsf").select(F.col("uniquename").alias("id"))
+    return rp.known_id_hits(rp.parse_hit_lines(c["hit_lines"]), known)
+
+
+@query("go_counts")
+def q_go_counts(spark, sf_dir):
+    from .plans import reports as rp
+    return rp.go_counts(cat(spark, sf_dir))
+
+
+@query("few_go_aspects")
+def q_few_go_aspects(spark, sf_dir):
+    from .plans import reports as rp
+    return rp.few_go_aspects(rp.go_counts(cat(spark, sf_dir)))
+
+
+@query("ortholog_species_counts")
+def q_ortholog_species_counts(spark, sf_dir):
+    from .plans import reports as rp
+    return rp.ortholog_species_counts(cat(spark, sf_dir))
+
+
+@query("conserved_darkened")
+def q_conserved_darkened(spark, sf_dir):
+    from .plans import reports as rp
+    c = cat(spark, sf_dir)
+    return rp.conserved_darkened(rp.go_counts(c), rp.ortholog_species_counts(c))

@@ -421,7 +421,7 @@ UNION ALL
 SELECT {_LI} * 32 + 10, o_custkey * 32 + 5, l_partkey * 32 + 1, cast(25 as bigint), cast(l_linenumber as bigint),
        {_diopt_case('l_orderkey')}
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
-WHERE o_custkey % 5 = 0 AND l_linenumber <= 2
+WHERE o_custkey % 5 = 0
 UNION ALL
 SELECT {_LI} * 32 + 11, o_custkey * 32 + 4, l_suppkey * 32 + 3, cast(26 as bigint), cast(0 as bigint),
        cast(NULL as string)
@@ -454,9 +454,9 @@ FROM {{orders}} WHERE o_orderstatus = 'P'
 
 VIEWS["feature_relationshipprop"] = f"""
 SELECT {_LI} * 32 + 10 AS feature_relationship_id,
-       CASE WHEN l_linenumber = 1 THEN 'DIOPT' ELSE 'Compara' END AS value
+       CASE WHEN l_linenumber < 7 THEN 'DIOPT' ELSE 'Compara' END AS value
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
-WHERE o_custkey % 5 = 0 AND l_linenumber <= 2
+WHERE o_custkey % 5 = 0
 """
 
 # Locations: genes and transcripts on scaffold p % 25, insertions on the
