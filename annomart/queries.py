@@ -307,3 +307,82 @@ def q_conserved_darkened(spark, sf_dir):
     from .plans import reports as rp
     c = cat(spark, sf_dir)
     return rp.conserved_darkened(rp.go_counts(c), rp.ortholog_species_counts(c))
+
+
+# --------------------------------------------------------------------------
+# T1-T13 (generation-1 gene marts)
+# --------------------------------------------------------------------------
+
+def _gen1(spark, sf_dir):
+    from .plans import gene_marts as gm
+    c = cat(spark, sf_dir)
+    return c, gm, gm.allele(c, counters=False)
+
+
+@query("gene_alleles_v1")
+def q_gene_alleles_v1(spark, sf_dir):
+    from .plans import gene_marts as gm
+    return gm.allele(cat(spark, sf_dir))
+
+
+@query("allele_transgenic_product_class")
+def q_allele_tpc(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    return gm.transgenic_product_class(c, al)
+
+
+@query("split_system_combinations")
+def q_ssc(spark, sf_dir):
+    from .plans import gene_marts as gm
+    return gm.split_system_combination(cat(spark, sf_dir))
+
+
+@query("split_system_combination_alleles")
+def q_ssc_alleles(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    return gm.split_system_combination_component_allele(c, gm.split_system_combination(c), al)
+
+
+@query("allele_classes")
+def q_allele_classes(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    return gm.allele_class(c, al)
+
+
+@query("allele_stocks")
+def q_allele_stocks(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    return gm.allele_stock(c, al)
+
+
+@query("allele_mutagens")
+def q_allele_mutagens(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    return gm.allele_mutagen(c, al)
+
+
+@query("insertions")
+def q_insertions(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    return gm.insertion(c, al, bin_size=10_000)
+
+
+@query("constructs")
+def q_constructs(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    ins = gm.insertion(c, al, bin_size=10_000)
+    return gm.construct(c, ins, al)
+
+
+@query("tools")
+def q_tools(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    cons = gm.construct(c, gm.insertion(c, al, bin_size=10_000), al)
+    return gm.tool(c, cons, al)
+
+
+@query("tool_uses")
+def q_tool_uses(spark, sf_dir):
+    c, gm, al = _gen1(spark, sf_dir)
+    cons = gm.construct(c, gm.insertion(c, al, bin_size=10_000), al)
+    return gm.tool_use(c, al, cons, gm.tool(c, cons, al))
