@@ -426,7 +426,7 @@ UNION ALL
 SELECT {_LI} * 32 + 11, o_custkey * 32 + 4, l_suppkey * 32 + 3, cast(26 as bigint), cast(0 as bigint),
        cast(NULL as string)
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
-WHERE l_linenumber = 2
+WHERE l_linenumber = 2 AND o_orderkey % 5 = 0
 UNION ALL
 SELECT o_orderkey * 32 + 12, o_orderkey * 32 + 2, o_custkey * 32 + 4, cast(22 as bigint), cast(0 as bigint),
        cast(NULL as string)
@@ -434,9 +434,9 @@ FROM {{orders}} WHERE o_orderkey % 3 = 0
 UNION ALL
 SELECT {_LI} * 32 + 13, l_suppkey * 32 + 3,
        CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey * 32 + 7 ELSE l_partkey * 32 + 1 END,
-       cast(CASE l_linenumber % 3 WHEN 0 THEN 29 WHEN 1 THEN 30 ELSE 21 END as bigint), cast(0 as bigint),
+       cast(CASE l_orderkey % 3 WHEN 0 THEN 29 WHEN 1 THEN 30 ELSE 21 END as bigint), cast(0 as bigint),
        cast(NULL as string)
-FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_linenumber IN (3, 4, 5)
+FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_linenumber = 3 AND l_orderkey % 20 < 3
 UNION ALL
 SELECT {_LI} * 32 + 14, l_orderkey * 32 + 2,
        CASE WHEN l_partkey % 7 = 0 THEN l_partkey * 32 + 8 ELSE l_partkey * 32 + 1 END,
