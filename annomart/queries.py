@@ -386,3 +386,48 @@ def q_tool_uses(spark, sf_dir):
     c, gm, al = _gen1(spark, sf_dir)
     cons = gm.construct(c, gm.insertion(c, al, bin_size=10_000), al)
     return gm.tool_use(c, al, cons, gm.tool(c, cons, al))
+
+
+# --------------------------------------------------------------------------
+# T16-T19 (pathway marts)
+# --------------------------------------------------------------------------
+
+def flat(df):
+    """Arrays of structs -> 'f1|f2,...' text; arrays of scalars -> 'a,b'."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.ArrayType):
+            et = f.dataType.elementType
+            if isinstance(et, T.StructType):
+                names = [x.name for x in et.fields]
+                c = F.array_join(F.transform(c, lambda s: F.concat_ws(
+                    "|", *[F.coalesce(s[n].cast("string"), F.lit("")) for n in names])), ",")
+            else:
+                c = F.array_join(c.cast("array<string>"), ",")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+@query("pathway_members")
+def q_pathway_members(spark, sf_dir):
+    from .plans import groups
+    return flat(groups.pathway_member(cat(spark, sf_dir)))
+
+
+@query("gene_group_membership")
+def q_gene_group_membership(spark, sf_dir):
+    from .plans import gene_marts as gm, groups
+    c = cat(spark, sf_dir)
+    al = gm.allele(c, counters=False)
+    return flat(groups.gene_group_membership(c, groups.pathway_member(c, al)))
+
+
+@query("pathway_disease")
+def q_pathway_disease(spark, sf_dir):
+    from .plans import gene_marts as gm, groups
+    c = cat(spark, sf_dir)
+    al = gm.allele(c, counters=False)
+    return groups.pathway_disease(c, groups.pathway_member(c, al), al)
