@@ -431,3 +431,44 @@ def q_pathway_disease(spark, sf_dir):
     c = cat(spark, sf_dir)
     al = gm.allele(c, counters=False)
     return groups.pathway_disease(c, groups.pathway_member(c, al), al)
+
+
+# --------------------------------------------------------------------------
+# R5-R8 enzyme enrichment
+# --------------------------------------------------------------------------
+
+def _ec_inputs(spark, sf_dir):
+    from .plans import enzyme as ez
+    c = cat(spark, sf_dir)
+    recs = ez.parse_enzyme_records(c["enzyme_records"])
+    classes = ez.parse_enzyme_classes(c["enzyme_class_lines"], order_col="line_no")
+    return c, ez, ez.ec_numbers(c), recs, classes
+
+
+@query("ec_numbers")
+def q_ec_numbers(spark, sf_dir):
+    from .plans import enzyme as ez
+    return ez.ec_numbers(cat(spark, sf_dir))
+
+
+@query("ec_extended")
+def q_ec_extended(spark, sf_dir):
+    c, ez, ecs, recs, classes = _ec_inputs(spark, sf_dir)
+    return ez.extend_ec(ecs, recs, classes)
+
+
+@query("ec_misses")
+def q_ec_misses(spark, sf_dir):
+    c, ez, ecs, recs, classes = _ec_inputs(spark, sf_dir)
+    return ez.ec_misses(ecs, recs, classes).select("ec", "dbxref_id")
+
+
+@query("ec_dbxrefprops")
+def q_ec_dbxrefprops(spark, sf_dir):
+    from pyspark.sql import functions as F
+    c, ez, ecs, recs, classes = _ec_inputs(spark, sf_dir)
+    types = ez.ensure_terms(c, list(ez.EC_PROPTYPES.values()), cv_name="property type")
+    table = ez.replace_props(c, ez.extend_ec(ecs, recs, classes), types)
+    names = c["cvterm"].select(F.col("cvterm_id").alias("type_id"), F.col("name").alias("type")).unionByName(
+        types.select(F.col("cvterm_id").alias("type_id"), F.col("name").alias("type"))).distinct()
+    return table.join(names, "type_id").select("dbxref_id", "type", "value", "rank")

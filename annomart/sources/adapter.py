@@ -251,6 +251,9 @@ SELECT e,
        CASE WHEN e % 50 = 0
             THEN cast(e % 6 + 1 as string) || '.' || cast(e % 5 + 1 as string) || '.'
                  || cast(cast(floor(e / 50) as bigint) + 1 as string) || '.-'
+            WHEN e % 50 = 25
+            THEN cast(e % 6 + 1 as string) || '.' || cast(e % 5 + 1 as string) || '.'
+                 || cast(cast(floor(e / 50) as bigint) + 1 as string)
             ELSE cast(e % 6 + 1 as string) || '.' || cast(e % 5 + 1 as string) || '.'
                  || cast(e % 3 + 1 as string) || '.' || cast(e + 1 as string)
        END AS accession
@@ -314,6 +317,10 @@ VIEWS["cvterm_dbxref"] = """
 SELECT cvterm_id, (((k * 7) % 500) * 32 + 7) AS dbxref_id
 FROM {ontology_terms}
 WHERE k % 5 = 1 AND ((k * 7) % 500) IN (SELECT e FROM {ec_numbers_src})
+UNION ALL
+SELECT cvterm_id, (((k * 25) % 500) * 32 + 7) AS dbxref_id
+FROM {ontology_terms}
+WHERE k % 5 = 1 AND ((k * 25) % 500) IN (SELECT e FROM {ec_numbers_src})
 """
 
 # Features.  Gene rows come from part, alleles from orders, constructs from
@@ -962,3 +969,39 @@ SELECT 'FB:' || {fbid('FBgn', 'p_partkey')} || chr(9) || replace(p_name, ' ', '-
                ELSE 'Summary of ' || p_name END
 FROM {{part}} WHERE p_partkey % 3 <> 2
 """
+
+
+# Enzyme records, one record per row (what ``lineSep='//\n'`` gives on
+# the flat file).  Some are transferred or deleted, some missing, some have
+# multi-line DE / CA fields.
+VIEWS["enzyme_records"] = """
+SELECT 'ID   ' || accession || chr(10)
+       || 'DE   ' || CASE WHEN e % 13 = 0 THEN 'Transferred entry: 1.1.1.' || cast(e as string) || '.'
+                          WHEN e % 17 = 0 THEN 'Deleted entry.'
+                          ELSE 'Enzyme number ' || cast(e as string) || '.' END || chr(10)
+       || CASE WHEN e % 3 = 0 THEN 'DE   Second name of ' || cast(e as string) || '.' || chr(10) ELSE '' END
+       || 'CA   Substrate ' || cast(e as string) || ' + H(2)O =' || chr(10)
+       || 'CA   product 2.7.1.' || cast(e % 9 as string) || '.' || chr(10)
+       || CASE WHEN e % 4 = 0 THEN 'CA   (2) ATP + water = ADP.  Second reaction.' || chr(10) ELSE '' END
+       || 'CC   -!- Comment line ' || cast(e as string) || '.' || chr(10)
+       || 'DR   P00001, X_HUMAN;' || chr(10) AS value
+FROM {ec_numbers_src} WHERE e % 50 NOT IN (0, 25) AND e % 19 <> 7
+"""
+
+# Enzyme class lines (``1. 1. 1.-    Name``) with a line number; a class
+# id may repeat (the last line wins); header lines do not match.
+VIEWS["enzyme_class_lines"] = """
+SELECT cast(0 as bigint) AS line_no, 'ENZYME nomenclature database' AS value
+UNION ALL
+SELECT e * 4 + 1, replace(replace(CASE WHEN e % 50 = 0 THEN accession ELSE accession || '.-' END, '.', '. '), '. -', '.-')
+       || '    Class name ' || cast(e as string)
+FROM {ec_numbers_src} WHERE e % 50 IN (0, 25)
+UNION ALL
+SELECT e * 4 + 2, replace(replace(CASE WHEN e % 50 = 0 THEN accession ELSE accession || '.-' END, '.', '. '), '. -', '.-')
+       || '  Renamed class ' || cast(e as string)
+FROM {ec_numbers_src} WHERE e % 100 = 0
+UNION ALL
+SELECT e * 4 + 3, cast(e % 6 + 1 as string) || '. ' || cast(e % 5 + 1 as string) || '. '
+       || cast(e % 3 + 1 as string) || '. ' || cast(e + 1 as string) || '.-  Leaf class ' || cast(e as string)
+FROM {ec_numbers_src} WHERE e % 19 = 7 AND e % 2 = 1
+"""
