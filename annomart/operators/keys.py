@@ -33,17 +33,23 @@ def surrogate_key(*cols: Column | str) -> Column:
     return F.xxhash64(*cols)
 
 
-def check_unique(df: DataFrame, keys: list[str], table: str) -> DataFrame:
+def check_unique(df: DataFrame, keys: list[str], table: str, primary: bool = True) -> DataFrame:
     """T31 primary key / unique check: one row per violating key.
 
     Output ``(table, key, n_violations)``: ``key`` is the key rendered as
-    text; NULL key parts count as violations too (a primary key forbids
-    them).  Partial aggregation before the shuffle keeps hot keys cheap.
+    text.  For a primary key (``primary=True``) NULL key parts are
+    violations too; for a UNIQUE constraint rows with a NULL part are exempt
+    (SQL semantics).  Partial aggregation before the shuffle keeps hot keys
+    cheap.
     """
     key_txt = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("<null>")) for k in keys])
-    has_null = F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull().cast("int")
-    g = (df.select(key_txt.alias("key"), has_null.alias("_null"))
-         .groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("_null").alias("_null")))
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    rows = df.select(key_txt.alias("key"), any_null.cast("int").alias("_null"))
+    if not primary:
+        rows = rows.filter(F.col("_null") == 0)
+    g = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("_null").alias("_null"))
     return (g.filter((F.col("n") > 1) | (F.col("_null") == 1))
              .select(F.lit(table).alias("table"), "key", F.col("n").alias("n_violations")))
 

@@ -472,3 +472,9 @@ def q_ec_dbxrefprops(spark, sf_dir):
     names = c["cvterm"].select(F.col("cvterm_id").alias("type_id"), F.col("name").alias("type")).unionByName(
         types.select(F.col("cvterm_id").alias("type_id"), F.col("name").alias("type"))).distinct()
     return table.join(names, "type_id").select("dbxref_id", "type", "value", "rank")
+
+
+@query("key_checks")
+def q_key_checks(spark, sf_dir):
+    from .plans import relationships as r
+    return r.key_checks(cat(spark, sf_dir))
