@@ -478,3 +478,20 @@ def q_ec_dbxrefprops(spark, sf_dir):
 def q_key_checks(spark, sf_dir):
     from .plans import relationships as r
     return r.key_checks(cat(spark, sf_dir))
+
+
+@query("allele_disease_variants")
+def q_allele_disease_variants(spark, sf_dir):
+    from .plans import disease
+    return flat(disease.allele_disease_variant(cat(spark, sf_dir)))
+
+
+@query("disease_variants_by_gene")
+def q_disease_variants_by_gene(spark, sf_dir):
+    """U15 over every live gene id."""
+    from pyspark.sql import functions as F
+    from .functions import exprs as X
+    from .plans import disease
+    c = cat(spark, sf_dir)
+    genes = c["feature"].filter(X.live("FBgn")).select(F.col("uniquename").alias("fbgn_id"))
+    return flat(disease.disease_variants_by_gene(disease.allele_disease_variant(c), genes))

@@ -75,6 +75,7 @@ DB_ROWS = [
     (10, "InteractiveFly", "https://www.sdbonline.org/sites/fly/"),
     (11, "cst", "https://www.cellsignal.com/"),
     (12, "internal", None),
+    (13, "ClinVar", "https://www.ncbi.nlm.nih.gov/clinvar/variation/"),
 ]
 
 # fixed values: type terms (cvterm_id, cv_id, name, is_obsolete)
@@ -94,6 +95,7 @@ TYPE_TERMS = [
     (12, 5, "polypeptide", 0),
     (13, 5, "pseudogene", 0),
     (14, 5, "ortholog", 0),
+    (15, 5, "disease implicated variant", 0),
     # relationship types
     (20, 6, "alleleof", 0),
     (21, 6, "has_reg_region", 0),
@@ -134,6 +136,9 @@ TYPE_TERMS = [
     (64, 7, "hh_ortholog_comment", 0),
     (65, 7, "ec_name", 0),
     (66, 7, "ec_reaction", 0),
+    (67, 7, "comment", 0),
+    (68, 7, "div_comment", 0),
+    (69, 7, "disease_associated", 0),
     # synonym types
     (70, 9, "symbol", 0),
     (71, 9, "fullname", 0),
@@ -291,6 +296,9 @@ SELECT c_custkey * 32 + 6, cast(5 as bigint), 'HGNC:' || cast(c_custkey as strin
 FROM {{customer}} WHERE c_custkey % 5 = 0
 UNION ALL
 SELECT e * 32 + 7, cast(4 as bigint), accession, cast(NULL as string) FROM {{ec_numbers_src}}
+UNION ALL
+SELECT o_orderkey * 32 + 9, cast(13 as bigint), cast(o_orderkey * 3 as string), 'variant ' || cast(o_orderkey as string)
+FROM {{orders}} WHERE o_orderkey % 10 = 7
 """
 
 VIEWS["dbxrefprop"] = """
@@ -381,6 +389,11 @@ UNION ALL
 SELECT cast(n_nationkey as bigint) * 32 + 11, 'scaffold_' || cast(n_nationkey as string), n_name, cast(8 as bigint),
        cast(202 as bigint), false, false
 FROM {{nation}}
+UNION ALL
+SELECT o_orderkey * 32 + 12, {fbid('FBva', 'o_orderkey')}, 'div' || cast(o_orderkey as string),
+       cast(CASE WHEN o_orderkey % 30 = 27 THEN 2 ELSE 15 END as bigint), cast(202 as bigint), false,
+       o_orderkey % 23 = 7
+FROM {{orders}} WHERE o_orderkey % 10 = 7
 """
 
 # Typed edges subject -> object.  ids: (source row id) * 32 + edge code.
@@ -457,6 +470,14 @@ UNION ALL
 SELECT o_orderkey * 32 + 16, o_orderkey * 32 + 9, (o_orderkey + 1) * 32 + 2, cast(27 as bigint), cast(1 as bigint),
        cast(NULL as string)
 FROM {{orders}} WHERE o_orderstatus = 'P'
+UNION ALL
+SELECT o_orderkey * 32 + 17, o_orderkey * 32 + 2, o_orderkey * 32 + 12, cast(28 as bigint), cast(0 as bigint),
+       cast(NULL as string)
+FROM {{orders}} WHERE o_orderkey % 10 = 7
+UNION ALL
+SELECT o_orderkey * 32 + 18, (o_orderkey + 1) * 32 + 2, o_orderkey * 32 + 12, cast(28 as bigint), cast(0 as bigint),
+       cast(NULL as string)
+FROM {{orders}} WHERE o_orderkey % 20 = 7
 """
 
 VIEWS["feature_relationshipprop"] = f"""
@@ -545,6 +566,14 @@ FROM {supplier} WHERE s_suppkey % 4 = 0
 UNION ALL
 SELECT s_suppkey * 32 + 19, 'TC' || cast(s_suppkey as string), 'TC' || cast(s_suppkey as string), cast(70 as bigint)
 FROM {supplier} WHERE s_suppkey % 5 = 0
+UNION ALL
+SELECT o_orderkey * 32 + 20, 'v.' || cast(o_orderkey as string) || 'A>G', 'v.' || cast(o_orderkey as string) || 'A&gt;G',
+       cast(70 as bigint)
+FROM {orders} WHERE o_orderkey % 10 = 7
+UNION ALL
+SELECT o_orderkey * 32 + 21, 'old variant ' || cast(o_orderkey as string), 'old variant ' || cast(o_orderkey as string),
+       cast(71 as bigint)
+FROM {orders} WHERE o_orderkey % 10 = 7
 """
 
 VIEWS["feature_synonym"] = """
@@ -573,6 +602,12 @@ UNION ALL
 SELECT p_partkey * 32 + 6, p_partkey * 32 + 11, p_partkey % 9 <> 4, false FROM {part}
 UNION ALL
 SELECT o_orderkey * 32 + 9, o_orderkey * 32 + 14, true, false FROM {orders} WHERE o_orderstatus = 'P'
+UNION ALL
+SELECT o_orderkey * 32 + 12, o_orderkey * 32 + 20, true, false FROM {orders} WHERE o_orderkey % 10 = 7
+UNION ALL
+SELECT o_orderkey * 32 + 12, o_orderkey * 32 + 21, false, o_orderkey % 40 = 37 FROM {orders} WHERE o_orderkey % 10 = 7
+UNION ALL
+SELECT o_orderkey * 32 + 12, o_orderkey * 32 + 5, false, false FROM {orders} WHERE o_orderkey % 20 = 7
 """
 
 VIEWS["featureprop"] = f"""
@@ -650,12 +685,31 @@ SELECT o_orderkey * 32 + 17, o_orderkey * 32 + 9, cast(44 as bigint),
        cast(o_orderkey as string) || chr(9) || '@' || {fbid('FBst', 'o_orderkey * 5')} || ':co' || cast(o_orderkey as string) || '@',
        cast(0 as bigint)
 FROM {{orders}} WHERE o_orderstatus = 'P' AND o_orderkey % 3 = 1
+UNION ALL
+SELECT o_orderkey * 32 + 18, {ALLELE}, cast(67 as bigint), 'Comment on allele ' || cast(o_orderkey as string),
+       cast(0 as bigint)
+FROM {{orders}} WHERE o_orderkey % 10 IN (7, 8)
+UNION ALL
+SELECT o_orderkey * 32 + 19, {ALLELE}, cast(68 as bigint), 'Variant comment ' || cast(o_orderkey as string),
+       cast(0 as bigint)
+FROM {{orders}} WHERE o_orderkey % 20 = 7
+UNION ALL
+SELECT o_orderkey * 32 + 20, {ALLELE}, cast(69 as bigint), 'yes', cast(0 as bigint)
+FROM {{orders}} WHERE o_orderkey % 10 IN (7, 8)
 """
 
 VIEWS["featureprop_pub"] = """
 SELECT o_orderkey * 32 + 13 AS featureprop_id, doc_id * 2 + 1 AS pub_id
 FROM {orders} JOIN {documents} ON o_orderkey = doc_id
 WHERE o_orderkey % 6 = 0
+UNION ALL
+SELECT o_orderkey * 32 + 20, doc_id * 2 + 1
+FROM {orders} JOIN {documents} ON cast(floor(o_orderkey / 15) as bigint) = doc_id
+WHERE o_orderkey % 10 IN (7, 8)
+UNION ALL
+SELECT o_orderkey * 32 + 20, doc_id * 2 + 1
+FROM {orders} JOIN {documents} ON cast(floor(o_orderkey / 15) as bigint) + 1 = doc_id
+WHERE o_orderkey % 20 = 7
 """
 
 VIEWS["pub"] = f"""
@@ -759,6 +813,10 @@ UNION ALL
 SELECT p_partkey * 32 + 1, p_partkey * 32 + 5, true FROM {part} WHERE p_partkey % 5 = 0
 UNION ALL
 SELECT c_custkey * 32 + 5, c_custkey * 32 + 6, c_custkey % 25 <> 15 FROM {customer} WHERE c_custkey % 5 = 0
+UNION ALL
+SELECT o_orderkey * 32 + 12, o_orderkey * 32 + 9, o_orderkey % 40 <> 27 FROM {orders} WHERE o_orderkey % 10 = 7
+UNION ALL
+SELECT o_orderkey * 32 + 12, cast(floor(o_orderkey / 2) as bigint) * 32 + 2, true FROM {orders} WHERE o_orderkey % 20 = 17
 """
 
 # Gene groups from supplier.
@@ -1005,3 +1063,10 @@ SELECT e * 4 + 3, cast(e % 6 + 1 as string) || '. ' || cast(e % 5 + 1 as string)
        || cast(e % 3 + 1 as string) || '. ' || cast(e + 1 as string) || '.-  Leaf class ' || cast(e as string)
 FROM {ec_numbers_src} WHERE e % 19 = 7 AND e % 2 = 1
 """
+
+VIEWS["humanhealth_feature"] = """
+SELECT cast(o_orderkey % 25 as bigint) AS humanhealth_id, o_orderkey * 32 + 12 AS feature_id
+FROM {orders} WHERE o_orderkey % 10 = 7
+UNION ALL
+SELECT cast((o_orderkey + 3) % 25 as bigint), o_orderkey * 32 + 12 FROM {orders} WHERE o_orderkey % 20 = 17
+"""
