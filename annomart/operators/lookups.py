@@ -55,9 +55,11 @@ def current_synonyms(cat, synonym_type: str, entity=FEATURE_ENTITY, objects: Dat
     syn = (cat["synonym"].join(dims.type_ids(cat, synonym_type), F.col("type_id") == F.col("cvterm_id"))
            .select("synonym_id", "name", "synonym_sgml"))
     rows = obj.join(lnk, "object_id").join(syn, "synonym_id")
-    best = rows.groupBy("object_id", "uniquename").agg(
-        F.min_by(F.struct("name", "synonym_sgml"), F.col("synonym_id")).alias("s"))
-    return best.select("object_id", "uniquename", F.col("s.name").alias("name"),
+    # grouped on the object id alone (the uniquename depends on it), so the
+    # result stays partitioned by object id for the joins that follow
+    best = rows.groupBy("object_id").agg(
+        F.min_by(F.struct("uniquename", "name", "synonym_sgml"), F.col("synonym_id")).alias("s"))
+    return best.select("object_id", F.col("s.uniquename").alias("uniquename"), F.col("s.name").alias("name"),
                        F.col("s.synonym_sgml").alias("synonym_sgml"))
 
 

@@ -26,8 +26,17 @@ def query(name: str):
     return deco
 
 
+_CATALOGS: dict = {}
+
+
 def cat(spark: SparkSession, sf_dir: str) -> Catalog:
-    return Catalog(spark, sf_dir)
+    """One catalog per (session, source folder): staged tables are opened
+    once and their DataFrames reused by every query of the session."""
+    key = (id(spark), sf_dir)
+    c = _CATALOGS.get(key)
+    if c is None or c.spark is not spark:
+        c = _CATALOGS[key] = Catalog(spark, sf_dir)
+    return c
 
 
 @query("dataclass_gene")
