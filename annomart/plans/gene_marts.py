@@ -18,6 +18,7 @@ from ..operators import dims
 from ..operators.keys import first_per_key
 from ..operators.lookups import current_synonyms, pub_count, stocks
 from ..operators.overlap import DEFAULT_BIN, feature_overlaps
+from ..session import stage
 
 
 def row_key(*cols: str) -> Column:
@@ -153,7 +154,8 @@ def allele(cat, counters: bool = True) -> DataFrame:
     out = out.withColumn("id", row_key(*ALLELE_KEY))
     if not counters:
         return out
-    return allele_counters(cat, out)
+    # the counters read the allele rows several times: stage them once
+    return allele_counters(cat, stage(out))
 
 
 def allele_counters(cat, alleles: DataFrame) -> DataFrame:
@@ -376,3 +378,19 @@ def tool_use(cat, alleles: DataFrame, constructs: DataFrame, tools: DataFrame) -
     b3 = branch(tools.select(F.col("id").alias("tool_id"), "fbid"), "fbid", "tool_id").select(
         "name", "fbcv_id", none.alias("allele_id"), none.alias("construct_id"), "tool_id")
     return b1.unionByName(b2).unionByName(b3).distinct()
+
+
+def alleles_by_id(alleles: DataFrame, ids: DataFrame, id_col: str = "fbal_id") -> DataFrame:
+    """``alleleof`` rows of the given allele ids (semi join)."""
+    k = ids.select(F.col(id_col).alias("fbal_id")).distinct()
+    return alleles.filter(F.col("is_alleleof")).join(k, "fbal_id", "left_semi")
+
+
+def split_combinations_by_allele(combos: DataFrame, components: DataFrame, alleles: DataFrame,
+                                 ids: DataFrame, id_col: str = "fbal_id") -> DataFrame:
+    """Distinct combinations that contain one of the given alleles
+    (through ``alleleof`` allele rows)."""
+    sel = alleles_by_id(alleles, ids, id_col).select(F.col("id").alias("allele_id"))
+    cid = components.join(sel, "allele_id", "left_semi").select(
+        F.col("split_system_combination_id").alias("id")).distinct()
+    return combos.join(cid, "id", "left_semi")

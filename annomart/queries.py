@@ -323,9 +323,12 @@ def q_conserved_darkened(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def _gen1(spark, sf_dir):
+    """Catalog, mart module and the staged ``gene.allele`` rows (later marts
+    read them several times, as the reference reads its allele table)."""
     from .plans import gene_marts as gm
+    from .session import stage
     c = cat(spark, sf_dir)
-    return c, gm, gm.allele(c, counters=False)
+    return c, gm, stage(gm.allele(c, counters=False))
 
 
 @query("gene_alleles_v1")
@@ -378,23 +381,26 @@ def q_insertions(spark, sf_dir):
 
 @query("constructs")
 def q_constructs(spark, sf_dir):
+    from .session import stage
     c, gm, al = _gen1(spark, sf_dir)
-    ins = gm.insertion(c, al, bin_size=10_000)
+    ins = stage(gm.insertion(c, al, bin_size=10_000))
     return gm.construct(c, ins, al)
 
 
 @query("tools")
 def q_tools(spark, sf_dir):
+    from .session import stage
     c, gm, al = _gen1(spark, sf_dir)
-    cons = gm.construct(c, gm.insertion(c, al, bin_size=10_000), al)
+    cons = stage(gm.construct(c, stage(gm.insertion(c, al, bin_size=10_000)), al))
     return gm.tool(c, cons, al)
 
 
 @query("tool_uses")
 def q_tool_uses(spark, sf_dir):
+    from .session import stage
     c, gm, al = _gen1(spark, sf_dir)
-    cons = gm.construct(c, gm.insertion(c, al, bin_size=10_000), al)
-    return gm.tool_use(c, al, cons, gm.tool(c, cons, al))
+    cons = stage(gm.construct(c, stage(gm.insertion(c, al, bin_size=10_000)), al))
+    return gm.tool_use(c, al, cons, stage(gm.tool(c, cons, al)))
 
 
 # --------------------------------------------------------------------------
@@ -423,23 +429,24 @@ def flat(df):
 @query("pathway_members")
 def q_pathway_members(spark, sf_dir):
     from .plans import groups
-    return flat(groups.pathway_member(cat(spark, sf_dir)))
+    c, gm, al = _gen1(spark, sf_dir)
+    return flat(groups.pathway_member(c, al))
 
 
 @query("gene_group_membership")
 def q_gene_group_membership(spark, sf_dir):
-    from .plans import gene_marts as gm, groups
-    c = cat(spark, sf_dir)
-    al = gm.allele(c, counters=False)
-    return flat(groups.gene_group_membership(c, groups.pathway_member(c, al)))
+    from .plans import groups
+    from .session import stage
+    c, gm, al = _gen1(spark, sf_dir)
+    return flat(groups.gene_group_membership(c, stage(groups.pathway_member(c, al))))
 
 
 @query("pathway_disease")
 def q_pathway_disease(spark, sf_dir):
-    from .plans import gene_marts as gm, groups
-    c = cat(spark, sf_dir)
-    al = gm.allele(c, counters=False)
-    return groups.pathway_disease(c, groups.pathway_member(c, al), al)
+    from .plans import groups
+    from .session import stage
+    c, gm, al = _gen1(spark, sf_dir)
+    return groups.pathway_disease(c, stage(groups.pathway_member(c, al)), al)
 
 
 # --------------------------------------------------------------------------
@@ -504,3 +511,49 @@ def q_disease_variants_by_gene(spark, sf_dir):
     c = cat(spark, sf_dir)
     genes = c["feature"].filter(X.live("FBgn")).select(F.col("uniquename").alias("fbgn_id"))
     return flat(disease.disease_variants_by_gene(disease.allele_disease_variant(c), genes))
+
+
+# --------------------------------------------------------------------------
+# T1, U12-U14
+# --------------------------------------------------------------------------
+
+@query("genes")
+def q_genes(spark, sf_dir):
+    from .plans import gene_marts as gm
+    return gm.gene(cat(spark, sf_dir)).select("feature_id", "uniquename", "name", "type_id", "organism_id")
+
+
+@query("alleles_by_id")
+def q_alleles_by_id(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from .functions import exprs as X
+    c, gm, al = _gen1(spark, sf_dir)
+    ids = c["feature"].filter(X.data_class("uniquename") == "FBal").select(F.col("uniquename").alias("fbal_id"))
+    return gm.alleles_by_id(al, ids)
+
+
+@query("split_combinations_by_allele")
+def q_split_combinations_by_allele(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from .functions import exprs as X
+    c, gm, al = _gen1(spark, sf_dir)
+    combos = gm.split_system_combination(c)
+    comps = gm.split_system_combination_component_allele(c, combos, al)
+    ids = c["feature"].filter(X.data_class("uniquename") == "FBal").select(F.col("uniquename").alias("fbal_id"))
+    return gm.split_combinations_by_allele(combos, comps, al, ids)
+
+
+@query("gene_group_members")
+def q_gene_group_members(spark, sf_dir):
+    """U12 for every pathway with every subgroup named in its labels, and
+    with no subgroup (the unlabelled members)."""
+    from pyspark.sql import functions as F
+    from .plans import groups
+    from .session import stage
+    c, gm, al = _gen1(spark, sf_dir)
+    members = stage(groups.pathway_member(c, al))
+    sub = F.regexp_extract("group_member_label", r"^@(FBgg[0-9]+):", 1)
+    pairs = (members.select("fbgg_id", sub.alias("subgroup"))
+             .unionByName(members.select("fbgg_id", F.lit("").alias("subgroup"))).distinct())
+    out = groups.gene_group_members(members, pairs)
+    return flat(out.select("subgroup", "fbgg_id", "fbgn_id", "symbol", "group_member_label", "id"))

@@ -60,3 +60,15 @@ def flatten(df: DataFrame, sep: str = ",") -> DataFrame:
             c = F.to_json(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate mart and cut its lineage (reliable
+    checkpoint into the session's checkpoint folder, shared on a cluster).
+
+    Used where a mart feeds several later steps - the reference's
+    ``CREATE TABLE`` then ``UPDATE`` pattern - so the mart is computed
+    once, and a lost executor recomputes from the staged files rather than
+    from the whole derivation."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -10,6 +10,7 @@ physical tables with filters and column pruning pushed into the scans.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 
 from pyspark.errors import AnalysisException
@@ -47,6 +48,21 @@ def _spark_text(text: str) -> str:
     return re.sub("\x00(\\d+)\x00", lambda m: "{" + marks[int(m.group(1))] + "}", t)
 
 
+# Production layout: typed tables partitioned by their type column.  Every
+# lookup selects the type by joining a name-filtered, broadcast slice of
+# ``cvterm`` on ``type_id``; with the table partitioned on that column Spark
+# turns the join into dynamic partition pruning, so a hop over one
+# relationship type reads that type's files only.  Off by default for local
+# runs, where the extra small files cost more than the pruning saves
+# (``ANNOMART_PARTITION_TYPED=1`` or ``Catalog(partition_typed=True)``).
+PARTITIONED = {
+    "feature_relationship": "type_id",
+    "featureprop": "type_id",
+    "feature_cvtermprop": "type_id",
+    "dbxrefprop": "type_id",
+}
+
+
 def _views_key(sf_dir: str) -> str:
     h = hashlib.sha1(sf_dir.encode())
     for name in sorted(adapter.VIEWS):
@@ -69,10 +85,14 @@ class Catalog:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame] | None = None,
-                 materialize: bool = True):
+                 materialize: bool = True, partition_typed: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize and not tables
+        if partition_typed is None:
+            partition_typed = os.environ.get("ANNOMART_PARTITION_TYPED", "0") == "1"
+        # type-partitioned staging (the production layout, see PARTITIONED)
+        self.partitioned = PARTITIONED if partition_typed else {}
         self._cache: dict[str, DataFrame] = dict(tables or {})
         self._root = None
 
@@ -82,7 +102,9 @@ class Catalog:
     def _stage_root(self) -> str:
         if self._root is None:
             from ..session import ensure_checkpoint_dir
-            self._root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/annomart-views/{_views_key(self.sf_dir)}"
+            layout = "typed" if self.partitioned else "flat"
+            self._root = (f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/annomart-views/"
+                          f"{_views_key(self.sf_dir)}-{layout}")
         return self._root
 
     def _build(self, name: str) -> DataFrame:
@@ -96,8 +118,14 @@ class Catalog:
             if self.materialize:
                 path = f"{self._stage_root()}/{name}.parquet"
                 if not _exists(self.spark, path + "/_SUCCESS"):
-                    self._build(name).write.mode("overwrite").parquet(path)
+                    w = self._build(name).write.mode("overwrite")
+                    if name in self.partitioned:
+                        w = w.partitionBy(self.partitioned[name])
+                    w.parquet(path)
                 df = self.spark.read.parquet(path)
+                if name in self.partitioned:
+                    # keep the view's column order (partition columns are read last)
+                    df = df.select(*self._build(name).columns)
             else:
                 df = self._build(name)
         elif name in adapter.BASE_TABLES:
