@@ -55,6 +55,12 @@ def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list
     return out
 
 
+def symbols_by_name(cat) -> DataFrame:
+    """``current_symbol(uniquename)`` for every name: ``(uniquename, symbol)``."""
+    return current_synonyms(cat, "symbol").groupBy("uniquename").agg(
+        F.min_by("synonym_sgml", "object_id").alias("symbol"))
+
+
 def _by_name(cat, df: DataFrame, name_col: str) -> DataFrame:
     """Features whose uniquename equals ``df[name_col]`` (any liveness)."""
     f = cat["feature"].select(F.col("feature_id").alias("_nid"), F.col("uniquename").alias(name_col))
@@ -117,28 +123,27 @@ def allele(cat, counters: bool = True) -> DataFrame:
     """
     g = gene(cat).select(F.col("feature_id").alias("gene_id"))
 
-    b1 = hop(cat, g, "gene_id", ["alleleof"], ["FBal"], with_symbol=True)
-    b1 = b1.select(F.col("far").alias("fbal_id"), F.col("far_symbol").alias("symbol"), "gene_id")
+    b1 = hop(cat, g, "gene_id", ["alleleof"], ["FBal"])
+    b1 = b1.select(F.col("far").alias("fbal_id"), "gene_id")
     b1 = _flag_by_name(b1, _construct_flag_names(cat), "fbal_id", "is_construct")
     not_prop = _prop_names(cat, "propagate_transgenic_uses", "n")
     b1 = _flag_by_name(b1, not_prop, "fbal_id", "_np")
-    b1 = b1.select("fbal_id", "symbol", "gene_id", F.lit(True).alias("is_alleleof"), "is_construct",
+    b1 = b1.select("fbal_id", "gene_id", F.lit(True).alias("is_alleleof"), "is_construct",
                    (~F.col("_np")).alias("propagate_transgenic_uses"),
                    F.lit(False).alias("gene_is_regulatory_region"))
 
     def constructish(df):
-        return df.select(F.col("far").alias("fbal_id"), F.col("far_symbol").alias("symbol"), "gene_id",
+        return df.select(F.col("far").alias("fbal_id"), "gene_id",
                          F.lit(False).alias("is_alleleof"), F.lit(True).alias("is_construct"),
                          F.lit(True).alias("propagate_transgenic_uses"),
                          F.lit(True).alias("gene_is_regulatory_region"))
 
-    b2 = constructish(hop(cat, g, "gene_id", ["has_reg_region"], ["FBal"], with_symbol=True))
+    b2 = constructish(hop(cat, g, "gene_id", ["has_reg_region"], ["FBal"]))
 
     tr = hop(cat, g, "gene_id", ["attributed_as_expression_of"], ["FBtr", "FBpp"]).select(
         "gene_id", F.col("far").alias("tr_name"))
     tr = _by_name(cat, tr, "tr_name").withColumnRenamed("_nid", "tr_id")
-    al = hop(cat, tr, "tr_id", ["associated_with"], ["FBal"], direction="object", with_symbol=True).select(
-        "gene_id", "far", "far_symbol")
+    al = hop(cat, tr, "tr_id", ["associated_with"], ["FBal"], direction="object").select("gene_id", "far")
     al_ids = _by_name(cat, al.select(F.col("far").alias("n")).distinct(), "n").withColumnRenamed("_nid", "a")
     with_tp = hop(cat, al_ids, "a", ["associated_with"], ["FBtp"], direction="object").select(F.col("n").alias("far"))
     with_to = hop(cat, al_ids, "a", ["encodes_tool"], ["FBto"], direction="object").select(F.col("n").alias("far"))
@@ -146,12 +151,16 @@ def allele(cat, counters: bool = True) -> DataFrame:
 
     sf = hop(cat, g, "gene_id", ["associated_with"], ["FBsf"]).select("gene_id", F.col("far").alias("sf_name"))
     sf = _by_name(cat, sf, "sf_name").withColumnRenamed("_nid", "sf_id")
-    sfa = hop(cat, sf, "sf_id", ["has_reg_region"], ["FBal"], with_symbol=True)
+    sfa = hop(cat, sf, "sf_id", ["has_reg_region"], ["FBal"])
     # literal reference condition: the gene id must equal the surface feature id
     b4 = constructish(sfa.filter(F.col("gene_id") == F.col("sf_id")))
 
     out = b1.unionByName(b2).unionByName(b3).unionByName(b4).distinct()
-    out = out.withColumn("id", row_key(*ALLELE_KEY))
+    # the symbol is a function of the allele id (current_symbol(uniquename)):
+    # looked up once for the union instead of once per branch
+    out = out.join(symbols_by_name(cat).withColumnRenamed("uniquename", "fbal_id"), "fbal_id", "left")
+    out = out.select("fbal_id", "symbol", "gene_id", "is_alleleof", "is_construct", "propagate_transgenic_uses",
+                     "gene_is_regulatory_region").withColumn("id", row_key(*ALLELE_KEY))
     if not counters:
         return out
     # the counters read the allele rows several times: stage them once
