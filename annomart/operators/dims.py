@@ -35,6 +35,50 @@ def terms(cat, names: str | list[str] | None = None, *, pattern: str | None = No
     return F.broadcast(t.select(*cols))
 
 
+def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None) -> dict[int, str]:
+    """Named vocabulary terms as literal ``{cvterm_id: name}``, resolved once
+    per catalog.
+
+    Size bound: ``cvterm`` is unique on (cv, name, is_obsolete), so k names
+    give at most ``k * #cvs * 2`` rows, whatever the data size; this is a
+    lookup of constants (the reference does the same before its loop), not
+    data passing through the driver.  With literal ids the type tests become
+    ``type_id IN (...)`` filters: pushed into the parquet scans, no broadcast
+    job, and static partition pruning on type-partitioned tables.
+    """
+    names = [names] if isinstance(names, str) else list(names)
+    key = ("terms", tuple(sorted(names)), live_only, cv)
+    memo = getattr(cat, "_cache", None)
+    if memo is not None and key in memo:
+        return memo[key]
+    t = cat["cvterm"].filter(F.col("name").isin(names))
+    if live_only:
+        t = t.filter(F.col("is_obsolete") == 0)
+    if cv is not None:
+        t = t.join(cat["cv"].filter(F.col("name") == cv).select("cv_id"), "cv_id", "left_semi")
+    out = {int(r["cvterm_id"]): r["name"] for r in t.select("cvterm_id", "name").collect()}
+    if memo is not None:
+        memo[key] = out
+    return out
+
+
+def is_type(cat, names, col: str = "type_id", **kw) -> F.Column:
+    """``col`` is one of the named types (literal ``IN`` list)."""
+    ids = sorted(resolve_terms(cat, names, **kw))
+    return F.col(col).isin(ids) if ids else F.lit(False)
+
+
+def type_name(cat, names, col: str = "type_id", **kw) -> F.Column:
+    """Name of the type in ``col`` for the named types (literal map)."""
+    m = resolve_terms(cat, names, **kw)
+    if not m:
+        return F.lit(None).cast("string")
+    pairs = []
+    for k, v in sorted(m.items()):
+        pairs += [F.lit(k), F.lit(v)]
+    return F.element_at(F.create_map(*pairs), F.col(col))
+
+
 def type_ids(cat, names, **kw) -> DataFrame:
     """Just the ids of the named types (bounded, broadcast)."""
     return terms(cat, names, cols=("cvterm_id",), **kw)

@@ -52,7 +52,7 @@ def current_synonyms(cat, synonym_type: str, entity=FEATURE_ENTITY, objects: Dat
     obj = obj.select(F.col(key).alias("object_id"), "uniquename")
     lnk = (cat[link].filter(F.col("is_current") & ~F.col("is_internal"))
            .select(F.col(key).alias("object_id"), "synonym_id"))
-    syn = (cat["synonym"].join(dims.type_ids(cat, synonym_type), F.col("type_id") == F.col("cvterm_id"))
+    syn = (cat["synonym"].filter(dims.is_type(cat, synonym_type))
            .select("synonym_id", "name", "synonym_sgml"))
     rows = obj.join(lnk, "object_id").join(syn, "synonym_id")
     # grouped on the object id alone (the uniquename depends on it), so the
@@ -63,6 +63,15 @@ def current_synonyms(cat, synonym_type: str, entity=FEATURE_ENTITY, objects: Dat
                        F.col("s.synonym_sgml").alias("synonym_sgml"))
 
 
+def feature_symbols(cat) -> DataFrame:
+    """Current symbol of every live feature, ``(object_id, uniquename, name,
+    synonym_sgml)``: derived once per catalog and shared by all marts (the
+    reference calls ``current_symbol`` per row instead)."""
+    if hasattr(cat, "derived"):
+        return cat.derived("feature_symbols", lambda: current_synonyms(cat, "symbol"))
+    return current_synonyms(cat, "symbol")
+
+
 def stock_genotypes(cat) -> DataFrame:
     """FBst symbols: live stock -> genotype uniquename, lowest genotype id."""
     st = cat["stock"].filter(~F.col("is_obsolete")).select("stock_id", "uniquename")
@@ -133,7 +142,7 @@ def related_features(cat, ids: DataFrame, id_col: str, rel_types: str, data_clas
            .select(F.col("feature_id").alias(far), "uniquename"))
     out = src.join(fr, near).join(tgt, far)
     if with_symbol:
-        sym = current_synonyms(cat, "symbol").select(F.col("object_id").alias(far), F.col("synonym_sgml").alias("symbol"))
+        sym = feature_symbols(cat).select(F.col("object_id").alias(far), F.col("synonym_sgml").alias("symbol"))
         out = out.join(sym, far, "left")
     else:
         out = out.withColumn("symbol", F.lit(None).cast("string"))
@@ -148,9 +157,9 @@ def edges(cat, rel_type: str | list[str], subject_classes=None, object_classes=N
     to live features of given classes (P1).  The building block of the marts.
     """
     names = [rel_type] if isinstance(rel_type, str) else rel_type
-    types = dims.terms(cat, names, cols=("cvterm_id", "name"))
-    fr = (cat["feature_relationship"].join(types, F.col("type_id") == F.col("cvterm_id"))
-          .select("feature_relationship_id", "subject_id", "object_id", "rank", "value", F.col("name").alias("type")))
+    fr = (cat["feature_relationship"].filter(dims.is_type(cat, names))
+          .select("feature_relationship_id", "subject_id", "object_id", "rank", "value",
+                  dims.type_name(cat, names).alias("type")))
 
     def end(classes, live, key, name):
         f = cat["feature"]
@@ -261,7 +270,7 @@ def pub_count(cat, ids: DataFrame, id_col: str, pub_type: str | None = None) ->
     d = inp.select("id").distinct().withColumn("cls", F.upper(X.data_class("id")))
     pubs = cat["pub"].filter(~F.col("is_obsolete") & (F.upper(X.data_class("uniquename")) == "FBRF"))
     if pub_type is not None:
-        pubs = pubs.join(dims.type_ids(cat, pub_type), F.col("type_id") == F.col("cvterm_id"), "left_semi")
+        pubs = pubs.filter(dims.is_type(cat, pub_type))
     pubs = pubs.select("pub_id")
     links = []
     for cls, ent in ENTITY_TABLES.items():

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import dims
 from ..operators.keys import first_per_key
-from ..operators.lookups import current_synonyms, pub_count, stocks
+from ..operators.lookups import current_synonyms, feature_symbols, pub_count, stocks
 from ..operators.overlap import DEFAULT_BIN, feature_overlaps
 from ..session import stage
 
@@ -27,8 +27,7 @@ def row_key(*cols: str) -> Column:
 
 
 def _symbols(cat) -> DataFrame:
-    return current_synonyms(cat, "symbol").select(F.col("object_id").alias("_fid"),
-                                                  F.col("synonym_sgml").alias("_sym"))
+    return feature_symbols(cat).select(F.col("object_id").alias("_fid"), F.col("synonym_sgml").alias("_sym"))
 
 
 def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list[str] | None,
@@ -41,9 +40,9 @@ def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list
     ``rel_type`` and optionally ``far_symbol``.
     """
     n_key, f_key = ("object_id", "subject_id") if direction == "subject" else ("subject_id", "object_id")
-    t = dims.terms(cat, rel_types, cols=("cvterm_id", "name"))
-    fr = (cat["feature_relationship"].join(t, F.col("type_id") == F.col("cvterm_id"))
-          .select(F.col(n_key).alias(near_col), F.col(f_key).alias("far_id"), F.col("name").alias("rel_type")))
+    fr = (cat["feature_relationship"].filter(dims.is_type(cat, rel_types))
+          .select(F.col(n_key).alias(near_col), F.col(f_key).alias("far_id"),
+                  dims.type_name(cat, rel_types).alias("rel_type")))
     far = cat["feature"].filter(~F.col("is_obsolete"))
     if classes is not None:
         far = far.filter(X.data_class("uniquename").isin(classes))
@@ -57,8 +56,7 @@ def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list
 
 def symbols_by_name(cat) -> DataFrame:
     """``current_symbol(uniquename)`` for every name: ``(uniquename, symbol)``."""
-    return current_synonyms(cat, "symbol").groupBy("uniquename").agg(
-        F.min_by("synonym_sgml", "object_id").alias("symbol"))
+    return feature_symbols(cat).groupBy("uniquename").agg(F.min_by("synonym_sgml", "object_id").alias("symbol"))
 
 
 def _by_name(cat, df: DataFrame, name_col: str) -> DataFrame:
@@ -74,7 +72,7 @@ def _by_name(cat, df: DataFrame, name_col: str) -> DataFrame:
 def gene(cat) -> DataFrame:
     """T1 ``gene.gene``: live FBgn features of type ``gene`` (all columns)."""
     return (cat["feature"].filter(X.live("FBgn"))
-            .join(dims.type_ids(cat, "gene"), F.col("type_id") == F.col("cvterm_id"), "left_semi"))
+            .filter(dims.is_type(cat, "gene")))
 
 
 def _construct_flag_names(cat) -> DataFrame:
@@ -92,8 +90,8 @@ def _construct_flag_names(cat) -> DataFrame:
 
 def _prop_names(cat, type_name: str, value: str | None = None) -> DataFrame:
     """Uniquenames of live features with a prop of a live type (U4)."""
-    t = dims.type_ids(cat, type_name, live_only=True)
-    fp = cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+    t = dims.is_type(cat, type_name, live_only=True)
+    fp = cat["featureprop"].filter(t)
     if value is not None:
         fp = fp.filter(F.col("value") == value)
     return (fp.select("feature_id").join(cat["feature"].filter(~F.col("is_obsolete")), "feature_id")
@@ -192,9 +190,9 @@ def _allele_rows(alleles: DataFrame) -> DataFrame:
 def transgenic_product_class(cat, alleles: DataFrame) -> DataFrame:
     """T4: distinct (allele row, SO id, class name) from annotations that
     carry a ``transgenic_product_class`` prop."""
-    t = dims.type_ids(cat, "transgenic_product_class")
+    t = dims.is_type(cat, "transgenic_product_class")
     fc = (cat["feature_cvterm"].join(
-        cat["feature_cvtermprop"].join(t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+        cat["feature_cvtermprop"].filter(t)
         .select("feature_cvterm_id"), "feature_cvterm_id")
         .select("feature_id", "cvterm_id"))
     terms = (cat["cvterm"].select("cvterm_id", "dbxref_id", F.col("name").alias("transgenic_product_class"))
@@ -207,8 +205,8 @@ def transgenic_product_class(cat, alleles: DataFrame) -> DataFrame:
 
 def split_system_combination(cat) -> DataFrame:
     """T5: live FBco of type 'split system combination' with stock and pub counts."""
-    t = dims.type_ids(cat, "split system combination")
-    co = (cat["feature"].filter(X.live("FBco")).join(t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+    t = dims.is_type(cat, "split system combination")
+    co = (cat["feature"].filter(X.live("FBco")).filter(t)
           .select(F.col("uniquename").alias("fbco_id"), F.col("name").alias("symbol")))
     names = co.select("fbco_id").distinct()
     st = stocks(cat, names, "fbco_id").groupBy(F.col("fbid").alias("fbco_id")).agg(
@@ -222,8 +220,8 @@ def split_system_combination(cat) -> DataFrame:
 def split_system_combination_component_allele(cat, combos: DataFrame, alleles: DataFrame) -> DataFrame:
     """Combination x allele row through any edge combination -> FBal
     (relation type not restricted; every allele row of that FBal)."""
-    t = dims.type_ids(cat, "split system combination")
-    co = (cat["feature"].filter(X.live("FBco")).join(t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+    t = dims.is_type(cat, "split system combination")
+    co = (cat["feature"].filter(X.live("FBco")).filter(t)
           .select(F.col("feature_id").alias("subject_id"), F.col("uniquename").alias("fbco_id")))
     al = cat["feature"].filter(X.is_id_of("uniquename", "FBal")).select(
         F.col("feature_id").alias("object_id"), F.col("uniquename").alias("fbal_id"))
@@ -236,8 +234,8 @@ def split_system_combination_component_allele(cat, combos: DataFrame, alleles: D
 def allele_class(cat, alleles: DataFrame) -> DataFrame:
     """``promoted_allele_class`` props split into ``(fbcv_id, name)``;
     one row per (allele row, fbcv id), lowest name first."""
-    t = dims.type_ids(cat, "promoted_allele_class")
-    fp = (cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+    t = dims.is_type(cat, "promoted_allele_class")
+    fp = (cat["featureprop"].filter(t)
           .join(cat["feature"].select("feature_id", F.col("uniquename").alias("fbal_id")), "feature_id")
           .select("fbal_id", F.explode(F.split("value", ",")).alias("cls")))
     parts = F.split(F.expr("trim(BOTH ' @' FROM cls)"), ":")
@@ -311,7 +309,7 @@ def insertion(cat, alleles: DataFrame, bin_size: int = DEFAULT_BIN) -> DataFrame
         F.col("feature_id").alias("other_id"), F.col("uniquename").alias("fbti_id"))
     b3 = ov.join(tis, "other_id").select(F.col("feature_id").alias("gene_id"), "fbti_id").distinct()
     b3 = b3.join(own.select(F.col("fbti").alias("fbti_id"), "gene_id"), ["fbti_id", "gene_id"], "left_anti")
-    sym = current_synonyms(cat, "symbol").groupBy(F.col("uniquename").alias("fbti_id")).agg(
+    sym = feature_symbols(cat).groupBy(F.col("uniquename").alias("fbti_id")).agg(
         F.min_by("synonym_sgml", "object_id").alias("symbol"))
     b3 = b3.join(sym, "fbti_id", "left").select("fbti_id", "symbol",
                                                F.lit(None).cast("string").alias("allele_id"), "gene_id")
@@ -365,9 +363,9 @@ def tool(cat, constructs: DataFrame, alleles: DataFrame) -> DataFrame:
 def tool_use(cat, alleles: DataFrame, constructs: DataFrame, tools: DataFrame) -> DataFrame:
     """Terms of annotations that carry a ``tool_uses`` prop, for allele,
     construct and tool rows."""
-    t = dims.type_ids(cat, "tool_uses")
+    t = dims.is_type(cat, "tool_uses")
     fc = (cat["feature_cvterm"].join(
-        cat["feature_cvtermprop"].join(t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+        cat["feature_cvtermprop"].filter(t)
         .select("feature_cvterm_id"), "feature_cvterm_id").select("feature_id", "cvterm_id"))
     terms = (cat["cvterm"].select("cvterm_id", "dbxref_id", "name")
              .join(cat["dbxref"].select("dbxref_id", "db_id", "accession"), "dbxref_id")

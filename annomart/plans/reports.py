@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import dims
 from ..operators.keys import first_per_key_agg
-from ..operators.lookups import current_synonyms, edges
+from ..operators.lookups import current_synonyms, edges, feature_symbols
 from ..operators.overlap import DEFAULT_BIN, featureloc_slice
 
 # --------------------------------------------------------------------------
@@ -37,7 +37,7 @@ def class_counts(cat) -> DataFrame:
                      & ~F.col("is_obsolete") & ~F.col("is_analysis"))
             .groupBy(F.substring("uniquename", 1, 4).alias("data_class")).agg(F.count(F.lit(1)).alias("n")))
     live_gene = f.filter(F.col("uniquename").rlike(r"^FBgn\d+\z") & ~F.col("is_obsolete") & ~F.col("is_analysis"))
-    paper = dims.type_ids(cat, "paper")
+    paper = dims.is_type(cat, "paper")
     ded = [
         _count(live_gene.join(cat["featureloc"], "feature_id"), "FBgn_loc"),
         _count(cat["strain"].filter(F.col("uniquename").rlike(r"^FBsn\d+\z") & ~F.col("is_obsolete")), "FBsn"),
@@ -50,7 +50,7 @@ def class_counts(cat) -> DataFrame:
         _count(cat["stock"].filter(F.col("uniquename").rlike(r"^FBst\d+\z") & ~F.col("is_obsolete")), "FBst"),
         _count(cat["pub"].filter(F.col("uniquename").rlike(r"^FBrf\d+\z") & ~F.col("is_obsolete")), "FBrf"),
         _count(cat["pub"].filter(F.col("uniquename").rlike(r"^FBrf\d+\z") & ~F.col("is_obsolete"))
-               .join(paper, F.col("type_id") == F.col("cvterm_id"), "left_semi"), "FBrf_papers"),
+               .filter(paper), "FBrf_papers"),
         _count(cat["humanhealth"].filter(F.col("uniquename").rlike(r"^FBhh\d+\z") & ~F.col("is_obsolete")), "FBhh"),
     ]
     dedicated = ded[0]
@@ -89,8 +89,8 @@ def gene_summary_stats(cat) -> DataFrame:
     genes = cat["feature"].filter(~F.col("is_obsolete") & ~F.col("is_analysis")
                                   & F.col("uniquename").rlike(r"^FBgn\d+\z"))
     # gene_summary_text props of live features with a live prop type (U4)
-    t = dims.type_ids(cat, "gene_summary_text", live_only=True)
-    snap_rows = cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+    t = dims.is_type(cat, "gene_summary_text", live_only=True)
+    snap_rows = cat["featureprop"].filter(t)
     by_name = cat["feature"].filter(~F.col("is_obsolete")).select("feature_id", "uniquename")
     snap = (snap_rows.join(by_name, "feature_id").groupBy("uniquename")
             .agg(F.count(F.lit(1)).alias("gene_snapshot")))
@@ -109,21 +109,21 @@ def gene_summary_stats(cat) -> DataFrame:
     uniprot = xref_count("uniprot_function_comment", "uniprot/swiss-prot", "uniprot_function")
     ifly = xref_count("if_summary", "interactivefly", "interactive_fly", need_value=True)
 
-    gmt = dims.type_ids(cat, "grpmember_feature")
+    gmt = dims.is_type(cat, "grpmember_feature")
     fbcv = dims.db_ids(cat, ["FBcv"]).select("db_id")
     grp_terms = (cat["grp_cvterm"].join(cat["cvterm"].select("cvterm_id", "dbxref_id"), "cvterm_id")
                  .join(cat["dbxref"].join(fbcv, "db_id", "left_semi").select("dbxref_id", "accession"), "dbxref_id")
                  .join(cat["grp"].select("grp_id"), "grp_id")
                  .select("grp_id", (F.col("accession") == "0007034").alias("is_path")))
     members = (cat["feature_grpmember"].select("feature_id", "grpmember_id")
-               .join(cat["grpmember"].join(gmt, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+               .join(cat["grpmember"].filter(gmt)
                      .select("grpmember_id", "grp_id"), "grpmember_id")
                .join(grp_terms, "grp_id"))
     grp_counts = members.groupBy("feature_id").agg(
         F.count(F.when(F.col("is_path"), 1)).alias("flybase_pathway"),
         F.count(F.when(~F.col("is_path"), 1)).alias("flybase_group"))
 
-    sym = current_synonyms(cat, "symbol").groupBy("uniquename").agg(
+    sym = feature_symbols(cat).groupBy("uniquename").agg(
         F.min_by("synonym_sgml", "object_id").alias("symbol"))
     out = (genes.select("feature_id", "uniquename")
            .join(snap, "uniquename", "left").join(uniprot, "feature_id", "left")
@@ -199,7 +199,7 @@ def scaffold_ids(cat, genus: str = "Drosophila", species: str = "melanogaster",
     org = F.broadcast(cat["organism"].filter((F.col("genus") == genus) & (F.col("species") == species))
                       .select("organism_id"))
     f = (cat["feature"].filter(~F.col("is_obsolete") & ~F.col("is_analysis"))
-         .join(dims.type_ids(cat, scaffold_type), F.col("type_id") == F.col("cvterm_id"), "left_semi")
+         .filter(dims.is_type(cat, scaffold_type))
          .join(org, "organism_id", "left_semi"))
     return f.groupBy(F.col("name").alias("scaffold")).agg(F.min("feature_id").alias("srcfeature_id"))
 
@@ -210,14 +210,11 @@ def overlapping_transcripts(cat, locations: DataFrame, bin_size: int = DEFAULT_B
     ``(location, id, symbol, type)``, one row per (location line, transcript)."""
     q = locations.join(scaffold_ids(cat), "scaffold")
     hits = featureloc_slice(q, cat["featureloc"], bin_size=bin_size)
-    t = dims.terms(cat, list(types), cols=("cvterm_id", "name")).withColumnRenamed("name", "type")
     tr = (cat["feature"].filter(F.col("uniquename").rlike(r"^FBtr\d+\z") & ~F.col("is_obsolete")
-                                & ~F.col("is_analysis"))
-          .select("feature_id", F.col("uniquename").alias("id"), "type_id")
-          .join(t, F.col("type_id") == F.col("cvterm_id"))
-          .select("feature_id", "id", "type"))
+                                & ~F.col("is_analysis") & dims.is_type(cat, list(types)))
+          .select("feature_id", F.col("uniquename").alias("id"), dims.type_name(cat, list(types)).alias("type")))
     rows = hits.select("line_id", "location", "feature_id").join(tr, "feature_id")
-    sym = current_synonyms(cat, "symbol").select(F.col("object_id").alias("feature_id"),
+    sym = feature_symbols(cat).select(F.col("object_id").alias("feature_id"),
                                                   F.col("synonym_sgml").alias("symbol"))
     rows = rows.join(sym, "feature_id", "left")
     return rows.dropDuplicates(["line_id", "id"]).select("location", "id", "symbol", "type")
@@ -236,7 +233,7 @@ def located_model_genes(cat, genus="Drosophila", species="melanogaster") -> Data
                       .select("organism_id"))
     g = (cat["feature"].filter(F.col("uniquename").rlike("^FBgn[0-9]+\\z") & ~F.col("is_obsolete")
                                & ~F.col("is_analysis"))
-         .join(dims.type_ids(cat, "gene"), F.col("type_id") == F.col("cvterm_id"), "left_semi")
+         .filter(dims.is_type(cat, "gene"))
          .join(org, "organism_id", "left_semi"))
     return g.join(cat["featureloc"].select("feature_id"), "feature_id").select("feature_id", "uniquename")
 
@@ -248,11 +245,11 @@ def experimental_go_counts(cat) -> DataFrame:
     Evidence must match case-sensitively (the report's copy of the test)."""
     cv = dims.cv_ids(cat, list(ASPECTS))
     terms = cat["cvterm"].join(cv, "cv_id").select("cvterm_id", "name", "cv_name")
-    ev_t = dims.type_ids(cat, "evidence_code")
-    not_t = dims.type_ids(cat, "NOT")
+    ev_t = dims.is_type(cat, "evidence_code")
+    not_t = dims.is_type(cat, "NOT")
     props = cat["feature_cvtermprop"]
-    negated = props.join(not_t, F.col("type_id") == F.col("cvterm_id"), "left_semi").select("feature_cvterm_id")
-    ev = (props.join(ev_t, F.col("type_id") == F.col("cvterm_id"), "left_semi")
+    negated = props.filter(not_t).select("feature_cvterm_id")
+    ev = (props.filter(ev_t)
           .filter(X.is_evidence_experimental("value", case_sensitive=True)).select("feature_cvterm_id"))
     fc = (cat["feature_cvterm"].select("feature_cvterm_id", "feature_id", "cvterm_id")
           .join(negated, "feature_cvterm_id", "left_anti").join(ev, "feature_cvterm_id"))
@@ -267,7 +264,7 @@ def go_counts(cat) -> DataFrame:
     counts and the number of aspects with any term (one row per location)."""
     genes = located_model_genes(cat)
     by_name = experimental_go_counts(cat)
-    sym = current_synonyms(cat, "symbol").groupBy("uniquename").agg(
+    sym = feature_symbols(cat).groupBy("uniquename").agg(
         F.min_by("synonym_sgml", "object_id").alias("symbol"))
     out = genes.join(by_name, "uniquename", "left").join(sym, "uniquename", "left")
     cols = [F.coalesce(a, F.lit(0)).cast("long").alias(a) for a in ASPECTS]

@@ -135,6 +135,15 @@ class Catalog:
         self._cache[name] = df
         return df
 
+    def derived(self, name: str, build) -> DataFrame:
+        """A table derived from the catalog by ``build()``, materialised once
+        per catalog (reliable checkpoint) and shared by every query."""
+        key = "derived:" + name
+        if key not in self._cache:
+            from ..session import stage
+            self._cache[key] = stage(build())
+        return self._cache[key]
+
     def override(self, name: str, df: DataFrame) -> "Catalog":
         """Use ``df`` for ``name`` (tests plug hand-written fixtures in)."""
         self._cache[name] = df

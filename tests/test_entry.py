@@ -47,11 +47,17 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_typed_partitioning_prunes_edges(spark):
-    """With edges staged by type, a hop reads only the needed type (DPP)."""
-    from annomart.operators.lookups import edges
+    """With edges staged by type, a hop reads only the needed type: named
+    types prune statically (literal ids), SIMILAR TO patterns dynamically."""
+    import re
+    from pyspark.sql import functions as F
+    from annomart.operators.lookups import edges, related_features
     from annomart.sources.tables import Catalog
     c = Catalog(spark, SF, partition_typed=True)
     df = edges(c, "alleleof", object_classes="FBgn")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    df.count()
-    assert "dynamicpruning" in plan.lower()
+    assert re.search(r"PartitionFilters: \[[^\]]*type_id[^\]]*\]", plan)
+    assert df.count() > 0
+    ids = c["feature"].select(F.col("uniquename").alias("id"))
+    rf = related_features(c, ids, "id", "has_reg%", None, "object")
+    assert "dynamicpruning" in rf._jdf.queryExecution().executedPlan().toString().lower()
