@@ -52,9 +52,10 @@ def _spark_text(text: str) -> str:
 # lookup selects the type by joining a name-filtered, broadcast slice of
 # ``cvterm`` on ``type_id``; with the table partitioned on that column Spark
 # turns the join into dynamic partition pruning, so a hop over one
-# relationship type reads that type's files only.  Off by default for local
-# runs, where the extra small files cost more than the pruning saves
-# (``ANNOMART_PARTITION_TYPED=1`` or ``Catalog(partition_typed=True)``).
+# relationship type reads that type's files only; named types are resolved
+# to literal ids (``dims.resolve_terms``), which prunes statically.  On by
+# default (``ANNOMART_PARTITION_TYPED=0`` or ``Catalog(partition_typed=False)``
+# stages flat tables).
 PARTITIONED = {
     "feature_relationship": "type_id",
     "featureprop": "type_id",
@@ -90,7 +91,7 @@ class Catalog:
         self.sf_dir = sf_dir
         self.materialize = materialize and not tables
         if partition_typed is None:
-            partition_typed = os.environ.get("ANNOMART_PARTITION_TYPED", "0") == "1"
+            partition_typed = os.environ.get("ANNOMART_PARTITION_TYPED", "1") == "1"
         # type-partitioned staging (the production layout, see PARTITIONED)
         self.partitioned = PARTITIONED if partition_typed else {}
         self._cache: dict[str, DataFrame] = dict(tables or {})
