@@ -258,6 +258,37 @@ def _pub_links(cat, entity) -> DataFrame:
     return obj.join(cat[link].select(key, "pub_id"), key).select("id", "pub_id")
 
 
+def pub_counts(cat, ids: DataFrame, id_col: str, pub_types: list[str] = (), classes: list[str] | None = None
+               ) -> DataFrame:
+    """U9 and U10 in one pass: ``(id, n, n_<type>...)`` per input row - all
+    live FBrf pubs and those of each given type.  ``classes`` (optional)
+    tells which data classes the ids can have, so branches for other entity
+    tables are not planned (T3 counts FBal ids only)."""
+    inp = _ids(ids, id_col)
+    d = inp.select("id").distinct().withColumn("cls", F.upper(X.data_class("id")))
+    pubs = cat["pub"].filter(~F.col("is_obsolete") & (F.upper(X.data_class("uniquename")) == "FBRF"))
+    pubs = pubs.select("pub_id", *[dims.is_type(cat, t).alias(f"_is_{i}") for i, t in enumerate(pub_types)])
+    wanted = None if classes is None else {c.upper() for c in classes}
+    links = []
+    for cls, ent in ENTITY_TABLES.items():
+        if wanted is not None and cls.upper() not in wanted:
+            continue
+        ids_c = d.filter(F.col("cls") == cls.upper()).select("id")
+        links.append(_pub_links(cat, ent).join(ids_c, "id", "left_semi"))
+    if wanted is None or wanted - {c.upper() for c in ENTITY_TABLES}:
+        ids_f = d.filter(~F.col("cls").isin([c.upper() for c in ENTITY_TABLES])).select("id")
+        links.append(_pub_links(cat, FEATURE_ENTITY).join(ids_f, "id", "left_semi"))
+    allk = links[0]
+    for l in links[1:]:
+        allk = allk.unionByName(l)
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.count(F.when(F.col(f"_is_{i}"), 1)).alias(f"n_{t}")
+                                             for i, t in enumerate(pub_types)]
+    counts = allk.join(pubs, "pub_id").groupBy("id").agg(*aggs)
+    cols = ["n"] + [f"n_{t}" for t in pub_types]
+    return (inp.join(counts, "id", "left")
+            .select(F.col("id").alias(id_col), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in cols]))
+
+
 def pub_count(cat, ids: DataFrame, id_col: str, pub_type: str | None = None) -> DataFrame:
     """U9 ``pub_count`` / U10 ``pub_count_by_type``: per input row the number
     of live FBrf publications linked to the live object (rows, not distinct

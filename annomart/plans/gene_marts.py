@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import dims
 from ..operators.keys import first_per_key
-from ..operators.lookups import current_synonyms, feature_symbols, pub_count, stocks
+from ..operators.lookups import current_synonyms, feature_symbols, pub_count, pub_counts, stocks
 from ..operators.overlap import DEFAULT_BIN, feature_overlaps
 from ..session import stage
 
@@ -171,12 +171,21 @@ def allele_counters(cat, alleles: DataFrame) -> DataFrame:
     names = alleles.select(F.col("fbal_id")).distinct()
     st = stocks(cat, names, "fbal_id").groupBy("fbid").agg(F.count(F.lit(1)).alias("stocks_count")) \
         .withColumnRenamed("fbid", "fbal_id")
-    pc = pub_count(cat, names, "fbal_id").withColumnRenamed("n", "pub_count")
-    pp = pub_count(cat, names, "fbal_id", pub_type="paper").withColumnRenamed("n", "paper_count")
-    out = (alleles.join(st, "fbal_id", "left").join(pc, "fbal_id", "left").join(pp, "fbal_id", "left")
+    # publications and papers in one pass; allele ids only need the feature branch
+    pc = pub_counts(cat, names, "fbal_id", ["paper"], classes=["FBal"]).select(
+        "fbal_id", F.col("n").alias("pub_count"), F.col("n_paper").alias("paper_count"))
+    # both flags from one scan of the live props of the two types
+    kinds = ["known_lesion", "linked_image"]
+    fp = (cat["featureprop"].filter(dims.is_type(cat, kinds, live_only=True))
+          .select("feature_id", dims.type_name(cat, kinds, live_only=True).alias("kind"))
+          .join(cat["feature"].filter(~F.col("is_obsolete")).select("feature_id", F.col("uniquename").alias("fbal_id")),
+                "feature_id")
+          .groupBy("fbal_id").agg(F.max((F.col("kind") == "known_lesion").cast("int")).alias("_kl"),
+                                  F.max((F.col("kind") == "linked_image").cast("int")).alias("_im")))
+    out = (alleles.join(st, "fbal_id", "left").join(pc, "fbal_id", "left").join(fp, "fbal_id", "left")
            .withColumn("stocks_count", F.coalesce("stocks_count", F.lit(0)).cast("long")))
-    out = _flag_by_name(out, _prop_names(cat, "known_lesion"), "fbal_id", "known_lesion")
-    return _flag_by_name(out, _prop_names(cat, "linked_image"), "fbal_id", "has_image")
+    return (out.withColumn("known_lesion", F.coalesce(F.col("_kl") == 1, F.lit(False)))
+            .withColumn("has_image", F.coalesce(F.col("_im") == 1, F.lit(False))).drop("_kl", "_im"))
 
 
 # --------------------------------------------------------------------------
