@@ -9,8 +9,9 @@ from ..session import flatten
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
-    """Tab-separated, NULL as ``\\N`` (``COPY ... TO STDOUT`` format)."""
-    (flatten(df).write.mode(mode).option("sep", "\t").option("nullValue", "\\N")
+    """Tab-separated, NULL as ``\\N`` (``COPY ... TO STDOUT`` format).
+    Values starting with ``#`` are written as they are (no comment quoting)."""
+    (flatten(df).write.mode(mode).option("sep", "\t").option("nullValue", "\\N").option("comment", "\u0001")
      .option("header", str(header).lower()).csv(path))
 
 
@@ -35,5 +36,7 @@ def write_mart(df: DataFrame, path: str, partition_by: list[str] | None = None,
 def write_pivot_report(df: DataFrame, path: str) -> None:
     """Class x release pivot as a tab report with a ``#`` header."""
     cols = df.columns
-    renamed = df.withColumnRenamed(cols[0], "#" + cols[0])
+    # one file with one header line: the report has one row per data class
+    # (bounded by the id-prefix vocabulary), so a single writer task is safe
+    renamed = df.withColumnRenamed(cols[0], "#" + cols[0]).coalesce(1)
     write_tsv(renamed, path, header=True)
