@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -26,7 +26,7 @@ def update_ids(cat, ids: DataFrame, id_col: str = "submitted_id") -> DataFrame:
 
     Work is done once per distinct id; the result is joined back so repeated
     submissions give repeated rows, like the array overload.  The per-id row
-    count is a window count (one shuffle on the id, no collection).
+    count is a partial-aggregated count joined back (no collection).
     """
     sub = ids.select(F.col(id_col).alias("submitted_id"))
     d = sub.select("submitted_id").distinct()
@@ -46,8 +46,10 @@ def update_ids(cat, ids: DataFrame, id_col: str = "submitted_id") -> DataFrame:
              .select("feature_id", F.col("uniquename").alias("updated_id")))
     sec = (dbx.join(fdbx, "dbxref_id").join(feats, "feature_id")
            .filter(F.upper(X.data_class("updated_id")) == F.upper(X.data_class("submitted_id"))))
-    n = F.count(F.lit(1)).over(Window.partitionBy("submitted_id"))
-    secondary = (sec.withColumn("_n", n)
+    # rows per submitted id: a partial-aggregated count joined back (no
+    # window, so an id with very many targets is not sorted in one task)
+    n = sec.groupBy("submitted_id").agg(F.count(F.lit(1)).alias("_n"))
+    secondary = (sec.join(n, "submitted_id")
                  .select("submitted_id", "updated_id",
                          F.when(F.col("_n") > 1, "split").otherwise("updated").alias("status")))
     unknown = (rest.join(secondary.select("submitted_id"), "submitted_id", "left_anti")

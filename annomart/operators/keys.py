@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: list[str], order: list[str], nulls_last: bool = True) -> DataFrame:
     """D2 ``DISTINCT ON (keys)``: one row per key, the first by ``order``.
 
-    ``order`` must be a total order over the rows of a key so the winner is
-    reproducible (the reference leaves it to row order).  ``row_number`` over
-    a window partitioned by the keys: one shuffle on the keys, then a sort
-    within each key group.  A hot key is sorted in one task, but the rows are
-    streamed, never collected.
+    The reference leaves the winner to row order; here it is the first row
+    by ``order`` (ascending, NULLs last unless ``nulls_last=False``), then
+    by the remaining columns, so the choice is a total order and
+    reproducible.  Implemented as a hash aggregate (``min_by`` over a
+    struct) rather than a window: map-side partial aggregation keeps one
+    candidate per key per task, so a key holding a third of all rows is
+    never sorted or gathered in one task.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    rest = [c for c in df.columns if c not in keys and c not in order]
+
+    def rank(c):
+        # (is NULL, value): non-NULL values sort first when nulls_last
+        return [F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(f"_v_{c}")] if nulls_last else \
+            [F.col(c).alias(f"_v_{c}")]
+
+    ordering = F.struct(*[x for c in order + rest for x in rank(c)])
+    payload = F.struct(*[F.col(c) for c in order + rest])
+    best = df.groupBy(*keys).agg(F.min_by(payload, ordering).alias("_w"))
+    return best.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
 def first_per_key_agg(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str]) -> DataFrame:

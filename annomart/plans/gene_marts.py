@@ -250,7 +250,7 @@ def allele_class(cat, alleles: DataFrame) -> DataFrame:
     parts = F.split(F.expr("trim(BOTH ' @' FROM cls)"), ":")
     rows = fp.select("fbal_id", F.get(parts, 0).alias("fbcv_id"), F.get(parts, 1).alias("name"))
     rows = rows.join(_allele_rows(alleles), "fbal_id")
-    return first_per_key(rows, ["allele_id", "fbcv_id"], [F.col("name").asc_nulls_last()]) \
+    return first_per_key(rows, ["allele_id", "fbcv_id"], ["name"]) \
         .select("allele_id", "fbcv_id", "name")
 
 
@@ -258,8 +258,7 @@ def allele_stock(cat, alleles: DataFrame) -> DataFrame:
     """One stock per (allele row, FBst), first by (center, number, genotype)."""
     st = stocks(cat, alleles.select("fbal_id").distinct(), "fbal_id").withColumnRenamed("fbid", "fbal_id")
     rows = st.join(_allele_rows(alleles), "fbal_id").withColumnRenamed("fbst", "fbst_id")
-    return first_per_key(rows, ["allele_id", "fbst_id"],
-                         [F.col(c).asc_nulls_last() for c in ("center", "stock_number", "genotype")]) \
+    return first_per_key(rows, ["allele_id", "fbst_id"], ["center", "stock_number", "genotype"]) \
         .select("allele_id", "fbst_id", "center", "stock_number", "genotype")
 
 
