@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -101,13 +102,35 @@ class Catalog:
         return self.table(name)
 
     def _stage_root(self) -> str:
+        """``<spark.checkpoint.dir>/annomart-views/<key>`` when the cluster
+        names a shared folder; otherwise (local runs, tests) a stable scratch
+        folder, so separate sessions reuse what an earlier one staged."""
         if self._root is None:
-            from ..session import ensure_checkpoint_dir
             layout = "typed" if self.partitioned else "flat"
-            self._root = (f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/annomart-views/"
-                          f"{_views_key(self.sf_dir)}-{layout}")
+            conf_dir = self.spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            base = conf_dir or os.environ.get("ANNOMART_STAGE_DIR") or "/tmp/annomart-views"
+            self._root = f"{base.rstrip('/')}/annomart-views/{_views_key(self.sf_dir)}-{layout}"
         return self._root
 
+    def _write_staged(self, name: str, path: str) -> None:
+        """Write a staged table; on a local folder publish it atomically
+        (unique temp path, then rename) so concurrent sessions never see or
+        clobber a half-written table."""
+        w = self._build(name).write.mode("overwrite")
+        if name in self.partitioned:
+            w = w.partitionBy(self.partitioned[name])
+        local = path.startswith("/") or path.startswith("file:")
+        if not local:
+            w.parquet(path)
+            return
+        target = path[len("file:"):] if path.startswith("file:") else path
+        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
+        w.parquet(tmp)
+        try:
+            os.rename(tmp, target)
+        except OSError:
+            pass  # another session published it first; theirs is identical
+
     def _build(self, name: str) -> DataFrame:
         deps = {d: self.table(d) for d in view_deps(name)}
         return self.spark.sql(_spark_text(adapter.VIEWS[name]), **deps)
@@ -119,10 +142,7 @@ class Catalog:
             if self.materialize:
                 path = f"{self._stage_root()}/{name}.parquet"
                 if not _exists(self.spark, path + "/_SUCCESS"):
-                    w = self._build(name).write.mode("overwrite")
-                    if name in self.partitioned:
-                        w = w.partitionBy(self.partitioned[name])
-                    w.parquet(path)
+                    self._write_staged(name, path)
                 df = self.spark.read.parquet(path)
                 if name in self.partitioned:
                     # keep the view's column order (partition columns are read last)
