@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import dims
 from ..operators.keys import first_per_key
-from ..operators.lookups import current_synonyms, feature_symbols, pub_count, pub_counts, stocks
+from ..operators.lookups import feature_symbols, pub_counts, stocks
 from ..operators.overlap import DEFAULT_BIN, feature_overlaps
 from ..session import stage
 
@@ -220,7 +220,7 @@ def split_system_combination(cat) -> DataFrame:
     names = co.select("fbco_id").distinct()
     st = stocks(cat, names, "fbco_id").groupBy(F.col("fbid").alias("fbco_id")).agg(
         F.count(F.lit(1)).alias("stocks_count"))
-    pc = pub_count(cat, names, "fbco_id").withColumnRenamed("n", "pub_count")
+    pc = pub_counts(cat, names, "fbco_id", classes=["FBco"]).withColumnRenamed("n", "pub_count")
     return (co.join(st, "fbco_id", "left").join(pc, "fbco_id", "left")
             .withColumn("stocks_count", F.coalesce("stocks_count", F.lit(0)).cast("long"))
             .withColumn("id", row_key("fbco_id", "symbol")))
@@ -327,7 +327,7 @@ def insertion(cat, alleles: DataFrame, bin_size: int = DEFAULT_BIN) -> DataFrame
     names = out.select("fbti_id").distinct()
     st = stocks(cat, names, "fbti_id").groupBy(F.col("fbid").alias("fbti_id")).agg(
         F.count(F.lit(1)).alias("stocks_count"))
-    pc = pub_count(cat, names, "fbti_id").withColumnRenamed("n", "pub_count")
+    pc = pub_counts(cat, names, "fbti_id", classes=["FBti"]).withColumnRenamed("n", "pub_count")
     return (out.join(st, "fbti_id", "left").join(pc, "fbti_id", "left")
             .withColumn("stocks_count", F.coalesce("stocks_count", F.lit(0)).cast("long")))
 

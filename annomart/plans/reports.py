@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import dims
-from ..operators.keys import first_per_key_agg
-from ..operators.lookups import current_synonyms, edges, feature_symbols
+from ..operators.lookups import edges, feature_symbols
 from ..operators.overlap import DEFAULT_BIN, featureloc_slice
 
 # --------------------------------------------------------------------------

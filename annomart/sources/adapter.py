@@ -23,9 +23,6 @@ Where a view uses another view it names it in braces (``{feature}``).
 
 from __future__ import annotations
 
-import re
-from functools import lru_cache
-
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"

@@ -5,7 +5,6 @@ of lines go through the same code."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.ids import clean_id_lines
 from ..plans import enzyme, reports
