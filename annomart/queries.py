@@ -326,9 +326,8 @@ def _gen1(spark, sf_dir):
     """Catalog, mart module and the staged ``gene.allele`` rows (later marts
     read them several times, as the reference reads its allele table)."""
     from .plans import gene_marts as gm
-    from .session import stage
     c = cat(spark, sf_dir)
-    return c, gm, stage(gm.allele(c, counters=False))
+    return c, gm, c.derived("gene_allele_rows", lambda: gm.allele(c, counters=False))
 
 
 @query("gene_alleles_v1")
