@@ -65,10 +65,9 @@ def current_synonyms(cat, synonym_type: str, entity=FEATURE_ENTITY, objects: Dat
 
 def feature_symbols(cat) -> DataFrame:
     """Current symbol of every live feature, ``(object_id, uniquename, name,
-    synonym_sgml)``: derived once per catalog and shared by all marts (the
-    reference calls ``current_symbol`` per row instead)."""
-    if hasattr(cat, "derived"):
-        return cat.derived("feature_symbols", lambda: current_synonyms(cat, "symbol"))
+    synonym_sgml)`` - the set-based ``current_symbol`` (the reference calls it
+    per row).  Kept inline: each query reads it once or twice, so staging it
+    costs more than it saves; identical subplans share their exchanges."""
     return current_synonyms(cat, "symbol")
 
 
