@@ -107,7 +107,7 @@ ALLELE_KEY = ("fbal_id", "gene_id", "is_alleleof", "is_construct", "propagate_tr
               "gene_is_regulatory_region")
 
 
-def allele(cat, counters: bool = True) -> DataFrame:
+def allele(cat, counters: bool = True, genes: DataFrame | None = None) -> DataFrame:
     """T2 ``gene.allele`` (+T3 counters when ``counters``).
 
     Four branches, as in the reference: ``alleleof`` alleles (flags
@@ -118,8 +118,14 @@ def allele(cat, counters: bool = True) -> DataFrame:
     it is kept literally.  Branch 3 uses existence tests for the construct
     and the tool (only the allele and gene are output, so the product of
     their matches would be discarded by the UNION anyway).
+
+    ``genes`` (optional, column ``feature_id``) restricts the mart to those
+    genes: every branch starts from the gene, so this yields exactly the
+    mart's rows for them (used by marts that need a few genes' alleles).
     """
     g = gene(cat).select(F.col("feature_id").alias("gene_id"))
+    if genes is not None:
+        g = g.join(genes.select(F.col("feature_id").alias("gene_id")).distinct(), "gene_id", "left_semi")
 
     b1 = hop(cat, g, "gene_id", ["alleleof"], ["FBal"])
     b1 = b1.select(F.col("far").alias("fbal_id"), "gene_id")

@@ -428,24 +428,23 @@ def flat(df):
 @query("pathway_members")
 def q_pathway_members(spark, sf_dir):
     from .plans import groups
-    c, gm, al = _gen1(spark, sf_dir)
-    return flat(groups.pathway_member(c, al))
+    return flat(groups.pathway_member(cat(spark, sf_dir)))
 
 
 @query("gene_group_membership")
 def q_gene_group_membership(spark, sf_dir):
     from .plans import groups
     from .session import stage
-    c, gm, al = _gen1(spark, sf_dir)
-    return flat(groups.gene_group_membership(c, stage(groups.pathway_member(c, al))))
+    c = cat(spark, sf_dir)
+    return flat(groups.gene_group_membership(c, stage(groups.pathway_member(c))))
 
 
 @query("pathway_disease")
 def q_pathway_disease(spark, sf_dir):
     from .plans import groups
     from .session import stage
-    c, gm, al = _gen1(spark, sf_dir)
-    return groups.pathway_disease(c, stage(groups.pathway_member(c, al)), al)
+    c = cat(spark, sf_dir)
+    return groups.pathway_disease(c, stage(groups.pathway_member(c)))
 
 
 # --------------------------------------------------------------------------
@@ -549,8 +548,8 @@ def q_gene_group_members(spark, sf_dir):
     from pyspark.sql import functions as F
     from .plans import groups
     from .session import stage
-    c, gm, al = _gen1(spark, sf_dir)
-    members = stage(groups.pathway_member(c, al))
+    c = cat(spark, sf_dir)
+    members = stage(groups.pathway_member(c))
     sub = F.regexp_extract("group_member_label", r"^@(FBgg[0-9]+):", 1)
     pairs = (members.select("fbgg_id", sub.alias("subgroup"))
              .unionByName(members.select("fbgg_id", F.lit("").alias("subgroup"))).distinct())
