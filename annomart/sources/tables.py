@@ -112,6 +112,13 @@ class Catalog:
             self._root = f"{base.rstrip('/')}/annomart-views/{_views_key(self.sf_dir)}-{layout}"
         return self._root
 
+    def _staged(self, path: str) -> bool:
+        """Whether a complete staged table exists at ``path``."""
+        if path.startswith("/") or path.startswith("file:"):
+            local = path[len("file:"):] if path.startswith("file:") else path
+            return os.path.exists(os.path.join(local, "_SUCCESS"))
+        return _exists(self.spark, path + "/_SUCCESS")
+
     def _write_staged(self, name: str, path: str) -> None:
         """Write a staged table; on a local folder publish it atomically
         (unique temp path, then rename) so concurrent sessions never see or
@@ -141,7 +148,7 @@ class Catalog:
         if name in adapter.VIEWS:
             if self.materialize:
                 path = f"{self._stage_root()}/{name}.parquet"
-                if not _exists(self.spark, path + "/_SUCCESS"):
+                if not self._staged(path):
                     self._write_staged(name, path)
                 df = self.spark.read.parquet(path)
                 if name in self.partitioned:
