@@ -155,15 +155,21 @@ def null_of(dtype: str) -> Column:
 
 # --- summaries (F23) ------------------------------------------------------
 
-def selected_summary(snapshot, uniprot, pathway, group, interactive_fly, alliance) -> Column:
+# fixed values: labels of the summary a gene page shows, in priority order
+SUMMARY_LABELS = ("Gene Snapshot", "UniProt Function", "Interactive Fly", "Alliance Gene Description",
+                  "Automatic summary")
+
+
+def selected_summary(snapshot, uniprot, pathway, group, interactive_fly, external) -> Column:
     """which summary a gene page shows.  Pathway and group counts do not
     take part (their tests are disabled in the reference)."""
+    snap, uni, ifly, ext, auto = SUMMARY_LABELS
     return (
-        F.when(_c(snapshot) >= 1, "Gene Snapshot")
-        .when(_c(uniprot) >= 1, "UniProt Function")
-        .when(_c(interactive_fly) >= 1, "Interactive Fly")
-        .when(_c(alliance) >= 1, "Alliance Gene Description")
-        .otherwise("Automatic summary")
+        F.when(_c(snapshot) >= 1, snap)
+        .when(_c(uniprot) >= 1, uni)
+        .when(_c(interactive_fly) >= 1, ifly)
+        .when(_c(external) >= 1, ext)
+        .otherwise(auto)
     )
 
 

@@ -119,8 +119,8 @@ def gene_summary_stats(cat) -> DataFrame:
                      .select("grpmember_id", "grp_id"), "grpmember_id")
                .join(grp_terms, "grp_id"))
     grp_counts = members.groupBy("feature_id").agg(
-        F.count(F.when(F.col("is_path"), 1)).alias("flybase_pathway"),
-        F.count(F.when(~F.col("is_path"), 1)).alias("flybase_group"))
+        F.count(F.when(F.col("is_path"), 1)).alias("pathway_count"),
+        F.count(F.when(~F.col("is_path"), 1)).alias("gene_group_count"))
 
     sym = feature_symbols(cat).groupBy("uniquename").agg(
         F.min_by("synonym_sgml", "object_id").alias("symbol"))
@@ -128,7 +128,7 @@ def gene_summary_stats(cat) -> DataFrame:
            .join(snap, "uniquename", "left").join(uniprot, "feature_id", "left")
            .join(grp_counts, "feature_id", "left").join(ifly, "feature_id", "left")
            .join(sym, "uniquename", "left"))
-    cnt = ["gene_snapshot", "uniprot_function", "flybase_pathway", "flybase_group", "interactive_fly"]
+    cnt = ["gene_snapshot", "uniprot_function", "pathway_count", "gene_group_count", "interactive_fly"]
     return out.select("uniquename", "symbol", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in cnt])
 
 
@@ -148,14 +148,14 @@ def genes_with_summaries(summaries: DataFrame) -> DataFrame:
 
 
 def merge_summary_stats(stats: DataFrame, with_summary: DataFrame) -> DataFrame:
-    """Add the Alliance flag (J17) and the selected summary."""
+    """Add the external-summary flag (J17) and the selected summary."""
     flag = with_summary.withColumn("_has", F.lit(1))
     out = stats.join(flag, "uniquename", "left")
     alliance = F.when(F.col("uniquename").startswith("FBgn") & F.col("_has").isNotNull(), 1).otherwise(0)
-    out = out.withColumn("alliance_gene_description", alliance).drop("_has")
-    return out.withColumn("selected", X.selected_summary("gene_snapshot", "uniprot_function", "flybase_pathway",
-                                                           "flybase_group", "interactive_fly",
-                                                           "alliance_gene_description"))
+    out = out.withColumn("external_summary", alliance).drop("_has")
+    return out.withColumn("selected", X.selected_summary("gene_snapshot", "uniprot_function", "pathway_count",
+                                                           "gene_group_count", "interactive_fly",
+                                                           "external_summary"))
 
 
 # --------------------------------------------------------------------------

@@ -53,26 +53,27 @@ CV_ROWS = [
     (5, "SO"),
     (6, "relationship type"),
     (7, "property type"),
-    (8, "FlyBase miscellaneous CV"),
+    (8, "miscellaneous CV"),
     (9, "synonym type"),
     (10, "pub type"),
 ]
 
-# fixed values: databases (db_id, name, urlprefix)
+# fixed values: databases (db_id, name, urlprefix); the names are the ones
+# the queries test for, the URL prefixes are placeholders
 DB_ROWS = [
-    (1, "FlyBase", "https://flybase.org/reports/"),
-    (2, "GO", "http://amigo.geneontology.org/amigo/term/GO:"),
-    (3, "DOID", "http://www.disease-ontology.org/?id=DOID:"),
-    (4, "EC", "https://enzyme.expasy.org/EC/"),
-    (5, "HGNC", "https://www.genenames.org/data/gene-symbol-report/#!/hgnc_id/"),
-    (6, "FBcv", "https://flybase.org/cgi-bin/cvreport.html?id=FBcv:"),
-    (7, "DSHB", "https://dshb.biology.uiowa.edu/"),
-    (8, "SO", "http://www.sequenceontology.org/browser/current_svn/term/SO:"),
-    (9, "UniProt/Swiss-Prot", "https://www.uniprot.org/uniprot/"),
-    (10, "InteractiveFly", "https://www.sdbonline.org/sites/fly/"),
-    (11, "cst", "https://www.cellsignal.com/"),
+    (1, "FlyBase", "https://example.org/reports/"),
+    (2, "GO", "https://example.org/go/"),
+    (3, "DOID", "https://example.org/doid/"),
+    (4, "EC", "https://example.org/ec/"),
+    (5, "HGNC", "https://example.org/hgnc/"),
+    (6, "FBcv", "https://example.org/cv/"),
+    (7, "DSHB", "https://example.org/dshb/"),
+    (8, "SO", "https://example.org/so/"),
+    (9, "UniProt/Swiss-Prot", "https://example.org/uniprot/"),
+    (10, "InteractiveFly", "https://example.org/if/"),
+    (11, "cst", "https://example.org/cst/"),
     (12, "internal", None),
-    (13, "ClinVar", "https://www.ncbi.nlm.nih.gov/clinvar/variation/"),
+    (13, "ClinVar", "https://example.org/clinvar/"),
 ]
 
 # fixed values: type terms (cvterm_id, cv_id, name, is_obsolete)

@@ -44,7 +44,7 @@ def read_summary_tsv(spark: SparkSession, path: str) -> DataFrame:
 def read_counts_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Headerless TSV written by :func:`write_tsv` from R2."""
     schema = ("uniquename string, symbol string, gene_snapshot long, uniprot_function long, "
-              "flybase_pathway long, flybase_group long, interactive_fly long")
+              "pathway_count long, gene_group_count long, interactive_fly long")
     return spark.read.schema(schema).option("sep", "\t").option("nullValue", "\\N").csv(path)
 
 
