@@ -96,3 +96,30 @@ def test_stocks_parse(spark):
         ("FBal0000005", "FBst0000002", "Bloomington", "13", "geno"),
         ("FBal0000005", None, "Bloomington", "14", None),
     ], key=key)
+
+
+def test_gene_disease_literal_vs_intended_join(spark):
+    """The reference's parent-gene join accepts any relation type."""
+    from annomart.plans.relationships import gene_disease
+    feats = spark.createDataFrame([
+        (1, "FBgn0000001", "g1", 5, 1, False, False),
+        (5, "FBal0000005", "a5", 9, 1, False, False),
+        (6, "FBal0000006", "a6", 9, 1, False, False),
+    ], FEATURE)
+    fr = spark.createDataFrame([(1000, 5, 1, 1, 0, None),   # a5 alleleof g1
+                                (1001, 6, 1, 2, 0, None)],  # a6 associated_with g1 (not alleleof)
+                               "feature_relationship_id long, subject_id long, object_id long, type_id long, rank long, value string")
+    cvterm = spark.createDataFrame([
+        (1, 2, "alleleof", 0, 101), (2, 2, "associated_with", 0, 102), (20, 4, "disease x", 0, 120),
+        (30, 1, "evidence_code", 0, 130), (31, 1, "qualifier", 0, 131),
+    ], "cvterm_id long, cv_id long, name string, is_obsolete long, dbxref_id long")
+    dbxref = spark.createDataFrame([(120, 3, "0000042", None)], "dbxref_id long, db_id long, accession string, description string")
+    fc = spark.createDataFrame([(1, 5, 20, False), (2, 6, 20, False)], "feature_cvterm_id long, feature_id long, cvterm_id long, is_not boolean")
+    fcp = spark.createDataFrame([(1, 30, "CEA", 0), (2, 30, "IEA", 0), (2, 31, "model of x", 0)],
+                                "feature_cvterm_id long, type_id long, value string, rank long")
+    cat = catalog(spark, feature=feats, feature_relationship=fr, cvterm=cvterm, dbxref=dbxref,
+                  feature_cvterm=fc, feature_cvtermprop=fcp)
+    literal = sorted(tuple(r) for r in gene_disease(cat).collect())
+    intended = sorted(tuple(r) for r in gene_disease(cat, literal_joins=False).collect())
+    assert literal == [("FBgn0000001", "DOID:0000042", False, "model of x"), ("FBgn0000001", "DOID:0000042", True, "")]
+    assert intended == [("FBgn0000001", "DOID:0000042", True, "")]
