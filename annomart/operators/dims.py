@@ -32,7 +32,10 @@ def terms(cat, names: str | list[str] | None = None, *, pattern: str | None = No
         t = t.filter(F.col("is_obsolete") == 0)
     if cv is not None:
         t = t.join(cat["cv"].filter(F.col("name") == cv).select("cv_id"), "cv_id", "left_semi")
-    return F.broadcast(t.select(*cols))
+    t = t.select(*cols)
+    # forced broadcast only for the name-selected slice (bounded); pattern or
+    # whole-cv slices are left to AQE, which broadcasts them if they are small
+    return F.broadcast(t) if names is not None else t
 
 
 def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None) -> dict[int, str]:

@@ -234,7 +234,7 @@ def stocks(cat, ids: DataFrame, id_col: str) -> DataFrame:
     """
     f = cat["feature"].select("feature_id", F.col("uniquename").alias("id"))
     f = _ids(ids, id_col).join(f, "id")
-    t = F.broadcast(cat["cvterm"].filter(F.col("name").rlike("^derived_stock_")).select("cvterm_id", "name"))
+    t = cat["cvterm"].filter(F.col("name").rlike("^derived_stock_")).select("cvterm_id", "name")
     fp = cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id"))
     rows = f.join(fp, "feature_id").select(
         "id", F.replace(F.col("name"), F.lit("derived_stock_"), F.lit("")).alias("center"),

@@ -9,6 +9,14 @@ intervals share (``greatest`` of their first bins), so no ``distinct`` (and
 no second shuffle) is needed.  Results are exact: every interval is put in
 every bin it touches, however long it is; ``bin_size`` only trades explode
 volume (long intervals) against candidate pairs per bin (dense regions).
+
+A dense ``(src, bin)`` key - one region holding a large share of all
+intervals - is a skewed partition of the equi-join; AQE's skew-join handling
+(on by default) splits that partition of the larger side over several tasks
+and replicates the matching partition of the other side, so no single task
+holds the whole region.  Candidate pairs within a bin are bounded by the
+true overlaps plus the intervals that share the bin without overlapping;
+choose ``bin_size`` near the typical interval length.
 """
 
 from __future__ import annotations

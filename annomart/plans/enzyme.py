@@ -23,7 +23,7 @@ def ec_numbers(cat) -> DataFrame:
     ec = cat["dbxref"].join(ec_db, "db_id", "left_semi").select(F.col("accession").alias("ec"), "dbxref_id")
     terms = (cat["cvterm"].filter(F.col("is_obsolete") == 0)
              .select("cvterm_id", "cv_id", F.col("name").alias("cvname"), F.col("dbxref_id").alias("t_dbxref"))
-             .join(F.broadcast(cat["cv"].select("cv_id", F.col("name").alias("cv"))), "cv_id")
+             .join(cat["cv"].select("cv_id", F.col("name").alias("cv")), "cv_id")
              .join(cat["dbxref"].select(F.col("dbxref_id").alias("t_dbxref"), F.col("accession").alias("go")),
                    "t_dbxref"))
     rows = ec.join(cat["cvterm_dbxref"], "dbxref_id").join(terms, "cvterm_id")

@@ -274,7 +274,7 @@ def allele_mutagen(cat, alleles: DataFrame) -> DataFrame:
     mut = cat["cvtermprop"].filter(F.col("value") == "origin_of_mutation").select("cvterm_id")
     terms = (cat["cvterm"].join(mut, "cvterm_id", "left_semi").select("cvterm_id", "dbxref_id", "name")
              .join(cat["dbxref"].select("dbxref_id", "db_id", "accession"), "dbxref_id")
-             .join(F.broadcast(cat["db"].select("db_id", F.col("name").alias("db_name"))), "db_id"))
+             .join(cat["db"].select("db_id", F.col("name").alias("db_name")), "db_id"))
     a = _by_name(cat, _allele_rows(alleles), "fbal_id").withColumnRenamed("_nid", "feature_id")
     rows = (a.join(cat["feature_cvterm"].select("feature_id", "cvterm_id"), "feature_id").join(terms, "cvterm_id")
             .select("allele_id", "accession", F.concat("db_name", F.lit(":"), "accession").alias("fbcv_id"), "name"))
@@ -383,7 +383,7 @@ def tool_use(cat, alleles: DataFrame, constructs: DataFrame, tools: DataFrame) -
         .select("feature_cvterm_id"), "feature_cvterm_id").select("feature_id", "cvterm_id"))
     terms = (cat["cvterm"].select("cvterm_id", "dbxref_id", "name")
              .join(cat["dbxref"].select("dbxref_id", "db_id", "accession"), "dbxref_id")
-             .join(F.broadcast(cat["db"].select("db_id", F.col("name").alias("db_name"))), "db_id")
+             .join(cat["db"].select("db_id", F.col("name").alias("db_name")), "db_id")
              .select("cvterm_id", "name", F.concat("db_name", F.lit(":"), "accession").alias("fbcv_id")))
     ann = fc.join(terms, "cvterm_id")
 
