@@ -36,14 +36,13 @@ def _binned(df: DataFrame, src: str, lo: str, hi: str, bin_size: int, p: str) ->
 
 def overlap_join(left: DataFrame, right: DataFrame, *, left_cols=("srcfeature_id", "fmin", "fmax"),
                  right_cols=("srcfeature_id", "fmin", "fmax"), bin_size: int = DEFAULT_BIN,
-                 inclusive: bool = True, how: str = "inner") -> DataFrame:
+                 inclusive: bool = True) -> DataFrame:
     """All (left, right) row pairs on the same source whose intervals overlap.
 
     ``inclusive=True``: closed intervals, touching ends overlap
     (``l.lo <= r.hi and r.lo <= l.hi``); ``False``: half-open.  Column names
     of the two sides must not clash except for the coordinate columns, which
-    are returned as ``l_<name>`` / ``r_<name>``.  ``how='left'`` keeps left
-    rows without a partner (right columns NULL).
+    are returned as ``l_<name>`` / ``r_<name>``.
     """
     ls, llo, lhi = left_cols
     rs, rlo, rhi = right_cols
@@ -57,18 +56,7 @@ def overlap_join(left: DataFrame, right: DataFrame, *, left_cols=("srcfeature_id
         ov = (F.col("l_lo") < F.col("r_hi")) & (F.col("r_lo") < F.col("l_hi"))
     cond = ((F.col("l_src") == F.col("r_src")) & (F.col("_lbin") == F.col("_rbin")) & ov
             & (F.col("_lbin") == F.greatest(F.col("_lfirst"), F.col("_rfirst"))))
-    if how == "inner":
-        out = Lb.join(Rb, cond, "inner")
-    elif how == "left":
-        matched = Lb.join(Rb, cond, "inner")
-        # left rows without partner: anti join on the original left rows
-        lone = L.join(matched.select(*[F.col(c) for c in L.columns]).distinct(), L.columns, "left_anti")
-        for c in Rb.columns:
-            if c not in lone.columns:
-                lone = lone.withColumn(c, F.lit(None).cast(Rb.schema[c].dataType))
-        out = matched.unionByName(lone.select(*matched.columns))
-    else:
-        raise ValueError(how)
+    out = Lb.join(Rb, cond, "inner")
     out = out.drop("_lbin", "_rbin", "_lfirst", "_rfirst")
     return (out.withColumnRenamed("l_src", f"l_{ls}").withColumnRenamed("l_lo", f"l_{llo}")
                .withColumnRenamed("l_hi", f"l_{lhi}").withColumnRenamed("r_src", f"r_{rs}")
