@@ -38,7 +38,8 @@ def terms(cat, names: str | list[str] | None = None, *, pattern: str | None = No
     return F.broadcast(t) if names is not None else t
 
 
-def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None) -> dict[int, str]:
+def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None,
+                  similar: bool = False) -> dict[int, str]:
     """Named vocabulary terms as literal ``{cvterm_id: name}``, resolved once
     per catalog.
 
@@ -50,11 +51,14 @@ def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None)
     job, and static partition pruning on type-partitioned tables.
     """
     names = [names] if isinstance(names, str) else list(names)
-    key = ("terms", tuple(sorted(names)), live_only, cv)
+    key = ("terms", tuple(sorted(names)), live_only, cv, similar)
     memo = getattr(cat, "_cache", None)
     if memo is not None and key in memo:
         return memo[key]
-    t = cat["cvterm"].filter(F.col("name").isin(names))
+    # ``similar``: the names are SIMILAR TO patterns, as in the reference's
+    # property lookups, where ``_`` matches any one character
+    cond = similar_to("name", "|".join(names)) if similar else F.col("name").isin(names)
+    t = cat["cvterm"].filter(cond)
     if live_only:
         t = t.filter(F.col("is_obsolete") == 0)
     if cv is not None:

@@ -90,7 +90,7 @@ def _construct_flag_names(cat) -> DataFrame:
 
 def _prop_names(cat, type_name: str, value: str | None = None) -> DataFrame:
     """Uniquenames of live features with a prop of a live type (U4)."""
-    t = dims.is_type(cat, type_name, live_only=True)
+    t = dims.is_type(cat, type_name, live_only=True, similar=True)
     fp = cat["featureprop"].filter(t)
     if value is not None:
         fp = fp.filter(F.col("value") == value)
@@ -182,12 +182,14 @@ def allele_counters(cat, alleles: DataFrame) -> DataFrame:
         "fbal_id", F.col("n").alias("pub_count"), F.col("n_paper").alias("paper_count"))
     # both flags from one scan of the live props of the two types
     kinds = ["known_lesion", "linked_image"]
-    fp = (cat["featureprop"].filter(dims.is_type(cat, kinds, live_only=True))
-          .select("feature_id", dims.type_name(cat, kinds, live_only=True).alias("kind"))
+    lesion = dims.is_type(cat, "known_lesion", live_only=True, similar=True)
+    image = dims.is_type(cat, "linked_image", live_only=True, similar=True)
+    fp = (cat["featureprop"].filter(dims.is_type(cat, kinds, live_only=True, similar=True))
+          .select("feature_id", lesion.alias("_l"), image.alias("_i"))
           .join(cat["feature"].filter(~F.col("is_obsolete")).select("feature_id", F.col("uniquename").alias("fbal_id")),
                 "feature_id")
-          .groupBy("fbal_id").agg(F.max((F.col("kind") == "known_lesion").cast("int")).alias("_kl"),
-                                  F.max((F.col("kind") == "linked_image").cast("int")).alias("_im")))
+          .groupBy("fbal_id").agg(F.max(F.col("_l").cast("int")).alias("_kl"),
+                                  F.max(F.col("_i").cast("int")).alias("_im")))
     out = (alleles.join(st, "fbal_id", "left").join(pc, "fbal_id", "left").join(fp, "fbal_id", "left")
            .withColumn("stocks_count", F.coalesce("stocks_count", F.lit(0)).cast("long")))
     return (out.withColumn("known_lesion", F.coalesce(F.col("_kl") == 1, F.lit(False)))

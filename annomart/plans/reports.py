@@ -88,7 +88,7 @@ def gene_summary_stats(cat) -> DataFrame:
     genes = cat["feature"].filter(~F.col("is_obsolete") & ~F.col("is_analysis")
                                   & F.col("uniquename").rlike(r"^FBgn\d+\z"))
     # gene_summary_text props of live features with a live prop type (U4)
-    t = dims.is_type(cat, "gene_summary_text", live_only=True)
+    t = dims.is_type(cat, "gene_summary_text", live_only=True, similar=True)
     snap_rows = cat["featureprop"].filter(t)
     by_name = cat["feature"].filter(~F.col("is_obsolete")).select("feature_id", "uniquename")
     snap = (snap_rows.join(by_name, "feature_id").groupBy("uniquename")

@@ -123,3 +123,14 @@ def test_gene_disease_literal_vs_intended_join(spark):
     intended = sorted(tuple(r) for r in gene_disease(cat, literal_joins=False).collect())
     assert literal == [("FBgn0000001", "DOID:0000042", False, "model of x"), ("FBgn0000001", "DOID:0000042", True, "")]
     assert intended == [("FBgn0000001", "DOID:0000042", True, "")]
+
+
+def test_similar_type_resolution(spark):
+    """Property lookups match type names like SIMILAR TO: '_' is any character."""
+    from annomart.operators import dims
+    cvterm = spark.createDataFrame([(1, 1, "known_lesion", 0, 1), (2, 1, "knownXlesion", 0, 2),
+                                    (3, 1, "known_lesions", 0, 3), (4, 1, "known_lesion", 1, 4)],
+                                   "cvterm_id long, cv_id long, name string, is_obsolete long, dbxref_id long")
+    cat = catalog(spark, cvterm=cvterm)
+    assert sorted(dims.resolve_terms(cat, "known_lesion", live_only=True, similar=True)) == [1, 2]
+    assert sorted(dims.resolve_terms(cat, "known_lesion")) == [1, 4]
