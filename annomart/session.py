@@ -39,6 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints must survive "
+                               "executor loss and may not use machine-local paths)")
         d = tempfile.mkdtemp(prefix="annomart-ckpt-", dir=os.environ.get("ANNOMART_SCRATCH", "/tmp"))
     sc.setCheckpointDir(d)
     return d

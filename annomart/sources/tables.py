@@ -107,8 +107,12 @@ class Catalog:
         folder, so separate sessions reuse what an earlier one staged."""
         if self._root is None:
             layout = "typed" if self.partitioned else "flat"
-            conf_dir = self.spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-            base = conf_dir or os.environ.get("ANNOMART_STAGE_DIR") or "/tmp/annomart-views"
+            sc = self.spark.sparkContext
+            conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or os.environ.get("ANNOMART_STAGE_DIR")
+            if not conf_dir and not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged tables must not be "
+                                   "written to machine-local paths on a cluster")
+            base = conf_dir or "/tmp/annomart-views"
             self._root = f"{base.rstrip('/')}/annomart-views/{_views_key(self.sf_dir)}-{layout}"
         return self._root
 
