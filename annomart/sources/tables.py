@@ -167,6 +167,25 @@ class Catalog:
         self._cache[name] = df
         return df
 
+    def stage_all(self, names=None, workers: int = 4) -> None:
+        """Stage views (default: all) ahead of use, independent views in
+        parallel: views are grouped by dependency depth and each group is
+        staged by a thread pool (Spark runs the jobs concurrently)."""
+        from concurrent.futures import ThreadPoolExecutor
+        depth: dict[str, int] = {}
+
+        def level(n: str) -> int:
+            if n not in depth:
+                deps = [d for d in view_deps(n) if d in adapter.VIEWS]
+                depth[n] = 1 + max((level(d) for d in deps), default=-1)
+            return depth[n]
+
+        for n in (names or adapter.VIEWS):
+            level(n)
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            for lvl in sorted(set(depth.values())):
+                list(pool.map(self.table, [n for n, d in depth.items() if d == lvl]))
+
     def derived(self, name: str, build) -> DataFrame:
         """A table derived from the catalog by ``build()``, materialised once
         per catalog (reliable checkpoint) and shared by every query."""
