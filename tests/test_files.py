@@ -61,3 +61,12 @@ def test_sinks_roundtrip(spark):
     assert text.splitlines()[0] == "#data_class\tr1\tr2"
     mart = sinks.write_mart(df, os.path.join(root, "mart"))
     assert spark.read.parquet(mart).count() == 2
+
+
+def test_write_csv_header(spark):
+    root = _scratch()
+    df = spark.createDataFrame([("FBgn1", 2)], "fbid string, num_aspects long")
+    out = os.path.join(root, "csv")
+    sinks.write_csv(df, out)
+    back = spark.read.option("header", "true").csv(out)
+    assert back.columns == ["fbid", "num_aspects"] and back.count() == 1
