@@ -45,3 +45,22 @@ def test_extend_ec_fallbacks(spark):
     assert sorted(t for t, _, _ in by[1]) == ["ec_catalytic_activity"] * 5 + ["ec_description"]
     misses = [r.ec for r in ez.ec_misses(ecs, recs, classes).collect()]
     assert misses == ["9.9.9.9"] or sorted(misses) == ["1.2", "9.9.9.9"]
+
+
+def test_ensure_terms_and_replace_props(spark):
+    cvterm = spark.createDataFrame([(1, 7, "ec_description", 0, 1), (2, 7, "other_prop", 0, 2)],
+                                   "cvterm_id long, cv_id long, name string, is_obsolete long, dbxref_id long")
+    cv = spark.createDataFrame([(7, "dbxrefprop type")], "cv_id long, name string")
+    old = spark.createDataFrame([(10, 1, "old description", 0), (10, 2, "kept", 0)],
+                                "dbxref_id long, type_id long, value string, rank long")
+    cat = catalog(spark, cvterm=cvterm, cv=cv, dbxrefprop=old)
+    types = {r.name: r.cvterm_id for r in ez.ensure_terms(cat, list(ez.EC_PROPTYPES.values())).collect()}
+    assert types["ec_description"] == 1                       # existing term reused
+    assert len(set(types.values())) == 3 and all(v not in (2,) for v in types.values())
+    again = {r.name: r.cvterm_id for r in ez.ensure_terms(cat, list(ez.EC_PROPTYPES.values())).collect()}
+    assert again == types                                     # created ids are stable
+    new = spark.createDataFrame([(10, "1.1.1.1", "ec_description", "new description", 0),
+                                 (10, "1.1.1.1", "ec_class", "A class", 0)],
+                                "dbxref_id long, ec string, type string, value string, rank long")
+    out = sorted((r.type_id, r.value) for r in ez.replace_props(cat, new, ez.ensure_terms(cat, list(ez.EC_PROPTYPES.values()))).collect())
+    assert out == sorted([(2, "kept"), (1, "new description"), (types["ec_class"], "A class")])
