@@ -232,11 +232,12 @@ def stocks(cat, ids: DataFrame, id_col: str) -> DataFrame:
     blanks and ``@`` and split on ``:``; only pieces 1 and 2 are kept (so a
     second ``:`` truncates the genotype).  Feature liveness is not tested.
     """
-    f = cat["feature"].select("feature_id", F.col("uniquename").alias("id"))
-    f = _ids(ids, id_col).join(f, "id")
+    # stock props first (a small slice of featureprop), then their features'
+    # names, then the requested ids: the large joins see only stock rows
     t = cat["cvterm"].filter(F.col("name").rlike("^derived_stock_")).select("cvterm_id", "name")
-    fp = cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id"))
-    rows = f.join(fp, "feature_id").select(
+    fp = cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id")).select("feature_id", "name", "value")
+    named = fp.join(cat["feature"].select("feature_id", F.col("uniquename").alias("id")), "feature_id")
+    rows = _ids(ids, id_col).join(named, "id").select(
         "id", F.replace(F.col("name"), F.lit("derived_stock_"), F.lit("")).alias("center"),
         F.explode(F.split(F.col("value"), "\n")).alias("line"))
     num_geno = F.split(F.col("line"), "\t")
