@@ -10,7 +10,8 @@ from annomart.sources.adapter import BASE_TABLES
 SF = "/root/testdata/sf0.001"
 FAST = ["dataclass_gene", "update_ids", "current_symbol", "related_features_subject", "stocks", "pub_count",
         "gene_disease", "gene_group_member", "overlapping_transcripts", "class_counts", "ec_extended",
-        "gene_alleles_v1", "pathway_members"]
+        "gene_alleles_v1", "pathway_members", "insertions", "tools", "key_checks", "allele_disease_variants",
+        "ec_dbxrefprops", "gene_allele", "go_counts"]
 
 
 def test_entry_runs(spark):
