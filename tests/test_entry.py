@@ -62,3 +62,22 @@ def test_typed_partitioning_prunes_edges(spark):
     ids = c["feature"].select(F.col("uniquename").alias("id"))
     rf = related_features(c, ids, "id", "has_reg%", None, "object")
     assert "dynamicpruning" in rf._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_update_ids_covers_every_input(spark):
+    """U1 property: every submission yields at least one row, and repeated
+    submissions repeat their rows."""
+    from pyspark.sql import functions as F
+    from annomart.operators.ids import clean_id_lines, update_ids
+    from annomart.queries import cat
+    c = cat(spark, SF)
+    subs = clean_id_lines(c["submitted_ids"])
+    out = update_ids(c, subs)
+    per_in = subs.groupBy("submitted_id").agg(F.count(F.lit(1)).alias("k"))
+    per_out = out.groupBy("submitted_id").agg(F.count(F.lit(1)).alias("m"))
+    joined = per_in.join(per_out, "submitted_id", "left")
+    assert joined.filter(F.col("m").isNull()).count() == 0
+    # rows per id = submissions x resolutions, so m is a multiple of k
+    assert joined.filter(F.col("m") % F.col("k") != 0).count() == 0
+    statuses = {r.status for r in out.select("status").distinct().collect()}
+    assert {"current", "updated", "split", None} <= statuses
