@@ -25,6 +25,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
+         # delete reliable-checkpoint files of staged marts once unreferenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC"))
     spark = b.getOrCreate()
