@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from annomart.llm.op1_packing import op1_best_fit_packing
 from annomart.llm.op7_quality import op7_quality_rules
+from annomart.llm.op8_tokens import op8_token_counts
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_token_counts": op8_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}
