@@ -8,6 +8,7 @@ from annomart.llm.op1_packing import op1_best_fit_packing
 from annomart.llm.op6_urls import OP6_SQL, op6_url_filters
 from annomart.llm.op7_quality import op7_quality_rules
 from annomart.llm.op8_tokens import op8_token_counts
+from annomart.llm.op9_decontam import op9_decontamination
 from annomart.llm.op10_licenses import op10_license_scan, op10_sql
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
+    "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
     "pipeline": corpus_pipeline.run,
 }
