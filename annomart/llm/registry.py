@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 
 from annomart.llm.op1_packing import op1_best_fit_packing
+from annomart.llm.op3_jaccard import OP3_SQL, op3_jaccard_join
 from annomart.llm.op6_urls import OP6_SQL, op6_url_filters
 from annomart.llm.op7_quality import op7_quality_rules
 from annomart.llm.op8_tokens import op8_token_counts
@@ -13,6 +14,7 @@ from annomart.llm.op10_licenses import op10_license_scan, op10_sql
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
@@ -21,6 +23,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
+    "op3_jaccard_join": OP3_SQL,
     "op6_url_filters": OP6_SQL,
     "op10_license_scan": op10_sql(),
 }
