@@ -5,7 +5,9 @@ from __future__ import annotations
 import corpus_pipeline
 
 from annomart.llm.op1_packing import op1_best_fit_packing
+from annomart.llm.op2_phrases import OP2_SQL, op2_repeated_phrases
 from annomart.llm.op3_jaccard import OP3_SQL, op3_jaccard_join
+from annomart.llm.op5_suffixes import op5_suffix_dedup
 from annomart.llm.op6_urls import OP6_SQL, op6_url_filters
 from annomart.llm.op7_quality import op7_quality_rules
 from annomart.llm.op8_tokens import op8_token_counts
@@ -14,7 +16,9 @@ from annomart.llm.op10_licenses import op10_license_scan, op10_sql
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_repeated_phrases": op2_repeated_phrases,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
@@ -23,6 +27,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
+    "op2_repeated_phrases": OP2_SQL,
     "op3_jaccard_join": OP3_SQL,
     "op6_url_filters": OP6_SQL,
     "op10_license_scan": op10_sql(),
