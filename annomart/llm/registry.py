@@ -7,6 +7,7 @@ import corpus_pipeline
 from annomart.llm.op1_packing import op1_best_fit_packing
 from annomart.llm.op2_phrases import OP2_SQL, op2_repeated_phrases
 from annomart.llm.op3_jaccard import OP3_SQL, op3_jaccard_join
+from annomart.llm.op4_lm import op4_lm_scores
 from annomart.llm.op5_suffixes import op5_suffix_dedup
 from annomart.llm.op6_urls import OP6_SQL, op6_url_filters
 from annomart.llm.op7_quality import op7_quality_rules
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_repeated_phrases": op2_repeated_phrases,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_lm_scores": op4_lm_scores,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
