@@ -1,8 +1,8 @@
 """Op 7 - quality rules: hashed n-gram log-likelihood ratio (native).
 
 Words and adjacent word pairs of a text are hashed into ``buckets`` cells.
-Two multinomials over the cells are fitted with add-one smoothing: one over a
-trusted sample, one over the raw corpus (every document).  A text's verdict is
+Two smoothed multinomials over the cells are fitted: one over a trusted sample,
+one over the raw corpus (every document).  A text's verdict is
 its mean log ratio ``log p_trusted - log p_raw`` per n-gram, compared with a
 fixed ``threshold``; structural rules (length, repeated 5-word windows) are
 applied beside it.  Everything is built from DataFrame functions; per-text
@@ -26,6 +26,7 @@ WS_RUN = r"[\x20\x09-\x0D]+"
 BUCKETS = 1 << 14
 TRUSTED_ROWS = 50_000                       # bound of the labelled sample the target is fitted on
 THRESHOLD = -0.07                           # mean log ratio per n-gram (natural log)
+PRIOR = 8 * BUCKETS                         # n-grams
 WINDOW = 5
 
 
@@ -57,7 +58,10 @@ def cell_counts(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 
 def weights(trusted: DataFrame, corpus: DataFrame, text_col: str, buckets: int) -> DataFrame:
     """One row, ``weights array<double>``: ``log p_trusted - log p_raw`` per cell
-    (``buckets`` values whatever the corpus size); all 0 without trusted rows."""
+    (``buckets`` values whatever the corpus size); all 0 without trusted rows.
+    Both are smoothed: the corpus by one per cell, the trusted counts by
+    ``PRIOR`` n-grams dealt out as in the corpus, so that a small sample says
+    little about cells that it hardly reaches."""
     t = cell_counts(trusted, text_col, buckets).select("cell", F.col("n").alias("t"), F.lit(0).cast("bigint").alias("r"))
     r = cell_counts(corpus, text_col, buckets).select("cell", F.lit(0).cast("bigint").alias("t"), F.col("n").alias("r"))
     every = corpus.sparkSession.range(buckets).select(F.col("id").alias("cell"), F.lit(0).cast("bigint").alias("t"),
@@ -67,7 +71,7 @@ def weights(trusted: DataFrame, corpus: DataFrame, text_col: str, buckets: int)
               F.sum("t").alias("nt"), F.sum("r").alias("nr")))
     return n.select(F.transform("c", lambda x: F.when(
         F.col("nt") > 0,
-        F.log((x["t"] + 1) / (F.col("nt") + buckets)) - F.log((x["r"] + 1) / (F.col("nr") + buckets))
+        F.log(x["t"] * (F.col("nr") + buckets) / (x["r"] + 1) + PRIOR) - F.log(F.col("nt") + PRIOR)
     ).otherwise(F.lit(0.0))).alias("weights"))
 
 
@@ -92,13 +96,12 @@ def _covered(starts: Column, width: int) -> Column:
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  buckets: int = BUCKETS, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+                  buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: id, the structural counts, ``llr`` (mean log
-    ratio per n-gram), ``base_failed`` and ``kept``; columns named in ``keep``
-    are carried along.  ``trusted`` holds texts of the target distribution."""
+    ratio per n-gram), ``base_failed`` and ``kept``.  ``trusted`` holds texts of
+    the target distribution."""
     wt = weights(trusted.select(F.col(text_col).alias("text")), docs.select(F.col(text_col).alias("text")), "text", buckets)
-    keep = keep or []
-    base = docs.select(*keep, F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
+    base = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
     base = base.withColumn("__w", words(F.col("__t")))
     w = F.col("__w")
     base = base.withColumns({
@@ -112,7 +115,7 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     table = F.split(F.lit(",".join(map(repr, wt.first()["weights"]))), ",").cast("array<double>")
     total = F.aggregate("__g", F.lit(0.0), lambda a, c: a + F.get(table, c.cast("int")))
     out = base.select(
-        *keep, F.col("__id").alias(id_col), F.size("__w").cast("bigint").alias("n_words"),
+        F.col("__id").alias(id_col), F.size("__w").cast("bigint").alias("n_words"),
         F.length(F.array_join("__w", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("__t", F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("bigint").alias("n_dup_lines"),
@@ -131,6 +134,16 @@ def trusted_texts(docs: DataFrame, labels: DataFrame, rows: int = TRUSTED_ROWS)
     return docs.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
+def accepted(docs: DataFrame, trusted: DataFrame, text_col: str = "text", buckets: int = BUCKETS,
+             threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (all columns) that the rules keep."""
+    whole = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col))
+    out = quality_rules(whole, trusted, "__row", text_col, buckets, threshold)
+    # the always true, non-deterministic term keeps the optimizer from pushing the
+    # verdict below the columns it is made of, where lambdas would repeat them
+    return out.withColumn("kept", F.col("kept") & (F.monotonically_increasing_id() >= 0)).filter("kept").select("__row.*")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
