@@ -285,8 +285,9 @@ def bin_completion(count: np.ndarray, capacity: int, nodes: int = NODES) -> Plan
 
 def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
     """All columns of ``items`` and ``sequence_id``, ``offset`` (both bigint):
-    gapless from 0 in each sequence.  Lengths must lie in 1..``capacity``."""
-    spark = items.sparkSession
+    gapless from 0 in each sequence.  Lengths must lie in 1..``capacity``; input
+    columns with the names of the new ones are replaced."""
+    items = items.drop("sequence_id", "offset")
 
     def ranked(batches):                          # rank among the partition's items of that length
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)

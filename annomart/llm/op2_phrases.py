@@ -99,10 +99,12 @@ def shard_bits(s: dict, window: int = WINDOW, phrases: int = PHRASES) -> np.ndar
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", cols: list[str] | None = None, window: int = WINDOW,
-                   gram: int = GRAM, phrases: int = PHRASES) -> DataFrame:
+                   gram: int = GRAM, phrases: int = PHRASES, **sizes: int) -> DataFrame:
     """The columns ``cols`` with ``kept_text`` (the removed words cut out, each
-    with the white space after it), ``n_words`` and ``n_removed``."""
-    cols = docs.columns if cols is None else cols
+    with the white space after it), ``n_words`` and ``n_removed``, which replace
+    input columns of these names.  ``sizes``: see
+    :func:`annomart.llm.passages.repeated_windows`."""
+    cols = [c for c in (docs.columns if cols is None else cols) if c not in ("kept_text", "n_words", "n_removed")]
 
     def value(c: Chunk, start: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(slot, minlength=n)
@@ -134,7 +136,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", cols: list[str] | No
     return repeated_windows(
         docs.withColumn("__null", F.col(text_col).isNull()), text_col, [*cols, "__null"], True, window, gram, value,
         lambda s: shard_bits(s, window, phrases), True, finish,
-        schema + "kept_text string, n_words bigint, n_removed bigint", "op2")
+        schema + "kept_text string, n_words bigint, n_removed bigint", "op2", **sizes)
 
 
 def op2_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,7 +163,7 @@ def shard_bits(s: dict, length: int = LENGTH) -> np.ndarray:
 
 
 def remove_seen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                gram: int = GRAM) -> DataFrame:
+                gram: int = GRAM, **sizes: int) -> DataFrame:
     """(id, n_bytes, n_removed, spans array<struct<start, end>>, kept binary)
     per row; spans are the maximal removed byte ranges."""
     top = np.iinfo(np.int64).max
@@ -199,7 +199,7 @@ def remove_seen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     schema = f"`{id_col}` bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     return repeated_windows(docs.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).alias("__t")), "__t", [id_col],
-                            False, length, gram, value, lambda s: shard_bits(s, length), False, finish, schema, "op5", extra)
+                            False, length, gram, value, lambda s: shard_bits(s, length), False, finish, schema, "op5", extra, **sizes)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,7 +66,8 @@ def validity_pieces(edits: DataFrame, last_day) -> DataFrame:
 
 def url_filter(captures: DataFrame, edits: DataFrame, url_col: str = "url", time_col: str = "fetched") -> DataFrame:
     """All columns of ``captures`` with ``n_block``, ``n_allow`` (keys listed at
-    fetch time) and ``kept``."""
+    fetch time) and ``kept``, which replace input columns of these names."""
+    captures = captures.drop("n_block", "n_allow", "kept")
     names = captures.columns
     c = captures.select(F.struct(*names).alias("__c"), F.monotonically_increasing_id().alias("__row"),
                         F.col(time_col).alias("__at"), F.to_date(time_col).alias("day"), url_keys(F.col(url_col)).alias("__keys"))
