@@ -9,9 +9,10 @@ blocks some block is untouched by the difference (pigeonhole) and both sets
 produce the same key for it: (band, block, parity word, XOR of the block's
 hashes).  Sets whose size lets them meet the next band produce its keys too.
 
-1. one pass over the texts writes (id, size, set fingerprint, block keys);
-2. equal keys are chained after a shuffle by key, never paired; components of
-   the chains are candidate clusters (a superset of the link graph);
+1. one pass over the texts writes (id, size, set fingerprint);
+2. a second pass makes the block keys; equal keys are chained after a shuffle
+   by key, never paired; components of the chains are candidate clusters (a
+   superset of the link graph);
 3. each cluster is verified in tiles of bounded bytes: sizes, then sketch
    distance, then the exact intersection; pairs already connected are skipped
    and only links that join two parts leave the task;
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,31 +122,49 @@ def fingerprint(u: np.ndarray) -> int:
     return int(A.gram_hashes(A.mix(x), 3).view(np.int64)[0])
 
 
-def set_table(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """(id, n, f, keys, text): fingerprint null for the empty set; keys and
-    text only where the task has not just seen the same set."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def set_table(docs: DataFrame, text_col: str, width: int, whole: bool) -> DataFrame:
+    """``docs`` with ``__n`` (set size), ``__f`` (fingerprint, null for the empty
+    set) and ``__first`` (the task has not just seen the same set); the text is
+    kept in all rows (``whole``) or in these only."""
+    at = docs.columns.index(text_col)
 
     def run(batches):
-        bands, seen = Bands(percent), set()
+        seen = set()
         for b in batches:
-            n, f, keys, first = [], [], [], []
-            for _, u in shingle_sets(b.column(1), width):
+            n, f, first = [], [], []
+            for _, u in shingle_sets(b.column(at), width):
                 n.append(len(u))
                 f.append(fingerprint(u) if len(u) else None)
-                new = bool(len(u)) and f[-1] not in seen
-                first.append(new)
-                keys.append(bands.keys(u).view(np.int64) if new else None)
-                if new:
+                first.append(len(u) > 0 and f[-1] not in seen)
+                if first[-1]:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(f[-1])
-            text = pa.array([t if k else None for t, k in zip(b.column(1).to_pylist(), first)], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(f, pa.int64()),
-                                              pa.array(keys, pa.list_(pa.int64())), text], ["id", "n", "f", "keys", "text"])
+            cols = list(b.columns)
+            if not whole:
+                cols[at] = pc.if_else(pa.array(first), cols[at], pa.scalar(None, cols[at].type))
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(f, pa.int64()), pa.array(first, pa.bool_())],
+                                             [*b.schema.names, "__n", "__f", "__first"])
+
+    ddl = "".join(f"`{x.name}` {x.dataType.simpleString()}, " for x in docs.schema.fields)
+    return docs.mapInArrow(run, ddl + "__n bigint, __f bigint, __first boolean")
 
-    kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, n bigint, f bigint, keys array<bigint>, text string")
+
+def block_keys(width: int, percent: int):
+    """Rows (text, f) to rows (key, f)."""
+    def run(batches):
+        bands = Bands(percent)
+        for b in batches:
+            f = b.column(1).to_numpy()
+            keys, of, held = [], [], 0
+            for r, u in shingle_sets(b.column(0), width):
+                keys.append(bands.keys(u))
+                of.append(np.full(len(keys[-1]), f[r]))
+                held += len(of[-1])
+                if held > 1 << 18 or r == b.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(of))], ["key", "f"])
+                    keys, of, held = [], [], 0
+    return run
 
 
 def chained(batches):
@@ -211,16 +231,16 @@ def linked(table: pa.Table, width: int, percent: int) -> tuple[list[int], list[i
     return out
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                       percent: int = PERCENT, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """(id, n_shingles, component_id, f) per row of ``docs``; ``f`` is the
-    fingerprint of the row's set (null for the empty set)."""
-    sets = materialise(set_table(docs, id_col, text_col, width, percent), "op3-sets", batch_rows=2000)
-    rows = sets.filter("keys is not null").select(F.explode("keys").alias("key"), "f")
+def labelled(sets: DataFrame, text_col: str, width: int, percent: int, tile_bytes: int) -> DataFrame:
+    """(f, label) of every set that is linked to another one; ``sets`` is a
+    written set table."""
+    first = sets.filter("__first").select(F.col(text_col).alias("text"), F.col("__f").alias("f"))
+    rows = first.mapInArrow(block_keys(width, percent), "key bigint, f bigint")
     edges = rows.repartition("key").sortWithinPartitions("key", "f").mapInArrow(chained, "a bigint, b bigint")
     cluster = components(edges).withColumnsRenamed({"node": "f", "label": "cluster"})
 
-    member = materialise(sets.filter("text is not null").select("f", "text").join(cluster, "f"), "op3-members")
+    # the texts are always shuffled by set, whatever the size of the cluster table
+    member = materialise(first.join(cluster.hint("shuffle_hash"), "f"), "op3-members")
     tiles = (member.groupBy("cluster").agg((F.sum(F.octet_length("text")) / tile_bytes).cast("int").alias("m"))
              .withColumn("m", F.col("m") + 1))
     placed = (member.join(tiles, "cluster").withColumn("tile", F.pmod(F.xxhash64("f"), "m").cast("int"))
@@ -232,17 +252,39 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     links = placed.groupBy("cluster", "t", "u").applyInArrow(verify, "a bigint, b bigint")
-    label = components(links).withColumnsRenamed({"node": "f"})
-    named = sets.select("id", "n", "f").join(label, "f", "left").withColumn("label", F.coalesce("label", "f"))
+    return components(links).withColumnsRenamed({"node": "f"})
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+                       percent: int = PERCENT, tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """(id, n_shingles, component_id) per row of ``docs``."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sets = materialise(set_table(src, "text", width, False), "op3-sets")
+    label = labelled(sets, "text", width, percent, tile_bytes)
+    named = sets.select("id", "__n", F.col("__f").alias("f")).join(label, "f", "left").withColumn("label", F.coalesce("label", "f"))
     least = named.filter("f is not null").groupBy("label").agg(F.min("id").alias("component"))
     return named.join(least, "label", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("f").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id"), "f")
+        F.col("id").alias(id_col), F.col("__n").alias("n_shingles"),
+        F.when(F.col("f").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                         percent: int = 80, tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """The rows of ``docs`` (all columns) of which each component keeps one: the
+    smallest id, of equal ids the first row.  Rows with the empty set all stay."""
+    cols = docs.columns
+    sets = materialise(set_table(docs.withColumn("__row", F.monotonically_increasing_id()), text_col, width, True), "op3-docs")
+    label = labelled(sets, text_col, width, percent, tile_bytes)
+    named = sets.filter("__f is not null").select(F.col("__f").alias("f"), F.struct(
+        F.col(id_col).isNull(), F.col(id_col), F.col("__row")).alias("who")).join(label, "f", "left")
+    stay = named.groupBy(F.coalesce("label", "f")).agg(F.min("who")["__row"].alias("__row")).select("__row")
+    alone = sets.filter("__f is null").select(*cols)
+    return sets.join(stay, "__row", "left_semi").select(*cols).unionByName(alone)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return jaccard_components(docs).drop("f")
+    return jaccard_components(docs)
 
 
 OP3_SQL = r"""
