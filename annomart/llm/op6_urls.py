@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 SEGMENT = r"^[a-z][a-z0-9+.-]*://[^/?#]+/([^/?#]+)"
-DAY = F.expr("INTERVAL 1 DAY")
 
 
 def host(url: Column) -> Column:
@@ -50,7 +49,7 @@ def validity_pieces(edits: DataFrame, last_day) -> DataFrame:
     e = (edits.filter("key is not null and list is not null and ts is not null")
          .groupBy("key", "list", "ts").agg(F.max(F.coalesce("added", F.lit(False))).alias("added"))
          .withColumn("day", F.to_date("ts")))
-    end = (F.col("day") + DAY).cast("timestamp_ntz").cast(edits.schema["ts"].dataType)
+    end = F.date_add("day", 1).cast(edits.schema["ts"].dataType)
     inside = (e.withColumn("valid_to", F.coalesce(
         F.lead("ts").over(Window.partitionBy("key", "list", "day").orderBy("ts")), end))
         .filter("added").select("key", "list", "day", F.col("ts").alias("valid_from"), "valid_to"))
@@ -58,7 +57,7 @@ def validity_pieces(edits: DataFrame, last_day) -> DataFrame:
             .withColumn("next", F.lead("first").over(Window.partitionBy("key", "list").orderBy("day"))))
     until = F.least(F.coalesce(F.to_date("next"), F.lit(last_day)), F.lit(last_day))
     across = (days.filter("added").withColumn("valid_from", end).withColumn("from_day", F.date_add("day", 1))
-              .filter(F.col("from_day") <= until)
+              .filter((F.col("from_day") <= until) & (F.col("next").isNull() | (F.col("valid_from") < F.col("next"))))
               .select("key", "list", F.explode(F.sequence("from_day", until)).alias("day"), "valid_from",
                       F.col("next").alias("valid_to")))
     return inside.unionByName(across)

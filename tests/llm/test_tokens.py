@@ -123,9 +123,9 @@ def test_bin_completion_against_exhaustive_search():
 
 def test_bin_completion_beats_best_fit():
     """Best fit decreasing opens a third bin here; the search finds two."""
-    count = np.bincount([6, 5, 5, 4, 4, 3, 3], minlength=16)
-    assert sum(k for _, k in best_fit_decreasing(count, 15)) == 3
-    assert sum(k for _, k in bin_completion(count, 15)) == 2
+    count = np.bincount([5, 4, 4, 3, 2, 2], minlength=11)
+    assert sum(k for _, k in best_fit_decreasing(count, 10)) == 3
+    assert sum(k for _, k in bin_completion(count, 10)) == 2
 
 
 def test_hot_length_is_ranked_in_parts(spark):
