@@ -59,20 +59,29 @@ def live(prefixes: str | list[str], uniquename="uniquename", is_analysis="is_ana
 def similar_to_regex(pattern: str) -> str:
     """P5: translate SQL ``SIMILAR TO`` into an anchored Java regex.
 
-    ``%`` -> ``.*``, ``_`` -> ``.``, ``|`` and parentheses kept, other regex
-    metacharacters escaped.  Whole-string match like SQL.
+    ``%`` -> ``.*`` and ``_`` -> ``.`` (newlines included); ``|``, ``*``,
+    ``+``, ``?``, ``{m,n}``, parentheses and bracket expressions keep their
+    meaning; a backslash quotes the next character; everything else is
+    literal.  Whole-string match like SQL.
     """
-    out = []
-    for ch in pattern:
-        if ch == "%":
-            out.append(".*")
-        elif ch == "_":
-            out.append(".")
-        elif ch in "|()":
+    out, i, bracket = [], 0, False
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\" and i + 1 < len(pattern):
+            i += 1
+            out.append(re.escape(pattern[i]))
+        elif bracket:
+            bracket = ch != "]"
+            out.append("\\[" if ch == "[" else ch)
+        elif ch == "[":
+            bracket = True
             out.append(ch)
+        elif ch in "%_":
+            out.append(".*" if ch == "%" else ".")
         else:
-            out.append(re.escape(ch))
-    return "\\A(?:" + "".join(out) + ")\\z"
+            out.append(ch if ch in "|()*+?{}" else re.escape(ch))
+        i += 1
+    return "(?s)\\A(?:" + "".join(out) + ")\\z"
 
 
 def similar_to(col: ColumnOrName, pattern: str) -> Column:
@@ -115,17 +124,6 @@ def regex_substr(col: ColumnOrName, pattern: str) -> Column:
     return F.regexp_substr(_c(col), F.lit(pattern))
 
 
-def trim_chars(col: ColumnOrName, chars: str) -> Column:
-    """``trim(both '<chars>' from x)``."""
-    return F.expr(f"trim(BOTH '{chars}' FROM {_sql(col)})")
-
-
-def _sql(col: ColumnOrName) -> str:
-    if isinstance(col, str):
-        return f"`{col}`"
-    raise TypeError("trim_chars needs a column name")
-
-
 def split_part(col: ColumnOrName, sep_regex: str, n: int) -> Column:
     """``regexp_split_to_array(x, sep)[n]`` (1-based); NULL past the end."""
     return F.get(F.split(_c(col), sep_regex), n - 1)
@@ -139,18 +137,7 @@ def list_size(col: ColumnOrName, sep_regex: str) -> Column:
 
 def replace_first(col: ColumnOrName, literal: str, replacement: str = "") -> Column:
     """F10 (Python ``str.replace(x, y, 1)``): replace the first occurrence."""
-    return F.regexp_replace(_c(col), "^(.*?)" + re.escape(literal), "$1" + replacement.replace("$", "\\$"))
-
-
-def sgml_to_text(col: ColumnOrName) -> Column:
-    return _c(col)
-
-
-# --- typed null for union branches ---------------------------------------
-
-def null_of(dtype: str) -> Column:
-    """``NULL::bigint`` etc."""
-    return F.lit(None).cast(dtype)
+    return F.regexp_replace(_c(col), "(?s)^(.*?)" + re.escape(literal), "$1" + replacement.replace("$", "\\$"))
 
 
 # --- summaries (F23) ------------------------------------------------------

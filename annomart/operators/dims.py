@@ -86,11 +86,6 @@ def type_name(cat, names, col: str = "type_id", **kw) -> F.Column:
     return F.element_at(F.create_map(*pairs), F.col(col))
 
 
-def type_ids(cat, names, **kw) -> DataFrame:
-    """Just the ids of the named types (bounded, broadcast)."""
-    return terms(cat, names, cols=("cvterm_id",), **kw)
-
-
 def db_ids(cat, names: list[str], *, case: str | None = None) -> DataFrame:
     """db rows by (optionally case-folded) name; unique names -> bounded."""
     col = F.col("name")

@@ -12,8 +12,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str], nulls_last:
     The reference leaves the winner to row order; here it is the first row
     by ``order`` (ascending, NULLs last unless ``nulls_last=False``), then
     by the remaining columns, so the choice is a total order and
-    reproducible.  Implemented as a hash aggregate (``min_by`` over a
-    struct) rather than a window: map-side partial aggregation keeps one
+    reproducible.  Implemented as an aggregate (``min_by`` over a struct; a
+    sort aggregate in the plan) rather than a window: partial aggregation keeps one
     candidate per key per task, so a key holding a third of all rows is
     never sorted or gathered in one task.
     """
@@ -30,14 +30,6 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str], nulls_last:
     return best.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
-def first_per_key_agg(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str]) -> DataFrame:
-    """D2 via ``min_by``: a hash aggregate with map-side partial aggregation,
-    so a hot key costs one row per map task in the shuffle.  Use when the
-    order is a single column that is unique within a key."""
-    aggs = [F.min_by(F.col(c), F.col(order_col)).alias(c) for c in value_cols]
-    return df.groupBy(*keys).agg(F.min(order_col).alias(order_col), *aggs)
-
-
 def surrogate_key(*cols: Column | str) -> Column:
     """stable, distributed surrogate id from the natural key (replaces
     ``SERIAL``; no single-task numbering)."""
@@ -67,15 +59,14 @@ def check_unique(df: DataFrame, keys: list[str], table: str, primary: bool = Tru
 
 def check_fk(child: DataFrame, child_cols: list[str], parent: DataFrame, parent_cols: list[str],
              table: str) -> DataFrame:
-    """T31 foreign key check: child keys (non-NULL) with no parent row.
+    """T31 foreign key check: child keys (no part NULL) with no parent row.
 
     ``left_anti`` join; the parent side is reduced to distinct keys first.
     Output ``(table, key, n_violations)`` with the number of child rows.
     """
     p = parent.select(*[F.col(a).alias(f"_p{i}") for i, a in enumerate(parent_cols)]).distinct()
     c = child.select(*[F.col(a).alias(f"_c{i}") for i, a in enumerate(child_cols)])
-    c = c.filter(F.greatest(*[F.col(f"_c{i}").isNotNull() for i in range(len(child_cols))]) if len(child_cols) > 1
-                 else F.col("_c0").isNotNull())
+    c = c.dropna("any")
     cond = [F.col(f"_c{i}") == F.col(f"_p{i}") for i in range(len(child_cols))]
     orphans = c.join(p, cond, "left_anti")
     key_txt = F.concat_ws("|", *[F.col(f"_c{i}").cast("string") for i in range(len(child_cols))])

@@ -2,21 +2,18 @@
 
 Spark has no range-join strategy; a plain theta join on ``src`` with an
 overlap predicate is quadratic per scaffold.  Here both sides are cut into
-fixed-size bins on their coordinate axis, joined on ``(src, bin)`` - an
-ordinary shuffled equi-join that partitions by position - and the overlap is
-tested inside the bin.  A pair is emitted only in the first bin the two
-intervals share (``greatest`` of their first bins), so no ``distinct`` (and
-no second shuffle) is needed.  Results are exact: every interval is put in
-every bin it touches, however long it is; ``bin_size`` only trades explode
-volume (long intervals) against candidate pairs per bin (dense regions).
-
-A dense ``(src, bin)`` key - one region holding a large share of all
-intervals - is a skewed partition of the equi-join; AQE's skew-join handling
-(on by default) splits that partition of the larger side over several tasks
-and replicates the matching partition of the other side, so no single task
-holds the whole region.  Candidate pairs within a bin are bounded by the
-true overlaps plus the intervals that share the bin without overlapping;
-choose ``bin_size`` near the typical interval length.
+bins on their coordinate axis and joined on ``(src, level, bin)`` - an
+ordinary shuffled equi-join that partitions by position.  Bins come in
+``LEVELS`` sizes, each ``FACTOR`` times the one below; an interval's own level
+is the smallest whose bins are at least as long as the interval, so it touches
+at most two of them, and it is placed on its own and all larger levels: a
+constant number of rows per interval, however long it is.  Two intervals meet
+on the larger of their levels, in the first bin that both touch, so each pair
+is emitted once and no ``distinct`` is needed.  Results are exact.
+
+A dense key - one region holding a large share of all intervals - is a skewed
+partition of the equi-join; AQE's skew-join handling (on by default) splits it
+over several tasks.  Choose ``bin_size`` near the typical interval length.
 """
 
 from __future__ import annotations
@@ -27,11 +24,26 @@ from pyspark.sql import functions as F
 DEFAULT_BIN = 100_000
 
 
-def _binned(df: DataFrame, src: str, lo: str, hi: str, bin_size: int, p: str) -> DataFrame:
-    first = F.floor(F.col(lo) / bin_size).cast("long")
-    last = F.floor(F.greatest(F.col(hi), F.col(lo)) / bin_size).cast("long")
-    return (df.withColumn(f"{p}first", first)
-              .withColumn(f"{p}bin", F.explode(F.sequence(first, last))))
+LEVELS = 5
+FACTOR = 16
+
+
+def _binned(df: DataFrame, lo: str, hi: str, bin_size: int, p: str) -> DataFrame:
+    """``df`` once per bin: ``<p>own`` level, ``<p>level``, ``<p>bin``, ``<p>first`` bin on the level."""
+    sizes = [bin_size * FACTOR ** i for i in range(LEVELS)]
+    length = F.col(hi) - F.col(lo)
+    own = F.lit(LEVELS - 1)
+    for i in range(LEVELS - 2, -1, -1):
+        own = F.when(length <= sizes[i], i).otherwise(own)
+
+    def bins(i):
+        first = F.floor(F.col(lo) / sizes[i]).cast("long")
+        last = F.floor(F.greatest(F.col(hi), F.col(lo)) / sizes[i]).cast("long")
+        row = F.transform(F.sequence(first, last), lambda b: F.struct(F.lit(i).alias("level"), b.alias("bin"), first.alias("first")))
+        return F.when(F.col(f"{p}own") <= i, row).otherwise(F.array().cast("array<struct<level:int,bin:bigint,first:bigint>>"))
+
+    rows = df.withColumn(f"{p}own", own).withColumn("_b", F.explode(F.concat(*[bins(i) for i in range(LEVELS)])))
+    return rows.withColumns({f"{p}level": F.col("_b.level"), f"{p}bin": F.col("_b.bin"), f"{p}first": F.col("_b.first")}).drop("_b")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, *, left_cols=("srcfeature_id", "fmin", "fmax"),
@@ -48,34 +60,41 @@ def overlap_join(left: DataFrame, right: DataFrame, *, left_cols=("srcfeature_id
     rs, rlo, rhi = right_cols
     L = left.withColumnRenamed(ls, "l_src").withColumnRenamed(llo, "l_lo").withColumnRenamed(lhi, "l_hi")
     R = right.withColumnRenamed(rs, "r_src").withColumnRenamed(rlo, "r_lo").withColumnRenamed(rhi, "r_hi")
-    Lb = _binned(L, "l_src", "l_lo", "l_hi", bin_size, "_l")
-    Rb = _binned(R, "r_src", "r_lo", "r_hi", bin_size, "_r")
+    Lb = _binned(L, "l_lo", "l_hi", bin_size, "_l")
+    Rb = _binned(R, "r_lo", "r_hi", bin_size, "_r")
     if inclusive:
         ov = (F.col("l_lo") <= F.col("r_hi")) & (F.col("r_lo") <= F.col("l_hi"))
     else:
         ov = (F.col("l_lo") < F.col("r_hi")) & (F.col("r_lo") < F.col("l_hi"))
-    cond = ((F.col("l_src") == F.col("r_src")) & (F.col("_lbin") == F.col("_rbin")) & ov
-            & (F.col("_lbin") == F.greatest(F.col("_lfirst"), F.col("_rfirst"))))
+    cond = ((F.col("l_src") == F.col("r_src")) & (F.col("_llevel") == F.col("_rlevel")) & (F.col("_lbin") == F.col("_rbin")) & ov
+            & (F.col("_llevel") == F.greatest("_lown", "_rown")) & (F.col("_lbin") == F.greatest("_lfirst", "_rfirst")))
     out = Lb.join(Rb, cond, "inner")
-    out = out.drop("_lbin", "_rbin", "_lfirst", "_rfirst")
+    out = out.drop(*[f"_{x}{c}" for x in "lr" for c in ("own", "level", "bin", "first")])
     return (out.withColumnRenamed("l_src", f"l_{ls}").withColumnRenamed("l_lo", f"l_{llo}")
                .withColumnRenamed("l_hi", f"l_{lhi}").withColumnRenamed("r_src", f"r_{rs}")
                .withColumnRenamed("r_lo", f"r_{rlo}").withColumnRenamed("r_hi", f"r_{rhi}"))
 
 
 def featureloc_slice(queries: DataFrame, featureloc: DataFrame, *, query_cols=("srcfeature_id", "fmin", "fmax"),
-                     bin_size: int = DEFAULT_BIN, inclusive: bool = True) -> DataFrame:
+                     wanted: DataFrame | None = None, bin_size: int = DEFAULT_BIN, inclusive: bool = True) -> DataFrame:
     """For every query range, the featureloc rows on the same source that
-    overlap it (the set-based ``featureloc_slice(src, min, max)``)."""
-    return overlap_join(queries, featureloc.select("feature_id", "srcfeature_id", "fmin", "fmax"),
-                        left_cols=query_cols, bin_size=bin_size, inclusive=inclusive)
+    overlap it (the set-based ``featureloc_slice(src, min, max)``).  ``wanted``
+    (column ``feature_id``) restricts the locations before they are binned."""
+    loc = featureloc.select("feature_id", "srcfeature_id", "fmin", "fmax")
+    if wanted is not None:
+        loc = loc.join(wanted.select("feature_id"), "feature_id", "left_semi")
+    return overlap_join(queries, loc, left_cols=query_cols, bin_size=bin_size, inclusive=inclusive)
 
 
-def feature_overlaps(featureloc: DataFrame, features: DataFrame, *, bin_size: int = DEFAULT_BIN) -> DataFrame:
+def feature_overlaps(featureloc: DataFrame, features: DataFrame, others: DataFrame | None = None, *,
+                     bin_size: int = DEFAULT_BIN) -> DataFrame:
     """J13 ``feature_overlaps``: for each feature in ``features`` (column
-    ``feature_id``), every feature with a location overlapping one of its
-    locations on the same source: ``(feature_id, other_id)``."""
+    ``feature_id``), every feature of ``others`` (column ``feature_id``; all
+    located features if absent) with a location overlapping one of its
+    locations on the same source: ``(feature_id, other_id)``.  Both sides are
+    restricted before they are binned."""
     loc = featureloc.select("feature_id", "srcfeature_id", "fmin", "fmax")
-    mine = loc.join(features.select("feature_id").distinct(), "feature_id", "left_semi")
-    other = loc.withColumnRenamed("feature_id", "other_id")
-    return overlap_join(mine, other, bin_size=bin_size).select("feature_id", "other_id")
+    mine = loc.join(features.select("feature_id"), "feature_id", "left_semi")
+    if others is not None:
+        loc = loc.join(others.select("feature_id"), "feature_id", "left_semi")
+    return overlap_join(mine, loc.withColumnRenamed("feature_id", "other_id"), bin_size=bin_size).select("feature_id", "other_id")

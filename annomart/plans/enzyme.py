@@ -13,6 +13,7 @@ from ..operators import dims
 EC_PROPTYPES = {"DE": "ec_description", "CA": "ec_catalytic_activity", "class": "ec_class"}
 # fixed values: records that must not be used
 TRANSFERRED_OR_DELETED = r"^(Transferred|Deleted) entry"
+# fixed value: layout of a class line in the nomenclature file
 CLASS_LINE = r"^(\d.*?\.\-)\s+(.*)$"
 
 
@@ -33,29 +34,31 @@ def ec_numbers(cat) -> DataFrame:
                        F.col("s.cv").alias("cv"), F.col("s.cvname").alias("cvname"))
 
 
-def parse_enzyme_records(records: DataFrame, col: str = "value") -> DataFrame:
+def parse_enzyme_records(records: DataFrame, col: str = "value", order_col: str | None = None) -> DataFrame:
     """One record per row -> ``(id, field, value, rank)`` for DE and CA.
 
-    Values keep line order; a field with several lines is joined with
-    blanks and re-split after each period (F19), so the split pieces and
-    their positions become the values and ranks."""
-    lines = records.withColumn("_rec", F.monotonically_increasing_id()).select(
-        "_rec", F.posexplode(F.split(F.col(col), "\n")).alias("pos", "line"))
-    m = F.regexp_extract("line", r"^(ID|DE|CA)\s+(.*)$", 1)
-    v = F.regexp_extract("line", r"^(ID|DE|CA)\s+(.*)$", 2)
-    tagged = lines.select("_rec", "pos", m.alias("field"), v.alias("value")).filter(F.col("field") != "")
-    ids = tagged.filter(F.col("field") == "ID").groupBy("_rec").agg(F.max_by("value", "pos").alias("id"))
-    vals = (tagged.filter(F.col("field") != "ID")
-            .groupBy("_rec", "field").agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("v")))
-    vals = vals.select("_rec", "field", F.transform("v", lambda x: x["value"]).alias("vals"))
-    joined = F.array_join("vals", " ")
-    split = F.filter(F.split(joined, r"(?<=\.)\s*"), lambda x: x != "")
-    vals = vals.select("_rec", "field", F.when(F.size("vals") > 1, split).otherwise(F.col("vals")).alias("vals"))
-    out = (ids.join(vals, "_rec").select("id", "field", F.posexplode("vals").alias("rank", "value"))
-           .select("id", "field", "value", F.col("rank").cast("long").alias("rank")))
+    A record is read inside its row.  Values keep line order; a field with
+    several lines is joined with blanks and re-split after each period (F19),
+    so the pieces and their positions become the values and ranks.  Of several
+    records with one id the last wins (``order_col``, else file order)."""
+    lines = F.split(F.col(col), "\n")
+
+    def tagged(tag):
+        return F.transform(F.filter(lines, lambda x: x.rlike(rf"^{tag}\s+")),
+                           lambda x: F.regexp_extract(x, rf"^{tag}\s+(.*)$", 1))
+
+    def pieces(v):
+        return F.when(F.size(v) > 1, F.filter(F.split(F.array_join(v, " "), r"(?<=\.)\s*"), lambda x: x != "")).otherwise(v)
+
+    def ranked(field, v):
+        return F.transform(v, lambda x, i: F.struct(F.lit(field).alias("field"), x.alias("value"), i.cast("long").alias("rank")))
+
+    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    rec = records.select(order.alias("_ord"), F.try_element_at(tagged("ID"), F.lit(-1)).alias("id"),
+                         pieces(tagged("DE")).alias("de"), pieces(tagged("CA")).alias("ca")).filter("id is not null")
+    last = rec.groupBy("id").agg(F.max_by(F.struct("de", "ca"), "_ord").alias("r"))
     # an ID-only record still counts as found
-    idrows = ids.select("id", F.lit("ID").alias("field"), F.col("id").alias("value"), F.lit(0).cast("long").alias("rank"))
-    return out.unionByName(idrows)
+    return last.select("id", F.inline(F.concat(ranked("DE", F.col("r.de")), ranked("CA", F.col("r.ca")), ranked("ID", F.array("id")))))
 
 
 def parse_enzyme_classes(lines: DataFrame, col: str = "value", order_col: str | None = None) -> DataFrame:

@@ -26,10 +26,6 @@ def row_key(*cols: str) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
 
 
-def _symbols(cat) -> DataFrame:
-    return feature_symbols(cat).select(F.col("object_id").alias("_fid"), F.col("synonym_sgml").alias("_sym"))
-
-
 def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list[str] | None,
         direction: str = "subject", with_symbol: bool = False) -> DataFrame:
     """One typed edge hop from ``near`` rows (feature id in ``near_col``).
@@ -49,8 +45,7 @@ def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list
     far = far.select(F.col("feature_id").alias("far_id"), F.col("uniquename").alias("far"))
     out = near.join(fr, near_col).join(far, "far_id")
     if with_symbol:
-        out = out.join(_symbols(cat).withColumnRenamed("_fid", "far_id"), "far_id", "left") \
-                 .withColumnRenamed("_sym", "far_symbol")
+        out = out.join(symbols_by_name(cat).withColumnsRenamed({"uniquename": "far", "symbol": "far_symbol"}), "far", "left")
     return out
 
 
@@ -77,7 +72,8 @@ def gene(cat) -> DataFrame:
 
 def _construct_flag_names(cat) -> DataFrame:
     """Allele uniquenames counted as construct alleles by the gen-1 rule."""
-    a = cat["feature"].select(F.col("feature_id").alias("a"), F.col("uniquename").alias("fbal_id"))
+    a = cat["feature"].filter(F.col("uniquename").startswith("FBal")).select(
+        F.col("feature_id").alias("a"), F.col("uniquename").alias("fbal_id"))
     via = hop(cat, a, "a", ["associated_with"], ["FBtp", "FBmc", "FBms"], direction="object").select("fbal_id")
     mut = (cat["cvterm"].filter(F.lower("name").startswith("in vitro construct"))
            .join(cat["cvtermprop"].filter(F.col("value") == "origin_of_mutation"), "cvterm_id", "left_semi")
@@ -144,17 +140,15 @@ def allele(cat, counters: bool = True, genes: DataFrame | None = None) -> DataFr
 
     b2 = constructish(hop(cat, g, "gene_id", ["has_reg_region"], ["FBal"]))
 
-    tr = hop(cat, g, "gene_id", ["attributed_as_expression_of"], ["FBtr", "FBpp"]).select(
-        "gene_id", F.col("far").alias("tr_name"))
-    tr = _by_name(cat, tr, "tr_name").withColumnRenamed("_nid", "tr_id")
-    al = hop(cat, tr, "tr_id", ["associated_with"], ["FBal"], direction="object").select("gene_id", "far")
-    al_ids = _by_name(cat, al.select(F.col("far").alias("n")).distinct(), "n").withColumnRenamed("_nid", "a")
-    with_tp = hop(cat, al_ids, "a", ["associated_with"], ["FBtp"], direction="object").select(F.col("n").alias("far"))
-    with_to = hop(cat, al_ids, "a", ["encodes_tool"], ["FBto"], direction="object").select(F.col("n").alias("far"))
-    b3 = constructish(al.join(with_tp.distinct(), "far", "left_semi").join(with_to.distinct(), "far", "left_semi"))
-
-    sf = hop(cat, g, "gene_id", ["associated_with"], ["FBsf"]).select("gene_id", F.col("far").alias("sf_name"))
-    sf = _by_name(cat, sf, "sf_name").withColumnRenamed("_nid", "sf_id")
+    # hops carry feature ids: the next edge must start at the very same feature
+    tr = hop(cat, g, "gene_id", ["attributed_as_expression_of"], ["FBtr", "FBpp"]).select("gene_id", F.col("far_id").alias("tr_id"))
+    al = hop(cat, tr, "tr_id", ["associated_with"], ["FBal"], direction="object").select("gene_id", F.col("far_id").alias("a"), "far")
+    al_ids = al.select("a").distinct()
+    with_tp = hop(cat, al_ids, "a", ["associated_with"], ["FBtp"], direction="object").select("a")
+    with_to = hop(cat, al_ids, "a", ["encodes_tool"], ["FBto"], direction="object").select("a")
+    b3 = constructish(al.join(with_tp, "a", "left_semi").join(with_to, "a", "left_semi"))
+
+    sf = hop(cat, g, "gene_id", ["associated_with"], ["FBsf"]).select("gene_id", F.col("far_id").alias("sf_id"))
     sfa = hop(cat, sf, "sf_id", ["has_reg_region"], ["FBal"])
     # literal reference condition: the gene id must equal the surface feature id
     b4 = constructish(sfa.filter(F.col("gene_id") == F.col("sf_id")))
@@ -290,9 +284,9 @@ def allele_mutagen(cat, alleles: DataFrame) -> DataFrame:
 def _insertions_with_own_allele(cat) -> DataFrame:
     """(fbti feature name, gene feature id) pairs where the insertion has an
     allele of that gene (FBal -associated_with-> FBti, FBal -alleleof-> FBgn)."""
-    ti = cat["feature"].select(F.col("feature_id").alias("ti"), F.col("uniquename").alias("fbti"))
-    a2 = hop(cat, ti, "ti", ["associated_with"], ["FBal"]).select("fbti", F.col("far").alias("a2"))
-    a2 = _by_name(cat, a2, "a2").withColumnRenamed("_nid", "a2_id")
+    ti = cat["feature"].filter(F.col("uniquename").startswith("FBti")).select(
+        F.col("feature_id").alias("ti"), F.col("uniquename").alias("fbti"))
+    a2 = hop(cat, ti, "ti", ["associated_with"], ["FBal"]).select("fbti", F.col("far_id").alias("a2_id"))
     g2 = hop(cat, a2, "a2_id", ["alleleof"], ["FBgn"], direction="object")
     return g2.select("fbti", F.col("far_id").alias("gene_id")).distinct()
 
@@ -304,29 +298,25 @@ def insertion(cat, alleles: DataFrame, bin_size: int = DEFAULT_BIN) -> DataFrame
     (interval join J13).  Plus stock and pub counts."""
     a = _by_name(cat, _allele_rows(alleles), "fbal_id").withColumnRenamed("_nid", "a")
     b1 = hop(cat, a, "a", ["associated_with"], ["FBti"], direction="object", with_symbol=True)
-    b1 = b1.select(F.col("far").alias("fbti_id"), F.col("far_symbol").alias("symbol"), "allele_id",
-                   F.lit(None).cast("long").alias("gene_id")).distinct()
+    b1 = first_per_key(b1.select(F.col("far").alias("fbti_id"), F.col("far_symbol").alias("symbol"), "allele_id",
+                                 F.lit(None).cast("long").alias("gene_id")), ["allele_id", "fbti_id"], ["symbol"])
 
     own = _insertions_with_own_allele(cat)
     g = gene(cat).select(F.col("feature_id").alias("gene_id"))
-    tr = hop(cat, g, "gene_id", ["attributed_as_expression_of"], ["FBtr", "FBpp"]).select(
-        "gene_id", F.col("far").alias("tr"))
-    tr = _by_name(cat, tr, "tr").withColumnRenamed("_nid", "tr_id")
-    al = hop(cat, tr, "tr_id", ["associated_with"], ["FBal"], direction="object").select(
-        "gene_id", F.col("far").alias("al"))
-    al = _by_name(cat, al, "al").withColumnRenamed("_nid", "al_id")
+    tr = hop(cat, g, "gene_id", ["attributed_as_expression_of"], ["FBtr", "FBpp"]).select("gene_id", F.col("far_id").alias("tr_id"))
+    al = hop(cat, tr, "tr_id", ["associated_with"], ["FBal"], direction="object").select("gene_id", F.col("far_id").alias("al_id"))
     ti = hop(cat, al, "al_id", ["associated_with"], ["FBti"], direction="object", with_symbol=True)
     ti = ti.join(own.select(F.col("fbti").alias("far"), "gene_id"), ["far", "gene_id"], "left_anti")
-    b2 = ti.select(F.col("far").alias("fbti_id"), F.col("far_symbol").alias("symbol"),
-                   F.lit(None).cast("string").alias("allele_id"), "gene_id").distinct()
+    b2 = first_per_key(ti.select(F.col("far").alias("fbti_id"), F.col("far_symbol").alias("symbol"),
+                                 F.lit(None).cast("string").alias("allele_id"), "gene_id"), ["gene_id", "fbti_id"], ["symbol"])
 
-    ov = feature_overlaps(cat["featureloc"], g.withColumnRenamed("gene_id", "feature_id"), bin_size=bin_size)
     tis = cat["feature"].filter(X.data_class("uniquename") == "FBti").select(
         F.col("feature_id").alias("other_id"), F.col("uniquename").alias("fbti_id"))
+    ov = feature_overlaps(cat["featureloc"], g.withColumnRenamed("gene_id", "feature_id"),
+                          tis.select(F.col("other_id").alias("feature_id")), bin_size=bin_size)
     b3 = ov.join(tis, "other_id").select(F.col("feature_id").alias("gene_id"), "fbti_id").distinct()
     b3 = b3.join(own.select(F.col("fbti").alias("fbti_id"), "gene_id"), ["fbti_id", "gene_id"], "left_anti")
-    sym = feature_symbols(cat).groupBy(F.col("uniquename").alias("fbti_id")).agg(
-        F.min_by("synonym_sgml", "object_id").alias("symbol"))
+    sym = symbols_by_name(cat).withColumnRenamed("uniquename", "fbti_id")
     b3 = b3.join(sym, "fbti_id", "left").select("fbti_id", "symbol",
                                                F.lit(None).cast("string").alias("allele_id"), "gene_id")
 

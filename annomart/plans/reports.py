@@ -19,38 +19,39 @@ from ..operators.overlap import DEFAULT_BIN, featureloc_slice
 EXCLUDED_PREFIXES = "^FB(og|bs|ri|X0|XO)"
 
 
-def _count(df: DataFrame, label: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(label).alias("data_class"), "n")
-
-
 def class_counts(cat) -> DataFrame:
     """Counts of one release: ``(data_class, n)``.
 
     Feature classes come from one aggregation over ``feature`` (the 4-char
     prefix of live ids, some prefixes excluded); dedicated counts for
     located genes and the non-feature tables replace a feature count of the
-    same name (the reference overwrites it).
+    same name (the reference overwrites it).  One aggregate per table.
     """
     f = cat["feature"]
+    live = ~F.col("is_obsolete")
+
+    def counts(df, **conds):
+        row = df.agg(*[F.count_if(c).alias(n) for n, c in conds.items()])
+        return row.select(F.stack(F.lit(len(conds)), *[x for n in conds for x in (F.lit(n), F.col(n))]).alias("data_class", "n"))
+
+    def named(prefix):
+        return F.col("uniquename").rlike(rf"^{prefix}\d+\z")
+
     feat = (f.filter(F.col("uniquename").rlike(r"^FB\w{2}[0-9]+\z") & ~F.col("uniquename").rlike(EXCLUDED_PREFIXES)
-                     & ~F.col("is_obsolete") & ~F.col("is_analysis"))
+                     & live & ~F.col("is_analysis"))
             .groupBy(F.substring("uniquename", 1, 4).alias("data_class")).agg(F.count(F.lit(1)).alias("n")))
-    live_gene = f.filter(F.col("uniquename").rlike(r"^FBgn\d+\z") & ~F.col("is_obsolete") & ~F.col("is_analysis"))
-    paper = dims.is_type(cat, "paper")
+    live_gene = f.filter(F.col("uniquename").startswith("FBgn") & named("FBgn") & live & ~F.col("is_analysis"))
+    rf = named("FBrf") & live
     ded = [
-        _count(live_gene.join(cat["featureloc"], "feature_id"), "FBgn_loc"),
-        _count(cat["strain"].filter(F.col("uniquename").rlike(r"^FBsn\d+\z") & ~F.col("is_obsolete")), "FBsn"),
-        _count(cat["cell_line"].filter(F.col("uniquename").rlike(r"^FBtc\d+\z")), "FBtc"),
-        _count(cat["grp"].filter(F.col("uniquename").rlike(r"^FBgg\d+\z") & ~F.col("is_analysis")
-                                 & ~F.col("is_obsolete")), "FBgg"),
-        _count(cat["interaction_group"].filter(F.col("uniquename").rlike(r"^FBig\d+\z") & ~F.col("is_obsolete")),
-               "FBig"),
-        _count(cat["library"].filter(F.col("uniquename").rlike(r"^FBlc\d+\z") & ~F.col("is_obsolete")), "FBlc"),
-        _count(cat["stock"].filter(F.col("uniquename").rlike(r"^FBst\d+\z") & ~F.col("is_obsolete")), "FBst"),
-        _count(cat["pub"].filter(F.col("uniquename").rlike(r"^FBrf\d+\z") & ~F.col("is_obsolete")), "FBrf"),
-        _count(cat["pub"].filter(F.col("uniquename").rlike(r"^FBrf\d+\z") & ~F.col("is_obsolete"))
-               .filter(paper), "FBrf_papers"),
-        _count(cat["humanhealth"].filter(F.col("uniquename").rlike(r"^FBhh\d+\z") & ~F.col("is_obsolete")), "FBhh"),
+        counts(live_gene.join(cat["featureloc"], "feature_id"), FBgn_loc=F.lit(True)),
+        counts(cat["strain"], FBsn=named("FBsn") & live),
+        counts(cat["cell_line"], FBtc=named("FBtc")),
+        counts(cat["grp"], FBgg=named("FBgg") & ~F.col("is_analysis") & live),
+        counts(cat["interaction_group"], FBig=named("FBig") & live),
+        counts(cat["library"], FBlc=named("FBlc") & live),
+        counts(cat["stock"], FBst=named("FBst") & live),
+        counts(cat["pub"], FBrf=rf, FBrf_papers=rf & dims.is_type(cat, "paper")),
+        counts(cat["humanhealth"], FBhh=named("FBhh") & live),
     ]
     dedicated = ded[0]
     for d in ded[1:]:
@@ -208,10 +209,11 @@ def overlapping_transcripts(cat, locations: DataFrame, bin_size: int = DEFAULT_B
     """Live FBtr of the given types overlapping each location:
     ``(location, id, symbol, type)``, one row per (location line, transcript)."""
     q = locations.join(scaffold_ids(cat), "scaffold")
-    hits = featureloc_slice(q, cat["featureloc"], bin_size=bin_size)
-    tr = (cat["feature"].filter(F.col("uniquename").rlike(r"^FBtr\d+\z") & ~F.col("is_obsolete")
-                                & ~F.col("is_analysis") & dims.is_type(cat, list(types)))
+    tr = (cat["feature"].filter(F.col("uniquename").startswith("FBtr") & F.col("uniquename").rlike(r"^FBtr\d+\z")
+                                & ~F.col("is_obsolete") & ~F.col("is_analysis") & dims.is_type(cat, list(types)))
           .select("feature_id", F.col("uniquename").alias("id"), dims.type_name(cat, list(types)).alias("type")))
+    # only the wanted transcripts' locations are binned
+    hits = featureloc_slice(q, cat["featureloc"], wanted=tr, bin_size=bin_size)
     rows = hits.select("line_id", "location", "feature_id").join(tr, "feature_id")
     sym = feature_symbols(cat).select(F.col("object_id").alias("feature_id"),
                                                   F.col("synonym_sgml").alias("symbol"))

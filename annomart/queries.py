@@ -250,12 +250,23 @@ def q_gene_insertion_overlaps(spark, sf_dir):
     from .operators.overlap import feature_overlaps
     c = cat(spark, sf_dir)
     genes = c["feature"].filter(X.live("FBgn")).select("feature_id", F.col("uniquename").alias("gene_id"))
-    ov = feature_overlaps(c["featureloc"], genes, bin_size=10_000)
-    ti = c["feature"].filter(X.data_class("uniquename") == "FBti").select(
+    ti = c["feature"].filter(F.col("uniquename").startswith("FBti")).select(
         F.col("feature_id").alias("other_id"), F.col("uniquename").alias("fbti_id"))
+    ov = feature_overlaps(c["featureloc"], genes, ti.select(F.col("other_id").alias("feature_id")), bin_size=10_000)
     return ov.join(genes, "feature_id").join(ti, "other_id").select("gene_id", "fbti_id")
 
 
+@query("class_counts_two_releases")
+def q_class_counts_two_releases(spark, sf_dir):
+    """R1 over two releases: this one, and one from before any feature became obsolete."""
+    from pyspark.sql import functions as F
+    from .plans import reports as rp
+    from .sources.tables import Catalog
+    c = cat(spark, sf_dir)
+    earlier = Catalog(spark, sf_dir).override("feature", c["feature"].withColumn("is_obsolete", F.lit(False)))
+    return rp.data_class_counts({"release_a": c, "release_b": earlier})
+
+
 @query("overlapping_transcripts")
 def q_overlapping_transcripts(spark, sf_dir):
     from .plans import reports as rp
@@ -378,28 +389,30 @@ def q_insertions(spark, sf_dir):
     return gm.insertion(c, al, bin_size=10_000)
 
 
+def _chain(c, gm, al):
+    """Insertions, constructs and tools, each written once per catalog."""
+    ins = c.derived("insertion", lambda: gm.insertion(c, al, bin_size=10_000))
+    cons = c.derived("construct", lambda: gm.construct(c, ins, al))
+    return cons, lambda: c.derived("tool", lambda: gm.tool(c, cons, al))
+
+
 @query("constructs")
 def q_constructs(spark, sf_dir):
-    from .session import stage
     c, gm, al = _gen1(spark, sf_dir)
-    ins = stage(gm.insertion(c, al, bin_size=10_000))
-    return gm.construct(c, ins, al)
+    return _chain(c, gm, al)[0]
 
 
 @query("tools")
 def q_tools(spark, sf_dir):
-    from .session import stage
     c, gm, al = _gen1(spark, sf_dir)
-    cons = stage(gm.construct(c, stage(gm.insertion(c, al, bin_size=10_000)), al))
-    return gm.tool(c, cons, al)
+    return _chain(c, gm, al)[1]()
 
 
 @query("tool_uses")
 def q_tool_uses(spark, sf_dir):
-    from .session import stage
     c, gm, al = _gen1(spark, sf_dir)
-    cons = stage(gm.construct(c, stage(gm.insertion(c, al, bin_size=10_000)), al))
-    return gm.tool_use(c, al, cons, stage(gm.tool(c, cons, al)))
+    cons, tool = _chain(c, gm, al)
+    return gm.tool_use(c, al, cons, tool())
 
 
 # --------------------------------------------------------------------------
@@ -425,26 +438,28 @@ def flat(df):
     return df.select(*cols)
 
 
+def _members(c):
+    from .plans import groups
+    return c.derived("pathway_member", lambda: groups.pathway_member(c))
+
+
 @query("pathway_members")
 def q_pathway_members(spark, sf_dir):
-    from .plans import groups
-    return flat(groups.pathway_member(cat(spark, sf_dir)))
+    return flat(_members(cat(spark, sf_dir)))
 
 
 @query("gene_group_membership")
 def q_gene_group_membership(spark, sf_dir):
     from .plans import groups
-    from .session import stage
     c = cat(spark, sf_dir)
-    return flat(groups.gene_group_membership(c, stage(groups.pathway_member(c))))
+    return flat(groups.gene_group_membership(c, _members(c)))
 
 
 @query("pathway_disease")
 def q_pathway_disease(spark, sf_dir):
     from .plans import groups
-    from .session import stage
     c = cat(spark, sf_dir)
-    return groups.pathway_disease(c, stage(groups.pathway_member(c)))
+    return groups.pathway_disease(c, _members(c))
 
 
 # --------------------------------------------------------------------------
@@ -511,6 +526,16 @@ def q_disease_variants_by_gene(spark, sf_dir):
     return flat(disease.disease_variants_by_gene(disease.allele_disease_variant(c), genes))
 
 
+@query("disease_variants_by_disease")
+def q_disease_variants_by_disease(spark, sf_dir):
+    """U15 over every live disease report."""
+    from pyspark.sql import functions as F
+    from .plans import disease
+    c = cat(spark, sf_dir)
+    reports = c["humanhealth"].filter(~F.col("is_obsolete")).select(F.col("uniquename").alias("fbhh_id"))
+    return flat(disease.disease_variants_by_disease(disease.allele_disease_variant(c), reports))
+
+
 # --------------------------------------------------------------------------
 # T1, U12-U14
 # --------------------------------------------------------------------------
@@ -547,9 +572,8 @@ def q_gene_group_members(spark, sf_dir):
     with no subgroup (the unlabelled members)."""
     from pyspark.sql import functions as F
     from .plans import groups
-    from .session import stage
     c = cat(spark, sf_dir)
-    members = stage(groups.pathway_member(c))
+    members = _members(c)
     sub = F.regexp_extract("group_member_label", r"^@(FBgg[0-9]+):", 1)
     pairs = (members.select("fbgg_id", sub.alias("subgroup"))
              .unionByName(members.select("fbgg_id", F.lit("").alias("subgroup"))).distinct())

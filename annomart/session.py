@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,12 +69,16 @@ def flatten(df: DataFrame, sep: str = ",") -> DataFrame:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate mart and cut its lineage (reliable
-    checkpoint into the session's checkpoint folder, shared on a cluster).
+    """Write an intermediate mart as Parquet into the session's checkpoint
+    folder (shared on a cluster) and read it back.
 
     Used where a mart feeds several later steps - the reference's
-    ``CREATE TABLE`` then ``UPDATE`` pattern - so the mart is computed
-    once, and a lost executor recomputes from the staged files rather than
-    from the whole derivation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    ``CREATE TABLE`` then ``UPDATE`` pattern - so the mart is computed once,
+    later steps prune its columns and see its size, and a lost executor costs
+    a re-read instead of the whole derivation."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/annomart-stage/{uuid.uuid4().hex}"
+    df = df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`")
+                     for f in df.schema.fields])
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

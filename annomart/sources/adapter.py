@@ -61,7 +61,7 @@ CV_ROWS = [
 # fixed values: databases (db_id, name, urlprefix); the names are the ones
 # the queries test for, the URL prefixes are placeholders
 DB_ROWS = [
-    (1, "FlyBase", "https://example.org/reports/"),
+    (1, "Annobase", "https://example.org/reports/"),
     (2, "GO", "https://example.org/go/"),
     (3, "DOID", "https://example.org/doid/"),
     (4, "EC", "https://example.org/ec/"),
@@ -210,7 +210,7 @@ VIEWS["cv"] = _values(CV_ROWS, ["cv_id", "name"])
 VIEWS["db"] = _values(DB_ROWS, ["db_id", "name", "urlprefix"])
 VIEWS["type_terms"] = _values(TYPE_TERMS, ["cvterm_id", "cv_id", "name", "is_obsolete"])
 
-# Ontology terms: one per distinct ``p_partkey % 200``.  Every fifth term is in
+# Ontology terms: one per ten parts.  Every fifth term is in
 # a different ontology; FBcv terms come in three families (in vitro
 # construct, mutagen, allele class).
 VIEWS["ontology_terms"] = """
@@ -227,7 +227,12 @@ SELECT cast(1000 + k as bigint) AS cvterm_id,
        END AS name,
        cast(CASE WHEN k % 23 = 0 THEN 1 ELSE 0 END as bigint) AS is_obsolete,
        k
-FROM (SELECT DISTINCT p_partkey % 200 AS k FROM {part}) AS terms
+FROM (SELECT DISTINCT cast(floor(p_partkey / 10) as bigint) AS k FROM {part}) AS terms
+"""
+
+# number of ontology terms: keys of other tables are mapped onto 0 .. n - 1
+VIEWS["ontology_size"] = """
+SELECT count(*) AS n FROM {ontology_terms}
 """
 
 VIEWS["cvterm"] = """
@@ -247,7 +252,7 @@ SELECT cvterm_id, cast(NULL as bigint) AS type_id, 'definition' AS value
 FROM {ontology_terms} WHERE k % 20 = 14
 """
 
-# Enzyme (EC) numbers: one per distinct ``p_partkey % 500``; every 50th is a
+# Enzyme (EC) numbers: one per four parts; every 50th is a
 # class-level number ending in ``.-``.
 VIEWS["ec_numbers_src"] = """
 SELECT e,
@@ -260,7 +265,11 @@ SELECT e,
             ELSE cast(e % 6 + 1 as string) || '.' || cast(e % 5 + 1 as string) || '.'
                  || cast(e % 3 + 1 as string) || '.' || cast(e + 1 as string)
        END AS accession
-FROM (SELECT DISTINCT p_partkey % 500 AS e FROM {part}) AS ecs
+FROM (SELECT DISTINCT cast(floor(p_partkey / 4) as bigint) AS e FROM {part}) AS ecs
+"""
+
+VIEWS["ec_size"] = """
+SELECT count(*) AS n FROM {ec_numbers_src}
 """
 
 VIEWS["dbxref"] = f"""
@@ -320,13 +329,11 @@ FROM {ec_numbers_src} WHERE e % 4 = 1
 """
 
 VIEWS["cvterm_dbxref"] = """
-SELECT cvterm_id, (((k * 7) % 500) * 32 + 7) AS dbxref_id
-FROM {ontology_terms}
-WHERE k % 5 = 1 AND ((k * 7) % 500) IN (SELECT e FROM {ec_numbers_src})
+SELECT cvterm_id, (((k * 7) % n) * 32 + 7) AS dbxref_id
+FROM {ontology_terms} CROSS JOIN {ec_size} WHERE k % 5 = 1
 UNION ALL
-SELECT cvterm_id, (((k * 25) % 500) * 32 + 7) AS dbxref_id
-FROM {ontology_terms}
-WHERE k % 5 = 1 AND ((k * 25) % 500) IN (SELECT e FROM {ec_numbers_src})
+SELECT cvterm_id, (((k * 25) % n) * 32 + 7) AS dbxref_id
+FROM {ontology_terms} CROSS JOIN {ec_size} WHERE k % 5 = 1
 """
 
 # Features.  Gene rows come from part, alleles from orders, constructs from
@@ -421,8 +428,9 @@ FROM {{lineitem}} WHERE l_returnflag = 'R'
 UNION ALL
 SELECT {_LI} * 32 + 6,
        CASE WHEN l_partkey % 3 = 0 THEN l_partkey * 32 + 10 ELSE l_partkey * 32 + 6 END,
-       l_orderkey * 32 + 2, cast(22 as bigint), cast(l_linenumber as bigint), cast(NULL as string)
-FROM {{lineitem}} WHERE l_returnflag = 'R' AND l_linenumber <= 3
+       l_orderkey * 32 + 2, cast(CASE WHEN l_linenumber <= 3 THEN 22 ELSE 27 END as bigint),
+       cast(l_linenumber as bigint), cast(NULL as string)
+FROM {{lineitem}} WHERE l_returnflag = 'R'
 UNION ALL
 SELECT p_partkey * 32 + 7, p_partkey * 32 + 6, p_partkey * 32 + 1, cast(23 as bigint), cast(0 as bigint),
        cast(NULL as string)
@@ -441,10 +449,10 @@ SELECT {_LI} * 32 + 10, o_custkey * 32 + 5, l_partkey * 32 + 1, cast(25 as bigin
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
 WHERE o_custkey % 5 = 0
 UNION ALL
-SELECT {_LI} * 32 + 11, o_custkey * 32 + 4, l_suppkey * 32 + 3, cast(26 as bigint), cast(0 as bigint),
+SELECT {_LI} * 32 + 11, o_custkey * 32 + 4, l_suppkey * 32 + 3,
+       cast(CASE WHEN l_linenumber = 2 AND o_orderkey % 5 = 0 THEN 26 ELSE 27 END as bigint), cast(0 as bigint),
        cast(NULL as string)
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
-WHERE l_linenumber = 2 AND o_orderkey % 5 = 0
 UNION ALL
 SELECT o_orderkey * 32 + 12, o_orderkey * 32 + 2, o_custkey * 32 + 4, cast(22 as bigint), cast(0 as bigint),
        cast(NULL as string)
@@ -452,14 +460,16 @@ FROM {{orders}} WHERE o_orderkey % 3 = 0
 UNION ALL
 SELECT {_LI} * 32 + 13, l_suppkey * 32 + 3,
        CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey * 32 + 7 ELSE l_partkey * 32 + 1 END,
-       cast(CASE l_orderkey % 3 WHEN 0 THEN 29 WHEN 1 THEN 30 ELSE 21 END as bigint), cast(0 as bigint),
-       cast(NULL as string)
-FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_linenumber = 3 AND l_orderkey % 20 < 3
+       cast(CASE WHEN l_linenumber <> 3 OR l_orderkey % 20 >= 3 THEN 27
+                 WHEN l_orderkey % 3 = 0 THEN 29 WHEN l_orderkey % 3 = 1 THEN 30 ELSE 21 END as bigint),
+       cast(0 as bigint), cast(NULL as string)
+FROM {{lineitem}} WHERE l_returnflag = 'A'
 UNION ALL
 SELECT {_LI} * 32 + 14, l_orderkey * 32 + 2,
        CASE WHEN l_partkey % 7 = 0 THEN l_partkey * 32 + 8 ELSE l_partkey * 32 + 1 END,
-       cast(CASE WHEN l_linenumber % 2 = 0 THEN 29 ELSE 30 END as bigint), cast(0 as bigint), cast(NULL as string)
-FROM {{lineitem}} WHERE l_returnflag = 'N' AND l_linenumber IN (5, 6)
+       cast(CASE l_linenumber WHEN 6 THEN 29 WHEN 5 THEN 30 ELSE 27 END as bigint), cast(0 as bigint),
+       cast(NULL as string)
+FROM {{lineitem}} WHERE l_returnflag = 'N'
 UNION ALL
 SELECT o_orderkey * 32 + 15, o_orderkey * 32 + 9, o_orderkey * 32 + 2,
        cast(CASE WHEN o_orderkey % 2 = 0 THEN 27 ELSE 22 END as bigint), cast(0 as bigint), cast(NULL as string)
@@ -742,22 +752,18 @@ SELECT o_orderkey * 32 + 9, doc_id * 2 + 1 FROM {orders} JOIN {documents} ON o_o
 WHERE o_orderstatus = 'P'
 """
 
-# Ontology annotations from line items: genes get one per sixth line item
-# (so some genes end up with few GO aspects), alleles one per 'A' line item
-# in the first two lines, constructs one per seventh line.
+# Ontology annotations: one per line item.  Seventh lines annotate their
+# construct, the first two 'A' lines their allele, all others their gene; a
+# gene gets varying terms from every sixth order and its own term otherwise (so
+# that some genes end up with few GO aspects).
+_ANNOTATED = "CASE WHEN l_linenumber = 7 THEN 3 WHEN l_returnflag = 'A' AND l_linenumber <= 2 THEN 2 ELSE 1 END"
 VIEWS["feature_cvterm"] = f"""
-SELECT {_LI} * 4 AS feature_cvterm_id, l_partkey * 32 + 1 AS feature_id,
-       1000 + (l_orderkey + l_partkey) % 200 AS cvterm_id, l_orderkey % 13 = 0 AS is_not
-FROM {{lineitem}}
-WHERE l_orderkey % 6 = 0 AND ((l_orderkey + l_partkey) % 200) IN (SELECT k FROM {{ontology_terms}})
-UNION ALL
-SELECT {_LI} * 4 + 1, l_orderkey * 32 + 2, 1000 + (l_partkey * 3) % 200, false
-FROM {{lineitem}}
-WHERE l_returnflag = 'A' AND l_linenumber <= 2 AND ((l_partkey * 3) % 200) IN (SELECT k FROM {{ontology_terms}})
-UNION ALL
-SELECT {_LI} * 4 + 2, l_suppkey * 32 + 3, 1000 + ((l_suppkey * 5 + 4) % 200), false
-FROM {{lineitem}}
-WHERE l_linenumber = 7 AND ((l_suppkey * 5 + 4) % 200) IN (SELECT k FROM {{ontology_terms}})
+SELECT {_LI} * 4 AS feature_cvterm_id,
+       CASE {_ANNOTATED} WHEN 3 THEN l_suppkey * 32 + 3 WHEN 2 THEN l_orderkey * 32 + 2 ELSE l_partkey * 32 + 1 END AS feature_id,
+       1000 + CASE WHEN {_ANNOTATED} = 3 THEN l_suppkey * 5 + 4 WHEN {_ANNOTATED} = 2 THEN l_partkey * 3
+                   WHEN l_orderkey % 6 = 0 THEN l_orderkey + l_partkey ELSE l_partkey * 7 END % n AS cvterm_id,
+       {_ANNOTATED} = 1 AND l_orderkey % 13 = 0 AS is_not
+FROM {{lineitem}} CROSS JOIN {{ontology_size}}
 """
 
 _EVIDENCE = [
@@ -767,7 +773,7 @@ _EVIDENCE = [
     "Inferred from mutant phenotype",
     "IEA",
     "CEC; inferred from high throughput direct assay",
-    "inferred from physical interaction with FLYBASE:x",
+    "inferred from physical interaction with ANNOBASE:x",
 ]
 
 
@@ -777,24 +783,18 @@ def _evidence_case(col: str) -> str:
 
 
 VIEWS["feature_cvtermprop"] = f"""
-SELECT {_LI} * 4 AS feature_cvterm_id, cast(47 as bigint) AS type_id, {_evidence_case('l_linenumber')} AS value,
+SELECT {_LI} * 4 AS feature_cvterm_id, cast(47 as bigint) AS type_id,
+       CASE WHEN {_ANNOTATED} = 2 THEN {_evidence_case('(l_partkey % 7) + 1')} ELSE {_evidence_case('l_linenumber')} END AS value,
        cast(0 as bigint) AS rank
 FROM {{lineitem}}
 UNION ALL
-SELECT {_LI} * 4, cast(48 as bigint),
-       CASE l_linenumber % 3 WHEN 0 THEN 'model of' WHEN 1 THEN 'is not model of' ELSE 'DOES NOT model' END,
+SELECT {_LI} * 4,
+       cast(CASE WHEN {_ANNOTATED} = 3 THEN 57 WHEN {_ANNOTATED} = 2 THEN CASE l_linenumber WHEN 1 THEN 56 ELSE 57 END
+                 WHEN l_orderkey % 11 = 0 THEN 49 WHEN l_orderkey % 2 = 0 THEN 48 ELSE 59 END as bigint),
+       CASE WHEN {_ANNOTATED} > 1 THEN 'yes' WHEN l_orderkey % 11 = 0 THEN ''
+            ELSE CASE l_linenumber % 3 WHEN 0 THEN 'model of' WHEN 1 THEN 'is not model of' ELSE 'DOES NOT model' END END,
        cast(0 as bigint)
-FROM {{lineitem}} WHERE l_orderkey % 2 = 0
-UNION ALL
-SELECT {_LI} * 4, cast(49 as bigint), '', cast(0 as bigint) FROM {{lineitem}} WHERE l_orderkey % 11 = 0
-UNION ALL
-SELECT {_LI} * 4 + 1, cast(47 as bigint), {_evidence_case('(l_partkey % 7) + 1')}, cast(0 as bigint)
-FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_linenumber <= 2
-UNION ALL
-SELECT {_LI} * 4 + 1, cast(CASE WHEN l_linenumber = 1 THEN 56 ELSE 57 END as bigint), 'yes', cast(0 as bigint)
-FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_linenumber <= 2
-UNION ALL
-SELECT {_LI} * 4 + 2, cast(57 as bigint), 'yes', cast(0 as bigint) FROM {{lineitem}} WHERE l_linenumber = 7
+FROM {{lineitem}}
 """
 
 VIEWS["feature_dbxref"] = """
@@ -828,12 +828,11 @@ FROM {{supplier}}
 
 VIEWS["grp_cvterm"] = """
 SELECT s_suppkey AS grp_id,
-       CASE WHEN s_suppkey % 3 = 0 THEN cast(91 as bigint) ELSE 1000 + (s_suppkey * 5 + 4) % 200 END AS cvterm_id
-FROM {supplier}
-WHERE s_suppkey % 3 = 0 OR ((s_suppkey * 5 + 4) % 200) IN (SELECT k FROM {ontology_terms})
+       CASE WHEN s_suppkey % 3 = 0 THEN cast(91 as bigint) ELSE 1000 + (s_suppkey * 5 + 4) % n END AS cvterm_id
+FROM {supplier} CROSS JOIN {ontology_size}
 UNION ALL
-SELECT s_suppkey, 1000 + (s_suppkey * 5 + 9) % 200 FROM {supplier}
-WHERE s_suppkey % 6 = 0 AND ((s_suppkey * 5 + 9) % 200) IN (SELECT k FROM {ontology_terms})
+SELECT s_suppkey, 1000 + (s_suppkey * 5 + 9) % n FROM {supplier} CROSS JOIN {ontology_size}
+WHERE s_suppkey % 6 = 0
 """
 
 VIEWS["grp_synonym"] = """
@@ -866,16 +865,17 @@ FROM {{supplier}} WHERE s_suppkey % 3 = 0
 """
 
 VIEWS["feature_grpmember"] = f"""
-SELECT {_LI} AS feature_grpmember_id, l_partkey * 32 + 1 AS feature_id, l_suppkey * 2 + (l_linenumber - 1) AS grpmember_id
-FROM {{lineitem}} WHERE l_linenumber <= 2
+SELECT {_LI} AS feature_grpmember_id, l_partkey * 32 + 1 AS feature_id, 
+       l_suppkey * 2 + CASE WHEN l_linenumber = 1 THEN 0 ELSE 1 END AS grpmember_id
+FROM {{lineitem}}
 """
 
 VIEWS["feature_grpmember_pub"] = f"""
 SELECT {_LI} AS feature_grpmember_id, doc_id * 2 + 1 AS pub_id
-FROM {{lineitem}} JOIN {{documents}} ON doc_id = l_orderkey WHERE l_linenumber = 1
+FROM {{lineitem}} JOIN {{documents}} ON doc_id = l_orderkey
 UNION ALL
 SELECT {_LI}, doc_id * 2 + 1
-FROM {{lineitem}} JOIN {{documents}} ON doc_id = l_orderkey + 1 WHERE l_linenumber = 1 AND l_orderkey % 2 = 0
+FROM {{lineitem}} JOIN {{documents}} ON doc_id = l_orderkey + 1 WHERE l_orderkey % 2 = 0
 """
 
 VIEWS["library"] = f"""
@@ -991,11 +991,11 @@ SELECT CASE l_orderkey % 5
          WHEN 2 THEN {fbid('FBgn9', 'cast(floor(l_partkey / 2) as bigint)')}
          WHEN 3 THEN {fbid('FBal', 'l_orderkey')}
          ELSE {fbid('FBgn8', 'l_orderkey')} END AS value
-FROM {{lineitem}} WHERE l_linenumber = 1
+FROM {{lineitem}}
 """
 
 # S3: locations ``scaffold:min..max``; thousands separators on some; a few
-# malformed lines.
+# malformed lines; some lines repeat.
 VIEWS["location_lines"] = """
 SELECT CASE WHEN c_custkey % 97 = 96 THEN 'junk line ' || cast(c_custkey as string)
             WHEN c_custkey % 4 = 0 AND c_custkey * 70 + 5 >= 1000
@@ -1005,6 +1005,10 @@ SELECT CASE WHEN c_custkey % 97 = 96 THEN 'junk line ' || cast(c_custkey as stri
             ELSE n_name || ':' || cast(c_custkey * 70 + 5 as string) || '..' || cast(c_custkey * 70 + 5 + c_custkey % 500 as string)
        END AS value
 FROM {customer} JOIN {nation} ON n_nationkey = c_custkey % 25
+UNION ALL
+SELECT n_name || ':' || cast(c_custkey * 70 + 5 as string) || '..' || cast(c_custkey * 70 + 5 + c_custkey % 500 as string)
+FROM {customer} JOIN {nation} ON n_nationkey = c_custkey % 25
+WHERE c_custkey % 5 = 1
 """
 
 # Web-log hit CSV; column 0 sometimes holds a surface-feature id.

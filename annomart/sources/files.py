@@ -15,11 +15,6 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     return clean_id_lines(spark.read.text(path))
 
 
-def ids_from_values(spark: SparkSession, ids: list[str]) -> DataFrame:
-    """S2 (array argument form): a small literal id list given by a caller."""
-    return spark.createDataFrame([(i,) for i in ids], "submitted_id string")
-
-
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
     """S3: ``scaffold:min..max`` lines -> parsed locations."""
     return reports.parse_locations(spark.read.text(path))

@@ -14,8 +14,8 @@ import os
 import re
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import adapter
 
@@ -65,8 +65,31 @@ PARTITIONED = {
 }
 
 
-def _views_key(sf_dir: str) -> str:
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``: the default file system
+    for a path without a scheme, as Spark itself resolves it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Name, size and modification time of every file of the base tables."""
+    out = []
+    for name in adapter.BASE_TABLES:
+        fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        if fs.exists(p):
+            files = fs.listFiles(p, True)
+            while files.hasNext():
+                f = files.next()
+                out.append(f"{name}/{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(out)
+
+
+def _views_key(spark: SparkSession, sf_dir: str) -> str:
+    """Key of the staged views: folder, the data files in it, the definitions."""
     h = hashlib.sha1(sf_dir.encode())
+    for line in _fingerprint(spark, sf_dir):
+        h.update(line.encode())
     for name in sorted(adapter.VIEWS):
         h.update(name.encode())
         h.update(adapter.VIEWS[name].encode())
@@ -81,7 +104,8 @@ class Catalog:
     queries see it as a physical table: small plans, filters pushed into the
     scan, and lineage cut at the table (a lost executor recomputes from the
     staged files, not from the whole derivation).  The key hashes the source
-    directory and the view definitions, so a changed definition is rebuilt.
+    directory, its files (name, size, time) and the view definitions, so
+    changed data or a changed definition is rebuilt.
     ``materialize=False`` keeps the views as inline plans (tests with
     fixtures, plan inspection).
     """
@@ -108,39 +132,33 @@ class Catalog:
         if self._root is None:
             layout = "typed" if self.partitioned else "flat"
             sc = self.spark.sparkContext
-            conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or os.environ.get("ANNOMART_STAGE_DIR")
+            conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
             if not conf_dir and not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged tables must not be "
                                    "written to machine-local paths on a cluster")
-            base = conf_dir or "/tmp/annomart-views"
-            self._root = f"{base.rstrip('/')}/annomart-views/{_views_key(self.sf_dir)}-{layout}"
+            base = conf_dir or os.environ.get("ANNOMART_STAGE_DIR") or "file:///tmp/annomart-views"
+            self._root = f"{base.rstrip('/')}/annomart-views/{_views_key(self.spark, self.sf_dir)}-{layout}"
         return self._root
 
     def _staged(self, path: str) -> bool:
         """Whether a complete staged table exists at ``path``."""
-        if path.startswith("/") or path.startswith("file:"):
-            local = path[len("file:"):] if path.startswith("file:") else path
-            return os.path.exists(os.path.join(local, "_SUCCESS"))
-        return _exists(self.spark, path + "/_SUCCESS")
+        fs, p = _fs(self.spark, path + "/_SUCCESS")
+        return fs.exists(p)
 
     def _write_staged(self, name: str, path: str) -> None:
-        """Write a staged table; on a local folder publish it atomically
-        (unique temp path, then rename) so concurrent sessions never see or
-        clobber a half-written table."""
-        w = self._build(name).write.mode("overwrite")
+        """Write a staged table to a path of its own and publish it by rename,
+        so concurrent sessions never see or clobber a half-written table."""
+        df = self._build(name)
         if name in self.partitioned:
-            w = w.partitionBy(self.partitioned[name])
-        local = path.startswith("/") or path.startswith("file:")
-        if not local:
-            w.parquet(path)
-            return
-        target = path[len("file:"):] if path.startswith("file:") else path
-        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
+            # one type's rows go to a few writers, not to every task
+            by = self.partitioned[name]
+            df = df.repartition(by, F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+            w = df.write.partitionBy(by)
+        else:
+            w = df.write
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
         w.parquet(tmp)
-        try:
-            os.rename(tmp, target)
-        except OSError:
-            pass  # another session published it first; theirs is identical
+        publish(self.spark, tmp, path)
 
     def _build(self, name: str) -> DataFrame:
         deps = {d: self.table(d) for d in view_deps(name)}
@@ -187,8 +205,8 @@ class Catalog:
                 list(pool.map(self.table, [n for n, d in depth.items() if d == lvl]))
 
     def derived(self, name: str, build) -> DataFrame:
-        """A table derived from the catalog by ``build()``, materialised once
-        per catalog (reliable checkpoint) and shared by every query."""
+        """A table derived from the catalog by ``build()``, written once per
+        catalog (Parquet) and shared by every query."""
         key = "derived:" + name
         if key not in self._cache:
             from ..session import stage
@@ -201,14 +219,19 @@ class Catalog:
         return self
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a staged table was completely written (its ``_SUCCESS`` marker
-    exists), through the session's file system (local or cluster)."""
-    try:
-        spark.read.text(path).schema
-        return True
-    except AnalysisException:
-        return False
+def publish(spark: SparkSession, tmp: str, path: str) -> None:
+    """Rename a finished table to its public path.  If another session has
+    published a complete one first, that one stays; any other failure raises."""
+    fs, source = _fs(spark, tmp)
+    _, target = _fs(spark, path)
+    if fs.exists(target):
+        done = fs.exists(_fs(spark, path + "/_SUCCESS")[1])
+    else:
+        done = fs.rename(source, target)
+    if not done or not fs.exists(_fs(spark, path + "/_SUCCESS")[1]):
+        raise OSError(f"could not publish {tmp} as {path}")
+    if fs.exists(source):
+        fs.delete(source, True)
 
 
 def oracle_with(query: str) -> str:

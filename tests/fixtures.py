@@ -9,7 +9,7 @@ def catalog(spark, **tables):
     base = {
         "cv": spark.createDataFrame([(1, "molecular_function"), (2, "relationship"), (3, "synonym type"),
                                      (4, "disease_ontology")], "cv_id long, name string"),
-        "db": spark.createDataFrame([(1, "FlyBase", None), (2, "GO", None), (3, "DOID", None)],
+        "db": spark.createDataFrame([(1, "Annobase", None), (2, "GO", None), (3, "DOID", None)],
                                     "db_id long, name string, urlprefix string"),
         "cvterm": spark.createDataFrame([
             (1, 2, "alleleof", 0, 101), (2, 2, "associated_with", 0, 102), (3, 3, "symbol", 0, 103),

@@ -23,7 +23,7 @@ def test_update_ids_cases(spark):
         (12, 1, "FBgn0000098", None),   # secondary of an allele only -> class differs -> unknown
         (13, 2, "FBgn0000097", None),   # other db -> unknown
     ], "dbxref_id long, db_id long, accession string, description string")
-    db = spark.createDataFrame([(1, "FLYBASE", None), (2, "GO", None)], "db_id long, name string, urlprefix string")
+    db = spark.createDataFrame([(1, "ANNOBASE", None), (2, "GO", None)], "db_id long, name string, urlprefix string")
     fdbx = spark.createDataFrame([
         (3, 10, False), (3, 11, False), (4, 11, False), (5, 12, False), (7, 13, False), (7, 10, True),
     ], "feature_id long, dbxref_id long, is_current boolean")
