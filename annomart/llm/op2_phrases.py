@@ -35,11 +35,38 @@ GRAM = 12
 PHRASES = 40_000               # windows compiled into one automaton
 
 
+def block_size(window: int) -> int:
+    """Words per automaton symbol: a divisor of the window."""
+    return next(d for d in (7, 5, 4, 3, 2, 1) if window % d == 0)
+
+
+def digits(most: int):
+    """(letters per symbol, symbols to text) for symbols 0..``most``: 64 letters
+    of its own for each place; 0 is spelt in a letter that no other uses."""
+    width = 1
+    while 64 ** width <= most:
+        width += 1
+
+    def text(symbols: np.ndarray) -> str:
+        code = symbols[:, None] >> 6 * np.arange(width) & 63
+        code += 1 + 64 * np.arange(width)
+        code[symbols == 0] = 0
+        return code.astype("<u4").tobytes().decode("utf-32-le")
+
+    return width, text
+
+
 def locate(ids: np.ndarray, cut: np.ndarray, count: np.ndarray, weight: np.ndarray, hashes: np.ndarray,
            window: int) -> np.ndarray:
     """Which windows of some segments recur.  Segment ``j`` holds the word
     numbers ``ids[cut[j]:cut[j + 1]]``, ``count[j]`` windows and occurs
-    ``weight[j]`` times; ``hashes`` are those of its windows in order."""
+    ``weight[j]`` times; ``hashes`` are those of its windows in order.
+
+    The automaton's symbols are blocks of words: a phrase is the run of its
+    ``window / block`` blocks, and a text is streamed once per phase, as its
+    blocks at every ``block``-th word from the first, second, ... word.  A
+    block's number is spelt in digits, because a state finds its next one by
+    trying its letters in turn."""
     hit = np.zeros(len(hashes), bool)
     _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
     total = np.bincount(back, np.repeat(weight, count), len(first))
@@ -47,21 +74,38 @@ def locate(ids: np.ndarray, cut: np.ndarray, count: np.ndarray, weight: np.ndarr
     confirmed = first[total >= 2]
     if not len(confirmed):
         return hit
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for n, w in enumerate(at[confirmed]):
-        automaton.add_word(tuple(ids[w:w + window].tolist()), n)
+    d = block_size(window)
+    n = window // d
+    blocks = len(ids) - d + 1                                  # those across segments are never streamed
+    _, symbol = np.unique(A.gram_hashes(A.mix(ids.astype(A.U)), d), return_inverse=True)
+    phrase = symbol[at[confirmed][:, None] + np.arange(0, window, d)]
+    used = np.zeros(blocks, np.int64)
+    used[phrase.ravel()] = 1
+    symbol = (np.cumsum(used) * used)[symbol]                  # blocks of no phrase become 0
+    phrase = symbol[at[confirmed][:, None] + np.arange(0, window, d)]
+    width, text = digits(int(used.sum()))
+    automaton = ahocorasick.Automaton()
+    keys = text(phrase.ravel())
+    for k in range(len(phrase)):
+        automaton.add_word(keys[k * n * width:(k + 1) * n * width], k)
     automaton.make_automaton()
-    # one stream of all segments, each followed by a number that no word has
+    # one stream of all segments and phases, each ended by a symbol that no block has
     size = np.diff(cut)
-    begin = np.cumsum(size + 1) - (size + 1)
-    stream = np.zeros(int(size.sum()) + len(size), np.int64)
-    stream[A.ragged(begin, size)] = ids[A.ragged(cut[:-1], size)]
-    found = np.array(list(automaton.iter(tuple(stream.tolist()))), np.int64).reshape(-1, 2)
-    start = found[:, 0] - window + 1
-    seg = np.searchsorted(begin, start, "right") - 1
+    begin = (cut[:-1][:, None] + np.arange(d)).ravel()
+    long = np.maximum((np.repeat(size, d) - np.tile(np.arange(d), len(size))) // d, 0)
+    place = np.cumsum(long + 1) - (long + 1)
+    stream = np.zeros(int((long + 1).sum()), np.int64)
+    word = np.repeat(begin, long) + d * A.ragged(np.zeros(len(long), np.int64), long)
+    spot = A.ragged(place, long)
+    stream[spot] = symbol[np.minimum(word, blocks - 1)]
+    origin = np.zeros(len(stream), np.int64)
+    origin[spot] = word
+    found = np.array(list(automaton.iter(text(stream))), np.int64).reshape(-1, 2)
+    start = origin[found[:, 0] // width - n + 1]               # first word of every occurrence
+    seg = np.searchsorted(cut, start, "right") - 1
     times = np.bincount(found[:, 1], weight[seg], len(confirmed))
     keep = times[found[:, 1]] >= 2
-    hit[(np.cumsum(count) - count)[seg[keep]] + start[keep] - begin[seg[keep]]] = True
+    hit[(np.cumsum(count) - count)[seg[keep]] + start[keep] - cut[seg[keep]]] = True
     return hit
 
 
