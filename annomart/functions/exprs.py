@@ -81,7 +81,8 @@ def similar_to_regex(pattern: str) -> str:
         else:
             out.append(ch if ch in "|()*+?{}" else re.escape(ch))
         i += 1
-    return "(?s)\\A(?:" + "".join(out) + ")\\z"
+    dotall = "(?s)" if any(x in (".", ".*") for x in out) else ""
+    return dotall + "\\A(?:" + "".join(out) + ")\\z"
 
 
 def similar_to(col: ColumnOrName, pattern: str) -> Column:

@@ -72,3 +72,16 @@ def check_fk(child: DataFrame, child_cols: list[str], parent: DataFrame, parent_
     key_txt = F.concat_ws("|", *[F.col(f"_c{i}").cast("string") for i in range(len(child_cols))])
     return (orphans.groupBy(key_txt.alias("key")).agg(F.count(F.lit(1)).alias("n_violations"))
             .select(F.lit(table).alias("table"), "key", "n_violations"))
+
+
+def check_all(marts: dict[str, DataFrame], unique, unique_or_null, foreign) -> DataFrame:
+    """T31 over written marts: all violations of the given constraints.
+    ``unique``: (mart, key columns); ``unique_or_null``: the same, rows with a
+    NULL part exempt; ``foreign``: (mart, column, parent mart, parent column)."""
+    checks = [check_unique(marts[t], k, t) for t, k in unique]
+    checks += [check_unique(marts[t], k, t, primary=False) for t, k in unique_or_null]
+    checks += [check_fk(marts[t], [c], marts[p], [pc], f"{t}.{c}") for t, c, p, pc in foreign]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out

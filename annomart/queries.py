@@ -509,6 +509,19 @@ def q_key_checks(spark, sf_dir):
     return r.key_checks(cat(spark, sf_dir))
 
 
+@query("key_checks_generation1")
+def q_key_checks_generation1(spark, sf_dir):
+    """T31 for the generation-1 marts, each written once per catalog."""
+    from .plans import build
+    c = cat(spark, sf_dir)
+    shared = {"allele": "gene_allele_rows", "insertion": "insertion", "construct": "construct", "tool": "tool",
+              "pathway_member": "pathway_member"}
+    marts = {}
+    for name, make in build.generation1(c, bin_size=10_000):
+        marts[name] = c.derived(shared.get(name, f"mart1:{name}"), lambda make=make: make(marts))
+    return build.generation1_key_checks(marts)
+
+
 @query("allele_disease_variants")
 def q_allele_disease_variants(spark, sf_dir):
     from .plans import disease

@@ -227,7 +227,7 @@ def publish(spark: SparkSession, tmp: str, path: str) -> None:
     if fs.exists(target):
         done = fs.exists(_fs(spark, path + "/_SUCCESS")[1])
     else:
-        done = fs.rename(source, target)
+        done = fs.exists(source) and fs.rename(source, target)
     if not done or not fs.exists(_fs(spark, path + "/_SUCCESS")[1]):
         raise OSError(f"could not publish {tmp} as {path}")
     if fs.exists(source):

@@ -64,3 +64,10 @@ def test_ensure_terms_and_replace_props(spark):
                                 "dbxref_id long, ec string, type string, value string, rank long")
     out = sorted((r.type_id, r.value) for r in ez.replace_props(cat, new, ez.ensure_terms(cat, list(ez.EC_PROPTYPES.values()))).collect())
     assert out == sorted([(2, "kept"), (1, "new description"), (types["ec_class"], "A class")])
+
+
+def test_last_of_repeated_records_wins(spark):
+    recs = spark.createDataFrame([(1, "ID   1.1.1.1\nDE   Old.\nCA   x.\n"), (2, "ID   1.1.1.1\nDE   New.\n"), (3, "CC   no id\n")],
+                                 "n long, value string")
+    got = {(r.field, r.value, r.rank) for r in ez.parse_enzyme_records(recs, order_col="n").collect()}
+    assert got == {("DE", "New.", 0), ("ID", "1.1.1.1", 0)}

@@ -67,3 +67,16 @@ def test_selected_summary(spark):
                                "a int, b int, c int, d int, e int, f int")
     got = [r.s for r in df.select(X.selected_summary("a", "b", "c", "d", "e", "f").alias("s")).collect()]
     assert got == ["Alliance Gene Description", "UniProt Function", "Automatic summary"]
+
+
+def test_similar_to_operators_and_newlines(spark):
+    df = spark.createDataFrame([(x,) for x in ("aab", "ab", "b", "a+b", "a\nb", "xyz", "x[z", "a.b")], "s string")
+    hits = lambda p: {r.s for r in df.filter(X.similar_to("s", p)).collect()}
+    assert hits("a+b") == {"aab", "ab"} and hits("a*b") == {"aab", "ab", "b"} and hits("a?b") == {"ab", "b"}
+    assert hits("a%b") == {"aab", "ab", "a+b", "a\nb", "a.b"} and hits("a_b") == {"aab", "a+b", "a\nb", "a.b"}
+    assert hits("x[xyz]z") == {"xyz"} and hits("a{2}b") == {"aab"} and hits("a\\+b") == {"a+b"} and hits("(x|a).b") == {"a.b"}
+
+
+def test_replace_first_after_a_newline(spark):
+    df = spark.createDataFrame([("one\ntwo two",)], "s string")
+    assert df.select(X.replace_first("s", "two", "2")).first()[0] == "one\n2 two"

@@ -55,3 +55,13 @@ def test_partition_count_invariance(spark):
         results.append(sorted((r.lid, r.rid) for r in overlap_join(L, R, bin_size=500).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_scaffold_long_interval_needs_few_rows_and_stays_exact(spark):
+    from annomart.operators.overlap import LEVELS, _binned, overlap_join
+    rows = [(i, 1, i * 137, i * 137 + (i % 7) * 50) for i in range(300)] + [(999, 1, 0, 90_000_000), (998, 1, 20_000, 1_000_000)]
+    df = spark.createDataFrame(rows, "k long, s long, a long, b long")
+    assert _binned(df, "a", "b", 100, "_x").groupBy("k").count().agg({"count": "max"}).first()[0] <= 2 * LEVELS + 700
+    got = {(r.k, r.m) for r in overlap_join(df, df.withColumnRenamed("k", "m"), left_cols=("s", "a", "b"), right_cols=("s", "a", "b"),
+                                            bin_size=100).select("k", "m").collect()}
+    assert got == {(x[0], y[0]) for x in rows for y in rows if x[2] <= y[3] and y[2] <= x[3]}
