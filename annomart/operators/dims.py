@@ -1,14 +1,8 @@
-"""Small dimension lookups (cv, cvterm, db) and the broadcast policy.
-
-Broadcast policy: a side is broadcast only when its size is bounded by
-construction, never because it happens to be small in a test.  The bounded
-sides used in this library are controlled-vocabulary rows selected *by
-name*: ``cv.name`` and ``db.name`` are unique, and ``cvterm`` is unique on
-``(cv_id, name, is_obsolete)``, so ``cvterm`` filtered by k names has at most
-``k * (#cvs) * 2`` rows whatever the data size.  Everything else (features,
-edges, props, dbxrefs) is joined with a plain equi-join and left to AQE,
-which turns a join into a broadcast at run time only when the measured
-shuffle output is under ``spark.sql.autoBroadcastJoinThreshold``.
+"""Small dimension lookups (cv, cvterm, db).
+
+No side is broadcast by force: adaptive execution broadcasts a side whose
+measured size is small enough.  Named terms are resolved to literal ids by a
+lookup of at most ``MAX_TERMS`` rows.
 """
 
 from __future__ import annotations
@@ -19,9 +13,11 @@ from pyspark.sql import functions as F
 from ..functions.exprs import similar_to
 
 
+MAX_TERMS = 10_000
+
 def terms(cat, names: str | list[str] | None = None, *, pattern: str | None = None,
           live_only: bool = False, cv: str | None = None, cols=("cvterm_id", "name")) -> DataFrame:
-    """cvterm rows selected by name (list or ``SIMILAR TO`` pattern), broadcast."""
+    """cvterm rows selected by name (list or ``SIMILAR TO`` pattern)."""
     t = cat["cvterm"]
     if names is not None:
         names = [names] if isinstance(names, str) else list(names)
@@ -33,9 +29,7 @@ def terms(cat, names: str | list[str] | None = None, *, pattern: str | None = No
     if cv is not None:
         t = t.join(cat["cv"].filter(F.col("name") == cv).select("cv_id"), "cv_id", "left_semi")
     t = t.select(*cols)
-    # forced broadcast only for the name-selected slice (bounded); pattern or
-    # whole-cv slices are left to AQE, which broadcasts them if they are small
-    return F.broadcast(t) if names is not None else t
+    return t
 
 
 def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None,
@@ -44,7 +38,8 @@ def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None,
     per catalog.
 
     Size bound: ``cvterm`` is unique on (cv, name, is_obsolete), so k names
-    give at most ``k * #cvs * 2`` rows, whatever the data size; this is a
+    give at most ``k * #cvs * 2`` rows, whatever the data size, and more than
+    ``MAX_TERMS`` are refused; this is a
     lookup of constants (the reference does the same before its loop), not
     data passing through the driver.  With literal ids the type tests become
     ``type_id IN (...)`` filters: pushed into the parquet scans, no broadcast
@@ -63,7 +58,10 @@ def resolve_terms(cat, names, *, live_only: bool = False, cv: str | None = None,
         t = t.filter(F.col("is_obsolete") == 0)
     if cv is not None:
         t = t.join(cat["cv"].filter(F.col("name") == cv).select("cv_id"), "cv_id", "left_semi")
-    out = {int(r["cvterm_id"]): r["name"] for r in t.select("cvterm_id", "name").collect()}
+    rows = t.select("cvterm_id", "name").limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"{names} name more than {MAX_TERMS} terms")
+    out = {int(r["cvterm_id"]): r["name"] for r in rows}
     if memo is not None:
         memo[key] = out
     return out
@@ -87,19 +85,18 @@ def type_name(cat, names, col: str = "type_id", **kw) -> F.Column:
 
 
 def db_ids(cat, names: list[str], *, case: str | None = None) -> DataFrame:
-    """db rows by (optionally case-folded) name; unique names -> bounded."""
+    """db rows by (optionally case-folded) name."""
     col = F.col("name")
     if case == "upper":
         col = F.upper(col)
     elif case == "lower":
         col = F.lower(col)
-    return F.broadcast(cat["db"].filter(col.isin(names)).select("db_id", F.col("name").alias("db_name"),
-                                                                   "urlprefix"))
+    return cat["db"].filter(col.isin(names)).select("db_id", F.col("name").alias("db_name"), "urlprefix")
 
 
 def cv_ids(cat, names) -> DataFrame:
     names = [names] if isinstance(names, str) else names
-    return F.broadcast(cat["cv"].filter(F.col("name").isin(names)).select("cv_id", F.col("name").alias("cv_name")))
+    return cat["cv"].filter(F.col("name").isin(names)).select("cv_id", F.col("name").alias("cv_name"))
 
 
 def ensure_column(df: DataFrame, name: str, default, dtype: str) -> DataFrame:

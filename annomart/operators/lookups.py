@@ -260,8 +260,10 @@ def _pub_links(cat, entity) -> DataFrame:
 
 def pub_counts(cat, ids: DataFrame, id_col: str, pub_types: list[str] = (), classes: list[str] | None = None
                ) -> DataFrame:
-    """U9 and U10 in one pass: ``(id, n, n_<type>...)`` per input row - all
-    live FBrf pubs and those of each given type.  ``classes`` (optional)
+    """U9 and U10 in one pass: ``(id, n, n_<type>...)`` per input row - the
+    rows that link the live object to live FBrf publications, all and of each
+    given type; zero when none.  Counted per distinct id (partial aggregation
+    before the shuffle) and joined back.  Class-polymorphic like U2.  ``classes`` (optional)
     tells which data classes the ids can have, so branches for other entity
     tables are not planned (T3 counts FBal ids only)."""
     inp = _ids(ids, id_col)
@@ -290,31 +292,10 @@ def pub_counts(cat, ids: DataFrame, id_col: str, pub_types: list[str] = (), clas
 
 
 def pub_count(cat, ids: DataFrame, id_col: str, pub_type: str | None = None) -> DataFrame:
-    """U9 ``pub_count`` / U10 ``pub_count_by_type``: per input row the number
-    of live FBrf publications linked to the live object (rows, not distinct
-    pubs); zero when none.  Class-polymorphic like U2.
-
-    Counts are computed per distinct id (partial aggregation before the
-    shuffle) and joined back, so repeated input ids cost nothing extra.
-    """
-    inp = _ids(ids, id_col)
-    d = inp.select("id").distinct().withColumn("cls", F.upper(X.data_class("id")))
-    pubs = cat["pub"].filter(~F.col("is_obsolete") & (F.upper(X.data_class("uniquename")) == "FBRF"))
-    if pub_type is not None:
-        pubs = pubs.filter(dims.is_type(cat, pub_type))
-    pubs = pubs.select("pub_id")
-    links = []
-    for cls, ent in ENTITY_TABLES.items():
-        ids_c = d.filter(F.col("cls") == cls.upper()).select("id")
-        links.append(_pub_links(cat, ent).join(ids_c, "id", "left_semi"))
-    ids_f = d.filter(~F.col("cls").isin([c.upper() for c in ENTITY_TABLES])).select("id")
-    links.append(_pub_links(cat, FEATURE_ENTITY).join(ids_f, "id", "left_semi"))
-    allk = links[0]
-    for l in links[1:]:
-        allk = allk.unionByName(l)
-    counts = allk.join(pubs, "pub_id").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return (inp.join(counts, "id", "left")
-            .select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    """U9 ``pub_count`` / U10 ``pub_count_by_type``: ``(id, n)`` per input row,
+    all publications or those of one type (see :func:`pub_counts`)."""
+    counts = pub_counts(cat, ids, id_col, [pub_type] if pub_type else [])
+    return counts.select(id_col, F.col(f"n_{pub_type}" if pub_type else "n").alias("n"))
 
 
 # --------------------------------------------------------------------------

@@ -20,7 +20,7 @@ CLASS_LINE = r"^(\d.*?\.\-)\s+(.*)$"
 def ec_numbers(cat) -> DataFrame:
     """EC accessions linked to a live ontology term: one row per dbxref
     (lowest term id wins), ``(ec, dbxref_id, accession, cv, cvname)``."""
-    ec_db = F.broadcast(cat["db"].filter(F.col("name") == "EC").select("db_id"))
+    ec_db = cat["db"].filter(F.col("name") == "EC").select("db_id")
     ec = cat["dbxref"].join(ec_db, "db_id", "left_semi").select(F.col("accession").alias("ec"), "dbxref_id")
     terms = (cat["cvterm"].filter(F.col("is_obsolete") == 0)
              .select("cvterm_id", "cv_id", F.col("name").alias("cvname"), F.col("dbxref_id").alias("t_dbxref"))
@@ -127,5 +127,5 @@ def replace_props(cat, new_rows: DataFrame, types: DataFrame) -> DataFrame:
     types and inserting ``new_rows`` (written to a new path by the caller)."""
     t = types.select(F.col("name").alias("type"), F.col("cvterm_id").alias("type_id"))
     old = cat["dbxrefprop"].join(t.select("type_id"), "type_id", "left_anti")
-    add = new_rows.join(F.broadcast(t), "type").select("dbxref_id", "type_id", "value", "rank")
+    add = new_rows.join(t, "type").select("dbxref_id", "type_id", "value", "rank")
     return old.select("dbxref_id", "type_id", "value", "rank").unionByName(add)

@@ -96,7 +96,7 @@ def gene_summary_stats(cat) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("gene_snapshot")))
 
     def xref_count(prop_type, db_name, name, need_value=False):
-        tt = F.broadcast(cat["cvterm"].filter(F.lower("name") == prop_type).select(F.col("cvterm_id").alias("type_id")))
+        tt = cat["cvterm"].filter(F.lower("name") == prop_type).select(F.col("cvterm_id").alias("type_id"))
         db = dims.db_ids(cat, [db_name], case="lower").select("db_id")
         props = cat["dbxrefprop"].join(tt, "type_id")
         if need_value:
@@ -196,7 +196,7 @@ def scaffold_ids(cat, genus: str = "Drosophila", species: str = "melanogaster",
                  scaffold_type: str = "golden_path") -> DataFrame:
     """Scaffold name -> feature id (live golden path of the organism);
     lowest id when a name repeats."""
-    org = F.broadcast(cat["organism"].filter((F.col("genus") == genus) & (F.col("species") == species))
+    org = (cat["organism"].filter((F.col("genus") == genus) & (F.col("species") == species))
                       .select("organism_id"))
     f = (cat["feature"].filter(~F.col("is_obsolete") & ~F.col("is_analysis"))
          .filter(dims.is_type(cat, scaffold_type))
@@ -230,7 +230,7 @@ ASPECTS = ("biological_process", "molecular_function", "cellular_component")
 
 def located_model_genes(cat, genus="Drosophila", species="melanogaster") -> DataFrame:
     """Live FBgn of type gene of the model organism, one row per location."""
-    org = F.broadcast(cat["organism"].filter((F.col("genus") == genus) & (F.col("species") == species))
+    org = (cat["organism"].filter((F.col("genus") == genus) & (F.col("species") == species))
                       .select("organism_id"))
     g = (cat["feature"].filter(F.col("uniquename").rlike("^FBgn[0-9]+\\z") & ~F.col("is_obsolete")
                                & ~F.col("is_analysis"))

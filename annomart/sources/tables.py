@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adapter
+from . import adapter, schema
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
@@ -28,6 +28,37 @@ def read_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataF
     return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
+def read_annotation_tables(spark: SparkSession, path: str, names=None, jdbc: dict | None = None) -> dict[str, DataFrame]:
+    """S1 over real annotation tables: ``{name: DataFrame}`` for a catalog
+    (``Catalog(spark, path, tables=...)``), with explicit schemas.
+
+    ``path`` is a folder of Parquet tables; with ``jdbc`` (reader options:
+    ``url``, ``driver``, ``partitionColumn`` ...) the tables are read from a
+    database schema of that name instead, partitioned by their first column
+    when the options give its bounds."""
+    out = {}
+    for n in names or schema.COLUMNS:
+        if jdbc is None:
+            out[n] = spark.read.schema(schema.table_schema(n)).parquet(f"{path.rstrip('/')}/{n}.parquet")
+        else:
+            out[n] = jdbc_reader(spark, jdbc, f"{path}.{n}", n).load()
+    return out
+
+
+def jdbc_options(options: dict, table: str, name: str) -> dict[str, str]:
+    """Reader options of one table."""
+    opts = {k: str(v) for k, v in options.items()} | {"dbtable": table}
+    if "lowerBound" in opts and "partitionColumn" not in opts:
+        opts["partitionColumn"] = schema.COLUMNS[name].split()[0]
+    types = {"bigint": "BIGINT", "boolean": "BOOLEAN", "string": "STRING"}
+    opts["customSchema"] = ", ".join(f"{f.name} {types[f.dataType.simpleString()]}" for f in schema.table_schema(name))
+    return opts
+
+
+def jdbc_reader(spark: SparkSession, options: dict, table: str, name: str):
+    return spark.read.format("jdbc").options(**jdbc_options(options, table, name))
+
+
 def view_deps(name: str) -> list[str]:
     text = adapter.VIEWS[name]
     return [m for m in _PLACEHOLDER.findall(text) if m in adapter.VIEWS or m in adapter.BASE_TABLES]
@@ -172,10 +203,12 @@ class Catalog:
                 path = f"{self._stage_root()}/{name}.parquet"
                 if not self._staged(path):
                     self._write_staged(name, path)
-                df = self.spark.read.parquet(path)
                 if name in self.partitioned:
-                    # keep the view's column order (partition columns are read last)
-                    df = df.select(*self._build(name).columns)
+                    # the view's column types and order (partition columns are read last, their type guessed)
+                    view = self._build(name)
+                    df = self.spark.read.schema(view.schema).parquet(path).select(*view.columns)
+                else:
+                    df = self.spark.read.parquet(path)
             else:
                 df = self._build(name)
         elif name in adapter.BASE_TABLES:

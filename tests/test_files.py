@@ -70,3 +70,22 @@ def test_write_csv_header(spark):
     sinks.write_csv(df, out)
     back = spark.read.option("header", "true").csv(out)
     assert back.columns == ["fbid", "num_aspects"] and back.count() == 1
+
+
+def test_annotation_tables_have_explicit_schemas(spark, tmp_path):
+    from annomart.queries import cat
+    from annomart.sources.schema import COLUMNS, table_schema
+    from annomart.sources.tables import jdbc_options, read_annotation_tables
+    c = cat(spark, "/root/testdata/sf0.001")
+    for n in ("cvterm", "feature", "pub"):
+        c[n].write.parquet(f"{tmp_path}/{n}.parquet")
+    got = read_annotation_tables(spark, str(tmp_path), ["cvterm", "feature", "pub"])
+    for n, df in got.items():
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in table_schema(n)]
+        assert df.exceptAll(c[n].select(*df.columns)).count() == 0
+    for n in COLUMNS:                                   # the derived views have these columns
+        have = {f.name: f.dataType for f in c[n].schema}
+        assert all(have.get(f.name) == f.dataType for f in table_schema(n)), n
+    opts = jdbc_options({"url": "jdbc:x", "lowerBound": 1, "upperBound": 9, "numPartitions": 3}, "public.grp", "grp")
+    assert opts["partitionColumn"] == "grp_id" and opts["dbtable"] == "public.grp"
+    assert opts["customSchema"].startswith("grp_id BIGINT, uniquename STRING") and opts["customSchema"].endswith("is_obsolete BOOLEAN")
