@@ -43,8 +43,12 @@ def id_pattern(prefixes: str | list[str]) -> str:
 
 
 def is_id_of(id_col: ColumnOrName, prefixes: str | list[str]) -> Column:
-    """Uniquename matches one of the classes."""
-    return _c(id_col).rlike(id_pattern(prefixes))
+    """Uniquename matches one of the classes.  The prefix test beside the
+    pattern is one that a Parquet scan can apply to its statistics."""
+    c, starts = _c(id_col), None
+    for p in [prefixes] if isinstance(prefixes, str) else prefixes:
+        starts = c.startswith(p) if starts is None else starts | c.startswith(p)
+    return starts & c.rlike(id_pattern(prefixes))
 
 
 def live(prefixes: str | list[str], uniquename="uniquename", is_analysis="is_analysis",

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import similar_to
 
-
 MAX_TERMS = 10_000
 
+
 def terms(cat, names: str | list[str] | None = None, *, pattern: str | None = None,
           live_only: bool = False, cv: str | None = None, cols=("cvterm_id", "name")) -> DataFrame:
     """cvterm rows selected by name (list or ``SIMILAR TO`` pattern)."""
