@@ -12,7 +12,7 @@ ranks, so no length, however frequent, is gathered in one task.
 
 Edge cases: null text is an empty text (one piece, the end id alone); an empty
 table packs into nothing; null or repeated ids are kept as they are; ties of
-length are broken by input order; other columns named in ``keep`` ride along.
+length are broken by input order; all columns of the packed items ride along.
 """
 
 from __future__ import annotations

@@ -13,8 +13,8 @@ context.  With ``p1`` the add-one unigram estimate,
 which sums to 1 over the vocabulary but for the rounding of the codes.  A
 context so frequent that one shard should not hold it is split by successor,
 by its count; so shards stay bounded, however frequent a word is.  Both
-exchanges send each distinct word or pair of a chunk once.  The tries are a
-written table (:func:`train_and_score` returns it) that grows with the corpus.
+exchanges send each distinct word or pair of a chunk once.  The tries, which
+grow with the corpus, can be kept as a table.
 
 Order 2 keeps what is shuffled well under the size of the input; a higher
 order would route one entry per token and order.
@@ -36,15 +36,15 @@ from pyspark.sql import functions as F
 
 from annomart.llm import arrays as A
 from annomart.llm.eliasfano import Trie
-from annomart.llm.passages import Chunk, blob, chunk_table, cuts, rows
+from annomart.llm.passages import Chunk, blob, chunk_table, cuts, rows, squeeze, unsqueeze
 from annomart.llm.scratch import materialise
 
 U = A.U
 WEIGHT = 20.0                   # pseudo-count of the unigram estimate in a context
 FOLDS, HELD_OUT = 7, 2
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 24 << 20         # text per bucket of words
-SHARD_BYTES = 8 << 20           # text per shard of pairs
+SHARD_BYTES = 4 << 20           # text per shard of pairs
 SPLIT = 1 << 18                 # occurrences of a context per part
 END = U(0x00E4D)                # stands for the end among word hashes
 CODES, SPREAD = 65535, 14.0     # codes 1..CODES cover log10 p in [-SPREAD, 0]
@@ -68,8 +68,7 @@ class Tokens:
     """A chunk's tokens: distinct hashes and, per token, its place among them."""
 
     def __init__(self, row: dict, folds: int, held_out: int):
-        row = dict(row, data=A.LOWER[np.frombuffer(row["data"], np.uint8)].tobytes())
-        c = Chunk.of(row, True)
+        c = Chunk.of(row, True, lower=True)
         self.id, self.rest = c.id, c.rest
         self.n = np.diff(c.cut) + 1                            # with the end
         self.cut = np.r_[0, np.cumsum(self.n)]
@@ -89,9 +88,9 @@ class Tokens:
         order = np.argsort(part, kind="stable")
         got = sorted(row["answers"], key=lambda a: a["bucket"])
         num, cnt = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        local = np.concatenate([np.frombuffer(a["num"], "<i4") for a in got]).astype(np.int64)
+        local = np.concatenate([unsqueeze(a["num"], "<i4") for a in got]).astype(np.int64)
         num[order] = np.where(local < 0, -1, local + offsets[part[order]])
-        cnt[order] = np.concatenate([np.frombuffer(a["n"], "<i8") for a in got])
+        cnt[order] = np.concatenate([unsqueeze(a["n"], "<i8") for a in got])
         return num, cnt
 
 
@@ -117,9 +116,11 @@ class Pairs:
 
 def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight: float = WEIGHT,
                     folds: int = FOLDS, held_out: int = HELD_OUT, split: int = SPLIT, chunk_bytes: int = CHUNK_BYTES,
-                    bucket_bytes: int = BUCKET_BYTES, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+                    bucket_bytes: int = BUCKET_BYTES, shard_bytes: int = SHARD_BYTES,
+                    keep_model: bool = True) -> tuple[DataFrame, DataFrame]:
     """(scores, model).  Scores: id, held_out, n_tokens, n_known, train_tokens,
-    base_score, score per row.  Model: (shard, trie binary)."""
+    base_score, score per row.  Model: (shard, trie binary), empty unless
+    ``keep_model`` (the tries then live in their shards' tasks only)."""
     kind = docs.schema[id_col].dataType.simpleString()
     chunks = chunk_table(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", ["id"], "op4-chunks", chunk_bytes)
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
@@ -142,12 +143,12 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         h, n, texts = t.hash[order], t.counts()[order], int((~t.held).sum())
         p = cuts(part[order])
         yield rows({"bucket": [q for q, _, _ in p], "chunk": [t.id] * len(p), "words": [blob(h[a:b], "<u8") for _, a, b in p],
-                    "n": [blob(n[a:b], "<i4") for _, a, b in p], "texts": [texts * (i == 0) for i in range(len(p))]}, word_schema)
+                    "n": [squeeze(n[a:b], "<i4") for _, a, b in p], "texts": [texts * (i == 0) for i in range(len(p))]}, word_schema)
 
     def number(t: pa.Table) -> pa.Table:
         size = np.array([len(x.as_py()) // 8 for x in t.column("words")], np.int64)
         h = np.frombuffer(b"".join(x.as_py() for x in t.column("words")), "<u8")
-        n = np.frombuffer(b"".join(x.as_py() for x in t.column("n")), "<i4").astype(np.int64)
+        n = np.concatenate([unsqueeze(x.as_py(), "<i4") for x in t.column("n")]).astype(np.int64)
         words, back = np.unique(h, return_inverse=True)
         count = np.zeros(len(words), np.int64)
         np.add.at(count, back, n)
@@ -156,15 +157,15 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         known, tokens = int((count > 0).sum()), int(count.sum())
         m = len(size)
         return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"),
-                         "num": pa.array([blob(num[back[b - k:b]], "<i4") for k, b in zip(size, end)], pa.binary()),
-                         "n": pa.array([blob(count[back[b - k:b]], "<i8") for k, b in zip(size, end)], pa.binary()),
+                         "num": pa.array([squeeze(num[back[b - k:b]], "<i4") for k, b in zip(size, end)], pa.binary()),
+                         "n": pa.array([squeeze(count[back[b - k:b]], "<i8") for k, b in zip(size, end)], pa.binary()),
                          "known": pa.array([known] + [0] * (m - 1)), "tokens": pa.array([tokens] + [0] * (m - 1)),
                          "texts": t.column("texts")})
 
     numbers = materialise(
         chunks.mapInArrow(over(send_words), "bucket int, chunk bigint, words binary, n binary, texts bigint").groupBy("bucket")
         .applyInArrow(number, "chunk bigint, bucket int, num binary, n binary, known bigint, tokens bigint, texts bigint"),
-        "op4-words", batch_rows=4)
+        "op4-words", batch_rows=1)
     # one row per bucket; their number follows the input, not the vocabulary
     stats = numbers.groupBy("bucket").agg(F.sum("known").alias("v"), F.sum("tokens").alias("n"), F.sum("texts").alias("d")).collect()
     known = np.zeros(buckets, np.int64)
@@ -189,15 +190,15 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for q, a, b in cuts(p.part):
             ctx = p.key[a:b] >> U(32)
             first = A.run_starts(ctx)
-            r = {"shard": q, "chunk": t.id, "contexts": blob(ctx[first], "<u4"), "sizes": blob(np.diff(np.r_[first, b - a]), "<u4"),
-                 "words": blob(p.key[a:b] & U(0xFFFFFFFF), "<u4"), "n": blob(p.train[a:b], "<u4"),
-                 "totals": blob(p.total[a:b][first], "<i8")}
+            r = {"shard": q, "chunk": t.id, "contexts": squeeze(ctx[first], "<u4"), "sizes": squeeze(np.diff(np.r_[first, b - a]), "<u4"),
+                 "words": squeeze(p.key[a:b] & U(0xFFFFFFFF), "<u4"), "n": squeeze(p.train[a:b], "<u4"),
+                 "totals": squeeze(p.total[a:b][first], "<i8")}
             for k, x in r.items():
                 out[k].append(x)
         yield rows(out, pair_schema)
 
     def serve(t: pa.Table) -> pa.Table:
-        cat = lambda k, kind: np.frombuffer(b"".join(x.as_py() for x in t.column(k)), kind)
+        cat = lambda k, kind: np.concatenate([unsqueeze(x.as_py(), kind) for x in t.column(k)])
         sizes, words, n = cat("sizes", "<u4").astype(np.int64), cat("words", "<u4"), cat("n", "<u4").astype(np.int64)
         ctx, tot = np.repeat(cat("contexts", "<u4"), sizes), np.repeat(cat("totals", "<i8"), sizes)
         key, first, back = np.unique(ctx.astype(U) << U(32) | words, return_index=True, return_inverse=True)
@@ -207,15 +208,18 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         c, w = key >> U(32), key & U(0xFFFFFFFF)
         trie = Trie(Trie.build(c[has], w[has], encode(count[has] / (tot[first][has] + weight))))
         code = trie.look_up(c, w)[back]
-        per = np.array([len(x.as_py()) // 4 for x in t.column("words")], np.int64)
+        per = np.array([int.from_bytes(x.as_py()[:4], "little") for x in t.column("words")], np.int64)
         end = np.cumsum(per)
-        return pa.table({"chunk": pa.array([*t.column("chunk").to_pylist(), None], pa.int64()),
-                         "shard": pa.array([*t.column("shard").to_pylist(), t.column("shard")[0].as_py()], pa.int32()),
-                         "codes": pa.array([*(blob(code[b - k:b], "<u2") for k, b in zip(per, end)), trie.words.tobytes()], pa.binary())})
+        chunk, shard = t.column("chunk").to_pylist(), t.column("shard").to_pylist()
+        codes = [squeeze(code[b - k:b], "<u2") for k, b in zip(per, end)]
+        if keep_model:
+            chunk, shard, codes = [*chunk, None], [*shard, shard[0]], [*codes, trie.words.tobytes()]
+        return pa.table({"chunk": pa.array(chunk, pa.int64()), "shard": pa.array(shard, pa.int32()), "codes": pa.array(codes, pa.binary())})
 
-    served = materialise(
-        numbered.mapInArrow(over(send_pairs), "shard int, chunk bigint, contexts binary, sizes binary, words binary, n binary, totals binary")
-        .groupBy("shard").applyInArrow(serve, "chunk bigint, shard int, codes binary"), "op4-pairs", batch_rows=4)
+    # written before it is dealt out, so that the shuffled texts can go first
+    sent = materialise(numbered.mapInArrow(over(send_pairs), "shard int, chunk bigint, contexts binary, sizes binary, words binary, "
+                                           "n binary, totals binary"), "op4-pairs", batch_rows=1)
+    served = materialise(sent.groupBy("shard").applyInArrow(serve, "chunk bigint, shard int, codes binary"), "op4-served")
 
     # 3. scores
     schema = f"`{id_col}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -224,7 +228,7 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         p, cnt = pairs_of(t, row)
         p1 = ((cnt + 1) / (tokens + v + 1))[t.at]
         codes = np.empty(len(p.order), np.uint16)
-        codes[p.order] = np.concatenate([np.frombuffer(a["codes"], "<u2") for a in sorted(row["served"], key=lambda a: a["shard"])])
+        codes[p.order] = np.concatenate([unsqueeze(a["codes"], "<u2") for a in sorted(row["served"], key=lambda a: a["shard"])])
         prob = decode(codes[p.at]) + weight / (p.c_before + weight) * p1
         m = len(t.n)
         add = lambda x: np.bincount(t.text_of, x, m)
@@ -234,10 +238,10 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     replies = served.filter("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("served"))
-    scored = materialise(numbered.join(replies.hint("shuffle_hash"), "chunk").mapInArrow(over(score), schema), "op4-scores", batch_rows=4)
+    scored = materialise(numbered.join(replies.hint("shuffle_hash"), "chunk").mapInArrow(over(score), schema), "op4-scores", batch_rows=1)
     return scored, served.filter("chunk is null").select("shard", F.col("codes").alias("trie"))
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return train_and_score(docs)[0]
+    return train_and_score(docs, keep_model=False)[0]

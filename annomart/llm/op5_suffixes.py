@@ -206,3 +206,23 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return remove_seen(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
                                     F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, encode(coalesce(text, '')) AS b FROM documents),
+win AS MATERIALIZED (
+  SELECT r, doc_id, i, md5(array_slice(b, i, i + 49)) AS h
+  FROM (SELECT r, doc_id, b, unnest(range(1, octet_length(b) - 48)) AS i FROM d WHERE octet_length(b) >= 50)),
+seen AS (SELECT h, min(doc_id) AS first_id FROM win GROUP BY h),
+hit AS (SELECT r, i FROM win JOIN seen USING (h) WHERE first_id < doc_id),
+step AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit),
+run AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS g FROM step),
+span AS (SELECT r, min(i) AS s, max(i) + 49 AS e FROM run GROUP BY r, g),
+rest AS (SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) + 1 AS a, s - 1 AS z FROM span
+         UNION ALL SELECT r, max(e) + 1, octet_length(any_value(b)) FROM span JOIN d USING (r) GROUP BY r),
+kept AS (SELECT r, string_agg(hex(array_slice(b, a, z)), '' ORDER BY a) AS t FROM rest JOIN d USING (r) WHERE a <= z GROUP BY r),
+lost AS (SELECT r, count(*) AS n_spans, sum(e - s + 1) AS n FROM span GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(CASE WHEN lost.n IS NULL THEN b ELSE unhex(coalesce(t, '')) END) AS kept_sha256
+FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+"""

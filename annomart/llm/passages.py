@@ -44,8 +44,9 @@ U = A.U
 
 
 def chunk_table(docs: DataFrame, text_col: str, cols: list[str], name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, n_bytes, data, offs, rest): whole texts in input order; ``rest``
-    is an Arrow stream of the columns ``cols`` of the same rows."""
+    """(chunk, n_bytes, data, offs, rest): whole texts in input order,
+    compressed (they are shuffled more than once); ``rest`` is an Arrow stream
+    of the columns ``cols`` of the same rows."""
     src = docs.select(*[F.col(c) for c in cols], F.col(text_col).alias("__text"))
 
     def run(batches):
@@ -60,7 +61,7 @@ def chunk_table(docs: DataFrame, text_col: str, cols: list[str], name: str, chun
                     w.write_batch(rest.slice(i, j - i))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part << 32 | k]), pa.array([int(offs[j] - offs[i])]),
-                     pa.array([buf[offs[i]:offs[j]].tobytes()], pa.binary()),
+                     pa.array([pa.compress(buf[offs[i]:offs[j]].tobytes(), codec="zstd", asbytes=True)], pa.binary()),
                      pa.array([(offs[i:j + 1] - offs[i]).astype("<i8").tobytes()], pa.binary()),
                      pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "n_bytes", "data", "offs", "rest"])
                 k += 1
@@ -83,8 +84,9 @@ class Chunk:
     sums: np.ndarray
 
     @classmethod
-    def of(cls, row: dict, words: bool) -> Chunk:
-        buf, offs = np.frombuffer(row["data"], np.uint8), np.frombuffer(row["offs"], "<i8")
+    def of(cls, row: dict, words: bool, lower: bool = False) -> Chunk:
+        buf = np.frombuffer(pa.decompress(row["data"], decompressed_size=row["n_bytes"], codec="zstd", asbytes=True), np.uint8)
+        buf, offs = A.LOWER[buf] if lower else buf, np.frombuffer(row["offs"], "<i8")
         rest = pa.ipc.open_stream(row["rest"]).read_next_batch()
         first = last = None
         cut, values = offs, A.BYTE[buf]
@@ -165,6 +167,21 @@ def blob(x: np.ndarray, kind: str) -> bytes:
     return x.astype(kind).tobytes()
 
 
+def squeeze(x: np.ndarray, kind: str) -> bytes:
+    """Numbers as compressed byte planes (their high bytes are mostly alike)."""
+    x = x.astype(kind)
+    raw = np.frombuffer(x.tobytes(), np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return len(x).to_bytes(4, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def unsqueeze(b: bytes, kind: str) -> np.ndarray:
+    n, size = int.from_bytes(b[:4], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    raw = pa.decompress(b[4:], decompressed_size=n * size, codec="zstd", asbytes=True)
+    return np.frombuffer(np.frombuffer(raw, np.uint8).reshape(size, n).T.tobytes(), kind)
+
+
 def rows(cols: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in schema], schema=schema)
 

@@ -8,7 +8,7 @@ from annomart.llm.op1_packing import op1_best_fit_packing
 from annomart.llm.op2_phrases import OP2_SQL, op2_repeated_phrases
 from annomart.llm.op3_jaccard import OP3_SQL, op3_jaccard_join
 from annomart.llm.op4_lm import op4_lm_scores
-from annomart.llm.op5_suffixes import op5_suffix_dedup
+from annomart.llm.op5_suffixes import OP5_SQL, op5_suffix_dedup
 from annomart.llm.op6_urls import OP6_SQL, op6_url_filters
 from annomart.llm.op7_quality import op7_quality_rules
 from annomart.llm.op8_tokens import op8_token_counts
@@ -31,6 +31,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op2_repeated_phrases": OP2_SQL,
     "op3_jaccard_join": OP3_SQL,
+    "op5_suffix_dedup": OP5_SQL,
     "op6_url_filters": OP6_SQL,
     "op10_license_scan": op10_sql(),
 }
