@@ -10,8 +10,10 @@ produce the same key for it: (band, block, parity word, XOR of the block's
 hashes).  Sets whose size lets them meet the next band produce its keys too.
 
 1. one pass over the texts writes (id, size, set fingerprint);
-2. a second pass makes the block keys; equal keys are chained after a shuffle
-   by key, never paired; components of the chains are candidate clusters (a
+2. a second pass makes the block keys; sets with an equal key are tied to the
+   first of them after a shuffle by key, never paired; the weakest keys (blocks
+   of few shingles, which unrelated texts can share) are spared as far as
+   linked sets share others; components of the ties are candidate clusters (a
    superset of the link graph);
 3. each cluster is verified in tiles of bounded bytes: sizes, then sketch
    distance, then the exact intersection; pairs already connected are skipped
@@ -67,8 +69,10 @@ class Bands:
         return (100 - self.percent) * sizes_sum // (100 + self.percent)
 
     def blocks(self, band: int) -> int:
+        """Blocks in a band: a quarter more than pigeonhole needs, so that
+        linked sets share several keys; none where only equal sets link."""
         d = self.differ(2 * (int(self.lo[band + 1]) - 1))
-        return d + 1 + d // 16
+        return d + 2 + d // 4 if d else 0
 
     def of(self, n: int) -> list[int]:
         """Bands whose keys a set of ``n`` produces."""
@@ -76,19 +80,26 @@ class Bands:
         return [t, t + 1] if n * 100 >= self.percent * int(self.lo[t + 1]) else [t]
 
     def keys(self, u: np.ndarray) -> np.ndarray:
-        n, out = len(u), []
+        """Block keys of a set.  Linked sets share at least ``shared`` of them;
+        with the keys in one order for all sets, strongest (most shingles in the
+        block) first, the last ``shared - 1`` can be spared: the first key that
+        a linked pair shares is never among them (prefix filter)."""
+        n, out = len(u), [np.zeros(0, A.U)]
         second = A.mix(u + A.U(0x9E3779B97F4A7C15))
         for t in self.of(n):
             k = self.blocks(t)
+            if not k:
+                continue
             block = ((u >> A.U(6)) % A.U(k)).astype(np.int64)
             word, total = parity_words(u, block, k), np.zeros(k, A.U)
             np.bitwise_xor.at(total, block, second)
-            full = np.bincount(block, minlength=k) > 0
-            spare = k - self.differ(n + n * 100 // self.percent)          # blocks that must stay untouched
-            if int((~full).sum()) >= spare:
-                full[:] = True
-            b = np.flatnonzero(full)
-            out.append(A.mix(A.mix(total[b] ^ A.mix(word[b])) ^ A.mix((b + (t << 40)).astype(A.U))))
+            size = np.bincount(block, minlength=k)
+            b = np.flatnonzero(size)
+            shared = k - self.differ(n + n * 100 // self.percent) - (k - len(b))
+            if shared < 1:                                      # it may depend on an empty block
+                b, shared = np.arange(k), 1
+            key = A.mix(A.mix(total[b] ^ A.mix(word[b])) ^ A.mix((b + (t << 40)).astype(A.U)))
+            out.append(key[np.lexsort((key, -size[b]))[:len(b) - shared + 1]])
         return np.concatenate(out)
 
 
@@ -167,19 +178,20 @@ def block_keys(width: int, percent: int):
     return run
 
 
-def chained(batches):
-    """Neighbours in a partition sorted by (key, f): equal keys, different sets."""
-    last_k = last_f = None
-    for b in batches:
-        k, f = b.column(0).to_numpy(), b.column(1).to_numpy()
+def tied(batches):
+    """A partition sorted by (key, f): each set of a key with the key's first one."""
+    key = hub = None
+    for batch in batches:
+        k, s = (c.to_numpy() for c in batch.columns)
         if not len(k):
             continue
-        if last_k is not None:
-            k, f = np.r_[last_k, k], np.r_[last_f, f]
-        hit = np.flatnonzero((k[1:] == k[:-1]) & (f[1:] != f[:-1]))
-        last_k, last_f = k[-1], f[-1]
-        if len(hit):
-            yield pa.RecordBatch.from_arrays([pa.array(f[hit]), pa.array(f[hit + 1])], ["a", "b"])
+        first = A.run_starts(k)
+        hubs = s[first].copy()
+        if key is not None and k[0] == key:
+            hubs[0] = hub
+        key, hub = k[-1], hubs[-1]
+        a = np.repeat(hubs, np.diff(np.r_[first, len(k)]))
+        yield pa.RecordBatch.from_arrays([pa.array(a[a != s]), pa.array(s[a != s])], ["a", "b"])
 
 
 class Forest:
@@ -236,8 +248,8 @@ def labelled(sets: DataFrame, text_col: str, width: int, percent: int, tile_byte
     written set table."""
     first = sets.filter("__first").select(F.col(text_col).alias("text"), F.col("__f").alias("f"))
     rows = first.mapInArrow(block_keys(width, percent), "key bigint, f bigint")
-    edges = rows.repartition("key").sortWithinPartitions("key", "f").mapInArrow(chained, "a bigint, b bigint")
-    cluster = components(edges).withColumnsRenamed({"node": "f", "label": "cluster"})
+    ties = rows.repartition("key").sortWithinPartitions("key", "f").mapInArrow(tied, "a bigint, b bigint")
+    cluster = components(ties).withColumnsRenamed({"node": "f", "label": "cluster"})
 
     # the texts are always shuffled by set, whatever the size of the cluster table
     member = materialise(first.join(cluster.hint("shuffle_hash"), "f"), "op3-members")
