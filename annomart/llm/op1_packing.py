@@ -32,7 +32,8 @@ from annomart.llm.scratch import materialise
 CAPACITY = 1024
 END_ID = 2
 NODES = 1500                    # search nodes after the incumbents
-KNOWN_UNITS = 1_500_000         # token ids kept per Python worker for repeated words
+KNOWN_UNITS = 800_000           # token ids kept per Python worker for repeated words
+ENCODED = 4096                  # words encoded at once
 
 # --------------------------------------------------------------------- tokens
 
@@ -87,13 +88,16 @@ class UnitIds:
         at = np.minimum(np.searchsorted(self.hash, h), max(len(self.hash) - 1, 0))
         new = np.flatnonzero(self.hash[at] != h) if len(self.hash) else np.arange(len(h))
         if len(new):
-            got = [x.ids for x in self.encode([buf[s[i]:e[i]].tobytes().decode("utf-8", "replace") for i in first[new]],
-                                              add_special_tokens=False)]
-            n = np.fromiter(map(len, got), np.int64, len(got))
-            total = int(n.sum())
-            if self.used + total > len(self.ids):
-                self.ids = np.r_[self.ids[:self.used], np.zeros(max(total, self.used), np.uint32)]
-            self.ids[self.used:self.used + total] = np.fromiter((i for x in got for i in x), np.uint32, total)
+            n, total = np.empty(len(new), np.int64), 0
+            for a in range(0, len(new), ENCODED):               # a full encoding is far larger than its ids
+                got = [x.ids for x in self.encode([buf[s[i]:e[i]].tobytes().decode("utf-8", "replace") for i in first[new[a:a + ENCODED]]],
+                                                  add_special_tokens=False)]
+                n[a:a + len(got)] = list(map(len, got))
+                end = self.used + total + int(n[a:a + len(got)].sum())
+                if end > len(self.ids):
+                    self.ids = np.r_[self.ids[:self.used + total], np.zeros(end // 2, np.uint32)]
+                self.ids[self.used + total:end] = np.fromiter((i for x in got for i in x), np.uint32, end - self.used - total)
+                total = end - self.used
             hh, aa, ll = (np.r_[self.hash, h[new]], np.r_[self.at, self.used + np.cumsum(n) - n], np.r_[self.len, n])
             self.used += total
             o = np.argsort(hh, kind="stable")
@@ -148,7 +152,7 @@ def document_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
 
     kind = src.schema["id"].dataType.simpleString()
     schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
-    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return src.mapInArrow(A.trimmed(run), schema).withColumnRenamed("id", id_col)
 
 
 # -------------------------------------------------------------------- planning
@@ -305,7 +309,7 @@ def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY,
                                              [*b.schema.names, "__part", "__rank"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields)
-    staged = materialise(items.mapInArrow(ranked, f"{schema}, __part int, __rank bigint"), "pack-items")
+    staged = materialise(items.mapInArrow(ranked, f"{schema}, __part int, __rank bigint"), "pack-items", batch_rows=2000)
     per = staged.groupBy("__part", F.col(length_col).alias("__len")).agg(F.count(F.lit(1)).alias("__n"))
     count = np.zeros(capacity + 1, np.int64)
     for r in per.groupBy("__len").agg(F.sum("__n").alias("n")).collect():      # at most `capacity` rows

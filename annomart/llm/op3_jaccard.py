@@ -158,7 +158,7 @@ def set_table(docs: DataFrame, text_col: str, width: int, whole: bool) -> DataFr
                                              [*b.schema.names, "__n", "__f", "__first"])
 
     ddl = "".join(f"`{x.name}` {x.dataType.simpleString()}, " for x in docs.schema.fields)
-    return docs.mapInArrow(run, ddl + "__n bigint, __f bigint, __first boolean")
+    return docs.mapInArrow(A.trimmed(run), ddl + "__n bigint, __f bigint, __first boolean")
 
 
 def block_keys(width: int, percent: int):
@@ -175,7 +175,7 @@ def block_keys(width: int, percent: int):
                 if held > 1 << 18 or r == b.num_rows - 1:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(of))], ["key", "f"])
                     keys, of, held = [], [], 0
-    return run
+    return A.trimmed(run)
 
 
 def tied(batches):
@@ -271,7 +271,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        percent: int = PERCENT, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``docs``."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sets = materialise(set_table(src, "text", width, False), "op3-sets")
+    sets = materialise(set_table(src, "text", width, False), "op3-sets", batch_rows=2000)
     label = labelled(sets, "text", width, percent, tile_bytes)
     named = sets.select("id", "__n", F.col("__f").alias("f")).join(label, "f", "left").withColumn("label", F.coalesce("label", "f"))
     least = named.filter("f is not null").groupBy("label").agg(F.min("id").alias("component"))
@@ -285,7 +285,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` (all columns) of which each component keeps one: the
     smallest id, of equal ids the first row.  Rows with the empty set all stay."""
     cols = docs.columns
-    sets = materialise(set_table(docs.withColumn("__row", F.monotonically_increasing_id()), text_col, width, True), "op3-docs")
+    sets = materialise(set_table(docs.withColumn("__row", F.monotonically_increasing_id()), text_col, width, True), "op3-docs", batch_rows=2000)
     label = labelled(sets, text_col, width, percent, tile_bytes)
     named = sets.filter("__f is not null").select(F.col("__f").alias("f"), F.struct(
         F.col(id_col).isNull(), F.col(id_col), F.col("__row")).alias("who")).join(label, "f", "left")

@@ -132,7 +132,7 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 for i in range(b.num_rows):
                     row = b.slice(i, 1).to_pylist()[0]
                     yield from f(Tokens(row, folds, held_out), row)
-        return run
+        return A.trimmed(run)
 
     # 1. words: counts and numbers
     word_schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("words", pa.binary()), ("n", pa.binary()), ("texts", pa.int64())])

@@ -172,7 +172,7 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                                               pa.array(tokens > limit)], ["id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = src.schema["id"].dataType.simpleString()
-    out = src.mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    out = src.mapInArrow(A.trimmed(run), f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
     return out.withColumnRenamed("id", id_col)
 
 

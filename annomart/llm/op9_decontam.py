@@ -217,7 +217,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                              pa.array(k, pa.int32()), pa.array(s, pa.int64()), pa.array(e, pa.int64())],
                             ["id", "item", "n_edits", "start_byte", "end_byte"])
 
-        part = src.mapInArrow(run, schema)
+        part = src.mapInArrow(A.trimmed(run), schema)
         out = part if out is None else out.unionAll(part)
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
@@ -240,7 +240,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                         keep[i + hit[0]] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(A.trimmed(run), docs.schema)
     return docs
 
 

@@ -66,7 +66,7 @@ def chunk_table(docs: DataFrame, text_col: str, cols: list[str], name: str, chun
                      pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "n_bytes", "data", "offs", "rest"])
                 k += 1
 
-    return materialise(src.mapInArrow(run, "chunk bigint, n_bytes bigint, data binary, offs binary, rest binary"), name)
+    return materialise(src.mapInArrow(A.trimmed(run), "chunk bigint, n_bytes bigint, data binary, offs binary, rest binary"), name, batch_rows=2000)
 
 
 @dataclass
@@ -201,7 +201,7 @@ def each_chunk(words: bool, f: Callable[[Chunk, dict], Iterator[pa.RecordBatch]]
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
                 yield from f(Chunk.of(row, words), row)
-    return run
+    return A.trimmed(run)
 
 
 Judge = Callable[[dict], np.ndarray]
