@@ -81,27 +81,32 @@ class EliasFano:
         total = len(self.high) * 64 - self.n
         beyond = h > total
         h = np.minimum(h, total)
-        w = np.maximum(np.searchsorted(self.zeros, h - 1, "right") - 1, 0)
-        p = w * 64 + select_in_word(~self.high[w], np.maximum(h - 1 - self.zeros[w], 0)) + 1
-        p = np.where(h == 0, 0, p)
-        idx = p - h
-        found = np.zeros(len(x), bool)
-        open_ = np.flatnonzero(~beyond & (idx < self.n))
-        while len(open_):                                      # along the bucket of equal high parts
-            q, i = p[open_], idx[open_]
-            here = (self.high[q >> 6] >> (q & 63).astype(U) & ONE).astype(bool) & (i < self.n)
-            v = unpack(self.low, self.bits, np.minimum(i, self.n - 1))
-            found[open_] = here & (v == low[open_])
-            on = here & (v < low[open_])
-            open_ = open_[on]
-            p[open_] += 1
-            idx[open_] += 1
+        idx = np.where(h == 0, 0, self._zero(h - 1) + 1 - h)
+        last = np.where(h == total, self.n, self._zero(np.minimum(h, total - 1)) - h)
+        end = last.copy()
+        open_ = np.flatnonzero(~beyond & (idx < end))
+        while len(open_):                                      # halve the bucket of equal high parts
+            i = (idx[open_] + end[open_]) >> 1
+            on = unpack(self.low, self.bits, i) < low[open_]
+            idx[open_[on]] = i[on] + 1
+            end[open_[~on]] = i[~on]
+            open_ = open_[idx[open_] < end[open_]]
+        found = ~beyond & (idx < last)
+        q = np.flatnonzero(found)
+        found[q] = unpack(self.low, self.bits, idx[q]) == low[q]
         idx[beyond] = self.n
         return idx, found
 
+    def _zero(self, r: np.ndarray) -> np.ndarray:
+        """Position of the ``r``-th (from 0) zero of the high parts."""
+        w = np.maximum(np.searchsorted(self.zeros, r, "right") - 1, 0)
+        return w * 64 + select_in_word(~self.high[w], np.maximum(r - self.zeros[w], 0))
+
 
 class Trie:
-    """Two levels: contexts, and under each its successors with a code.
+    """One level: contexts, and under each its successors with a code.  Levels
+    may follow one another on the buffer (``below``); the contexts of the next
+    are the places of this one's successors.
 
     A successor is stored relative to its context: the largest successors of
     all earlier contexts are added, which makes the level monotone; pointers
@@ -115,7 +120,9 @@ class Trie:
             self.parts.append(EliasFano(words[at:]))
             at += self.parts[-1].size
         self.contexts, self.pointers, self.bases, self.successors = self.parts
-        self.codes = words[at:].view(np.uint16)
+        size = at + -(-self.n // 4)
+        self.codes = words[at:size].view(np.uint16)
+        self.below = Trie(words[size:]) if size < len(words) else None
 
     @staticmethod
     def build(context: np.ndarray, successor: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -136,9 +143,9 @@ class Trie:
         """A trie file, memory-mapped."""
         return cls(np.memmap(path, U, "r"))
 
-    def look_up(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
-        """Codes of the pairs (0 where there is none)."""
-        out = np.zeros(len(context), np.uint16)
+    def find(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
+        """Places of the pairs among all successors (-1 where there is none)."""
+        out = np.full(len(context), -1, np.int64)
         if not self.n or not len(context):
             return out
         j, known = self.contexts.successor(context.astype(U))
@@ -149,5 +156,15 @@ class Trie:
         q, x, j = q[inside], x[inside], j[q][inside]
         i, hit = self.successors.successor(x)
         hit &= i >= self.pointers.get(j).astype(np.int64)
-        out[q[hit]] = self.codes[i[hit]]
+        out[q[hit]] = i[hit]
+        return out
+
+    def code_at(self, place: np.ndarray) -> np.ndarray:
+        """Codes at places (0 at -1)."""
+        out = np.zeros(len(place), np.uint16)
+        out[place >= 0] = self.codes[place[place >= 0]]
         return out
+
+    def look_up(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
+        """Codes of the pairs (0 where there is none)."""
+        return self.code_at(self.find(context, successor))

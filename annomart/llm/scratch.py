@@ -40,17 +40,19 @@ def root(spark: SparkSession) -> str:
     return f"{(conf or ensure_checkpoint_dir(spark)).rstrip('/')}/annomart-llm"
 
 
-def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, batch_rows: int | None = None, by: str | None = None, parts: int = 0) -> DataFrame:
     """Write ``df`` as Parquet and read it back.  ``batch_rows`` bounds the rows
-    of an Arrow batch while it is computed (for tables of large rows)."""
+    of an Arrow batch while it is computed (for tables of large rows).  With
+    ``by``, a column of 0..``parts`` - 1, the table has a folder for each value,
+    which ``sweep`` counts as a table of its own."""
     spark = df.sparkSession
     path = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
     conf = {"spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true"}
     if batch_rows:
         conf["spark__sql__execution__arrow__maxRecordsPerBatch"] = batch_rows
     with settings(spark, **conf):
-        df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append(path)
+        df.write.option("compression", "zstd").parquet(path, partitionBy=by)
+    _WRITTEN.extend([f"{path}/{by}={i}" for i in range(parts)] if by else [path])
     return spark.read.schema(df.schema).parquet(path)
 
 

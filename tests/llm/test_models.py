@@ -14,6 +14,7 @@ from annomart.llm.op4_lm import WEIGHT, train_and_score
 from .data import awkward, frame
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.001"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -76,6 +77,38 @@ def test_language_model_without_rows(spark):
     assert out.count() == 0 and model.count() == 0
 
 
+@pytest.mark.parametrize("order", [3, 4])
+@pytest.mark.parametrize("split", [1 << 18, 8])
+def test_language_model_of_higher_order(spark, order, split):
+    rows = awkward(8, n=60, long=120)
+    out, model = train_and_score(frame(spark, rows), split=split, order=order, chunk_bytes=4000, bucket_bytes=6000, shard_bytes=3000)
+    toks = [WORD.findall((t or "").translate(LOW)) + [0] for _, t in rows]
+    held = [zlib.crc32(b"" if d is None else str(d).encode()) % 7 == 2 for d, _ in rows]
+    grams = lambda w, k: [tuple(([1] + w)[max(0, i - k + 2):i + 2]) for i in range(len(w))]
+    c = {k: collections.Counter(g for w, h in zip(toks, held) if not h for g in grams(w, k) if len(g) == k) for k in range(2, order + 1)}
+    uni = collections.Counter(x for w, h in zip(toks, held) if not h for x in w)
+    n, v = sum(uni.values()), len(uni)
+
+    def p(g):
+        if len(g) == 1:
+            return (uni[g[0]] + 1) / (n + v + 1)
+        ctx = g[:-1]
+        total = (held.count(False) if ctx == (1,) else uni[ctx[0]]) if len(ctx) == 1 else c[len(ctx)][ctx]
+        return (c[len(g)][g] + WEIGHT * p(g[1:])) / (total + WEIGHT)
+
+    want = sorted(sum(math.log10(p(g)) for g in grams(w, order)) for w in toks)
+    got = sorted(r.score for r in out.collect())
+    assert got == pytest.approx(want, abs=1e-6)                # small counts are exact
+    # the written tries hold every n-gram of the training texts, whole
+    have = collections.Counter()
+    for r in model.collect():
+        t, k = Trie(np.frombuffer(r.trie, np.uint64)), 2
+        while t is not None:
+            have[k] += int((t.codes[:t.n] > 0).sum())
+            t, k = t.below, k + 1
+    assert have == {k: len(x) for k, x in c.items()}
+
+
 def brute_counts(t):
     t = t or ""
     w = WORD.findall(t)
