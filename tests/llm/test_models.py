@@ -109,6 +109,17 @@ def test_language_model_of_higher_order(spark, order, split):
     assert have == {k: len(x) for k, x in c.items()}
 
 
+def test_query_is_of_order_3_and_reads_a_written_model(spark, monkeypatch):
+    from annomart.llm import op4_lm
+
+    seen, write = {}, op4_lm.materialise
+    monkeypatch.setattr(op4_lm, "materialise", lambda df, name, *a, **kw: seen.setdefault(name, []).append(write(df, name, *a, **kw)) or seen[name][-1])
+    df = op4_lm.op4_lm_scores(spark, SF)
+    assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    tries = [Trie(np.frombuffer(r.trie, np.uint64)) for m in seen["op4-model"] for r in m.collect()]
+    assert sum(t.n for t in tries) > 0 and sum(t.below.n for t in tries) > 0 and all(t.below.below is None for t in tries)
+
+
 def brute_counts(t):
     t = t or ""
     w = WORD.findall(t)
