@@ -2,7 +2,7 @@
 
 A text is cut into units at line ends and at sentence punctuation followed by
 white space; a unit is normalised to its ASCII letters and digits.  Units, or
-runs of up to ``SPAN`` consecutive units (a sentence wrapped over lines), that
+runs of consecutive units (a sentence wrapped over any number of lines), that
 equal a known sentence become that sentence's identifier.  The identifiers in
 order form the text's sequence, on which the ordered rules work: a rule names
 a run of identifiers, takes every occurrence out of the sequence and adds its
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPAN = 6
+SPAN = 6        # units of a sentence in the oracle's SQL alone
 
 # Normalised sentences of public licence texts and notices.
 SENTENCES = {
@@ -73,11 +73,11 @@ JUNK = re.compile(r"[^a-z0-9]+")
 
 
 class Recogniser:
-    def __init__(self, sentences: dict[str, str] = SENTENCES, rules=RULES, span: int = SPAN):
+    def __init__(self, sentences: dict[str, str] = SENTENCES, rules=RULES):
         self.known = {v: k for k, v in sentences.items()}
         words = [v.split(" ") for v in self.known]
         self.prefixes = {" ".join(w[:i]) for w in words for i in range(1, len(w) + 1)}
-        self.rules, self.span = rules, span
+        self.rules = rules
 
     def sentences(self, text: str) -> list[str]:
         """Identifiers in order; a unit starts at most one sentence, the longest."""
@@ -87,8 +87,8 @@ class Recogniser:
             if u not in self.prefixes:
                 continue
             best = self.known.get(u)
-            for k in range(1, min(self.span, len(units) - i)):
-                u = f"{u} {units[i + k]}"
+            for j in range(i + 1, len(units)):                 # ends with the words of a known sentence
+                u = f"{u} {units[j]}"
                 if u not in self.prefixes:
                     break
                 best = self.known.get(u, best)

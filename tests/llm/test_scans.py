@@ -1,6 +1,7 @@
 """Ops 6, 9 and 10 against brute force."""
 import datetime as dt
 import random
+import textwrap
 
 import pyarrow as pa
 
@@ -137,3 +138,13 @@ def test_license_scan(spark):
     got = sorted(((r.doc_id or 0, ",".join(r.sentence_ids), ",".join(r.licenses), r.n_unmatched) for r in out.collect()))
     assert got == sorted((d or 0, s, l, n) for d, _, s, l, n in cases)
     assert license_scan(frame(spark, []).limit(0)).count() == 0 and len(EXTRA) == 11
+
+
+def test_license_scan_of_narrow_lines(spark):
+    wrap = lambda k, width, lead="": "\n".join(lead + x for x in textwrap.wrap(SENTENCES[k].capitalize(), width, break_long_words=False))
+    mit = ("MitGrant", "MitNotice", "MitAsIs")
+    rows = [(i, ".\n\n".join(wrap(k, width, lead) for k in mit) + ".")
+            for i, (width, lead) in enumerate([(72, ""), (60, " * "), (50, "# "), (20, "// "), (1, "")])]
+    assert wrap("MitGrant", 50).count("\n") > 6
+    out = license_scan(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, tuple(r.sentence_ids), tuple(r.licenses), r.n_unmatched) for r in out) == [(i, mit, ("MIT",), 0) for i, _ in rows]
