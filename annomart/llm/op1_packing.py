@@ -4,9 +4,10 @@
 few bins as it can.  Only the histogram of item lengths (at most ``capacity``
 rows, whatever the input) reaches the driver, where a branch-and-bound search
 plans the bins by *pattern*: it takes the largest remaining length, enumerates
-the undominated fillings of the space beside it, applies one as often as the
+all undominated fillings of the space beside it one by one, applies one as often as the
 counts allow, and cuts a branch whose waste cannot beat the incumbent; best
-fit decreasing gives the first incumbent.  The items then find their place by
+fit decreasing gives the first incumbent; the search ends at the lower bound,
+when nothing is left to try, or after ``nodes`` steps.  The items then find their place by
 their rank among the items of their length: partition-wise counts give the
 ranks, so no length, however frequent, is gathered in one task.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -201,49 +203,67 @@ def best_fit_decreasing(count: np.ndarray, capacity: int) -> Plan:
     return [(have, k) for group in bins.values() for have, k in group if k]
 
 
-def fillings(count: np.ndarray, sizes: list[int], room: int, waste: int, most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first: a filling must hold
-    more than the largest single item that fits (which dominates it otherwise)
-    and may leave at most ``waste`` free."""
-    fit = [s for s in sizes if s <= room]
+def reachable(sizes: list[int], count: dict[int, int], room: int) -> list[int]:
+    """Sums up to ``room`` (as bits) of the items from each place of ``sizes`` on."""
+    reach, mask = [1], (1 << room + 1) - 1
+    for s in reversed(sizes):
+        r, left, step = reach[-1], min(count[s], room // s), 1
+        while left:
+            r |= r << min(step, left) * s & mask
+            left, step = left - min(step, left), step * 2
+        reach.append(r)
+    return reach[::-1]
+
+
+def fillings(count: dict[int, int], room: int, waste: int) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room`` by items of ``count``, least waste
+    first, one by one: a filling leaves at most ``waste`` free and no item out
+    that would still fit, and holds more than the largest single item that fits
+    (which dominates it otherwise)."""
+    fit = sorted((s for s, n in count.items() if n and s <= room), reverse=True)
     if not fit:
-        return [()] if room <= waste else []
-    single, found = fit[0], [(fit[0],)]
-    least = max(single + 1, room - waste)
-
-    def extend(have: tuple[int, ...], free: int, i: int) -> None:
-        used = room - free
-        if used >= least and len(have) > 1:
-            found.append(have)
-        if len(have) == 5 or len(found) >= most or free < fit[-1]:
+        if room <= waste:
+            yield ()
+        return
+
+    def exact(i: int, total: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of exactly ``total`` by the items from ``big[i]`` on, largest first."""
+        if not total:
+            yield ()
             return
-        tried = 0
-        for j in range(i, len(fit)):
-            s = fit[j]
-            if s > free or have.count(s) >= count[s]:
-                continue
-            if used + (5 - len(have)) * s < least or tried == 3:
-                return
-            tried += 1
-            extend((*have, s), free - s, j)
-            if len(found) >= most:
-                return
-
-    for i, s in enumerate(fit):
-        if len(found) >= most or 5 * s < least:
-            break
-        extend((s,), room - s, i)
-    ok = [f for f in found if room - sum(f) <= waste]
-    return sorted(ok, key=lambda f: (sum(f), len(f) and f[0]), reverse=True)
+        while i < len(big) and reach[i] >> total & 1:
+            s = big[i]
+            for m in range(min(count[s], total // s), 0, -1):
+                if reach[i + 1] >> total - m * s & 1:
+                    for rest in exact(i + 1, total - m * s):
+                        yield (s,) * m + rest
+            i += 1
+
+    big = None
+    for free in range(min(waste, room - fit[0]) + 1):
+        rest = tuple(s for s in fit if s <= free for _ in range(count[s]))      # all of these would still fit
+        total = room - free - sum(rest)
+        if total < 0:
+            return
+        if big is None or big[-1:] and big[-1] <= free:
+            big = [s for s in fit if s > free]
+            reach = reachable(big, count, room)
+        if room - free == fit[0]:
+            if rest in ((), (fit[0],)):
+                yield (fit[0],)
+        elif reach[0] >> total & 1:
+            for have in exact(0, total):
+                yield have + rest
 
 
 def bin_completion(count: np.ndarray, capacity: int, nodes: int = NODES) -> Plan:
-    """Branch and bound over patterns; returns the best plan found."""
+    """Branch and bound over patterns; returns the best plan found.  ``nodes``
+    is the only limit of the search."""
     best = best_fit_decreasing(count, capacity)
     n_best, floor = sum(k for _, k in best), lower_bound(count, capacity)
     total = int((count * np.arange(len(count))).sum())
     left, path, spent = count.copy(), [], 0
-    stack: list = []                              # per level: [open fillings, largest, waste so far, bins so far]
+    stack: list = []                              # per level: [fillings not yet tried, largest, waste so far, bins so far]
     waste = used = 0
     while n_best > floor and spent < nodes:
         budget = (n_best - 1) * capacity - total - waste         # waste that still beats the incumbent
@@ -252,21 +272,19 @@ def bin_completion(count: np.ndarray, capacity: int, nodes: int = NODES) -> Plan
         if not sizes:
             if used < n_best:
                 best, n_best = list(path), used
-            options: list = []
+            options: Iterator = iter(())
         elif budget < 0:
-            options = []
+            options = iter(())
         else:
             top = sizes[0]
-            left[top] -= 1
-            options = fillings(left, [s for s in sizes if left[s]], capacity - top, budget, 24)
-            left[top] += 1
+            options = fillings({s: int(left[s]) - (s == top) for s in sizes}, capacity - top, budget)
             # the waste bound of the incumbent, once the rest is packed best-fit
             if spent % 64 == 1:
                 rest = best_fit_decreasing(left, capacity)
                 if used + sum(k for _, k in rest) < n_best:
                     best, n_best = [*path, *rest], used + sum(k for _, k in rest)
         stack.append([options, sizes[0] if sizes else 0, waste, used])
-        while stack and not stack[-1][0]:                        # back up to an open filling
+        while stack and (filling := next(stack[-1][0], None)) is None:           # back up to an open filling
             stack.pop()
             if stack:
                 for s in path[-1][0]:
@@ -274,8 +292,8 @@ def bin_completion(count: np.ndarray, capacity: int, nodes: int = NODES) -> Plan
                 path.pop()
         if not stack:
             break
-        options, top, waste, used = stack[-1]
-        pattern = (top, *options.pop(0))
+        _, top, waste, used = stack[-1]
+        pattern = (top, *filling)
         need = {s: pattern.count(s) for s in pattern}
         times = min(int(left[s]) // m for s, m in need.items())
         for s in pattern:

@@ -1,4 +1,5 @@
 """Ops 1 and 8 against the tokenizer library."""
+import itertools
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from annomart.llm import arrays as A
-from annomart.llm.op1_packing import UnitIds, bin_completion, best_fit_decreasing, document_pieces, lower_bound, pack
+from annomart.llm.op1_packing import UnitIds, bin_completion, best_fit_decreasing, document_pieces, fillings, lower_bound, pack
 from annomart.llm.op8_tokens import WordCounts, merge_table, token_counts
 
 from .data import awkward, frame
@@ -128,6 +129,32 @@ def test_bin_completion_beats_best_fit():
     assert sum(k for _, k in bin_completion(count, 10)) == 2
 
 
+def test_bin_completion_of_short_items():
+    """Bins of ten and more items: best fit decreasing misses the lower bound, full enumeration reaches it."""
+    count = np.bincount(np.random.default_rng(0).integers(60, 100, 300), minlength=1025)
+    plan = bin_completion(count, 1024)
+    assert sum(k for _, k in best_fit_decreasing(count, 1024)) == 25
+    assert sum(k for _, k in plan) == lower_bound(count, 1024) == 24
+    assert (np.bincount([s for f, k in plan for s in f * k], minlength=1025) == count).all() and max(sum(f) for f, _ in plan) <= 1024
+
+
+def test_fillings_against_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        sizes = sorted(rng.choice(np.arange(2, 15), 4, replace=False).tolist(), reverse=True)
+        count, room, waste = {s: int(rng.integers(1, 4)) for s in sizes}, int(rng.integers(1, 30)), int(rng.integers(0, 8))
+        want, single = set(), max((s for s in sizes if s <= room), default=0)
+        for m in itertools.product(*[range(count[s] + 1) for s in sizes]):
+            f = tuple(x for s, k in zip(sizes, m) for x in [s] * k)
+            free = room - sum(f)
+            if 0 <= free <= waste and not any(s <= free and k < count[s] for s, k in zip(sizes, m)):
+                if sum(f) > single or f in ((), (single,)):
+                    want.add(f)
+        got = list(fillings(count, room, waste))
+        assert set(got) == want and len(got) == len(want)
+        assert [sum(f) for f in got] == sorted(map(sum, got), reverse=True)
+
+
 def test_hot_length_is_ranked_in_parts(spark):
     items = spark.range(5000).select("id", F.when(F.col("id") % 3 > 0, 300).otherwise(F.col("id") % 900 + 1).alias("length"))
     out = pack(items.repartition(7), capacity=1024)
