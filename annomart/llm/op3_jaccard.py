@@ -7,7 +7,7 @@ symmetric difference of the sets.  Sets are grouped into size bands; in a band
 no linked pair differs in more than ``d`` shingles, so with more than ``d``
 blocks some block is untouched by the difference (pigeonhole) and both sets
 produce the same key for it: (band, block, parity word, XOR of the block's
-hashes).  Sets whose size lets them meet the next band produce its keys too.
+hashes).  Sets whose size lets them meet larger bands produce their keys too.
 
 1. one pass over the texts writes (id, size, set fingerprint);
 2. a second pass makes the block keys; sets with an equal key are tied to the
@@ -77,7 +77,7 @@ class Bands:
     def of(self, n: int) -> list[int]:
         """Bands whose keys a set of ``n`` produces."""
         t = int(np.searchsorted(self.lo, n, "right")) - 1
-        return [t, t + 1] if n * 100 >= self.percent * int(self.lo[t + 1]) else [t]
+        return list(range(t, int(np.searchsorted(self.lo, n * 100 // self.percent, "right"))))
 
     def keys(self, u: np.ndarray) -> np.ndarray:
         """Block keys of a set.  Linked sets share at least ``shared`` of them;

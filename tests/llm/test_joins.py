@@ -95,3 +95,24 @@ def test_every_linked_pair_shares_a_key():
                 k = 1 + n // 8
                 word = lambda u: parity_words(u, ((u >> A.U(6)) % A.U(k)).astype(np.int64), k)
                 assert np.bitwise_count(word(a) ^ word(b)).sum() <= len(a) + len(b) - 2 * both
+
+
+@pytest.mark.parametrize("percent", [51, 55, 60])
+def test_linked_pairs_two_bands_apart_share_a_key(percent):
+    """A low threshold links sizes that lie two bands apart."""
+    rng, bands = np.random.default_rng(3), Bands(percent)
+    apart = 0
+    for n in range(40, 200, 4):
+        big = np.unique(rng.integers(0, 1 << 63, n * 100 // percent).astype(A.U))
+        small = np.sort(rng.permutation(big)[:n])
+        apart += bands.of(len(big))[0] - bands.of(n)[0] > 1
+        assert np.intersect1d(bands.keys(small), bands.keys(big)).size
+    assert apart
+
+
+def test_bands_of_a_high_threshold_are_the_own_and_the_next():
+    for percent in (67, 80, 90, 100):
+        bands = Bands(percent)
+        for n in range(1, 3000):
+            t = int(np.searchsorted(bands.lo, n, "right")) - 1
+            assert bands.of(n) == ([t, t + 1] if n * 100 >= percent * int(bands.lo[t + 1]) else [t])
