@@ -14,6 +14,7 @@ from annomart.llm.op7_quality import op7_quality_rules
 from annomart.llm.op8_tokens import op8_token_counts
 from annomart.llm.op9_decontam import op9_decontamination
 from annomart.llm.op10_licenses import op10_license_scan, op10_sql
+from annomart.llm.op13_align import op13_align_tokenizers
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op13_align_tokenizers": op13_align_tokenizers,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
