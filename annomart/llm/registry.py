@@ -14,6 +14,8 @@ from annomart.llm.op7_quality import op7_quality_rules
 from annomart.llm.op8_tokens import op8_token_counts
 from annomart.llm.op9_decontam import op9_decontamination
 from annomart.llm.op10_licenses import op10_license_scan, op10_sql
+from annomart.llm.op11_whitening import op11_whitening
+from annomart.llm.op12_ranking import op12_quality_ranking
 from annomart.llm.op13_align import op13_align_tokenizers
 
 QUERIES = {
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op11_whitening": op11_whitening,
+    "op12_quality_ranking": op12_quality_ranking,
     "op13_align_tokenizers": op13_align_tokenizers,
     "pipeline": corpus_pipeline.run,
 }
