@@ -49,9 +49,9 @@ from annomart.llm.scratch import materialise
 
 PART_BYTES = 1 << 16            # longer documents are cut into ranges of this size
 SLACK = 1 << 12                 # bytes that a part may look beyond its range
-CHUNK_BYTES = 8 << 20           # text of a chunk of documents
+CHUNK_BYTES = 4 << 20           # text of a chunk of documents
 FAN = 16                        # fragments composed by one task of the tree
-KNOWN_SEGMENTS = 300_000        # remembered per task
+KNOWN_SEGMENTS = 250_000        # remembered per task
 KNOWN_BYTES = 16 << 20
 LEARNT = 4096                   # segments encoded at once
 NONE = np.zeros(0, np.int64)
@@ -181,8 +181,9 @@ class Segments:
         self.bytes_a = self.a.token_bytes
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.len_a, self.len_b = (np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
-        self.str_a = [[f"{i}{s}".encode() for i in range(len(self.bytes_a))] for s in ",|"]
-        self.str_b = [[f"{i}{s}".encode() for i in range(len(self.bytes_b))] for s in ",;"]
+        # texts of a token inside its group and at the end of its side, A first
+        self.word = [f"{i}{c}".encode() for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for i in range(n) for c in ends]
+        self.word_size = np.array([len(w) for w in self.word])
         self.clear()
 
     def clear(self) -> None:
@@ -219,50 +220,62 @@ class Segments:
             self.hash, self.number = both[o], number[o]
         return self.number[np.searchsorted(self.hash, h)][back]
 
-    def learn(self, segs: list[bytes]):
-        """(stats, pairs of each, keys, times) of new segments; their group texts go to ``text``."""
-        m = len(segs)
-        strs = [s.decode("utf-8", "replace") for s in segs]
-        ids_a, ids_b = list(map(self.a.encode, strs)), self.b.encode([s[1:] for s in strs], num_threads=1)
-        ids_b = [x if len(s) > 1 else [self.space] for x, s in zip(ids_b, strs)]
-        ok = np.array([b"".join(map(self.bytes_a.__getitem__, x)) == s == b"".join(map(self.bytes_b.__getitem__, y))
-                       for x, y, s in zip(ids_a, ids_b, segs)])
+    def tokens(self, segs: list[bytes]):
+        """(ok, A tokens, B tokens) of segments; tokens as (segment, id, end offset in it)."""
+        size = np.array([len(x) for x in segs])
+        strs = [x.decode("utf-8", "replace") for x in segs]
+        if all(x[-1].isprintable() and x[-1] != " " for x in strs):      # as in texts: none joins with the next
+            whole, end, side = "".join(strs), np.cumsum(size), []
+            ids_b = [i for x in self.b.encode([x[1:] or x for x in strs], num_threads=1) for i in x]
+            for flat, table, lens in ((self.a.encode(whole), self.bytes_a, self.len_a), (ids_b, self.bytes_b, self.len_b)):
+                if b"".join([table[i] for i in flat]) != whole.encode():
+                    break
+                ids = np.array(flat, np.int64)
+                run = np.cumsum(lens[ids])
+                seg = np.searchsorted(end, run)
+                side.append((seg, ids, run - (end - size)[seg]))
+            if len(side) == 2 and all(np.isin(end, e + (end - size)[g], assume_unique=True).all() for g, _, e in side):
+                return np.ones(len(segs), bool), *side
+        ids_a, ids_b = list(map(self.a.encode, strs)), self.b.encode([x[1:] for x in strs], num_threads=1)
+        ids_b = [x if len(t) > 1 else [self.space] for x, t in zip(ids_b, strs)]
+        ok = np.array([b"".join([self.bytes_a[i] for i in x]) == t == b"".join([self.bytes_b[i] for i in y])
+                       for x, y, t in zip(ids_a, ids_b, segs)])
         side = []
-        for ids, size in ((ids_a, self.len_a), (ids_b, self.len_b)):
+        for ids, lens in ((ids_a, self.len_a), (ids_b, self.len_b)):
             n = np.array([len(x) if k else 0 for x, k in zip(ids, ok)])
             flat = np.fromiter((i for x, k in zip(ids, ok) if k for i in x), np.int64, int(n.sum()))
-            run, seg = np.cumsum(size[flat]), np.repeat(np.arange(m), n)
-            before = np.r_[0, run][np.cumsum(n) - n]                       # bytes of the segments before
-            side.append((n, flat, seg << 32 | (run - before[seg])))
-        (na, fa, ea), (nb, fb, eb) = side
+            run, seg = np.cumsum(lens[flat]), np.repeat(np.arange(len(segs)), n)
+            side.append((seg, flat, run - np.r_[0, run][np.cumsum(n) - n][seg]))
+        return ok, *side
+
+    def learn(self, segs: list[bytes]):
+        """(stats, pairs of each, keys, times) of new segments; their group texts go to ``text``."""
+        m = len(segs)
+        ok, (sa, fa, ea), (sb, fb, eb) = self.tokens(segs)
+        ea, eb = sa << 32 | ea, sb << 32 | eb
         cut = np.intersect1d(ea, eb, assume_unique=True)
         ga, gb, of = np.searchsorted(cut, ea), np.searchsorted(cut, eb), cut >> 32
-        links = np.bincount(ga, minlength=len(cut)) * np.bincount(gb, minlength=len(cut))
-        stats = np.stack([ok, na, nb, np.bincount(of, minlength=m), A.sum_by(links, of, m)], 1).astype(np.int64)
+        na, nb = np.bincount(ga, minlength=len(cut)), np.bincount(gb, minlength=len(cut))
+        stats = np.stack([ok, np.bincount(sa, minlength=m), np.bincount(sb, minlength=m), np.bincount(of, minlength=m),
+                          A.sum_by(na * nb, of, m)], 1).astype(np.int64)
         # pairs: distinct ids of both sides by group
-        ua, ta = np.unique(ga << 32 | fa, return_counts=True)
-        ub, tb = np.unique(gb << 32 | fb, return_counts=True)
-        width = np.bincount(ub >> 32, minlength=len(cut))
-        g = ua >> 32
-        at, n = (np.cumsum(width) - width)[g], width[g]
-        j = A.ragged(at, n)
+        ua, ub = np.sort(ga << 32 | fa), np.sort(gb << 32 | fb)
+        ia, ib = A.run_starts(ua), A.run_starts(ub)
+        ta, tb = np.diff(np.r_[ia, len(ua)]), np.diff(np.r_[ib, len(ub)])
+        ua, ub = ua[ia], ub[ib]
+        width, g = np.bincount(ub >> 32, minlength=len(cut)), ua >> 32
+        n = width[g]
+        j = A.ragged((np.cumsum(width) - width)[g], n)
         key = np.repeat(ua & 0xFFFFFFFF, n) << 32 | (ub[j] & 0xFFFFFFFF)
-        times, seg = np.repeat(ta, n) * tb[j], np.repeat(of[g], n)
-        o = np.lexsort((key, seg))
-        key, times, seg = key[o], times[o], seg[o]
-        first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (seg[1:] != seg[:-1])]) if len(key) else NONE
-        key, times, seg = key[first], (np.add.reduceat(times, first) if len(first) else times), seg[first]
-        # group texts: A tokens, then B tokens of each group
-        last_a, last_b = np.r_[ga[1:] != ga[:-1], True][:len(ga)], np.r_[gb[1:] != gb[:-1], True][:len(gb)]
-        word = [self.str_a[e][i] for i, e in zip(fa.tolist(), last_a.tolist())]
-        word += [self.str_b[e][i] for i, e in zip(fb.tolist(), last_b.tolist())]
-        o = np.argsort(np.r_[ga * 2, gb * 2 + 1], kind="stable").tolist()
-        i = 0
-        for k in (na + nb).tolist():
-            self.text.append(b"".join([word[p] for p in o[i:i + k]]))
-            i += k
+        # group texts: the A tokens, then the B tokens of each group
+        code = np.empty(len(fa) + len(fb), np.int64)
+        code[np.arange(len(fa)) + (np.cumsum(nb) - nb)[ga]] = fa * 2 + np.r_[ga[1:] != ga[:-1], True][:len(ga)]
+        code[np.arange(len(fb)) + np.cumsum(na)[gb]] = (fb + len(self.bytes_a)) * 2 + np.r_[gb[1:] != gb[:-1], True][:len(gb)]
+        text = b"".join([self.word[c] for c in code.tolist()])
+        at = np.r_[0, np.cumsum(self.word_size[code])][np.r_[0, np.cumsum(stats[:, 1] + stats[:, 2])]].tolist()
+        self.text += [text[i:k] for i, k in zip(at, at[1:])]
         self.size += sum(map(len, segs))
-        return stats, np.bincount(seg, minlength=m), key, times
+        return stats, np.bincount(of[g], n, minlength=m).astype(np.int64), key, np.repeat(ta, n) * tb[j]
 
 
 @cache
@@ -272,7 +285,10 @@ def segments(path_a: str, path_b: str) -> Segments:
 
 def spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of the segments of every row."""
-    start = np.union1d(gaps(buf), offs[:-1][np.diff(offs) > 0])
+    mark = np.zeros(len(buf), bool)
+    mark[gaps(buf)] = True
+    mark[offs[:-1][np.diff(offs) > 0]] = True
+    start = np.flatnonzero(mark)
     return start, np.r_[start[1:], len(buf)][:len(start)], np.searchsorted(offs, start, "right") - 1
 
 
@@ -296,9 +312,8 @@ class Packer:
     def __init__(self, tag: int):
         self.n, self.tag = 0, tag
 
-    def row(self, ids: pa.Array, stats: np.ndarray, sha: list[str], doc: np.ndarray, key: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-        """``doc`` (sorted), ``key`` and ``times``: the distinct pairs of each document."""
-        keys, at = np.unique(key, return_inverse=True)
+    def row(self, ids: pa.Array, stats: np.ndarray, sha: list[str], doc: np.ndarray, keys: np.ndarray, at: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        """``doc`` (sorted), ``at`` (places in the sorted ``keys``) and ``times``: the distinct pairs of each document."""
         chunk = self.tag << 62 | TaskContext.get().partitionId() << 31 | self.n
         self.n += 1
         one = lambda x, t: pa.array([x], pa.list_(t))
@@ -316,11 +331,10 @@ def chunk_schema(kind: str) -> str:
 
 
 def encode_chunk(seg: Segments, buf: np.ndarray, offs: np.ndarray):
-    """(stats, hashes, doc, key, times) of whole documents."""
+    """(stats, hashes, doc, keys, place, times) of whole documents, for ``Packer.row``."""
     n = len(offs) - 1
     s, e, row = spans(buf, offs)
     no = seg(buf, s, e) if len(s) else NONE
-    known, back = np.unique(no, return_inverse=True)
     bad = np.flatnonzero(A.sum_by(1 - seg.stats[no, 0], row, n) > 0)
     stats = np.stack([A.sum_by(seg.stats[no, i], row, n) for i in range(1, 5)], 1)
     stats[bad] = 0
@@ -329,14 +343,15 @@ def encode_chunk(seg: Segments, buf: np.ndarray, offs: np.ndarray):
         own = b"".join([text[k] for k in no[cut[i]:cut[i + 1]].tolist()])
         sha.append(hashlib.sha256(own[:-1]).hexdigest() if stats[i, 0] else "")
     keep = ~np.isin(row, bad)
-    row, back = row[keep], back[keep]
+    row = row[keep]
+    known, back = np.unique(no[keep], return_inverse=True)
     size = seg.n[known]
     pick = A.ragged(seg.at[known], size)
     keys, place = np.unique(seg.keys[pick], return_inverse=True)
     where = A.ragged((np.cumsum(size) - size)[back], size[back])
     doc, times = np.repeat(row, size[back]) << 32 | place[where], seg.times[pick][where]
     doc, times = pair_counts(doc, times)
-    return stats, sha, doc >> 32, keys[doc & 0xFFFFFFFF] if len(keys) else NONE, times
+    return stats, sha, doc >> 32, keys, doc & 0xFFFFFFFF, times
 
 
 def short_chunks(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int) -> DataFrame:
@@ -482,7 +497,8 @@ def long_chunks(docs: DataFrame, path_a: str, path_b: str, part_bytes: int, slac
             sha = [hashlib.sha256(f.text[:-1]).hexdigest() if f.ok and f.n_a else "" for f in fs]
             n = [len(f.keys) if f.ok else 0 for f in fs]
             cat = lambda x: np.concatenate([v for v, k in zip(x, n) if k] or [NONE])
-            out = pack.row(pa.concat_arrays([i for i, _ in held]), stats, sha, np.repeat(np.arange(len(fs)), n), cat([f.keys for f in fs]),
+            keys, at = np.unique(cat([f.keys for f in fs]), return_inverse=True)
+            out = pack.row(pa.concat_arrays([i for i, _ in held]), stats, sha, np.repeat(np.arange(len(fs)), n), keys, at,
                            cat([f.times for f in fs]))
             held.clear()
             return out
