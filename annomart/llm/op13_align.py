@@ -49,9 +49,9 @@ from annomart.llm.scratch import materialise
 
 PART_BYTES = 1 << 16            # longer documents are cut into ranges of this size
 SLACK = 1 << 12                 # bytes that a part may look beyond its range
-CHUNK_BYTES = 4 << 20           # text of a chunk of documents
+CHUNK_BYTES = 2 << 20           # text of a chunk of documents
 FAN = 16                        # fragments composed by one task of the tree
-KNOWN_SEGMENTS = 250_000        # remembered per task
+KNOWN_SEGMENTS = 200_000        # remembered per task
 KNOWN_BYTES = 16 << 20
 LEARNT = 4096                   # segments encoded at once
 NONE = np.zeros(0, np.int64)
@@ -375,6 +375,7 @@ def short_chunks(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int) ->
                 size = 0
         if held:
             yield flush()
+        seg.clear()                                             # workers outlive their tasks
 
     return docs.mapInArrow(A.trimmed(run), chunk_schema(docs.schema["id"].dataType.simpleString()))
 
@@ -476,6 +477,7 @@ def long_chunks(docs: DataFrame, path_a: str, path_b: str, part_bytes: int, slac
             if b.num_rows:
                 yield to_rows(list(zip(c["key"], c["id"], c["part"])),
                               [part_fragment(seg, *x) for x in zip(c["text"], c["lo"], c["hi"])], arrow_schema(b.schema.field("id").type))
+        seg.clear()
 
     def reduce(t: pa.Table) -> pa.Table:
         t = t.sort_by("part")
