@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annomart.llm import arrays as A
+from annomart.llm.byte_bpe import byte_bpe
 from annomart.llm.scratch import materialise
 
 CAPACITY = 1024
@@ -55,9 +56,21 @@ class UnitIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode, self.limit = Tokenizer.from_file(path).encode_batch, limit
+        # the library itself encodes the units with special strings, which are one id each
+        self.library, self.bpe, self.limit = Tokenizer.from_file(path), byte_bpe(path), limit
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.clear()
 
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, ids of each)."""
+        whole = "\n".join(units)
+        odd = [i for i, u in enumerate(units) if any(t in u for t in self.special)] if any(t in whole for t in self.special) else []
+        if not odd:
+            return self.bpe.encode_units(units)
+        own = dict(zip(odd, [x.ids for x in self.library.encode_batch([units[i] for i in odd], add_special_tokens=False)]))
+        one = [(np.array(own[i], np.int64), 0) if i in own else self.bpe.encode_units([u]) for i, u in enumerate(units)]
+        return np.concatenate([x for x, _ in one]), np.array([len(x) for x, _ in one])
+
     def clear(self) -> None:
         self.hash, self.at, self.len = np.zeros(0, A.U), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
@@ -92,13 +105,12 @@ class UnitIds:
         if len(new):
             n, total = np.empty(len(new), np.int64), 0
             for a in range(0, len(new), ENCODED):               # a full encoding is far larger than its ids
-                got = [x.ids for x in self.encode([buf[s[i]:e[i]].tobytes().decode("utf-8", "replace") for i in first[new[a:a + ENCODED]]],
-                                                  add_special_tokens=False)]
-                n[a:a + len(got)] = list(map(len, got))
-                end = self.used + total + int(n[a:a + len(got)].sum())
+                got, size = self.encode([buf[s[i]:e[i]].tobytes().decode("utf-8", "replace") for i in first[new[a:a + ENCODED]]])
+                n[a:a + len(size)] = size
+                end = self.used + total + len(got)
                 if end > len(self.ids):
                     self.ids = np.r_[self.ids[:self.used + total], np.zeros(end // 2, np.uint32)]
-                self.ids[self.used + total:end] = np.fromiter((i for x in got for i in x), np.uint32, end - self.used - total)
+                self.ids[self.used + total:end] = got
                 total = end - self.used
             hh, aa, ll = (np.r_[self.hash, h[new]], np.r_[self.at, self.used + np.cumsum(n) - n], np.r_[self.len, n])
             self.used += total
