@@ -252,7 +252,7 @@ def q_gene_insertion_overlaps(spark, sf_dir):
     genes = c["feature"].filter(X.live("FBgn")).select("feature_id", F.col("uniquename").alias("gene_id"))
     ti = c["feature"].filter(F.col("uniquename").startswith("FBti")).select(
         F.col("feature_id").alias("other_id"), F.col("uniquename").alias("fbti_id"))
-    ov = feature_overlaps(c["featureloc"], genes, ti.select(F.col("other_id").alias("feature_id")), bin_size=10_000)
+    ov = feature_overlaps(c["featureloc"], genes, ti.select(F.col("other_id").alias("feature_id")))
     return ov.join(genes, "feature_id").join(ti, "other_id").select("gene_id", "fbti_id")
 
 
@@ -271,7 +271,7 @@ def q_class_counts_two_releases(spark, sf_dir):
 def q_overlapping_transcripts(spark, sf_dir):
     from .plans import reports as rp
     c = cat(spark, sf_dir)
-    return rp.overlapping_transcripts(c, rp.parse_locations(c["location_lines"]), bin_size=10_000)
+    return rp.overlapping_transcripts(c, rp.parse_locations(c["location_lines"]))
 
 
 @query("class_counts")
@@ -386,12 +386,12 @@ def q_allele_mutagens(spark, sf_dir):
 @query("insertions")
 def q_insertions(spark, sf_dir):
     c, gm, al = _gen1(spark, sf_dir)
-    return gm.insertion(c, al, bin_size=10_000)
+    return gm.insertion(c, al)
 
 
 def _chain(c, gm, al):
     """Insertions, constructs and tools, each written once per catalog."""
-    ins = c.derived("insertion", lambda: gm.insertion(c, al, bin_size=10_000))
+    ins = c.derived("insertion", lambda: gm.insertion(c, al))
     cons = c.derived("construct", lambda: gm.construct(c, ins, al))
     return cons, lambda: c.derived("tool", lambda: gm.tool(c, cons, al))
 
@@ -517,7 +517,7 @@ def q_key_checks_generation1(spark, sf_dir):
     shared = {"allele": "gene_allele_rows", "insertion": "insertion", "construct": "construct", "tool": "tool",
               "pathway_member": "pathway_member"}
     marts = {}
-    for name, make in build.generation1(c, bin_size=10_000):
+    for name, make in build.generation1(c):
         marts[name] = c.derived(shared.get(name, f"mart1:{name}"), lambda make=make: make(marts))
     return build.generation1_key_checks(marts)
 

@@ -1,6 +1,6 @@
 import random
 
-from annomart.operators.overlap import overlap_join
+from annomart.operators.overlap import candidates, overlap_join
 
 
 def _intervals(n, seed, src=3, span=5000, width=900):
@@ -57,11 +57,63 @@ def test_partition_count_invariance(spark):
     assert results[0] == results[1]
 
 
-def test_scaffold_long_interval_needs_few_rows_and_stays_exact(spark):
-    from annomart.operators.overlap import LEVELS, _binned, overlap_join
-    rows = [(i, 1, i * 137, i * 137 + (i % 7) * 50) for i in range(300)] + [(999, 1, 0, 90_000_000), (998, 1, 20_000, 1_000_000)]
+def _sides(spark, rows, other=None):
     df = spark.createDataFrame(rows, "k long, s long, a long, b long")
-    assert _binned(df, "a", "b", 100, "_x").groupBy("k").count().agg({"count": "max"}).first()[0] <= 2 * LEVELS + 700
-    got = {(r.k, r.m) for r in overlap_join(df, df.withColumnRenamed("k", "m"), left_cols=("s", "a", "b"), right_cols=("s", "a", "b"),
-                                            bin_size=100).select("k", "m").collect()}
-    assert got == {(x[0], y[0]) for x in rows for y in rows if x[2] <= y[3] and y[2] <= x[3]}
+    r = spark.createDataFrame(other, "m long, s long, a long, b long") if other else df.withColumnRenamed("k", "m")
+    named = lambda d, p: d.select(d.columns[0], d.s.alias(f"{p}_src"), d.a.alias(f"{p}_lo"), d.b.alias(f"{p}_hi"))
+    return df, r, named(df, "l"), named(r, "r")
+
+
+def _short(n):
+    return [(i, 1, i * 1000, i * 1000 + 300) for i in range(n)]
+
+
+def test_candidates_grow_with_the_intervals(spark):
+    """One scaffold, disjoint short intervals: a constant number of candidates each."""
+    count = {}
+    for n in (1000, 16000):
+        _, _, L, R = _sides(spark, _short(n))
+        count[n] = candidates(L, R).count()
+    assert count[1000] >= 1000 and count[16000] <= 16.5 * count[1000] and count[16000] <= 4 * 16000
+
+
+def test_a_scaffold_long_interval_adds_its_own_pairs_only(spark):
+    n = 4000
+    _, _, L, R = _sides(spark, _short(n))
+    few = candidates(L, R).count()
+    rows = _short(n) + [(n, 1, 0, n * 1000), (n + 1, 2, 0, 5)]
+    df, r, L, R = _sides(spark, rows)
+    assert candidates(L, R).count() <= few + 2 * (2 * n + 10)            # it meets all of both sides
+    got = [(x.k, x.m) for x in overlap_join(df, r, left_cols=("s", "a", "b"), right_cols=("s", "a", "b")).select("k", "m").collect()]
+    assert len(got) == len(set(got)) and sorted(got) == sorted([(i, i) for i in range(n + 2)] + [(i, n) for i in range(n)] + [(n, i) for i in range(n)])
+
+
+def test_candidates_of_mixed_lengths_follow_the_pairs(spark):
+    rnd = random.Random(9)
+    rows = [(i, rnd.randrange(3), lo := rnd.randrange(2_000_000), lo + int(10 ** rnd.uniform(0, 5))) for i in range(1500)]
+    df, r, L, R = _sides(spark, rows, [(i, rnd.randrange(3), lo := rnd.randrange(2_000_000), lo + int(10 ** rnd.uniform(0, 5))) for i in range(1500)])
+    pairs = overlap_join(df, r, left_cols=("s", "a", "b"), right_cols=("s", "a", "b"), bin_size=100)
+    got = [(x.k, x.m) for x in pairs.select("k", "m").collect()]
+    right = r.collect()
+    want = {(x[0], y[0]) for x in rows for y in right if x[1] == y.s and x[2] <= y.b and y.a <= x[3]}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert candidates(L, R, 100).count() <= 16 * len(want) + 8 * 3000
+
+
+def test_null_reversed_and_negative_coordinates(spark):
+    a = [(1, 0, None, 5), (2, 0, 5, None), (3, None, 1, 2), (4, 0, -500, -100), (5, 0, 9, 3), (6, 0, 4, 4)]
+    b = [(10, 0, -200, 4), (11, 0, 2, 20), (12, 0, 20, 2), (13, None, 1, 2)]
+    df, r, _, _ = _sides(spark, a, b)
+    got = {(x.k, x.m) for x in overlap_join(df, r, left_cols=("s", "a", "b"), right_cols=("s", "a", "b"), bin_size=3).collect()}
+    assert got == {(x[0], y[0]) for x in a for y in b if None not in x + y and x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3]}
+
+
+def test_short_intervals_make_few_rows_and_no_nested_loop(spark):
+    _, _, L, R = _sides(spark, _short(50))
+    plan = candidates(L, R)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Subquery" in plan
+
+
+def test_empty_sides(spark):
+    _, _, L, R = _sides(spark, _short(5))
+    assert candidates(L.limit(0), R).count() == candidates(L, R.limit(0)).count() == 0
