@@ -75,13 +75,42 @@ def check_fk(child: DataFrame, child_cols: list[str], parent: DataFrame, parent_
 
 
 def check_all(marts: dict[str, DataFrame], unique, unique_or_null, foreign) -> DataFrame:
-    """T31 over written marts: all violations of the given constraints.
+    """T31 over written marts: all violations of the given constraints, as
+    ``(table, key, n_violations)`` like the single checks above.
     ``unique``: (mart, key columns); ``unique_or_null``: the same, rows with a
-    NULL part exempt; ``foreign``: (mart, column, parent mart, parent column)."""
-    checks = [check_unique(marts[t], k, t) for t, k in unique]
-    checks += [check_unique(marts[t], k, t, primary=False) for t, k in unique_or_null]
-    checks += [check_fk(marts[t], [c], marts[p], [pc], f"{t}.{c}") for t, c, p, pc in foreign]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    NULL part exempt; ``foreign``: (mart, column, parent mart, parent column).
+
+    Every mart is scanned once: a row becomes one tagged key for each
+    constraint that it takes part in, ``(constraint, key, as parent, has null)``,
+    and one aggregate over all marts counts rows and parents by key.  Keys are
+    compared part by part, so no two keys are taken for one."""
+    rules = [(t, keys, True) for t, keys in unique] + [(t, keys, False) for t, keys in unique_or_null]
+    names = [t for t, _, _ in rules] + [f"{t}.{c}" for t, c, _, _ in foreign]
+    tags: dict[str, list] = {}
+
+    def tag(mart, rule, cols, parent):
+        parts = [F.col(c).cast("string") for c in cols]
+        null = F.lit(False)
+        for p in parts:
+            null = null | p.isNull()
+        tags.setdefault(mart, []).append(F.struct(F.lit(rule).alias("rule"), F.array(*parts).alias("parts"), F.lit(parent).alias("parent"),
+                                                  null.alias("null")))
+
+    for i, (t, keys, _) in enumerate(rules):
+        tag(t, i, keys, False)
+    for i, (t, c, p, pc) in enumerate(foreign, len(rules)):
+        tag(t, i, [c], False)
+        tag(p, i, [pc], True)
+    primary = [i for i, (_, _, is_primary) in enumerate(rules) if is_primary]
+    stream = None
+    for mart, cols in tags.items():
+        rows = marts[mart].select(F.explode(F.array(*cols)).alias("t")).select("t.*")
+        stream = rows if stream is None else stream.unionAll(rows)
+    stream = stream.filter(~F.col("null") | F.col("rule").isin(primary))
+    g = stream.groupBy("rule", "parts").agg(F.count_if(~F.col("parent")).alias("n"), F.count_if("parent").alias("parents"),
+                                            F.max("null").alias("null"))
+    is_fk = F.col("rule") >= len(rules)
+    bad = F.when(is_fk, (F.col("n") > 0) & (F.col("parents") == 0)).otherwise((F.col("n") > 1) | F.col("null"))
+    text = F.concat_ws("|", F.transform("parts", lambda p: F.coalesce(p, F.lit("<null>"))))
+    return g.filter(bad).select(F.get(F.array(*[F.lit(n) for n in names]), F.col("rule")).alias("table"), text.alias("key"),
+                                F.col("n").alias("n_violations"))

@@ -439,8 +439,10 @@ def flat(df):
 
 
 def _members(c):
+    from .plans import gene_marts as gm
     from .plans import groups
-    return c.derived("pathway_member", lambda: groups.pathway_member(c))
+    alleles = c.derived("gene_allele_rows", lambda: gm.allele(c, counters=False))
+    return c.derived("pathway_member", lambda: groups.pathway_member(c, alleles))
 
 
 @query("pathway_members")

@@ -1,4 +1,7 @@
-"""Explicit schemas of the annotation tables (S1): long keys, text, boolean."""
+"""Explicit schemas of the annotation tables (S1): long keys, text, boolean.
+
+``COLUMNS`` names every table and column that a plan reads; a catalog over real
+tables (``tables.annotation_catalog``) knows these and nothing else."""
 
 from __future__ import annotations
 
@@ -33,15 +36,33 @@ COLUMNS = {
     "grpmemberprop": "grpmember_id type_id value rank",
     "feature_grpmember": "feature_grpmember_id feature_id grpmember_id",
     "feature_grpmember_pub": "feature_grpmember_id pub_id",
+    "grp_cvterm": "grp_id cvterm_id",
+    "stock": "stock_id uniquename is_obsolete",
+    "stock_genotype": "stock_id genotype_id",
+    "genotype": "genotype_id uniquename",
+    "strain": "strain_id uniquename is_obsolete",
+    "cell_line": "cell_line_id uniquename is_obsolete",
+    "humanhealth": "humanhealth_id uniquename is_obsolete",
+    "humanhealth_feature": "humanhealth_id feature_id",
+    "library": "library_id uniquename is_obsolete",
+    "library_feature": "library_feature_id library_id feature_id",
+    "library_featureprop": "library_feature_id type_id value",
+    "interaction_group": "uniquename is_obsolete",
 }
+# the objects that are named and published like features: their link tables
+for _t in ("grp", "strain", "cell_line", "humanhealth", "library"):
+    COLUMNS[f"{_t}_synonym"] = f"{_t}_id synonym_id is_current is_internal"
+    COLUMNS[f"{_t}_pub"] = f"{_t}_id pub_id"
+#: columns that older tables lack; R13 gives them their default
+OPTIONAL = {("cell_line", "is_obsolete")}
 NUMBERS = {"rank", "fmin", "fmax", "locgroup", "is_relationshiptype"}
 
 
-def table_schema(name: str) -> T.StructType:
-    """Schema of an annotation table.  ``cvterm.is_obsolete`` is a number."""
+def table_schema(name: str, without: set[str] = frozenset()) -> T.StructType:
+    """Schema of an annotation table, less the columns ``without``.  ``cvterm.is_obsolete`` is a number."""
     def kind(c: str):
         if c.endswith("_id") or c in NUMBERS or (name, c) == ("cvterm", "is_obsolete"):
             return T.LongType()
         return T.BooleanType() if c.startswith("is_") else T.StringType()
 
-    return T.StructType([T.StructField(c, kind(c)) for c in COLUMNS[name].split()])
+    return T.StructType([T.StructField(c, kind(c)) for c in COLUMNS[name].split() if c not in without])

@@ -39,12 +39,34 @@ def read_annotation_tables(spark: SparkSession, path: str, names=None, jdbc: dic
     out = {}
     for n in names or schema.COLUMNS:
         if jdbc is None:
-            out[n] = spark.read.schema(schema.table_schema(n)).parquet(f"{path.rstrip('/')}/{n}.parquet")
+            out[n] = _read_parquet_table(spark, f"{path.rstrip('/')}/{n}.parquet", n)
         else:
             out[n] = jdbc_reader(spark, jdbc, f"{path}.{n}", n).load()
     return out
 
 
+def _read_parquet_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One table with its explicit schema.  A column that the files lack would
+    read as null: it is left out where it is optional, else the table is refused."""
+    have = set(spark.read.parquet(path).columns)
+    lack = {c for c in schema.COLUMNS[name].split() if c not in have}
+    if needed := sorted(c for c in lack if (name, c) not in schema.OPTIONAL):
+        raise ValueError(f"{path} lacks the columns {needed}")
+    return spark.read.schema(schema.table_schema(name, lack)).parquet(path)
+
+
+def annotation_catalog(spark: SparkSession, path: str, jdbc: dict | None = None) -> "Catalog":
+    """A catalog over real annotation tables (a folder of Parquet tables, or
+    a database schema).  It is closed: a name is one of ``schema.COLUMNS`` and
+    is read from there when first asked for; nothing is derived from test data."""
+    def read(name: str) -> DataFrame:
+        if name not in schema.COLUMNS:
+            raise KeyError(f"{name} is no annotation table")
+        return read_annotation_tables(spark, path, [name], jdbc)[name]
+
+    return Catalog(spark, path, reader=read)
+
+
 def jdbc_options(options: dict, table: str, name: str) -> dict[str, str]:
     """Reader options of one table."""
     opts = {k: str(v) for k, v in options.items()} | {"dbtable": table}
@@ -142,10 +164,11 @@ class Catalog:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame] | None = None,
-                 materialize: bool = True, partition_typed: bool | None = None):
+                 materialize: bool = True, partition_typed: bool | None = None, reader=None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.materialize = materialize and not tables
+        self.reader = reader                # name -> DataFrame: the only source of tables where it is set
+        self.materialize = materialize and not tables and reader is None
         if partition_typed is None:
             partition_typed = os.environ.get("ANNOMART_PARTITION_TYPED", "1") == "1"
         # type-partitioned staging (the production layout, see PARTITIONED)
@@ -198,7 +221,9 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
-        if name in adapter.VIEWS:
+        if self.reader is not None:
+            df = self.reader(name)
+        elif name in adapter.VIEWS:
             if self.materialize:
                 path = f"{self._stage_root()}/{name}.parquet"
                 if not self._staged(path):
