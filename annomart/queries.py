@@ -594,3 +594,8 @@ def q_gene_group_members(spark, sf_dir):
              .unionByName(members.select("fbgg_id", F.lit("").alias("subgroup"))).distinct())
     out = groups.gene_group_members(members, pairs)
     return flat(out.select("subgroup", "fbgg_id", "fbgn_id", "symbol", "group_member_label", "id"))
+
+
+# these read the most tables: they come when the others have staged them
+for _name in ("current_symbol", "current_fullname", "feature_props", "stocks"):
+    QUERIES[_name] = QUERIES.pop(_name)
