@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import dims
 from ..operators.lookups import edges, feature_symbols
-from ..operators.overlap import DEFAULT_BIN, featureloc_slice
+from ..operators.locations import location_slice
+from ..operators.overlap import DEFAULT_BIN
 
 # --------------------------------------------------------------------------
 # R1 data class counts
@@ -212,8 +213,8 @@ def overlapping_transcripts(cat, locations: DataFrame, bin_size: int = DEFAULT_B
     tr = (cat["feature"].filter(F.col("uniquename").startswith("FBtr") & F.col("uniquename").rlike(r"^FBtr\d+\z")
                                 & ~F.col("is_obsolete") & ~F.col("is_analysis") & dims.is_type(cat, list(types)))
           .select("feature_id", F.col("uniquename").alias("id"), dims.type_name(cat, list(types)).alias("type")))
-    # only the wanted transcripts' locations are binned
-    hits = featureloc_slice(q, cat["featureloc"], wanted=tr, bin_size=bin_size)
+    # only files that a location can meet are read, and only the wanted transcripts' locations are binned
+    hits = location_slice(cat.spark, cat.location_table(), q, wanted=tr, bin_size=bin_size)
     rows = hits.select("line_id", "location", "feature_id").join(tr, "feature_id")
     sym = feature_symbols(cat).select(F.col("object_id").alias("feature_id"),
                                                   F.col("synonym_sgml").alias("symbol"))

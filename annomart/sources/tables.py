@@ -175,6 +175,7 @@ class Catalog:
         self.partitioned = PARTITIONED if partition_typed else {}
         self._cache: dict[str, DataFrame] = dict(tables or {})
         self._root = None
+        self._own_locations = False
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
@@ -262,6 +263,26 @@ class Catalog:
             for lvl in sorted(set(depth.values())):
                 list(pool.map(self.table, [n for n, d in depth.items() if d == lvl]))
 
+    def location_table(self) -> str:
+        """Path of ``featureloc`` laid out by range (``operators.locations``),
+        staged beside the views, or in the session's scratch folder for a
+        catalog over tables of its own."""
+        from ..operators.locations import scratch_path, write_location_table
+        key = "path:location_table"
+        if key not in self._cache:
+            loc = self.table("featureloc")
+            if self.materialize and not self._own_locations:
+                path = f"{self._stage_root()}/featureloc_ranges"
+                if not self._staged(path):
+                    tmp = write_location_table(loc, f"{path}.tmp-{uuid.uuid4().hex}")
+                    fs, done = _fs(self.spark, tmp + "/_SUCCESS")
+                    fs.create(done, True).close()
+                    publish(self.spark, tmp, path)
+            else:
+                path = write_location_table(loc, scratch_path(self.spark))
+            self._cache[key] = path
+        return self._cache[key]
+
     def derived(self, name: str, build) -> DataFrame:
         """A table derived from the catalog by ``build()``, written once per
         catalog (Parquet) and shared by every query."""
@@ -274,6 +295,9 @@ class Catalog:
     def override(self, name: str, df: DataFrame) -> "Catalog":
         """Use ``df`` for ``name`` (tests plug hand-written fixtures in)."""
         self._cache[name] = df
+        if name == "featureloc":
+            self._cache.pop("path:location_table", None)
+            self._own_locations = True          # not the staged ones
         return self
 
 
