@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..session import stage
 from . import dims
+from .reduction import few_objects, reduced, short_list
 
 # Which table holds the objects of a data class, for class-polymorphic
 # lookups (everything else lives in ``feature``).
@@ -71,23 +73,67 @@ def feature_symbols(cat) -> DataFrame:
     return current_synonyms(cat, "symbol")
 
 
-def stock_genotypes(cat) -> DataFrame:
-    """FBst symbols: live stock -> genotype uniquename, lowest genotype id."""
-    st = cat["stock"].filter(~F.col("is_obsolete")).select("stock_id", "uniquename")
-    rows = (st.join(cat["stock_genotype"], "stock_id")
+def names_of_few(cat, synonym_type: str, names: DataFrame, entity=FEATURE_ENTITY) -> DataFrame:
+    """``(uniquename, synonym_sgml)``: current synonym of each uniquename in
+    ``names``, a small table; of several live objects of a name the lowest
+    counts.  Links and synonyms are reduced to the names before they are joined."""
+    table, link, _, key = entity
+    obj = stage(reduced(_objects(cat, table).filter(~F.col("is_obsolete")), names, "uniquename").select(key, "uniquename"))
+    lnk = reduced(cat[link].filter(F.col("is_current") & ~F.col("is_internal")), obj, key)
+    lnk = stage(lnk.select(F.col(key).alias("object_id"), "synonym_id"))
+    syn = reduced(cat["synonym"].filter(dims.is_type(cat, synonym_type)), lnk, "synonym_id").select("synonym_id", "synonym_sgml")
+    rows = obj.withColumnRenamed(key, "object_id").join(lnk, "object_id").join(syn, "synonym_id")
+    return rows.groupBy("uniquename").agg(F.min_by("synonym_sgml", F.struct("object_id", "synonym_id")).alias("synonym_sgml"))
+
+
+def symbols_by_name(cat) -> DataFrame:
+    """``current_symbol(uniquename)`` for every name: ``(uniquename, symbol)``."""
+    return feature_symbols(cat).groupBy("uniquename").agg(F.min_by("synonym_sgml", "object_id").alias("symbol"))
+
+
+def stock_genotypes(cat, names: DataFrame | None = None) -> DataFrame:
+    """FBst symbols: live stock -> genotype uniquename, lowest genotype id; of
+    all stocks, or of the few in ``names`` (column ``uniquename``)."""
+    st = reduced(cat["stock"].filter(~F.col("is_obsolete")), names, "uniquename").select("stock_id", "uniquename")
+    links = cat["stock_genotype"]
+    if names is not None:
+        st = stage(st)
+        links = reduced(links, st, "stock_id")
+    rows = (st.join(links, "stock_id")
             .join(cat["genotype"].select("genotype_id", F.col("uniquename").alias("g")), "genotype_id"))
     return rows.groupBy("uniquename").agg(F.min_by("g", "genotype_id").alias("synonym_sgml"))
 
 
+def _synonyms_of_few(cat, names: list[str], synonym_type: str) -> DataFrame:
+    """``(id, synonym_sgml)`` of a short list, class by class."""
+    tables = {c.upper(): e for c, e in ENTITY_TABLES.items()}
+    by_table: dict = {}
+    for n in names:
+        cls = n[:4].upper()
+        stock = cls == "FBST" and synonym_type.lower() == "symbol"
+        by_table.setdefault("stock" if stock else tables.get(cls, FEATURE_ENTITY), []).append((n,))
+    out = cat.spark.createDataFrame([], "id string, synonym_sgml string")
+    for entity, rows in by_table.items():
+        few = cat.spark.createDataFrame(rows, "uniquename string")
+        found = stock_genotypes(cat, few) if entity == "stock" else names_of_few(cat, synonym_type, few, entity)
+        out = out.unionAll(found.select(F.col("uniquename").alias("id"), "synonym_sgml"))
+    return out
+
+
 def current_synonym(cat, ids: DataFrame, id_col: str, synonym_type: str) -> DataFrame:
     """U2 ``current_synonym(ids, type)``: ``(id, synonym)`` per input row.
 
     Class-polymorphic: the data class of the id picks the object table; FBst
     symbols come from genotypes.  Each branch resolves only the distinct ids
     of its class, then one left join puts the value back on every input row
-    (NULL when none).  Returns the ``synonym_sgml`` like the reference.
+    (NULL when none).  Returns the ``synonym_sgml`` like the reference.  A
+    short list plans only the classes that occur in it, each reduced first.
     """
     inp = _ids(ids, id_col)
+    few = short_list(ids, id_col)
+    if few is not None:
+        res = _synonyms_of_few(cat, few, synonym_type)
+        return inp.join(F.broadcast(res), "id", "left").select(F.col("id").alias(id_col), F.col("synonym_sgml").alias(synonym_type))
     d = inp.select("id").distinct().withColumn("cls", F.upper(X.data_class("id")))
     branches = []
     special = [c.upper() for c in ENTITY_TABLES]
@@ -126,23 +172,31 @@ def related_features(cat, ids: DataFrame, id_col: str, rel_types: str, data_clas
     (not obsolete); the source's liveness is not tested.  ``rel_types`` and
     ``data_classes`` are ``SIMILAR TO`` patterns (``NULL`` class = all).
     Output ``(id, feature_relationship_id, object_id, subject_id, uniquename,
-    symbol, rank, value, type)`` - one row per matching edge per input row.
+    symbol, rank, value, type)`` - one row per matching edge per input row;
+    the symbol is that of the uniquename.  For a short list of ids the edges,
+    targets, links and synonyms are reduced to it first (``reduction``).
     """
     data_classes = data_classes or "%"
     near, far = ("object_id", "subject_id") if direction != "object" else ("subject_id", "object_id")
-    src = cat["feature"].select(F.col("feature_id").alias(near), F.col("uniquename").alias("id"))
+    few = few_objects(cat, short_list(ids, id_col), live=False)
+    src = few.select(F.col("feature_id").alias(near), "id") if few is not None else \
+        cat["feature"].select(F.col("feature_id").alias(near), F.col("uniquename").alias("id"))
     src = _ids(ids, id_col).join(src, "id")
     types = dims.terms(cat, pattern=rel_types, cols=("cvterm_id", "name"))
-    fr = (cat["feature_relationship"]
+    fr = (reduced(cat["feature_relationship"], few, near, "feature_id")
           .join(types, F.col("type_id") == F.col("cvterm_id"))
           .select("feature_relationship_id", "subject_id", "object_id", "rank", "value", F.col("name").alias("type")))
     tgt = (cat["feature"].filter(~F.col("is_obsolete"))
            .filter(X.similar_to(X.data_class("uniquename"), data_classes))
            .select(F.col("feature_id").alias(far), "uniquename"))
-    out = src.join(fr, near).join(tgt, far)
+    hops = src.join(fr, near)
+    if few is not None:
+        hops = stage(hops)
+        tgt = stage(reduced(tgt, hops, far))
+    out = hops.join(tgt, far)
     if with_symbol:
-        sym = feature_symbols(cat).select(F.col("object_id").alias(far), F.col("synonym_sgml").alias("symbol"))
-        out = out.join(sym, far, "left")
+        sym = symbols_by_name(cat) if few is None else names_of_few(cat, "symbol", tgt).withColumnRenamed("synonym_sgml", "symbol")
+        out = out.join(sym, "uniquename", "left")
     else:
         out = out.withColumn("symbol", F.lit(None).cast("string"))
     return out.select(F.col("id").alias(id_col), "feature_relationship_id", "object_id", "subject_id",
@@ -178,10 +232,11 @@ def edges(cat, rel_type: str | list[str], subject_classes=None, object_classes=N
 
 def feature_props(cat, ids: DataFrame, id_col: str, type_pattern: str) -> DataFrame:
     """U4 ``get_featureprop``: props of live features, live prop types."""
-    f = cat["feature"].filter(~F.col("is_obsolete")).select("feature_id", F.col("uniquename").alias("id"))
+    few = few_objects(cat, short_list(ids, id_col))
+    f = few if few is not None else cat["feature"].filter(~F.col("is_obsolete")).select("feature_id", F.col("uniquename").alias("id"))
     f = _ids(ids, id_col).join(f, "id")
     t = dims.terms(cat, pattern=type_pattern, live_only=True, cols=("cvterm_id", "name"))
-    fp = cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id"))
+    fp = reduced(cat["featureprop"], few, "feature_id").join(t, F.col("type_id") == F.col("cvterm_id"))
     return (f.join(fp, "feature_id")
             .select(F.col("id").alias(id_col), "featureprop_id", "feature_id", F.col("name").alias("type"),
                     "value", "rank"))
@@ -189,10 +244,11 @@ def feature_props(cat, ids: DataFrame, id_col: str, type_pattern: str) -> DataFr
 
 def pub_props(cat, ids: DataFrame, id_col: str, type_pattern: str) -> DataFrame:
     """U5 ``get_pubprop``: same rule over publications."""
-    p = cat["pub"].filter(~F.col("is_obsolete")).select("pub_id", F.col("uniquename").alias("id"))
+    few = few_objects(cat, short_list(ids, id_col), "pub", "pub_id")
+    p = few if few is not None else cat["pub"].filter(~F.col("is_obsolete")).select("pub_id", F.col("uniquename").alias("id"))
     p = _ids(ids, id_col).join(p, "id")
     t = dims.terms(cat, pattern=type_pattern, live_only=True, cols=("cvterm_id", "name"))
-    pp = cat["pubprop"].join(t, F.col("type_id") == F.col("cvterm_id"))
+    pp = reduced(cat["pubprop"], few, "pub_id").join(t, F.col("type_id") == F.col("cvterm_id"))
     return p.join(pp, "pub_id").select(F.col("id").alias(id_col), "pub_id", F.col("name").alias("type"), "value")
 
 
@@ -213,10 +269,11 @@ def group_member_props(cat, members: DataFrame, member_col: str, type_pattern: s
 def ontology_terms(cat, ids: DataFrame, id_col: str, aspect: str) -> DataFrame:
     """U7 ``get_gene_ontology_terms``: annotations in one cv, live terms only
     (gene liveness not tested)."""
-    f = cat["feature"].select("feature_id", F.col("uniquename").alias("id"))
+    few = few_objects(cat, short_list(ids, id_col), live=False)
+    f = few if few is not None else cat["feature"].select("feature_id", F.col("uniquename").alias("id"))
     f = _ids(ids, id_col).join(f, "id")
     t = dims.terms(cat, live_only=True, cv=aspect, cols=("cvterm_id",))
-    return (f.join(cat["feature_cvterm"], "feature_id").join(t, "cvterm_id")
+    return (f.join(reduced(cat["feature_cvterm"], few, "feature_id"), "feature_id").join(t, "cvterm_id")
             .select(F.col("id").alias(id_col), "feature_cvterm_id", "feature_id", "cvterm_id", "is_not"))
 
 
@@ -224,19 +281,21 @@ def ontology_terms(cat, ids: DataFrame, id_col: str, aspect: str) -> DataFrame:
 # U8 stocks
 # --------------------------------------------------------------------------
 
-def stocks(cat, ids: DataFrame, id_col: str) -> DataFrame:
+def stocks(cat, ids: DataFrame, id_col: str, short: bool = True) -> DataFrame:
     """U8 ``get_stocks``: parse ``derived_stock_<center>`` props.
 
     Each prop value is a list of lines ``number<TAB>@FBst:genotype@``; lines
     become rows (``explode``), a line splits on TAB, the entry is trimmed of
     blanks and ``@`` and split on ``:``; only pieces 1 and 2 are kept (so a
     second ``:`` truncates the genotype).  Feature liveness is not tested.
+    ``short=False`` spares the look for a short list (marts pass all ids).
     """
     # stock props first (a small slice of featureprop), then their features'
     # names, then the requested ids: the large joins see only stock rows
     t = cat["cvterm"].filter(F.col("name").rlike("^derived_stock_")).select("cvterm_id", "name")
-    fp = cat["featureprop"].join(t, F.col("type_id") == F.col("cvterm_id")).select("feature_id", "name", "value")
-    named = fp.join(cat["feature"].select("feature_id", F.col("uniquename").alias("id")), "feature_id")
+    few = few_objects(cat, short_list(ids, id_col), live=False) if short else None
+    fp = reduced(cat["featureprop"], few, "feature_id").join(t, F.col("type_id") == F.col("cvterm_id")).select("feature_id", "name", "value")
+    named = fp.join(few if few is not None else cat["feature"].select("feature_id", F.col("uniquename").alias("id")), "feature_id")
     rows = _ids(ids, id_col).join(named, "id").select(
         "id", F.replace(F.col("name"), F.lit("derived_stock_"), F.lit("")).alias("center"),
         F.explode(F.split(F.col("value"), "\n")).alias("line"))

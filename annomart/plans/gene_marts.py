@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import dims
 from ..operators.keys import first_per_key
-from ..operators.lookups import feature_symbols, pub_counts, stocks
+from ..operators.lookups import pub_counts, stocks, symbols_by_name
 from ..operators.overlap import DEFAULT_BIN, feature_overlaps
 from ..session import stage
 
@@ -49,11 +49,6 @@ def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list
     return out
 
 
-def symbols_by_name(cat) -> DataFrame:
-    """``current_symbol(uniquename)`` for every name: ``(uniquename, symbol)``."""
-    return feature_symbols(cat).groupBy("uniquename").agg(F.min_by("synonym_sgml", "object_id").alias("symbol"))
-
-
 def _by_name(cat, df: DataFrame, name_col: str) -> DataFrame:
     """Features whose uniquename equals ``df[name_col]`` (any liveness)."""
     f = cat["feature"].select(F.col("feature_id").alias("_nid"), F.col("uniquename").alias(name_col))
@@ -169,7 +164,7 @@ def allele_counters(cat, alleles: DataFrame) -> DataFrame:
     """Stocks, publication and paper counts, lesion and image flags,
     computed per distinct allele id and joined back."""
     names = alleles.select(F.col("fbal_id")).distinct()
-    st = stocks(cat, names, "fbal_id").groupBy("fbid").agg(F.count(F.lit(1)).alias("stocks_count")) \
+    st = stocks(cat, names, "fbal_id", short=False).groupBy("fbid").agg(F.count(F.lit(1)).alias("stocks_count")) \
         .withColumnRenamed("fbid", "fbal_id")
     # publications and papers in one pass; allele ids only need the feature branch
     pc = pub_counts(cat, names, "fbal_id", ["paper"], classes=["FBal"]).select(
@@ -220,7 +215,7 @@ def split_system_combination(cat) -> DataFrame:
     co = (cat["feature"].filter(X.live("FBco")).filter(t)
           .select(F.col("uniquename").alias("fbco_id"), F.col("name").alias("symbol")))
     names = co.select("fbco_id").distinct()
-    st = stocks(cat, names, "fbco_id").groupBy(F.col("fbid").alias("fbco_id")).agg(
+    st = stocks(cat, names, "fbco_id", short=False).groupBy(F.col("fbid").alias("fbco_id")).agg(
         F.count(F.lit(1)).alias("stocks_count"))
     pc = pub_counts(cat, names, "fbco_id", classes=["FBco"]).withColumnRenamed("n", "pub_count")
     return (co.join(st, "fbco_id", "left").join(pc, "fbco_id", "left")
@@ -258,7 +253,7 @@ def allele_class(cat, alleles: DataFrame) -> DataFrame:
 
 def allele_stock(cat, alleles: DataFrame) -> DataFrame:
     """One stock per (allele row, FBst), first by (center, number, genotype)."""
-    st = stocks(cat, alleles.select("fbal_id").distinct(), "fbal_id").withColumnRenamed("fbid", "fbal_id")
+    st = stocks(cat, alleles.select("fbal_id").distinct(), "fbal_id", short=False).withColumnRenamed("fbid", "fbal_id")
     rows = st.join(_allele_rows(alleles), "fbal_id").withColumnRenamed("fbst", "fbst_id")
     return first_per_key(rows, ["allele_id", "fbst_id"], ["center", "stock_number", "genotype"]) \
         .select("allele_id", "fbst_id", "center", "stock_number", "genotype")
@@ -323,7 +318,7 @@ def insertion(cat, alleles: DataFrame, bin_size: int = DEFAULT_BIN) -> DataFrame
     out = b1.unionByName(b2).unionByName(b3).distinct().withColumn(
         "id", row_key("fbti_id", "allele_id", "gene_id"))
     names = out.select("fbti_id").distinct()
-    st = stocks(cat, names, "fbti_id").groupBy(F.col("fbid").alias("fbti_id")).agg(
+    st = stocks(cat, names, "fbti_id", short=False).groupBy(F.col("fbid").alias("fbti_id")).agg(
         F.count(F.lit(1)).alias("stocks_count"))
     pc = pub_counts(cat, names, "fbti_id", classes=["FBti"]).withColumnRenamed("n", "pub_count")
     return (out.join(st, "fbti_id", "left").join(pc, "fbti_id", "left")

@@ -40,14 +40,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only
     where none is configured (tests, local runs)."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if d := sc.getCheckpointDir():          # setting it again would nest another folder in it
+        return d
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints must survive "
                                "executor loss and may not use machine-local paths)")
         d = tempfile.mkdtemp(prefix="annomart-ckpt-", dir=os.environ.get("ANNOMART_SCRATCH", "/tmp"))
     sc.setCheckpointDir(d)
-    return d
+    return sc.getCheckpointDir() or d
 
 
 def flatten(df: DataFrame, sep: str = ",") -> DataFrame:
