@@ -183,7 +183,7 @@ def related_features(cat, ids: DataFrame, id_col: str, rel_types: str, data_clas
         cat["feature"].select(F.col("feature_id").alias(near), F.col("uniquename").alias("id"))
     src = _ids(ids, id_col).join(src, "id")
     types = dims.terms(cat, pattern=rel_types, cols=("cvterm_id", "name"))
-    fr = (reduced(cat["feature_relationship"], few, near, "feature_id")
+    fr = (reduced(cat.edges_by(near), few, near, "feature_id")
           .join(types, F.col("type_id") == F.col("cvterm_id"))
           .select("feature_relationship_id", "subject_id", "object_id", "rank", "value", F.col("name").alias("type")))
     tgt = (cat["feature"].filter(~F.col("is_obsolete"))
@@ -210,7 +210,7 @@ def edges(cat, rel_type: str | list[str], subject_classes=None, object_classes=N
     to live features of given classes (P1).  The building block of the marts.
     """
     names = [rel_type] if isinstance(rel_type, str) else rel_type
-    fr = (cat["feature_relationship"].filter(dims.is_type(cat, names))
+    fr = (cat.edges_by("subject_id").filter(dims.is_type(cat, names))
           .select("feature_relationship_id", "subject_id", "object_id", "rank", "value",
                   dims.type_name(cat, names).alias("type")))
 

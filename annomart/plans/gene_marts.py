@@ -36,7 +36,7 @@ def hop(cat, near: DataFrame, near_col: str, rel_types: list[str], classes: list
     ``rel_type`` and optionally ``far_symbol``.
     """
     n_key, f_key = ("object_id", "subject_id") if direction == "subject" else ("subject_id", "object_id")
-    fr = (cat["feature_relationship"].filter(dims.is_type(cat, rel_types))
+    fr = (cat.edges_by(n_key).filter(dims.is_type(cat, rel_types))
           .select(F.col(n_key).alias(near_col), F.col(f_key).alias("far_id"),
                   dims.type_name(cat, rel_types).alias("rel_type")))
     far = cat["feature"].filter(~F.col("is_obsolete"))
@@ -231,7 +231,7 @@ def split_system_combination_component_allele(cat, combos: DataFrame, alleles: D
           .select(F.col("feature_id").alias("subject_id"), F.col("uniquename").alias("fbco_id")))
     al = cat["feature"].filter(X.is_id_of("uniquename", "FBal")).select(
         F.col("feature_id").alias("object_id"), F.col("uniquename").alias("fbal_id"))
-    pairs = co.join(cat["feature_relationship"].select("subject_id", "object_id"), "subject_id").join(al, "object_id")
+    pairs = co.join(cat.edges_by("subject_id").select("subject_id", "object_id"), "subject_id").join(al, "object_id")
     return (pairs.join(combos.select(F.col("id").alias("split_system_combination_id"), "fbco_id"), "fbco_id")
             .join(_allele_rows(alleles), "fbal_id")
             .select("split_system_combination_id", "allele_id"))

@@ -263,6 +263,11 @@ class Catalog:
             for lvl in sorted(set(depth.values())):
                 list(pool.map(self.table, [n for n, d in depth.items() if d == lvl]))
 
+    def edges_by(self, key: str) -> DataFrame:
+        """``feature_relationship`` for a join on ``key`` (``subject_id`` or
+        ``object_id``): a catalog with copies by either end hands out that one."""
+        return self["feature_relationship"]
+
     def location_table(self) -> str:
         """Path of ``featureloc`` laid out by range (``operators.locations``),
         staged beside the views, or in the session's scratch folder for a
