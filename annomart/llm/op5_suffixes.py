@@ -42,6 +42,12 @@ class Text:
         n = len(data)
         self.stop = np.zeros(n + 1, bool)
         self.stop[self.end] = True                             # position behind a segment
+        self.seg = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.left = (self.end[self.seg] - np.arange(n)).astype(np.int32)       # bytes from here to the segment's end
+        padded = np.r_[data, np.zeros(8, np.uint8)].astype(A.U)
+        self.eight = np.zeros(n + 1, A.U)                      # eight bytes from each position
+        for i in range(8):
+            self.eight = (self.eight << A.U(8)) | padded[i:i + n + 1]
         self.wanted = A.ragged(self.end - size, count)         # window starts
         # smaller: is the suffix smaller than its successor?  Decided by the first other byte.
         nxt = np.r_[data[1:], 0].astype(np.int16)
@@ -52,24 +58,47 @@ class Text:
         first = at[np.searchsorted(at, np.arange(n))] if n else at
         self.smaller = nxt[first] > here[first]
 
-    def word(self, p: np.ndarray, seg_end: np.ndarray) -> np.ndarray:
-        """Eight bytes from each position as a number; zeros behind the segment."""
-        if not hasattr(self, "_eight"):
-            t = np.r_[self.t, np.zeros(8, np.uint8)].astype(A.U)
-            x = np.zeros(len(self.t) + 1, A.U)
-            for i in range(8):
-                x = (x << A.U(8)) | t[i:i + len(x)]
-            self._eight = x
-        room = seg_end - p
-        x = self._eight[np.minimum(p, len(self.t))]
-        x = np.where(room >= 8, x, x >> (A.U(8) * (8 - np.clip(room, 1, 8)).astype(A.U)) << (A.U(8) * (8 - np.clip(room, 1, 8)).astype(A.U)))
-        return np.where(room > 0, x, A.U(0))
-
-    def words(self, p: np.ndarray) -> list[np.ndarray]:
-        """The first ``length`` bytes of the suffixes, in numbers that order them."""
-        seg_end = self.end[np.searchsorted(self.end, p, "right")]
-        out = [self.word(p + o, np.minimum(seg_end, p + self.length)) for o in range(0, self.length, 8)]
-        return out
+    def reader(self, p: np.ndarray):
+        """``word(k, pick)``: bytes 8k to 8k + 7 of the suffixes ``p[pick]`` as
+        numbers that order them; zeros behind the segment and beyond ``length``."""
+        room = np.minimum(self.left[p], self.length)
+        ragged = bool(len(p)) and int(room.min()) < self.length
+
+        def word(k: int, pick=slice(None)) -> np.ndarray:
+            x = self.eight[np.minimum(p[pick] + 8 * k, len(self.t))]
+            if self.length < 8 * k + 8:
+                cut = A.U(64 - 8 * (self.length - 8 * k))
+                x = x >> cut << cut
+            if ragged:
+                r = room[pick] - 8 * k
+                few = np.flatnonzero(r < min(8, self.length - 8 * k))
+                bits = (A.U(64) - A.U(8) * np.clip(r[few], 1, 8).astype(A.U))
+                x[few] = np.where(r[few] > 0, x[few] >> bits << bits, A.U(0))
+            return x
+
+        return word
+
+    def by_text(self, p: np.ndarray) -> np.ndarray:
+        """``p`` in order of the first ``length`` bytes: sorted by eight, then
+        only runs of equal ones that still vary are sorted by the next eight."""
+        word = self.reader(p)
+        x = word(0)
+        o = np.argsort(x)
+        x = x[o]
+        tied, run = np.arange(len(p)), np.zeros(len(p), np.int64)
+        for k in range(1, -(-self.length // 8) + 1):
+            run = np.cumsum(np.r_[True, (run[1:] != run[:-1]) | (x[1:] != x[:-1])][:len(x)])
+            keep = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
+            tied, run = tied[keep], run[keep]
+            if not len(tied) or 8 * k >= self.length:
+                break
+            x = word(k, o[tied])
+            vary = np.zeros(int(run[-1]) + 1, bool)
+            vary[run[1:][(run[1:] == run[:-1]) & (x[1:] != x[:-1])]] = True
+            sub = np.flatnonzero(vary[run])
+            order = sub[np.lexsort((x[sub], run[sub]))]
+            o[tied[sub]], x[sub] = o[tied[order]], x[order]
+        return p[o]
 
     def suffix_order(self) -> np.ndarray:
         """Window starts in suffix order (equal strings are neighbours)."""
@@ -85,7 +114,7 @@ class Text:
             p = p[~self.smaller[p]]
         every = np.flatnonzero(inside[:-1])
         direct = every[self.smaller[every]]
-        direct = direct[np.lexsort(self.words(direct)[::-1])]
+        direct = self.by_text(direct)
         cut = np.searchsorted(t[direct], np.arange(257))
         larger = inside.copy()
         larger[:-1][self.smaller] = False
@@ -117,7 +146,9 @@ class Text:
         """Where a suffix's common prefix with the one before is shorter than ``length``."""
         new = np.zeros(len(order), bool)
         new[:1] = True
-        for w in self.words(order):
+        word = self.reader(order)
+        for k in range(-(-self.length // 8)):
+            w = word(k)
             new[1:] |= w[1:] != w[:-1]
         return np.flatnonzero(new)
 
@@ -152,7 +183,7 @@ def shard_bits(s: dict, length: int = LENGTH) -> np.ndarray:
     text = Text(s["data"][A.ragged(begin[first], size)], size, count, length)
     order = text.suffix_order()
     cls = text.class_starts(order)
-    seg = np.searchsorted(text.end, order, "right")
+    seg = text.seg[order]
     low = np.minimum.reduceat(least[seg], cls) if len(cls) else cls
     smallest = np.empty(len(order), np.int64)
     at = np.empty(len(text.t), np.int64)
