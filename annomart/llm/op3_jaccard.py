@@ -257,7 +257,9 @@ def labelled(sets: DataFrame, text_col: str, width: int, percent: int, tile_byte
              .withColumn("m", F.col("m") + 1))
     placed = (member.join(tiles, "cluster").withColumn("tile", F.pmod(F.xxhash64("f"), "m").cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-              .select("cluster", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), "f", "tile", "text"))
+              .select("cluster", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), "f", "tile", "text")
+              # the joins leave whole clusters together; their tiles are spread
+              .repartition("cluster", "t", "u"))
 
     def verify(table: pa.Table) -> pa.Table:
         a, b = linked(table, width, percent)
