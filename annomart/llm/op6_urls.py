@@ -1,13 +1,16 @@
 """Op 6 - URL filters: temporal list join (native).
 
 A filter list is a log of dated edits (key, list, add or remove, time).  The
-log becomes validity pieces, one set per key, list and day: within a day from
-each addition to the next edit, across days from the last edit of a day to the
-first edit of the next day with one.  Every capture then meets the pieces of
-its day through an equi-join on (key, day) and the condition
-``valid_from <= fetched < valid_to``, so it sees the list as it stood when it
-was fetched.  Days split a hot host on both sides; windows never order more
-than one key's edits of one day, or one row per day and key.
+log becomes validity intervals of key and list: within a day from each addition to
+the next edit, across days from the last edit of a day to the first edit of the
+next day with one, or for good.  An interval across days becomes pieces, the
+aligned blocks of 1, 16, 256 ... days that make it up: a logarithmic number,
+however long it is, and none depends on the dates of the captures.  Every
+capture then meets the pieces of its day on each level through an equi-join on
+(key, level, block) and the condition ``valid_from <= fetched < valid_to``, so
+it sees the list as it stood when it was fetched.  Windows never order more
+than one key's edits of one day, or one row per day and key; a hot host's
+captures of a coarse block are split by AQE's skew join.
 
 Keys of a capture: its host, each parent domain of two labels or more, and
 host + "/" + first path segment.  An active ``allow`` entry overrides ``block``.
@@ -23,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+BASE, LEVELS = 16, 7            # blocks of BASE ** level days
+ORIGIN = 1 << 27                # day number of 1970-01-01: all of Spark's timestamps lie in 0 .. BASE ** LEVELS
+
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 SEGMENT = r"^[a-z][a-z0-9+.-]*://[^/?#]+/([^/?#]+)"
 
@@ -43,23 +49,47 @@ def url_keys(url: Column) -> Column:
                   ).otherwise(none)
 
 
-def validity_pieces(edits: DataFrame, last_day) -> DataFrame:
-    """(key, list, day, valid_from, valid_to) for every day up to ``last_day``.
-    ``edits``: key, list, added (boolean), ts."""
+def day_number(day: Column) -> Column:
+    """Days, never negative: ``ORIGIN`` is 1970-01-01."""
+    return F.datediff(day, F.lit("1970-01-01").cast("date")).cast("bigint") + ORIGIN
+
+
+def day_blocks(first: Column, end: Column) -> Column:
+    """The days ``first`` to ``end`` (exclusive) as aligned blocks ``(level,
+    block)`` of ``BASE ** level`` days: at most ``2 (BASE - 1)`` a level."""
+    none = F.array().cast("array<bigint>")
+    span = lambda x, y: F.when(x < y, F.sequence(x, F.greatest(y - 1, x))).otherwise(none)
+    up = lambda k: F.ceil(first / BASE ** k).cast("bigint")
+    down = lambda k: F.floor(end / BASE ** k).cast("bigint")
+    at = lambda k: lambda x: F.struct(F.lit(k).alias("level"), x.alias("block"))
+    out = []
+    for k in range(LEVELS):
+        a, b, a2, b2 = up(k), down(k), up(k + 1), down(k + 1)
+        blocks = span(a, b) if k == LEVELS - 1 else F.when(a2 >= b2, span(a, b)).otherwise(F.concat(span(a, a2 * BASE), span(b2 * BASE, b)))
+        out.append(F.transform(blocks, at(k)))
+    return F.concat(*out)
+
+
+def validity_pieces(edits: DataFrame) -> DataFrame:
+    """(key, list, level, block, valid_from, valid_to): what is active on some
+    day of the block, and from when to when.  ``edits``: key, list, added
+    (boolean), ts."""
     e = (edits.filter("key is not null and list is not null and ts is not null")
          .groupBy("key", "list", "ts").agg(F.max(F.coalesce("added", F.lit(False))).alias("added"))
          .withColumn("day", F.to_date("ts")))
     end = F.date_add("day", 1).cast(edits.schema["ts"].dataType)
     inside = (e.withColumn("valid_to", F.coalesce(
         F.lead("ts").over(Window.partitionBy("key", "list", "day").orderBy("ts")), end))
-        .filter("added").select("key", "list", "day", F.col("ts").alias("valid_from"), "valid_to"))
+        .filter("added").select("key", "list", F.lit(0).alias("level"), day_number(F.col("day")).alias("block"),
+                                F.col("ts").alias("valid_from"), "valid_to"))
     days = (e.groupBy("key", "list", "day").agg(F.min("ts").alias("first"), F.max_by("added", "ts").alias("added"))
             .withColumn("next", F.lead("first").over(Window.partitionBy("key", "list").orderBy("day"))))
-    until = F.least(F.coalesce(F.to_date("next"), F.lit(last_day)), F.lit(last_day))
-    across = (days.filter("added").withColumn("valid_from", end).withColumn("from_day", F.date_add("day", 1))
-              .filter((F.col("from_day") <= until) & (F.col("next").isNull() | (F.col("valid_from") < F.col("next"))))
-              .select("key", "list", F.explode(F.sequence("from_day", until)).alias("day"), "valid_from",
-                      F.col("next").alias("valid_to")))
+    # from the next day on, up to and including the day of the next edit; for good when there is none
+    last = F.coalesce(day_number(F.to_date("next")) + 1, F.lit(BASE ** LEVELS))
+    across = (days.filter("added").withColumn("valid_from", end).filter(F.col("next").isNull() | (F.col("valid_from") < F.col("next")))
+              .select("key", "list", F.explode(day_blocks(day_number(F.date_add("day", 1)), last)).alias("b"), "valid_from",
+                      F.col("next").alias("valid_to"))
+              .select("key", "list", "b.level", "b.block", "valid_from", "valid_to"))
     return inside.unionByName(across)
 
 
@@ -69,14 +99,12 @@ def url_filter(captures: DataFrame, edits: DataFrame, url_col: str = "url", time
     captures = captures.drop("n_block", "n_allow", "kept")
     names = captures.columns
     c = captures.select(F.struct(*names).alias("__c"), F.monotonically_increasing_id().alias("__row"),
-                        F.col(time_col).alias("__at"), F.to_date(time_col).alias("day"), url_keys(F.col(url_col)).alias("__keys"))
-    last = captures.agg(F.max(F.to_date(time_col))).first()[0]          # one value
-    if last is None:
-        return captures.withColumns({"n_block": F.lit(0).cast("bigint"), "n_allow": F.lit(0).cast("bigint"),
-                                     "kept": F.lit(True)})
-    probes = c.filter("day is not null").select("__row", "__at", "day", F.explode("__keys").alias("key"))
-    p = validity_pieces(edits, last)
-    hits = (probes.join(p, ["key", "day"])
+                        F.col(time_col).alias("__at"), day_number(F.to_date(time_col)).alias("__day"), url_keys(F.col(url_col)).alias("__keys"))
+    level = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.floor(F.col("__day") / BASE ** k).cast("bigint").alias("block"))
+                                for k in range(LEVELS)])).alias("b")
+    probes = (c.filter("__day is not null").select("__row", "__at", "__day", F.explode("__keys").alias("key"))
+              .select("__row", "__at", "key", level).select("__row", "__at", "key", "b.level", "b.block"))
+    hits = (probes.join(validity_pieces(edits), ["key", "level", "block"])
             .filter((F.col("valid_from") <= F.col("__at")) & (F.col("valid_to").isNull() | (F.col("__at") < F.col("valid_to"))))
             .groupBy("__row").agg(F.count_if(F.col("list") == "block").alias("n_block"),
                                   F.count_if(F.col("list") == "allow").alias("n_allow")))

@@ -17,7 +17,9 @@ candidate is dropped and each text is read whole, in slices of whole texts.
 
 Edge cases: null or empty texts and items match nothing; repeated items each
 report; repeated or null ids report row by row; an empty benchmark gives no
-rows; other columns are ignored (or carried, in ``decontaminate``).
+rows; other columns are ignored (or carried, in ``decontaminate``).  Very long
+and repetitive texts take time for each shared q-gram, but bounded memory.
+An excerpt that leaves out more than ``edit_rate`` of an item is not reported.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from annomart.llm import arrays as A
 Q = 16
 EDIT_RATE = 0.05
 BLOCK_BYTES = 4 << 20
+PAIRS = 1 << 20                 # shared q-grams expanded at once
 _TABLE_BITS = 22
 
 KEEP = np.zeros(256, bool)
@@ -54,6 +57,12 @@ def byte_grams(b: np.ndarray, q: int) -> np.ndarray:
     return A.mix((run[q:] - run[:-q]) * A.powers(n + 1, A._Q)[:n - q + 1])
 
 
+def distinct(key: np.ndarray) -> np.ndarray:
+    """The distinct columns, in order."""
+    key = key[:, np.lexsort(key[::-1])]
+    return key[:, np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)][:key.shape[1]]]
+
+
 class Index:
     """q-gram index of a block of items."""
 
@@ -84,39 +93,44 @@ class Index:
             seen[(h >> A.U(64 - _TABLE_BITS)).astype(np.int64)] = True
             self.tables.append((int(g), h[o], item[o], pos[o], seen))
 
+    def bands(self, b: np.ndarray, cut: np.ndarray, g: int, h: np.ndarray, item: np.ndarray, pos: np.ndarray, seen: np.ndarray):
+        """(row, item, band) that share enough item positions.  Hits are expanded
+        ``PAIRS`` at a time, text position by text position; a band is counted
+        as soon as no later position can reach it, so that what is kept are the
+        distinct item positions of the last bands, also in texts of one letter."""
+        x = byte_grams(b, g)
+        p = np.flatnonzero(seen[(x >> A.U(64 - _TABLE_BITS)).astype(np.int64)])
+        x = x[p]
+        lo, hi = np.searchsorted(h, x, "left"), np.searchsorted(h, x, "right")
+        p, lo, n = p[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        row = np.searchsorted(cut, p, "right") - 1
+        inside = p + g <= cut[row + 1] if len(p) else np.zeros(0, bool)
+        p, lo, n, row = p[inside], lo[inside], n[inside], row[inside]
+        size = np.array([len(t) for t in self.text], np.int64)
+        held = np.zeros((4, 0), np.int64)
+        upto, a = np.cumsum(n), 0
+        while a < len(p):
+            z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS, "right")))
+            e, r = A.ragged(lo[a:z], n[a:z]), np.repeat(row[a:z], n[a:z])
+            i, o = item[e], pos[e]
+            band = (np.repeat(p[a:z], n[a:z]) - o) // (self.edits[i] + 1)
+            # each hit belongs to two overlapping bands; one item position counts once
+            held = distinct(np.concatenate([held, np.stack([r, i, band, o]), np.stack([r, i, band - 1, o])], axis=1))
+            a = z
+            step = self.edits[held[1]] + 1
+            # later hits lie on diagonals from here on
+            done = (held[0] < row[a]) | ((held[2] + 2) * step <= p[a] - size[held[1]]) if a < len(p) else np.ones(held.shape[1], bool)
+            key, held = held[:, done], held[:, ~done]
+            first = np.flatnonzero(np.r_[True, (key[:3, 1:] != key[:3, :-1]).any(axis=0)]) if key.shape[1] else np.zeros(0, np.int64)
+            count = np.diff(np.r_[first, key.shape[1]])
+            yield from map(tuple, key[:3, first[count >= self.bound[key[1, first]]]].T.tolist())
+
     def scan(self, buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, edits, first byte, end byte) of every verified region."""
         b, at, cut = reduce_text(buf, offs)
-        rows, items, diags, poss = [], [], [], []
-        for g, h, item, pos, seen in self.tables:
-            x = byte_grams(b, g)
-            p = np.flatnonzero(seen[(x >> A.U(64 - _TABLE_BITS)).astype(np.int64)])
-            x = x[p]
-            lo, hi = np.searchsorted(h, x, "left"), np.searchsorted(h, x, "right")
-            p, lo, n = p[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-            row = np.searchsorted(cut, p, "right") - 1
-            inside = p + g <= cut[row + 1] if len(p) else np.zeros(0, bool)
-            p, lo, n, row = p[inside], lo[inside], n[inside], row[inside]
-            e = A.ragged(lo, n)
-            rows.append(np.repeat(row, n))
-            items.append(item[e])
-            poss.append(pos[e])
-            diags.append(np.repeat(p, n) - pos[e])
-        if not rows or not sum(map(len, rows)):
-            return []
-        row, item, pos, diag = map(np.concatenate, (rows, items, poss, diags))
-        step = self.edits[item] + 1
-        band = diag // step
-        # each hit belongs to two overlapping bands; one item position counts once
-        row, item, pos, band = np.r_[row, row], np.r_[item, item], np.r_[pos, pos], np.r_[band, band - 1]
-        o = np.lexsort((pos, band, item, row))
-        key = np.stack([row, item, band, pos])[:, o]
-        key = key[:, np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)]]
-        first = np.flatnonzero(np.r_[True, (key[:3, 1:] != key[:3, :-1]).any(axis=0)])
-        count = np.diff(np.r_[first, key.shape[1]])
+        found = [band for table in self.tables for band in self.bands(b, cut, *table)]
         out: dict[tuple[int, int, int], tuple[int, int]] = {}
-        for j in first[count >= self.bound[key[1, first]]]:
-            r, i, d = (int(v) for v in key[:3, j])
+        for r, i, d in sorted(found):
             k = int(self.edits[i])
             hit = align(self.text[i], b, d * (k + 1), (d + 2) * (k + 1) - 1, int(cut[r]), int(cut[r + 1]), k)
             if hit:
@@ -186,7 +200,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: i
         if n:
             yield [(r["id"], r["text"]) for r in sized.collect()]              # at most half of block_bytes
         return
-    # hashed halves of a block's size on average; a block over the size is refused, not cut
+    # blocks of half the size on average; hashing may fill one more, and an item larger than a block is one by itself
     part = sized.withColumn("b", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
     for b in range(blocks):
         yield [(r["id"], r["text"]) for r in part.filter(F.col("b") == b).collect()]

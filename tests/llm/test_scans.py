@@ -3,12 +3,15 @@ import datetime as dt
 import random
 import textwrap
 
+import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from annomart.llm import arrays as A
-from annomart.llm.op6_urls import url_filter, validity_pieces
+from annomart.llm import op9_decontam
+from annomart.llm.op6_urls import BASE, LEVELS, day_blocks, url_filter, validity_pieces
 from annomart.llm.op9_decontam import KEEP, Index, contamination, decontaminate
-from annomart.llm.op10_licenses import SENTENCES, license_scan
+from annomart.llm.op10_licenses import RULES, SENTENCES, license_scan, op10_sql
 
 from .data import EXTRA, awkward, frame
 
@@ -56,9 +59,9 @@ def test_url_filter(spark):
     assert url_filter(c.limit(0), e).count() == 0
     assert all(x.kept for x in url_filter(c, e.limit(0)).collect())
     # pieces of a key and list never overlap
-    p = validity_pieces(e, dt.date(2024, 3, 14)).collect()
+    p = validity_pieces(e).collect()
     for a in p:
-        assert sum((b.key, b.list, b.day) == (a.key, a.list, a.day) and b.valid_from <= a.valid_from and
+        assert sum((b.key, b.list, b.level, b.block) == (a.key, a.list, a.level, a.block) and b.valid_from <= a.valid_from and
                    (b.valid_to is None or a.valid_from < b.valid_to) for b in p) == 1
 
 
@@ -148,3 +151,86 @@ def test_license_scan_of_narrow_lines(spark):
     assert wrap("MitGrant", 50).count("\n") > 6
     out = license_scan(frame(spark, rows)).collect()
     assert sorted((r.doc_id, tuple(r.sentence_ids), tuple(r.licenses), r.n_unmatched) for r in out) == [(i, mit, ("MIT",), 0) for i, _ in rows]
+
+
+def test_pieces_do_not_grow_with_dates(spark):
+    """One edit that stays, and captures at outlier dates: a logarithmic number of pieces."""
+    e = spark.createDataFrame([("h.org", "block", True, dt.datetime(2024, 3, 1, 12))], "key string, list string, added boolean, ts timestamp")
+    assert validity_pieces(e).count() <= 2 * (BASE - 1) * LEVELS
+    days = [dt.datetime(2024, 3, 1, 11), dt.datetime(2024, 3, 1, 13), dt.datetime(2024, 3, 2), dt.datetime(9999, 12, 30), dt.datetime(1, 1, 2),
+            dt.datetime(2031, 7, 5, 3), dt.datetime(1969, 12, 31)]
+    c = spark.createDataFrame([(i, "https://h.org/x", d) for i, d in enumerate(days)], "page_id bigint, url string, fetched timestamp")
+    assert {r.page_id: r.n_block for r in url_filter(c, e).collect()} == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0, 5: 1, 6: 0}
+
+
+def test_day_blocks_cover_exactly(spark):
+    r = random.Random(2)
+    spans = [(a, a + r.choice([0, 1, 2, 15, 16, 17, 300, 5000, 70000])) for a in (r.randrange(1 << 20) for _ in range(60))] + [(0, 1 << 12), (16, 32)]
+    df = spark.createDataFrame(spans, "a bigint, b bigint")
+    for x in df.select("a", "b", day_blocks(F.col("a"), F.col("b")).alias("p")).collect():
+        days = sorted(d for k, n in x.p for d in range(n * BASE ** k, (n + 1) * BASE ** k))
+        assert days == list(range(x.a, x.b)) and len(x.p) <= 2 * (BASE - 1) * LEVELS
+
+
+def test_repetitive_texts_in_bounded_memory():
+    import tracemalloc
+
+    item = "a" * 400
+    index = Index([(1, item), (2, "ab" * 90), (3, "xyz")])
+    text = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))
+    found = {}
+    for n in (1 << 13, 1 << 15):
+        tracemalloc.start()
+        hits = index.scan(*text("a" * n))
+        found[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert hits and {h[1] for h in hits} == {0}
+    assert found[1 << 15] < 400e6 and found[1 << 15] < 3 * found[1 << 13] + 1e8
+
+
+def test_expanding_in_steps_changes_nothing(monkeypatch):
+    r = random.Random(3)
+    items = [(i, "".join(r.choice("abc ") for _ in range(r.randint(20, 300)))) for i in range(12)]
+    texts = ["".join(r.choice("abc ") for _ in range(500)) + r.choice(items)[1] * r.randint(0, 3) + "zz" for _ in range(25)] + ["", "aaaa" * 300]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.cumsum([0] + [len(t) for t in texts])
+    want = Index(items).scan(buf, offs)
+    assert want
+    for pairs in (1, 100, 5000):
+        monkeypatch.setattr(op9_decontam, "PAIRS", pairs)
+        assert Index(items).scan(buf, offs) == want
+
+
+def test_nested_sentences_and_more_licenses(spark):
+    cap = lambda k: SENTENCES[k].capitalize()
+    cases = [
+        (1, "This work is\nlicensed under the GNU General Public License version 3", "Gpl3Work", "GPL-3.0-only"),
+        (2, "Licensed under the GNU Lesser General Public License version 2.1", "TagLGPL21only1", "LGPL-2.1-only"),
+        (3, "// SPDX-License-Identifier: MIT", "", "MIT"), (4, "# SPDX-License-Identifier: LGPL-3.0-or-later\nx", "", "LGPL-3.0-or-later"),
+        (5, f"{cap('MplForm')}. {cap('MplCopy')}.", "MplForm,MplCopy", "MPL-2.0"),
+        (6, f"{cap('IscGrant')}.\n\n{cap('IscAsIs')}.", "IscGrant,IscAsIs", "ISC"),
+        (7, f"{cap('BsdGrant')}: {cap('BsdSource')}. {cap('BsdBinary')}. {cap('BsdEndorse')}.\n{cap('BsdAsIs')}.",
+         "BsdGrant,BsdSource,BsdBinary,BsdEndorse,BsdAsIs", "BSD-3-Clause"),
+        (8, f"{cap('Gpl2Free')}.\n{cap('GplNoWarranty')}.\n{cap('GplSeeCopy')}.", "Gpl2Free,GplNoWarranty,GplSeeCopy", "GPL-2.0-or-later"),
+        (9, "Licensed under the Apache License, Version 2.0 (the \"License\");", "ApacheHead", "Apache-2.0"),
+        (10, "Released under the\nMIT License. Licensed under the MIT License", "MitRef,MitRef2", "MIT"),
+    ]
+    for r in license_scan(frame(spark, [(d, t) for d, t, *_ in cases])).collect():
+        _, _, ids, lic = cases[r.doc_id - 1]
+        assert ",".join(r.licenses) == lic and r.n_unmatched == 0 and (not ids or ",".join(r.sentence_ids) == ids), r
+    assert len(SENTENCES) > 100 and len(set(SENTENCES.values())) == len(SENTENCES) and {x for _, run in RULES for x in run} <= set(SENTENCES)
+
+
+def test_license_sql_agrees_on_wrapped_and_nested_sentences(spark):
+    import duckdb
+
+    wrap = lambda k, w: "\n".join(textwrap.wrap(SENTENCES[k].capitalize(), w))
+    rows = [(i, f"{wrap('MitGrant', w)}:\n{wrap('MitNotice', w)}.\n{wrap('Gpl3Work', w)}. x") for i, w in enumerate((200, 72, 50, 20, 8))]
+    rows += [(20, None), (21, ""), (22, "licensed under\nthis work is\nlicensed under the GNU General Public License version 3\nlicensed under cc by\n4 0")]
+    docs = duckdb.connect()
+    docs.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    docs.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(docs.execute(op10_sql()).fetchall())
+    out = license_scan(frame(spark, rows))
+    got = sorted((r.doc_id, ",".join(r.sentence_ids), ",".join(r.licenses), bool(r.licenses), r.n_unmatched) for r in out.collect())
+    assert got == want
