@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from annomart.session import ensure_checkpoint_dir
 
 _WRITTEN: list[str] = []
+_RECORD: ContextVar[list[str] | None] = ContextVar("tables written", default=None)
 
 
 @contextmanager
@@ -53,6 +55,8 @@ def materialise(df: DataFrame, name: str, batch_rows: int | None = None, by: str
     with settings(spark, **conf):
         df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     _WRITTEN.extend([f"{path}/{by}={i}" for i in range(parts)] if by else [path])
+    if _RECORD.get() is not None:
+        _RECORD.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,3 +73,22 @@ def sweep(spark: SparkSession, since: int, until: int | None = None, keep: tuple
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(hconf).delete(p, True)
             _WRITTEN[i] = ""
+
+
+@contextmanager
+def recorded():
+    """The tables written in the block by this run or thread, as a list that fills up."""
+    written: list[str] = []
+    token = _RECORD.set(written)
+    try:
+        yield written
+    finally:
+        _RECORD.reset(token)
+
+
+def forget(spark: SparkSession, paths) -> None:
+    """Delete written tables that nothing reads any more."""
+    jvm, hconf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(hconf).delete(p, True)

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from annomart.llm import op7_quality as Q
 from annomart.llm.eliasfano import EliasFano, Trie
@@ -155,6 +156,30 @@ def test_quality_ratio_tells_apart(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [d for d, r in sorted(out.items()) if r.llr >= 0 and not r.base_failed]
 
 
+def test_quality_ratio_equals_plain_counts(spark):
+    """``llr`` and ``kept`` from counts of words and word pairs in plain Python;
+    the cells of the hashed words come from Spark."""
+    rows = awkward(4, n=40, long=60)
+    df, buckets = frame(spark, rows), 128
+    target = {i for i, _ in rows[:12]}
+    words = {r.w for r in df.select(F.explode(Q.words(F.col("text"))).alias("w")).distinct().collect()}
+    pairs = {(a, b) for _, t in rows for w in [WORD.findall(t or "")] for a, b in zip(w, w[1:])}
+    cell1 = {r.w: r.c for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("c")).collect()}
+    cell2 = {(r.a, r.b): r.c for r in spark.createDataFrame(list(pairs), "a string, b string").select(
+        "a", "b", F.pmod(F.xxhash64("a", "b"), F.lit(buckets)).alias("c")).collect()}
+    grams = [[cell1[x] for x in w] + [cell2[p] for p in zip(w, w[1:])] for w in (WORD.findall(t or "") for _, t in rows)]
+    raw, good = (collections.Counter(c for (d, _), g in zip(rows, grams) if keep(d) for c in g) for keep in (lambda d: True, lambda d: d in target))
+    nr, nt = raw.total(), good.total()
+    prior = Q.PRIOR
+    weight = [math.log((good[c] + prior * (raw[c] + 1) / (nr + buckets)) / (nt + prior)) - math.log((raw[c] + 1) / (nr + buckets)) for c in range(buckets)]
+    want = sorted((repr(d), round(sum(weight[c] for c in g) / len(g), 9) if g else 0.0) for (d, _), g in zip(rows, grams))
+    threshold = float(np.median([x for _, x in want]))
+    out = Q.quality_rules(df, df.filter(F.col("doc_id").isin(list(target))), buckets=buckets, threshold=threshold).collect()
+    got = sorted((repr(r.doc_id), round(r.llr, 9)) for r in out)
+    assert [g[0] for g in got] == [w[0] for w in want] and [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-8)
+    assert all(r.kept == (not r.base_failed and r.llr >= threshold) for r in out) and len({r.kept for r in out}) == 2
+
+
 def test_quality_without_rows_or_target(spark):
     df = frame(spark, awkward(1))
     assert Q.quality_rules(df.limit(0), df.limit(0), buckets=64).count() == 0
