@@ -6,31 +6,37 @@ the next stage's documents.  A stage works on all that its predecessor kept,
 takes its statistics from that, and returns the columns of documents; the last
 returns the packed pieces.  A stage's result must be written before the next
 stage is called: that one deletes the intermediate tables of its predecessor.
+Each run, and each thread, has a handle of its own on them.
+
+Null and empty texts, null ids, repeated rows and further columns pass through
+the stages as their operators define it: texts without words fail the quality
+rules; a stage keeps the columns it gets; an empty table stays one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annomart.llm import op1_packing, op2_phrases, op3_jaccard, op7_quality, op9_decontam
-from annomart.llm.scratch import mark, materialise, sweep
+from annomart.llm.scratch import forget, materialise, recorded
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_last: list[tuple[int, int]] = []           # intermediate tables of the stage called last
+#: intermediate tables of the stage called last, of the run (or thread) that calls it
+_last: ContextVar[tuple[str, ...]] = ContextVar("intermediate tables", default=())
 
 
 def tidy(stage: Stage) -> Stage:
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _last:
-            sweep(spark, *_last.pop())
-        since = mark()
-        out = stage(spark, docs, sf_dir)
-        _last.append((since, mark()))
+        forget(spark, _last.get())
+        with recorded() as written:
+            out = stage(spark, docs, sf_dir)
+        _last.set(tuple(written))
         return out
     return run_stage
 
@@ -86,6 +92,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    handle = _last.set(())
+    try:
+        for name, stage in STAGES:
+            docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        forget(spark, _last.get())
+    finally:
+        _last.reset(handle)
     return docs
