@@ -11,6 +11,7 @@ from ..operators import dims
 from ..operators.lookups import edges, feature_symbols
 from ..operators.locations import location_slice
 from ..operators.overlap import DEFAULT_BIN
+from ..session import stage
 
 # --------------------------------------------------------------------------
 # R1 data class counts
@@ -209,7 +210,7 @@ def overlapping_transcripts(cat, locations: DataFrame, bin_size: int = DEFAULT_B
                             types=("miRNA", "mRNA")) -> DataFrame:
     """Live FBtr of the given types overlapping each location:
     ``(location, id, symbol, type)``, one row per (location line, transcript)."""
-    q = locations.join(scaffold_ids(cat), "scaffold")
+    q = stage(locations.join(scaffold_ids(cat), "scaffold"))            # read for the files, the bounds and the join
     tr = (cat["feature"].filter(F.col("uniquename").startswith("FBtr") & F.col("uniquename").rlike(r"^FBtr\d+\z")
                                 & ~F.col("is_obsolete") & ~F.col("is_analysis") & dims.is_type(cat, list(types)))
           .select("feature_id", F.col("uniquename").alias("id"), dims.type_name(cat, list(types)).alias("type")))
