@@ -145,6 +145,30 @@ def run_starts(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]])
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with the inverse, of 64-bit values.  Where the bits that vary and
+    the index fit in one word, the words are sorted themselves."""
+    n = len(x)
+    if n < 2:
+        return x.copy(), np.zeros(n, np.int64)
+    index = (n - 1).bit_length()
+    low = x & U(0xFFFFFFFF)
+    wide = int(low.max()).bit_length()
+    if int((x >> U(32)).max()).bit_length() + wide + index > 64:
+        return np.unique(x, return_inverse=True)
+    key = ((x >> U(32)) << U(wide) | low) << U(index) | np.arange(n, dtype=U)
+    key.sort()
+    at = (key & U((1 << index) - 1)).astype(np.int64)
+    key >>= U(index)
+    new = np.empty(n, bool)
+    new[0] = True
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    back = np.empty(n, np.int64)
+    back[at] = np.cumsum(new) - 1
+    key = key[new]
+    return (key >> U(wide)) << U(32) | key & U((1 << wide) - 1), back
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated index ranges ``start .. start + length``."""
     ends = np.cumsum(lengths)

@@ -9,6 +9,8 @@ import numpy as np
 
 U = np.uint64
 ONE = U(1)
+BLOCK = 1 << 15                 # sorted queries answered at once
+DENSE = 16                      # values read for each query at most, else they are sought one by one
 
 
 def select_in_word(w: np.ndarray, r: np.ndarray) -> np.ndarray:
@@ -68,15 +70,49 @@ class EliasFano:
         zeros = np.r_[0, zeros[:-1]]
         return np.concatenate([np.array([n, bits, len(low), len(high)], U), low, high, zeros.view(U)])
 
+    def span(self, a: int, b: int) -> np.ndarray:
+        """Values at positions ``a`` to ``b``, read in one pass."""
+        if a >= b:
+            return np.zeros(0, U)
+        ones = np.arange(len(self.zeros)) * 64 - self.zeros
+        w, end = np.searchsorted(ones, [a, b - 1], "right") - 1
+        bits = np.unpackbits(self.high[w:end + 1].view(np.uint8), bitorder="little")
+        skip = a - int(ones[w])
+        p = w * 64 + np.flatnonzero(bits)[skip:skip + b - a]
+        i = np.arange(a, b)
+        return (p - i).astype(U) << U(self.bits) | unpack(self.low, self.bits, i)
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values at positions ``i``."""
+        if len(i):
+            a, b = int(i.min()), int(i.max()) + 1
+            if b - a <= DENSE * len(i):
+                return self.span(a, b)[i - a]
         ones = np.arange(len(self.zeros)) * 64 - self.zeros
         w = np.searchsorted(ones, i, "right") - 1
         p = w * 64 + select_in_word(self.high[w], i - ones[w])
         return (p - i).astype(U) << U(self.bits) | unpack(self.low, self.bits, i)
 
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the first value >= x, whether it equals x)."""
+        """(index of the first value >= x, whether it equals x).  Sorted queries go in
+        blocks: the buckets of high parts that a block touches are read in one pass."""
+        if not self.n or len(x) < 2 or not (x[1:] >= x[:-1]).all():
+            return self._probe(x)
+        idx, found = np.empty(len(x), np.int64), np.empty(len(x), bool)
+        for a in range(0, len(x), BLOCK):
+            q = x[a:a + BLOCK]
+            (first, last), _ = self._probe(q[[0, -1]])
+            last = min(int(last) + 1, self.n)
+            if last - first <= DENSE * len(q):
+                v = self.span(int(first), last)
+                k = np.searchsorted(v, q)
+                idx[a:a + BLOCK] = first + k
+                found[a:a + BLOCK] = v[np.minimum(k, len(v) - 1)] == q if len(v) else False
+            else:
+                idx[a:a + BLOCK], found[a:a + BLOCK] = self._probe(q)
+        return idx, found
+
+    def _probe(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h, low = (x >> U(self.bits)).astype(np.int64), x & U((1 << self.bits) - 1)
         total = len(self.high) * 64 - self.n
         beyond = h > total
@@ -148,14 +184,18 @@ class Trie:
         out = np.full(len(context), -1, np.int64)
         if not self.n or not len(context):
             return out
-        j, known = self.contexts.successor(context.astype(U))
-        q = np.flatnonzero(known)
-        base, limit = self.bases.get(j[q]), self.bases.get(j[q] + 1)
-        x = base + successor[q].astype(U)
-        inside = x < limit                                     # beyond the context's largest successor otherwise
-        q, x, j = q[inside], x[inside], j[q][inside]
+        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])    # neighbours with one context share its search
+        j, known = self.contexts.successor(context[first].astype(U))
+        size = np.diff(np.r_[first, len(context)])
+        j = j[known]
+        q = np.flatnonzero(np.repeat(known, size))
+        of = np.repeat(np.arange(len(j)), size[known])
+        base, limit, start = self.bases.get(j), self.bases.get(j + 1), self.pointers.get(j).astype(np.int64)
+        x = base[of] + successor[q].astype(U)
+        inside = x < limit[of]                                 # beyond the context's largest successor otherwise
+        q, x, of = q[inside], x[inside], of[inside]
         i, hit = self.successors.successor(x)
-        hit &= i >= self.pointers.get(j).astype(np.int64)
+        hit &= i >= start[of]
         out[q[hit]] = i[hit]
         return out
 

@@ -174,10 +174,10 @@ class Sent:
 
     def trie(self, order: int) -> np.ndarray:
         """Words of the trie: the levels from 2 on, one after the other."""
-        top, at = np.unique(self.words[1], return_inverse=True)
+        top, at = A.distinct(self.words[1])
         key, up, count = {1: top}, {}, {}
         for k in range(2, order + 1):
-            u, back = np.unique(at[self.parent[k]].astype(U) << U(32) | self.words[k], return_inverse=True)
+            u, back = A.distinct(at[self.parent[k]].astype(U) << U(32) | self.words[k])
             count[k] = np.bincount(back, self.counts(k), len(u)).astype(np.int64)
             key[k], up[k], at = u & U(0xFFFFFFFF), (u >> U(32)).astype(np.int64), back
         keep = {order: count[order] > 0}                       # words that only lead to kept ones stay, without a code
@@ -192,12 +192,14 @@ class Sent:
         return np.concatenate(out)
 
     def codes(self, trie: Trie, order: int) -> dict[int, np.ndarray]:
-        """The code of every n-gram, by order."""
-        out, name = {}, self.words[1]
+        """The code of every n-gram, by order.  Each distinct n-gram of the shard is
+        sought once, in the order of its context's place and its word."""
+        out, name = {}, self.words[1].astype(np.int64)
         for k in range(2, order + 1):
             known, place = name[self.parent[k]], np.full(len(self.words[k]), -1, np.int64)
-            i = np.arange(len(known)) if k == 2 else np.flatnonzero(known >= 0)
-            place[i] = trie.find(known[i], self.words[k][i])
+            i = np.flatnonzero(known >= 0)
+            u, back = A.distinct(known[i].astype(U) << U(32) | self.words[k][i])
+            place[i] = trie.find(u >> U(32), u & U(0xFFFFFFFF))[back]
             out[k], name, trie = trie.code_at(place), place, trie.below
         return out
 

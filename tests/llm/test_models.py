@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from annomart.llm import arrays as A
 from annomart.llm import op7_quality as Q
 from annomart.llm.eliasfano import EliasFano, Trie
 from annomart.llm.op4_lm import WEIGHT, train_and_score
@@ -28,6 +29,21 @@ def test_elias_fano():
         x = rng.integers(0, max(2, n * 60), 2000).astype(np.uint64)
         i, found = e.successor(x)
         assert (i == np.searchsorted(v, x)).all() and (found == np.isin(x, v)).all()
+        for few in (x, x[:20], v[:0].astype(np.uint64)):       # sorted queries: blocks read in one pass, or too far apart for it
+            few = np.sort(few)
+            i, found = e.successor(few)
+            assert (i == np.searchsorted(v, few)).all() and (found == np.isin(few, v)).all()
+        at = rng.integers(0, max(n, 1), min(n, 300))
+        assert (e.get(at) == v[at].astype(np.uint64)).all() and (e.get(at[:2]) == v[at[:2]].astype(np.uint64)).all()
+
+
+def test_distinct():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 3000):
+        for high, low in ((1, 1), (40, 90), (1 << 20, 1 << 21), (1 << 32, 1 << 32)):   # the last does not fit beside the index
+            x = rng.integers(0, high, n).astype(np.uint64) << np.uint64(32) | rng.integers(0, low, n).astype(np.uint64)
+            for got, want in zip(A.distinct(x), np.unique(x, return_inverse=True)):
+                assert got.tolist() == want.tolist()
 
 
 def test_trie(tmp_path):
