@@ -169,6 +169,27 @@ def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (key >> U(wide)) << U(32) | key & U((1 << wide) - 1), back
 
 
+def distinct_hashes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``distinct`` of hashes: their high bits are sorted beside the index, which is
+    the whole order unless two different hashes agree in these bits."""
+    n = len(x)
+    if n < 2:
+        return x.copy(), np.zeros(n, np.int64)
+    index = U((n - 1).bit_length())
+    key = x >> index << index | np.arange(n, dtype=U)
+    key.sort()
+    at = (key & ((U(1) << index) - U(1))).astype(np.int64)
+    sorted_, high = x[at], key >> index
+    new = np.empty(n, bool)
+    new[0] = True
+    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
+    if (new[1:] & (high[1:] == high[:-1])).any():
+        return np.unique(x, return_inverse=True)
+    back = np.empty(n, np.int64)
+    back[at] = np.cumsum(new) - 1
+    return sorted_[new], back
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated index ranges ``start .. start + length``."""
     ends = np.cumsum(lengths)

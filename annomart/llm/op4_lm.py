@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from annomart.llm import arrays as A
 from annomart.llm.eliasfano import Trie
-from annomart.llm.passages import Chunk, blob, chunk_table, cuts, rows, squeeze, unsqueeze
+from annomart.llm.passages import blob, chunk_table, cuts, rows, squeeze, unsqueeze
 from annomart.llm.scratch import mark, materialise, sweep
 
 U = A.U
@@ -75,15 +75,17 @@ class Tokens:
     """A chunk's tokens: distinct hashes and, per token, its place among them."""
 
     def __init__(self, row: dict, folds: int, held_out: int):
-        c = Chunk.of(row, True, lower=True)
-        self.id, self.rest = c.id, c.rest
-        self.n = np.diff(c.cut) + 1                            # with the end
+        buf = A.LOWER[np.frombuffer(pa.decompress(row["data"], decompressed_size=row["n_bytes"], codec="zstd", asbytes=True), np.uint8)]
+        offs = np.frombuffer(row["offs"], "<i8")
+        self.id, self.rest = row["chunk"], pa.ipc.open_stream(row["rest"]).read_next_batch()
+        first, last, of = A.word_spans(buf, offs)
+        self.n = np.bincount(of, minlength=len(offs) - 1) + 1  # with the end
         self.cut = np.r_[0, np.cumsum(self.n)]
         h = np.full(int(self.cut[-1]), END, U)
-        h[np.arange(len(c.values)) + np.repeat(np.arange(len(self.n)), self.n - 1)] = c.values
-        self.hash, self.at = np.unique(h, return_inverse=True)
+        h[np.arange(len(of)) + of] = A.span_hashes(buf, first, last)
+        self.hash, self.at = A.distinct_hashes(h)
         self.text_of = np.repeat(np.arange(len(self.n)), self.n)
-        self.held = np.array([zlib.crc32(id_text(x)) % folds == held_out for x in c.rest.column(0).to_pylist()], bool)
+        self.held = np.array([zlib.crc32(id_text(x)) % folds == held_out for x in self.rest.column(0).to_pylist()], bool)
         self.train = ~self.held[self.text_of]
 
     def counts(self) -> np.ndarray:
@@ -121,14 +123,16 @@ class Grams:
             i = self.ends[k]
             r = np.zeros(n, U)
             if k == 2:
-                r = before.astype(U) << U(20) | A.mix(word.astype(U)) % (least // split + 1).astype(U)
+                r, far = before.astype(U) << U(20), np.flatnonzero(least >= split)
+                r[far] |= A.mix(word[far].astype(U)) % (least[far] // split + 1).astype(U)
             else:
                 r[i], rarest = route[i - 1], np.zeros(n, np.int64)
                 rarest[i] = np.minimum(least[i - 1], count[i - 1])
                 least = rarest
                 i = left[k] = np.flatnonzero(least >= split)
                 r[i] = A.mix(r[i]) ^ A.mix(word[i].astype(U)) % (least[i] // split + 1).astype(U)
-            route, shard[k] = r, (A.mix(r) % U(shards)).astype(np.int64)
+            route, shard[k] = r, np.zeros(n, np.int64)
+            shard[k][i] = (A.mix(r[i]) % U(shards)).astype(np.int64)
         self.words, self.parent, self.train, self.shard, self.at = {}, {}, {}, {}, {}
         above: dict[int, np.ndarray] = shard                   # by order: entry of the first words of the n-gram ending at a token
         for k in range(1, order + 1):
@@ -136,7 +140,7 @@ class Grams:
             own = {o: self.ends[o] if o == low else left[o] for o in range(low, order + 1)}
             key = np.concatenate([above[o][i].astype(U) << U(32) | (before[i - o + 2] if k == 1 else word[i - o + k]).astype(U)
                                   for o, i in own.items()])
-            key, back = np.unique(key, return_inverse=True)
+            key, back = A.distinct(key)
             here, end = {}, 0
             for o, i in own.items():
                 here[o] = np.zeros(n, np.int64)

@@ -44,6 +44,10 @@ def test_distinct():
             x = rng.integers(0, high, n).astype(np.uint64) << np.uint64(32) | rng.integers(0, low, n).astype(np.uint64)
             for got, want in zip(A.distinct(x), np.unique(x, return_inverse=True)):
                 assert got.tolist() == want.tolist()
+            for got, want in zip(A.distinct_hashes(x), np.unique(x, return_inverse=True)):   # small values agree in their high bits
+                assert got.tolist() == want.tolist()
+            for got, want in zip(A.distinct_hashes(A.mix(x)), np.unique(A.mix(x), return_inverse=True)):
+                assert got.tolist() == want.tolist()
 
 
 def test_trie(tmp_path):
