@@ -1,7 +1,7 @@
 """Op 4 - language-model scores from Elias-Fano n-gram tries.
 
 A word n-gram model (order 3 in the query) is trained on all documents but the
-held-out ones and scores every document.  Words get dense numbers from their
+held-out ones and scores every document.  Words get nearly dense numbers from their
 hash buckets (which also give their counts); n-grams are counted in shards by
 context.  Each shard writes its n-grams as a compact trie
 (:mod:`annomart.llm.eliasfano`): a level per order from 2 on, in which the
@@ -91,14 +91,14 @@ class Tokens:
     def counts(self) -> np.ndarray:
         return np.bincount(self.at[self.train], minlength=len(self.hash))
 
-    def numbered(self, row: dict, parts: int, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def numbered(self, row: dict, parts: int) -> tuple[np.ndarray, np.ndarray]:
         """(number or -1, training count) of each distinct hash, from the buckets' answers."""
         part = (A.mix(self.hash) % U(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         got = sorted(row["answers"], key=lambda a: a["bucket"])
         num, cnt = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
         local = np.concatenate([unsqueeze(a["num"], "<i4") for a in got]).astype(np.int64)
-        num[order] = np.where(local < 0, -1, local + offsets[part[order]])
+        num[order] = np.where(local < 0, -1, local * parts + part[order])   # buckets are even, so hardly a number is left out
         cnt[order] = np.concatenate([unsqueeze(a["n"], "<i8") for a in got])
         return num, cnt
 
@@ -109,10 +109,10 @@ class Grams:
     Level 1 has (shard, first word), level k the distinct (entry of level k - 1,
     word); so the entries of every level are sorted by shard."""
 
-    def __init__(self, t: Tokens, num: np.ndarray, cnt: np.ndarray, v: int, texts: int, order: int, shards: int, split: int):
-        word, count = np.where(num < 0, v, num)[t.at], cnt[t.at]        # v: unknown, v + 1: begin
-        before, self.c_before = np.r_[v + 1, word[:-1]], np.r_[0, count[:-1]]
-        before[t.cut[:-1]], self.c_before[t.cut[:-1]] = v + 1, texts
+    def __init__(self, t: Tokens, num: np.ndarray, cnt: np.ndarray, unknown: int, texts: int, order: int, shards: int, split: int):
+        word, count = np.where(num < 0, unknown, num)[t.at], cnt[t.at]      # unknown + 1: begin
+        before, self.c_before = np.r_[unknown + 1, word[:-1]], np.r_[0, count[:-1]]
+        before[t.cut[:-1]], self.c_before[t.cut[:-1]] = unknown + 1, texts
         n, self.levels = len(word), range(2, order + 1)
         place = np.arange(n) - np.repeat(t.cut[:-1], t.n)
         self.ends = {k: np.flatnonzero(place >= k - 2) for k in self.levels}    # tokens at which an n-gram of order k ends
@@ -262,20 +262,17 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         chunks.mapInArrow(over(send_words), "bucket int, chunk bigint, words binary, n binary, texts bigint").groupBy("bucket")
         .applyInArrow(number, "chunk bigint, bucket int, num binary, n binary, known bigint, tokens bigint, texts bigint"),
         "op4-words", batch_rows=1)
-    # one row per bucket; their number follows the input, not the vocabulary
-    stats = numbers.groupBy("bucket").agg(F.sum("known").alias("v"), F.sum("tokens").alias("n"), F.sum("texts").alias("d")).collect()
-    known = np.zeros(buckets, np.int64)
-    for r in stats:
-        known[r["bucket"]] = r["v"]
-    offsets, v = np.cumsum(known) - known, int(known.sum())
-    tokens, texts = sum(r["n"] for r in stats), sum(r["d"] for r in stats)
+    v, tokens, texts, most = (x or 0 for x in numbers.groupBy("bucket").agg(
+        F.sum("known").alias("v"), F.sum("tokens").alias("n"), F.sum("texts").alias("d"))
+        .agg(F.sum("v"), F.sum("n"), F.sum("d"), F.max("v")).first())
+    unknown = most * buckets                                   # above every number
     numbered = chunks.join(numbers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "num", "n")).alias("answers"))
                            .hint("shuffle_hash"), "chunk")
 
     # 2. n-grams: one trie per shard, which answers the shard's n-grams
     def grams_of(t: Tokens, row):
-        num, cnt = t.numbered(row, buckets, offsets)
-        return Grams(t, num, cnt, v, texts, order, shards, split), cnt
+        num, cnt = t.numbered(row, buckets)
+        return Grams(t, num, cnt, unknown, texts, order, shards, split), cnt
 
     gram_schema = pa.schema([("shard", pa.int32()), ("chunk", pa.int64()), *((k, pa.list_(pa.binary())) for k in ("words", "children", "n"))])
 
