@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import dims
-from ..operators.lookups import edges, feature_symbols
+from ..operators.lookups import edges, feature_symbols, symbols_by_name
 from ..operators.locations import location_slice
 from ..operators.overlap import DEFAULT_BIN
 from ..session import stage
@@ -271,8 +271,7 @@ def go_counts(cat) -> DataFrame:
     counts and the number of aspects with any term (one row per location)."""
     genes = located_model_genes(cat)
     by_name = experimental_go_counts(cat, genes)
-    sym = feature_symbols(cat).groupBy("uniquename").agg(
-        F.min_by("synonym_sgml", "object_id").alias("symbol"))
+    sym = symbols_by_name(cat, ["FBgn"])
     out = genes.join(by_name, "uniquename", "left").join(sym, "uniquename", "left")
     cols = [F.coalesce(a, F.lit(0)).cast("long").alias(a) for a in ASPECTS]
     out = out.select(F.col("uniquename").alias("fbid"), "symbol", *cols)
@@ -284,7 +283,7 @@ def ortholog_species_counts(cat) -> DataFrame:
     """Per located model gene, distinct organisms of live orthologs
     reported by DIOPT."""
     genes = located_model_genes(cat).select(F.col("feature_id").alias("object_id"), "uniquename")
-    e = edges(cat, "orthologous_to", subject_live=True, object_live=False)
+    e = edges(cat, "orthologous_to", object_classes="FBgn", subject_live=True, object_live=False)
     frp = cat["feature_relationshipprop"].filter(F.col("value") == "DIOPT").select("feature_relationship_id")
     e = e.join(frp, "feature_relationship_id", "left_semi")
     og = cat["feature"].select(F.col("feature_id").alias("subject_id"), "organism_id")
