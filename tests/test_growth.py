@@ -84,3 +84,20 @@ def test_symbols_of_some_classes(spark):
     some = symbols_by_name(c, ["FBto"])
     assert rows(some) == [("FBto1", "s31")]
     assert str(some._jdf.queryExecution().optimizedPlan()).count("Aggregate") == 1
+
+
+def test_diseases_of_a_gene_meet_its_members_last(spark):
+    from annomart.plans.groups import pathway_disease
+    c = small(spark)
+    c.override("cvterm", c["cvterm"].unionAll(spark.createDataFrame(
+        [(50, 4, "evidence_code", 0, 150), (51, 4, "qualifier", 0, 151), (60, 4, "flu", 0, 160)], c["cvterm"].schema)))
+    c.override("dbxref", spark.createDataFrame([(160, 3, "77")], "dbxref_id long, db_id long, accession string"))
+    c.override("feature_cvterm", spark.createDataFrame([(1, 7, 60), (2, 1, 60), (3, 1, 60)], "feature_cvterm_id long, feature_id long, cvterm_id long"))
+    c.override("feature_cvtermprop", spark.createDataFrame([(1, 50, "IEA"), (2, 50, "CEA"), (3, 50, "CEA"), (3, 51, "model of")],
+                                                           "feature_cvterm_id long, type_id long, value string"))
+    members = spark.createDataFrame([("FBgn1", "m1"), ("FBgn1", "m2"), ("FBgn1", "m2"), ("FBgn9", "m3")], "fbgn_id string, id string")
+    alleles = spark.createDataFrame([(7, "FBal1"), (7, "FBal1"), (8, "FBal1")], "gene_id long, fbal_id string")
+    out = pathway_disease(c, members, alleles)
+    assert rows(out) == sorted([("FBgn1", "DOID:77", "flu", q, e, m) for m in ("m1", "m2")
+                                for q, e in ((None, False), (None, True), ("model of", True))], key=str)
+    assert out._jdf.queryExecution().optimizedPlan().nodeName() != "Aggregate"
