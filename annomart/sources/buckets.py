@@ -49,16 +49,19 @@ class CoPartitioned(Catalog):
 
     def table(self, name: str) -> DataFrame:
         if name in BUCKETS and name not in self._cache:
-            self._cache[name] = self._copy(name, BUCKETS[name])
+            with self._once(name):
+                if name not in self._cache:
+                    self._cache[name] = self._copy(name, BUCKETS[name])
         return super().table(name)
 
     def edges_by(self, key: str) -> DataFrame:
         if key == BUCKETS["feature_relationship"]:
             return self["feature_relationship"]
         name = f"feature_relationship by {key}"
-        if name not in self._cache:
-            self._cache[name] = self._copy("feature_relationship", key)
-        return self._cache[name]
+        with self._once(name):
+            if name not in self._cache:
+                self._cache[name] = self._copy("feature_relationship", key)
+            return self._cache[name]
 
     def location_table(self) -> str:
         return self.base.location_table()

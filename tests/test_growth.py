@@ -1,6 +1,8 @@
 """What keeps the shared steps of the marts small: rows that meet distinct
 links, symbols of the classes that are looked up."""
 
+from pyspark.sql import functions as F
+
 from annomart.operators.lookups import symbols_by_name
 from annomart.plans import gene_marts as gm
 
@@ -101,3 +103,36 @@ def test_diseases_of_a_gene_meet_its_members_last(spark):
     assert rows(out) == sorted([("FBgn1", "DOID:77", "flu", q, e, m) for m in ("m1", "m2")
                                 for q, e in ((None, False), (None, True), ("model of", True))], key=str)
     assert out._jdf.queryExecution().optimizedPlan().nodeName() != "Aggregate"
+
+
+def test_marts_are_derived_together_and_shared_ones_once(spark):
+    import threading
+    c = small(spark)
+    both, built = threading.Barrier(2), []
+
+    def shared():
+        built.append(1)
+        return spark.range(3)
+
+    def mart(n):
+        both.wait(timeout=60)           # alone it would wait in vain
+        return c.derived("shared", shared).withColumn("n", F.lit(n))
+
+    got = c.derived_all({f"m{n}": lambda n=n: mart(n) for n in (1, 2)})
+    assert {n: rows(df) for n, df in got.items()} == {f"m{n}": [(i, n) for i in range(3)] for n in (1, 2)}
+    assert built == [1]
+
+
+def test_gene_alleles_take_names_from_the_written_mart(spark):
+    from annomart.plans.relationships import gene_allele
+    c = small(spark)
+    terms = [(20, 2, "alleleof", 0, 120), (21, 2, "allele", 0, 121), (22, 2, "attributed_as_expression_of", 0, 122)]
+    c.override("cvterm", c["cvterm"].unionAll(spark.createDataFrame(terms, c["cvterm"].schema)))
+    c.override("feature", spark.createDataFrame([(1, "FBal1", "a", 21, 202, False, False), (7, "FBgn1", "g", 5, 202, False, False)], FEATURE))
+    c.override("feature_relationship", spark.createDataFrame([(1, 1, 7, 20, 0, None), (2, 1, 7, 20, 1, None)], EDGE))
+    c.override("cvtermprop", spark.createDataFrame([], "cvterm_id long, type_id long, value string"))
+    c.override("feature_cvterm", spark.createDataFrame([], "feature_cvterm_id long, feature_id long, cvterm_id long"))
+    names = spark.createDataFrame([("FBal1", "n", None, "s", "s<1>")] * 2 + [("FBal2", "x", None, None, None)],
+                                  "id string, name string, name_sgml string, symbol string, symbol_sgml string")
+    out = gene_allele(c, names)
+    assert rows(out) == [("FBal1", "FBgn1", False, "FBal1", "n", None, "s", "s<1>")]
