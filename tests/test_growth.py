@@ -136,3 +136,40 @@ def test_gene_alleles_take_names_from_the_written_mart(spark):
                                   "id string, name string, name_sgml string, symbol string, symbol_sgml string")
     out = gene_allele(c, names)
     assert rows(out) == [("FBal1", "FBgn1", False, "FBal1", "n", None, "s", "s<1>")]
+
+
+def test_member_rows_meet_their_gene_last(spark, tmp_path):
+    """No member row passes the joins of the enrichments."""
+    from annomart.plans import groups
+    from annomart.sources.tables import Catalog
+    base = {
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "N", 0), (24, "H", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "part": ([(i, f"bolt {i}", f"Brand#{i % 5}", "LARGE", i) for i in range(40)],
+                 "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+        "supplier": ([(i, f"S{i}") for i in range(12)], "s_suppkey long, s_name string"),
+        "customer": ([(i, 24) for i in range(10)], "c_custkey long, c_nationkey int"),
+        "orders": ([(i, i % 10, "PFO"[i % 3], "5-LOW") for i in range(60)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"),
+        "lineitem": ([(i % 60, i % 40, i % 12, i % 7 + 1, "ANR"[i % 3]) for i in range(300)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string"),
+        "documents": ([(i, "x", "en", "web") for i in range(60)], "doc_id long, text string, lang string, source string"),
+    }
+    for n, (data, schema) in base.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/{n}.parquet")
+    c = Catalog(spark, str(tmp_path))
+    alleles = spark.createDataFrame([(1 + 32 * g, f"FBal{k}", None, False) for g in range(40) for k in (3, 1, 2)],
+                                    "gene_id long, fbal_id string, symbol string, is_construct boolean")
+    out = groups.pathway_member(c, alleles)
+    node = out._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().apply(0)
+    side = node.children().apply(0)
+    while side.children().size():
+        assert side.nodeName() != "Join"
+        side = side.children().apply(0)
+    found = out.collect()
+    assert found and {r["antibody"] for r in found} == {True, False}
+    assert any(r["pathway_pubs"] for r in found)
+    lists = [[a["id"] for a in r["classical_alleles"] or []] for r in found]
+    assert any(lists) and all(x in ([], ["FBal1", "FBal2", "FBal3"]) for x in lists)
