@@ -138,6 +138,28 @@ def test_gene_alleles_take_names_from_the_written_mart(spark):
     assert rows(out) == [("FBal1", "FBgn1", False, "FBal1", "n", None, "s", "s<1>")]
 
 
+def test_construct_flags_are_of_alleles(spark):
+    c = small(spark)
+    c.override("cvterm", c["cvterm"].unionAll(spark.createDataFrame([(40, 4, "In vitro construct - x", 0, 140)], c["cvterm"].schema)))
+    c.override("cvtermprop", spark.createDataFrame([(40, None, "origin_of_mutation")], "cvterm_id long, type_id long, value string"))
+    c.override("feature_cvterm", spark.createDataFrame([(1, 7, 40), (2, 1, 40)], "feature_cvterm_id long, feature_id long, cvterm_id long"))
+    assert set(rows(gm._construct_flag_names(c))) == {("FBal1",)}
+
+
+def test_combinations_are_written_once(spark):
+    from annomart import queries
+    c, calls = small(spark), []
+
+    class Marts:
+        @staticmethod
+        def split_system_combination(cat):
+            calls.append(1)
+            return spark.range(2)
+
+    assert rows(queries._combinations(c, Marts)) == rows(queries._combinations(c, Marts)) == [(0,), (1,)]
+    assert calls == [1]
+
+
 def test_member_rows_meet_their_gene_last(spark, tmp_path):
     """No member row passes the joins of the enrichments."""
     from annomart.plans import groups
