@@ -10,18 +10,23 @@ produce the same key for it: (band, block, parity word, XOR of the block's
 hashes).  Sets whose size lets them meet larger bands produce their keys too.
 
 1. one pass over the texts writes (id, size, set fingerprint);
-2. a second pass makes the block keys; sets with an equal key are tied to the
+2. further passes make the block keys, a part of them each, so that a part's
+   shuffle is gone before the next; sets with an equal key are tied to the
    first of them after a shuffle by key, never paired; the weakest keys (blocks
    of few shingles, which unrelated texts can share) are spared as far as
    linked sets share others; components of the ties are candidate clusters (a
    superset of the link graph);
-3. each cluster is verified in tiles of bounded bytes: sizes, then sketch
-   distance, then the exact intersection; pairs already connected are skipped
-   and only links that join two parts leave the task;
-4. components of these links, with the smallest id over all copies.
-
-Equal sets share one fingerprint and enter the join once per task at most, so
-groups of copies cost one row each.  Shingles and sets are compared by 64-bit
+3. texts that share no more than a passage are tied too, and chains of them grow
+   faster than the input: clusters are cut by the size and a short sketch of
+   each set, a few bits an element, which all linked pairs pass;
+4. one text of each set that is left is fetched; each cluster is verified in
+   tiles of bounded bytes: sizes, then sketch distance, then the exact
+   intersection; pairs already connected are skipped and only links that join
+   two parts leave the task;
+5. components of these links, with the smallest id over all copies.
+
+Equal sets share one fingerprint; they make keys once per task at most and are
+verified once, however many copies there are.  Shingles and sets are compared by 64-bit
 hash.  The threshold is exact: ``100 * |A and B| >= percent * |A or B|``.
 
 An empty block cannot tell unrelated sets apart.  A pair can depend on one
@@ -36,6 +41,8 @@ component's id unless all its rows have null ids; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -50,6 +57,10 @@ SHINGLE = 3
 PERCENT = 90
 TILE_BYTES = 2 << 20
 SEEN = 1 << 20                 # fingerprints a task remembers to pass copies over
+PARTS = 2                      # passes that make block keys
+BITS = 1 << 25                 # of the bitmap that spares the shuffle of rows which are not wanted
+MOST_WORDS = 256               # of a short sketch at most
+FEW_WORDS = 1 << 21            # words of an exact bitmap that every task may get (134 million rows)
 
 
 class Bands:
@@ -161,15 +172,16 @@ def set_table(docs: DataFrame, text_col: str, width: int, whole: bool) -> DataFr
     return docs.mapInArrow(A.trimmed(run), ddl + "__n bigint, __f bigint, __first boolean")
 
 
-def block_keys(width: int, percent: int):
-    """Rows (text, f) to rows (key, f)."""
+def block_keys(width: int, percent: int, part: int = 0, parts: int = 1):
+    """Rows (text, f) to rows (key, f), of one part of the keys."""
     def run(batches):
         bands = Bands(percent)
         for b in batches:
             f = b.column(1).to_numpy()
             keys, of, held = [], [], 0
             for r, u in shingle_sets(b.column(0), width):
-                keys.append(bands.keys(u))
+                k = bands.keys(u)
+                keys.append(k[k % A.U(parts) == A.U(part)])
                 of.append(np.full(len(keys[-1]), f[r]))
                 held += len(of[-1])
                 if held > 1 << 18 or r == b.num_rows - 1:
@@ -204,6 +216,62 @@ class Forest:
         return i
 
 
+def short_sketch(u: np.ndarray) -> np.ndarray:
+    """Two bits or more an element up to ``MOST_WORDS``; a power of two words, so
+    that the sketches of two sizes are compared as the smaller one's."""
+    w = min(MOST_WORDS, 1 << max(1, (max(len(u), 1) * 2 - 1 >> 6).bit_length()))
+    return parity_words(u, ((u >> A.U(6)) & A.U(w - 1)).astype(np.int64), w)
+
+
+def short_sketches(width: int):
+    """Rows (text, row) to rows (row, n, sketch)."""
+    def run(batches):
+        for b in batches:
+            n, sketch = [], []
+            for _, u in shingle_sets(b.column(0), width):
+                n.append(len(u))
+                sketch.append(short_sketch(u).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(n, pa.int64()), pa.array(sketch, pa.binary())], ["row", "n", "sketch"])
+    return A.trimmed(run)
+
+
+def alike(table: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """Pairs of a tile (f, tile, n, sketch), or between two, whose sizes and
+    sketches allow a link; only those that join two parts."""
+    f, first = np.unique(table.column("f").to_numpy(), return_index=True)
+    size = table.column("n").to_numpy()[first]
+    o = np.argsort(size, kind="stable")
+    f, size, first = f[o], size[o], first[o]
+    side = table.column("tile").to_numpy()[first]
+    sketch = [np.frombuffer(x, A.U) for x in table.column("sketch").combine_chunks().take(pa.array(first)).to_pylist()]
+    words = np.array([len(x) for x in sketch])                  # in the order of the sizes
+    ends = {int(w): int(np.searchsorted(words, w, "right")) for w in np.unique(words)}
+    stacks = {w: np.stack(sketch[int(np.searchsorted(words, w)):end]) for w, end in ends.items()}
+    cross = len(np.unique(side)) > 1
+    forest, out, label, idle = Forest(len(f)), ([], []), np.arange(len(f)), 0
+    for j in range(1, len(f)):
+        at = int(np.searchsorted(size, -(-percent * int(size[j]) // 100)))
+        while at < j:
+            w = int(words[at])
+            end, begin = min(j, ends[w]), ends[w] - len(stacks[w])
+            far = np.bitwise_count(stacks[w][at - begin:end - begin] ^ np.bitwise_xor.reduce(sketch[j].reshape(-1, w))).sum(axis=1, dtype=np.int64)
+            hit = at + np.flatnonzero(far <= (100 - percent) * (size[at:end] + size[j]) // (100 + percent))
+            if cross:
+                hit = hit[side[hit] != side[j]]
+            for x in hit[np.unique(label[hit], return_index=True)[1]]:
+                a, b = forest.root(int(x)), forest.root(j)
+                if a == b:
+                    idle += 1
+                    continue
+                forest.up[max(a, b)] = min(a, b)
+                out[0].append(int(f[x]))
+                out[1].append(int(f[j]))
+            at = end
+        if idle >= len(f):
+            label, idle = np.array([forest.root(x) for x in range(len(f))]), 0
+    return out
+
+
 def linked(table: pa.Table, width: int, percent: int) -> tuple[list[int], list[int]]:
     """Links that join two parts of a tile (f, tile, text columns): all pairs
     of one tile, or between two tiles, that are not yet connected."""
@@ -243,36 +311,77 @@ def linked(table: pa.Table, width: int, percent: int) -> tuple[list[int], list[i
     return out
 
 
+def wanted(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` without nearly all of those whose ``row`` is not in ``keys``: a
+    bitmap of hashes (64 bits a word) of bounded size goes to every task."""
+    bit = F.pmod(F.xxhash64("row"), F.lit(BITS))
+    mask = F.expr("shiftleft(1L, cast(pmod(xxhash64(row), 64) as int))")
+    words = keys.select(F.shiftright(bit, 6).alias("w"), mask.alias("m")).groupBy("w").agg(F.bit_or("m").alias("bits"))
+    return (rows.withColumns({"w": F.shiftright(bit, 6), "m": mask})
+            .join(F.broadcast(words.withColumnRenamed("w", "v")), F.expr("w = v and (m & bits) <> 0"), "left_semi").drop("w", "m"))
+
+
+def with_row(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` whose ``__row`` is in ``keys`` (column ``__row``).  The keys are
+    written as a bitmap in the order of the row numbers; every task gets it, so
+    that no row is shuffled, unless it is larger than ``FEW_WORDS``."""
+    mask = lambda: F.expr("shiftleft(1L, cast(__row & 63 as int))")
+    words = materialise(keys.select(F.shiftright("__row", 6).alias("__w"), mask().alias("__m")).groupBy("__w").agg(F.bit_or("__m").alias("__bits")), "op3-rows")
+    if words.count() <= FEW_WORDS:
+        words = F.broadcast(words)
+    return rows.join(words, (F.shiftright("__row", 6) == F.col("__w")) & (mask().bitwiseAND(F.col("__bits")) != 0), "left_semi")
+
+
+def tiled(member: DataFrame, weight, tile_bytes: int) -> DataFrame:
+    """The sets of each cluster dealt to tiles of about ``tile_bytes`` of
+    ``weight``, and every two tiles (t, u) of a cluster put together."""
+    tiles = member.groupBy("cluster").agg((F.sum(weight) / tile_bytes).cast("int").alias("m")).withColumn("m", F.col("m") + 1)
+    return (member.join(tiles, "cluster").withColumn("tile", F.pmod(F.xxhash64("f"), "m").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+            .select(F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), "tile", *member.columns)
+            # the joins leave whole clusters together; their tiles are spread
+            .repartition("cluster", "t", "u"))
+
+
 def labelled(sets: DataFrame, text_col: str, width: int, percent: int, tile_bytes: int) -> DataFrame:
     """(f, label) of every set that is linked to another one; ``sets`` is a
-    written set table."""
-    first = sets.filter("__first").select(F.col(text_col).alias("text"), F.col("__f").alias("f"))
-    rows = first.mapInArrow(block_keys(width, percent), "key bigint, f bigint")
-    ties = rows.repartition("key").sortWithinPartitions("key", "f").mapInArrow(tied, "a bigint, b bigint")
-    cluster = components(ties).withColumnsRenamed({"node": "f", "label": "cluster"})
-
-    # the texts are always shuffled by set, whatever the size of the cluster table
-    member = materialise(first.join(cluster.hint("shuffle_hash"), "f"), "op3-members")
-    tiles = (member.groupBy("cluster").agg((F.sum(F.octet_length("text")) / tile_bytes).cast("int").alias("m"))
-             .withColumn("m", F.col("m") + 1))
-    placed = (member.join(tiles, "cluster").withColumn("tile", F.pmod(F.xxhash64("f"), "m").cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-              .select("cluster", F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), "f", "tile", "text")
-              # the joins leave whole clusters together; their tiles are spread
-              .repartition("cluster", "t", "u"))
+    written set table with the number ``__row`` of each row."""
+    first = sets.filter("__first").select(F.col(text_col).alias("text"), F.col("__f").alias("f"), F.col("__row").alias("row"))
+    ties = []
+    for part in range(PARTS):
+        rows = first.select("text", "f").mapInArrow(block_keys(width, percent, part, PARTS), "key bigint, f bigint")
+        ties.append(materialise(rows.repartition("key").sortWithinPartitions("key", "f").mapInArrow(tied, "a bigint, b bigint").distinct(), "op3-ties"))
+    cluster = components(reduce(DataFrame.unionAll, ties)).withColumnsRenamed({"node": "f", "label": "cluster"})
+
+    # one row of each set of a cluster
+    one = materialise(first.groupBy("f").agg(F.min("row").alias("row")).join(cluster, "f"), "op3-chosen")
+    sketch = wanted(first.select("text", "row"), one).mapInArrow(short_sketches(width), "row bigint, n bigint, sketch binary")
+    sketch = materialise(sketch.join(one, "row"), "op3-sketches")
+
+    def cut(table: pa.Table) -> pa.Table:
+        a, b = alike(table, percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    tiles = tiled(sketch.select("cluster", "f", "n", "sketch"), F.octet_length("sketch") + 16, max(1, tile_bytes // 8))
+    cluster = components(tiles.groupBy("cluster", "t", "u").applyInArrow(cut, "a bigint, b bigint")).withColumnsRenamed({"node": "f", "label": "cluster"})
+
+    # only the texts of these are shuffled, whatever the size of the cluster table
+    one = materialise(one.drop("cluster").join(cluster, "f"), "op3-chosen")
+    texts = wanted(first.select("text", "row"), one)
+    member = materialise(texts.join(one.hint("shuffle_hash"), "row").drop("row"), "op3-members")
 
     def verify(table: pa.Table) -> pa.Table:
         a, b = linked(table, width, percent)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    links = placed.groupBy("cluster", "t", "u").applyInArrow(verify, "a bigint, b bigint")
+    links = tiled(member, F.octet_length("text"), tile_bytes).groupBy("cluster", "t", "u").applyInArrow(verify, "a bigint, b bigint")
     return components(links).withColumnsRenamed({"node": "f"})
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                        percent: int = PERCENT, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``docs``."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("__row"))
     sets = materialise(set_table(src, "text", width, False), "op3-sets", batch_rows=2000)
     label = labelled(sets, "text", width, percent, tile_bytes)
     named = sets.select("id", "__n", F.col("__f").alias("f")).join(label, "f", "left").withColumn("label", F.coalesce("label", "f"))
@@ -292,8 +401,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     named = sets.filter("__f is not null").select(F.col("__f").alias("f"), F.struct(
         F.col(id_col).isNull(), F.col(id_col), F.col("__row")).alias("who")).join(label, "f", "left")
     stay = named.groupBy(F.coalesce("label", "f")).agg(F.min("who")["__row"].alias("__row")).select("__row")
-    alone = sets.filter("__f is null").select(*cols)
-    return sets.join(stay, "__row", "left_semi").select(*cols).unionByName(alone)
+    return with_row(sets, stay.unionAll(sets.filter("__f is null").select("__row"))).select(*cols)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from annomart.llm import arrays as A
+from annomart.llm import op3_jaccard
 from annomart.llm.op3_jaccard import Bands, drop_near_duplicates, jaccard_components, parity_words, tied
 
 from .data import awkward, frame
@@ -116,3 +117,66 @@ def test_bands_of_a_high_threshold_are_the_own_and_the_next():
         for n in range(1, 3000):
             t = int(np.searchsorted(bands.lo, n, "right")) - 1
             assert bands.of(n) == ([t, t + 1] if n * 100 >= percent * int(bands.lo[t + 1]) else [t])
+
+
+def members(monkeypatch):
+    """The rows of the verified clusters' tables, as they are written."""
+    found, write = [], op3_jaccard.materialise
+
+    def watched(df, name, *args, **kw):
+        out = write(df, name, *args, **kw)
+        if name == "op3-members":
+            found.append(sorted(r.f for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(op3_jaccard, "materialise", watched)
+    return found
+
+
+def words(rng, n):
+    return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+
+
+def test_copies_in_many_tasks_are_verified_once(spark, monkeypatch):
+    found, rng = members(monkeypatch), np.random.default_rng(5)
+    pairs = []
+    for _ in range(4):
+        w = words(rng, 120)
+        pairs += [" ".join(w), " ".join([*w[:60], "x", *w[61:]])]
+    docs = spark.createDataFrame([(i * 10 + c, t) for c in range(9) for i, t in enumerate(pairs)], "doc_id long, text string").repartition(9, "doc_id")
+    out = drop_near_duplicates(docs)
+    assert sorted(r.doc_id for r in out.collect()) == [0, 20, 40, 60]
+    assert len(found) == 1 and len(found[0]) == len(set(found[0])) == 8
+
+
+def test_texts_that_share_a_passage_are_not_verified_together(spark, monkeypatch):
+    """A chain of texts, each with a passage of the one before, and one near copy."""
+    found, rng = members(monkeypatch), np.random.default_rng(6)
+    parts = [words(rng, 45) for _ in range(41)]
+    texts = [" ".join(parts[i] + words(rng, 90) + parts[i + 1]) for i in range(40)]
+    texts.append(" ".join([*texts[7].split(" ")[:-2], "other", "end"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in drop_near_duplicates(docs).collect()} == set(range(40))
+    assert len(found) == 1 and len(found[0]) == 2
+
+
+def test_linked_pairs_pass_the_short_sketches():
+    rng = np.random.default_rng(7)
+    import pyarrow as pa
+    for percent in (51, 80, 90):
+        for n in [1, 2, 9, 31, 32, 33, 40, 63, 64, 65, 127, 129, 500, 9000]:
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(A.U))
+            for b in (a[:max(1, -(-len(a) * percent // 100))], np.unique(np.r_[a, rng.integers(0, 1 << 63, len(a) * 100 // percent - len(a)).astype(A.U)])):
+                assert 100 * min(len(a), len(b)) >= percent * max(len(a), len(b))
+                for tiles in ([0, 0], [0, 1]):
+                    t = pa.table({"f": [1, 2], "tile": tiles, "n": [len(a), len(b)], "sketch": [op3_jaccard.short_sketch(u).tobytes() for u in (a, b)]})
+                    assert sorted(sum(op3_jaccard.alike(t, percent), [])) == [1, 2]
+
+
+@pytest.mark.parametrize("few", [0, 1 << 21])
+def test_rows_are_picked_by_number(spark, monkeypatch, few):
+    monkeypatch.setattr(op3_jaccard, "FEW_WORDS", few)
+    rows = spark.createDataFrame([(r, r % 7) for p in (0, 3) for r in range(p << 33, (p << 33) + 200)], "__row long, v long").repartition(5)
+    keep = [0, 1, 63, 64, 127, 199, (3 << 33) + 62, (3 << 33) + 63]
+    out = op3_jaccard.with_row(rows, spark.createDataFrame([(k,) for k in keep + keep], "__row long"))
+    assert out.columns == ["__row", "v"] and sorted(r["__row"] for r in out.collect()) == keep
