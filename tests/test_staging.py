@@ -1,5 +1,6 @@
 """Typed tables are staged as they come."""
 
+import time
 import uuid
 
 from annomart.sources import tables
@@ -35,3 +36,26 @@ def test_typed_tables_are_staged_without_a_shuffle(spark, tmp_path):
     assert spark.conf.get(conf) == before
     got = spark.read.schema(want.schema).parquet(path).select(*want.columns)
     assert rows(got) == rows(want) and got.count() > 0
+
+
+def test_written_tables_are_packed_and_leave_no_shuffle_files(spark, tmp_path):
+    """Also of several writes at a time; the session's setting is as before."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from annomart.session import TIDY, held, stage
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in found.mkString("\n").split("\n") if "/shuffle_" in n}
+
+    before, old = spark.conf.get(TIDY[0], None), files()
+    with ThreadPoolExecutor(3) as pool:
+        got = list(pool.map(lambda n: stage(spark.range(500).repartition(5, "id").selectExpr("id + 1 AS n")), range(3)))
+    until = time.time() + 20                    # files go a moment later
+    while files() - old and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - old
+    assert [df.count() for df in got] == [500] * 3
+    assert all(f.endswith(".zstd.parquet") for df in got for f in df.inputFiles())
+    with held(spark, *TIDY):
+        assert spark.conf.get(TIDY[0]) == "true"
+    assert spark.conf.get(TIDY[0], None) == before
