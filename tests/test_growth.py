@@ -1,6 +1,8 @@
 """What keeps the shared steps of the marts small: rows that meet distinct
 links, symbols of the classes that are looked up."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from annomart.operators.lookups import symbols_by_name
@@ -195,3 +197,68 @@ def test_member_rows_meet_their_gene_last(spark, tmp_path):
     assert any(r["pathway_pubs"] for r in found)
     lists = [[a["id"] for a in r["classical_alleles"] or []] for r in found]
     assert any(lists) and all(x in ([], ["FBal1", "FBal2", "FBal3"]) for x in lists)
+
+
+def test_tool_rows_are_dealt_once(spark):
+    """Making rows distinct and joining them by name take one shuffle."""
+    c = small(spark)
+    c.override("feature_cvterm", spark.createDataFrame([(1, 3, 11)], "feature_cvterm_id long, feature_id long, cvterm_id long"))
+    c.override("feature_cvtermprop", spark.createDataFrame([(1, 11)], "feature_cvterm_id long, type_id long"))
+    c.override("dbxref", spark.createDataFrame([(111, 2, "0011")], "dbxref_id long, db_id long, accession string"))
+    table = spark.createDataFrame([("r1", "x")], "id string, name string")
+    cons, al, tools = (table.withColumnRenamed("name", n) for n in ("fbtp_id", "fbal_id", "fbid"))
+    for df in (gm.tool(c, cons, al), gm.tool_use(c, al, cons, tools)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_COL" in plan
+        # no shuffle deals rows by their id
+        assert not re.search(r"hashpartitioning\([^)]*(construct|allele|tool)_id#", plan)
+
+
+def test_mutagen_annotations_are_found_before_alleles(spark):
+    """Annotations of other terms are not shuffled; of an accession the lowest id and name of a row's allele."""
+    c = small(spark)
+    terms = [(40, 4, "ems", 0, 140), (41, 4, "a ray", 0, 141), (42, 4, "other", 0, 142)]
+    c.override("cvterm", c["cvterm"].unionAll(spark.createDataFrame(terms, c["cvterm"].schema)))
+    c.override("cvtermprop", spark.createDataFrame([(i, None, v) for i, v in ((40, "origin_of_mutation"), (41, "origin_of_mutation"), (42, "x"))],
+                                                   "cvterm_id long, type_id long, value string"))
+    c.override("dbxref", spark.createDataFrame([(140, 2, "7"), (141, 2, "7"), (142, 2, "8")], "dbxref_id long, db_id long, accession string"))
+    c.override("feature_cvterm", spark.createDataFrame([(1, 1, 40), (2, 1, 41), (3, 1, 42), (4, 7, 40), (5, 1, 40), (6, 1, None)],
+                                                       "feature_cvterm_id long, feature_id long, cvterm_id long"))
+    alleles = spark.createDataFrame([("r1", "FBal1"), ("r1", "FBal1"), ("r2", "FBal1"), ("r3", "FBal9"), ("r4", None)], "id string, fbal_id string")
+    out = gm.allele_mutagen(c, alleles)
+    assert rows(out) == [("r1", "GO:7", "a ray"), ("r2", "GO:7", "a ray")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+
+
+def test_generation1_marts_are_derived_together(spark, monkeypatch):
+    """A mart that others read is built once, whichever asks first."""
+    from annomart import queries
+    from annomart.plans import build
+    c, built = small(spark), []
+
+    def mart(name, *needs):
+        def make(m):
+            for n in needs:
+                assert m[n].count() == 2
+            built.append(name)
+            return spark.range(2)
+        return name, make
+
+    monkeypatch.setattr(queries, "cat", lambda spark, sf_dir: c)
+    monkeypatch.setattr(c, "stage_all", lambda names: None)
+    together = []
+    monkeypatch.setattr(c, "derived_all", lambda builders, real=c.derived_all: together.append(sorted(builders)) or real(builders))
+    monkeypatch.setattr(build, "generation1", lambda cat: [mart("gene"), mart("allele"), mart("insertion", "allele"), mart("tool", "insertion", "allele")])
+    monkeypatch.setattr(build, "generation1_key_checks", lambda marts: marts)
+    found = queries.q_key_checks_generation1(spark, "")
+    assert set(found) == {"gene", "allele", "insertion", "tool"} and sorted(built) == ["allele", "gene", "insertion", "tool"]
+    assert together == [["gene_allele_rows", "insertion", "mart1:gene", "tool"]]
+
+
+def test_a_result_is_not_written_beside_itself(spark):
+    c, built = small(spark), []
+    make = lambda: built.append(1) or spark.range(3)
+    assert c.result("t", make).inputFiles() == [] and c.result("t", make).count() == 3
+    written = c.derived("t", make)
+    assert c.result("t", make) is written and len(written.inputFiles()) and len(built) == 3
